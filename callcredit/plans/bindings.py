@@ -147,8 +147,9 @@ def call_sources(orders: DataFrame, customer: DataFrame, nation: DataFrame, regi
         .otherwise(F.concat(F.lit("PH"), (k % 150).cast("string"))).alias("DialedNumber"),
         F.when((F.col("o_orderstatus") == "P") & (k % 5 == 0), F.lit(2)).otherwise(F.lit(1))
         .alias("ActivityTypeId"),
-        F.col("o_orderdate").alias("CallStart"),
-        F.col("o_orderdate").alias("EnterDateTime"),
+        F.expr("o_orderdate + INTERVAL 20 YEARS").alias("CallStart"),
+        F.expr("o_orderdate + INTERVAL 20 YEARS + make_dt_interval(0, 0, o_orderkey % 600, 0)")
+        .alias("EnterDateTime"),
         F.col("o_custkey").alias("EnterXUId"),
         F.when(k % 11 == 0, F.lit(None).cast("bigint")).otherwise(k).alias("PartsCallId"))
     x_user = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
@@ -182,3 +183,71 @@ def call_sources(orders: DataFrame, customer: DataFrame, nation: DataFrame, regi
         .alias("PhoneNumber"))
     return dict(meetings=meetings, x_user=x_user, ad_user_all=ad_user_all, hr_corpdir=hr_corpdir,
                 branch_phone=branch_phone, details=details)
+
+
+# --- telephony and serving inputs -------------------------------------------------
+
+# Invented agent first-name prefixes; the fourth never hits the prefix lookup.
+AGENT_PREFIXES = ("Amb_", "Bel_", "Cor_", "Dunx")
+
+
+def reporting_code(regionkey: Column) -> Column:
+    """Region r -> reporting code of the group r: two agent codes, one
+    unknown code, one queue code, one extension code."""
+    return (F.when(regionkey == 0, "520").when(regionkey == 1, "232").when(regionkey == 2, "999")
+            .when(regionkey == 3, "11311").otherwise("##502"))
+
+
+def serving_lookups():
+    from .serving import Lookups
+    return Lookups(
+        branch_region={"NATION_0": "R0", "NATION_1": "R1", "NATION_7": "R7"},
+        queue_branch={"Q_click": "Branch A", "Q_view": "Branch B", "Q_error": "Branch C"},
+        agent_display={f"{AGENT_PREFIXES[u % 4]}{u}L{u % 5}": f"Agent {u}" for u in range(0, 150, 3)},
+        agent_prefix_branch={"Amb_": "Branch A", "Bel_": "Branch B", "Dun_": "Branch D"},
+        queue_group_key={"AFRICA": "k-af", "ASIA": "k-as", "EUROPE": "k-eu"},
+    )
+
+
+SERVING_BRANCH_FIXES = {"NATION_1": "NATION ONE", "NATION_2": "NATION TWO"}
+
+
+def telephony_tables(events: DataFrame, nation: DataFrame, region: DataFrame,
+                     customer: DataFrame) -> dict[str, DataFrame]:
+    groups = region.select(F.col("r_regionkey").cast("string").alias("pkey"),
+                           reporting_code(F.col("r_regionkey")).alias("reporting"),
+                           F.col("r_name").alias("name"))
+    out = {"tblconfig_queuegroup": groups}
+    for kind in ("agent", "queue", "extension"):
+        out[f"tblconfig_{kind}group"] = groups
+        out[f"tblconfig_{kind}groupmembers"] = nation.select(
+            F.col("n_regionkey").cast("string").alias(f"fk{kind}group"),
+            F.col("n_nationkey").cast("string").alias(f"fk{kind}"))
+    uid = F.col("user_id")
+    member = (uid % 25).cast("string")
+    first = F.concat(F.element_at(F.array(*[F.lit(p) for p in AGENT_PREFIXES]),
+                                  (uid % 4 + 1).cast("int")), uid.cast("string"))
+    last = F.concat(F.lit("L"), (uid % 5).cast("string"))
+    out["agenteventstats"] = events.select(
+        "event_id", member.alias("agentid"), first.alias("agentfirstname"),
+        last.alias("agentlastname"), F.col("ts").alias("midnightstartdate"))
+    out["agentperformancebyperiodstats"] = events.select(
+        "event_id", member.alias("agentid"), first.alias("agentfirstname"),
+        last.alias("agentlastname"), F.col("ts").alias("midnightstartdate"),
+        F.col("value").alias("talktime"))
+    out["queueperformancebyperiodstats"] = events.select(
+        "event_id", member.alias("queueid"),
+        F.concat(F.lit("Q_"), F.col("event_type")).alias("queuename"),
+        F.col("ts").alias("midnightstartdate"))
+    out["tbldata_extensionperformancebyperiod"] = events.select(
+        "event_id", member.alias("fkextension"), F.col("ts").alias("midnightstartdate"))
+    c = F.col("c_custkey")
+    out["customeraccount"] = customer.select(
+        c.cast("string").alias("CustomerNo"),
+        F.when(F.col("c_acctbal") < 0, F.lit(1)).otherwise(F.lit(0)).alias("Internal"),
+        F.when(c % 4 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal"))
+        .alias("expenditure_5yavg_total"),
+        F.when(c % 3 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal") / 2)
+        .alias("expenditure_5yavg_partsnservices"))
+    out["global_branch_address"] = nation.select(F.col("n_name").alias("branchname"))
+    return out

@@ -100,3 +100,62 @@ def q_docnum_all_repeats(spark, sf_dir):
 def q_docnum_legacy(spark, sf_dir):
     (orders,) = _t(spark, sf_dir, "orders")
     return docnum.extract_legacy(b.call_texts(orders))
+
+
+# --- step 3: call table -------------------------------------------------------------
+
+def call_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, customer, nation, region, supplier, events = _t(
+        spark, sf_dir, "orders", "customer", "nation", "region", "supplier", "events")
+    return build_calls(**b.call_sources(orders, customer, nation, region, supplier, events))
+
+
+@register("call_table", o.CALL_TABLE)
+def q_call_table(spark, sf_dir):
+    return call_table(spark, sf_dir)
+
+
+@register("first_per_key", o.FIRST_PER_KEY)
+def q_first_per_key(spark, sf_dir):
+    (supplier,) = _t(spark, sf_dir, "supplier")
+    phones = b.call_sources(*_t(spark, sf_dir, "orders", "customer", "nation", "region"),
+                            supplier, *_t(spark, sf_dir, "events"))["branch_phone"]
+    return first_per_key(phones, "BranchNo", "BranchName", ["BranchNo", "BranchName"])
+
+
+# --- step 4: serving ----------------------------------------------------------------
+
+def serving_context(spark: SparkSession, sf_dir: str):
+    from .serving import ServingContext
+    events, nation, region, customer = _t(spark, sf_dir, "events", "nation", "region", "customer")
+    tables = b.telephony_tables(events, nation, region, customer)
+    tables["partscallcentre_popup_data"] = call_table(spark, sf_dir)
+    return ServingContext(b.serving_lookups(), tables.__getitem__, dict(b.SERVING_BRANCH_FIXES))
+
+
+def _serve(table: str):
+    def run(spark, sf_dir):
+        from .serving import transform
+        ctx = serving_context(spark, sf_dir)
+        return transform(ctx.table(table), table, ctx)
+    return run
+
+
+_SERVING_SQL = o.serving_sql()
+for _name, _table in [("serve_customer_account", "customeraccount"),
+                      ("serve_branch_address", "global_branch_address"),
+                      ("serve_agent_events", "agenteventstats"),
+                      ("serve_agent_performance", "agentperformancebyperiodstats"),
+                      ("serve_queue_performance", "queueperformancebyperiodstats"),
+                      ("serve_queue_group", "tblconfig_queuegroup"),
+                      ("serve_extension_performance", "tbldata_extensionperformancebyperiod"),
+                      ("serve_call_table", "partscallcentre_popup_data")]:
+    register(_name, _SERVING_SQL[_name])(_serve(_table))
+
+
+@register("serve_agent_names", _SERVING_SQL["serve_agent_names"])
+def q_serve_agent_names(spark, sf_dir):
+    from .serving import transform, unique_agent_names
+    ctx = serving_context(spark, sf_dir)
+    agents = transform(ctx.table("agentperformancebyperiodstats"), "agentperformancebyperiodstats", ctx)
+    return unique_agent_names(agents, ctx.table("partscallcentre_popup_data"))

@@ -219,3 +219,180 @@ notes_numbers AS (
 SELECT DISTINCT MeetingId, RootDocumentNumber FROM (
   SELECT * FROM field_numbers UNION ALL SELECT * FROM notes_numbers) u
 WHERE RootDocumentNumber IS NOT NULL"""
+
+
+# --- call table -------------------------------------------------------------------
+
+CALL_SOURCES = f"""
+meetings AS (
+  SELECT o_orderkey AS MeetingId,
+         CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE ' ' || cast(o_custkey as varchar) || ' ' END AS CustomerNo,
+         'Customer ' || cast(o_custkey as varchar) AS CustomerName,
+         'caller-' || cast(o_orderkey % 97 as varchar) AS CallerId,
+         o_orderpriority AS ContactName,
+         CASE o_orderkey % 4 WHEN 0 THEN 'Parts Sale' WHEN 1 THEN 'Tracking an order'
+              WHEN 2 THEN 'Sale with a part number' ELSE 'General info/other' END AS Objective,
+         {_field()} AS PartsDocumentNumber,
+         CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE 'PH' || cast(o_orderkey % 150 as varchar) END AS DialedNumber,
+         CASE WHEN o_orderstatus = 'P' AND o_orderkey % 5 = 0 THEN 2 ELSE 1 END AS ActivityTypeId,
+         o_orderdate + INTERVAL 20 YEAR AS CallStart,
+         o_orderdate + INTERVAL 20 YEAR + to_minutes(o_orderkey % 600) AS EnterDateTime, o_custkey AS EnterXUId,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey END AS PartsCallId
+  FROM orders),
+x_user AS (
+  SELECT c_custkey AS UserId, 'user' || cast(c_nationkey as varchar) AS LoginName,
+         CASE WHEN c_custkey % 9 = 0 THEN n_regionkey + 1 ELSE n_regionkey END AS DomainId
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+ad_user_all AS (
+  SELECT 'user' || cast(n_nationkey as varchar) AS LoginName, n_regionkey AS DomainId,
+         'First' || cast(n_nationkey as varchar) AS FirstName, n_name AS LastName,
+         'E' || cast(n_nationkey as varchar) AS SAPID
+  FROM nation),
+hr_corpdir AS (
+  SELECT 'E' || cast(n_nationkey as varchar) AS EmployeeNumber, 'Branch ' || r_name AS PersSubText
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+global_branch_phone AS (
+  SELECT 'PH' || cast(s_suppkey as varchar) AS PhoneNumber, 'B' || cast(s_nationkey as varchar) AS BranchNo,
+         s_name AS BranchName
+  FROM supplier),
+phonecall_extdetails AS (
+  SELECT event_id AS MeetingId, cast(event_type = 'error' as int) AS IsAfterhours,
+         cast(event_type = 'view' as int) AS IsService, cast(event_type = 'click' as int) AS IsUsedRestored,
+         CASE WHEN value > 300 THEN 1 ELSE 0 END AS IsAgwest,
+         'B' || cast(user_id % 25 as varchar) AS BranchNo, props AS Notes,
+         CASE WHEN event_type = 'signup' THEN 'EV' || cast(user_id as varchar) END AS PhoneNumber
+  FROM events)"""
+
+CALL_TABLE_SQL = """
+call_table AS (
+SELECT w.MeetingId,
+       trim(coalesce(w.CustomerNo, '')) AS CustomerNo,
+       w.CustomerName,
+       coalesce(pced.PhoneNumber, w.CallerId) AS CallerId,
+       w.ContactName AS Influencer,
+       e.FirstName || ' ' || e.LastName AS Contact,
+       c.PersSubText AS Branch,
+       w.Objective,
+       w.PartsDocumentNumber,
+       coalesce(pced.Notes, '') AS Notes,
+       w.DialedNumber,
+       coalesce(p.BranchNo, pced.BranchNo, '') AS DialedBranchNo,
+       coalesce(p.BranchName, v.BranchName, '') AS DialedBranchName,
+       CASE WHEN w.ActivityTypeId = 2 THEN 'Walk In'
+            WHEN pced.IsAfterhours = 1 THEN 'Afterhours'
+            WHEN pced.IsService = 1 THEN 'Service'
+            WHEN pced.IsUsedRestored = 1 THEN 'Used/Restored'
+            WHEN w.DialedNumber IS NULL THEN 'Direct Call'
+            ELSE 'Queue Call' END AS CallType,
+       w.CallStart,
+       w.EnterDateTime AS CallSaved
+FROM meetings w
+LEFT JOIN x_user x ON w.EnterXUId = x.UserId
+LEFT JOIN ad_user_all e ON x.LoginName = e.LoginName AND x.DomainId = e.DomainId
+LEFT JOIN hr_corpdir c ON c.EmployeeNumber = e.SAPID
+LEFT JOIN global_branch_phone p ON w.DialedNumber = p.PhoneNumber
+LEFT JOIN (SELECT MeetingId, IsAfterhours, BranchNo, IsService, IsUsedRestored, Notes, PhoneNumber
+           FROM phonecall_extdetails WHERE IsAgwest = 0) pced ON w.MeetingId = pced.MeetingId
+LEFT JOIN (SELECT * FROM (SELECT BranchNo, BranchName,
+                                 row_number() OVER (PARTITION BY BranchNo ORDER BY BranchName NULLS FIRST) AS rn
+                          FROM global_branch_phone) b WHERE rn = 1) v ON v.BranchNo = pced.BranchNo
+WHERE w.PartsCallId IS NOT NULL AND year(w.CallStart) >= 2017)"""
+
+CALL_TABLE = with_(CALL_SOURCES, CALL_TABLE_SQL) + "SELECT * FROM call_table"
+
+FIRST_PER_KEY = """
+SELECT BranchNo, BranchName FROM (
+  SELECT 'B' || cast(s_nationkey as varchar) AS BranchNo, s_name AS BranchName,
+         row_number() OVER (PARTITION BY s_nationkey ORDER BY s_name NULLS FIRST) AS rn
+  FROM supplier) t WHERE rn = 1"""
+
+
+# --- serving ----------------------------------------------------------------------
+
+def values_cte(name: str, mapping: dict[str, str]) -> str:
+    def q(s):
+        return "'" + s.replace("'", "''") + "'"
+    rows = ", ".join(f"({q(k)}, {q(v)})" for k, v in mapping.items())
+    return f"\n{name}(k, v) AS (VALUES {rows})"
+
+
+def serving_sql():
+    from ..config import AGENT_GROUP_CODES, EXTENSION_GROUP_CODES, QUEUE_GROUP_CODES
+    from .bindings import AGENT_PREFIXES, SERVING_BRANCH_FIXES, serving_lookups
+    lk = serving_lookups()
+
+    def codes(c):
+        return ", ".join("'" + x + "'" for x in c)
+
+    prefixes = ", ".join("'" + p + "'" for p in AGENT_PREFIXES)
+    groups = """
+groups AS (
+  SELECT cast(r_regionkey as varchar) AS pkey,
+         CASE r_regionkey WHEN 0 THEN '520' WHEN 1 THEN '232' WHEN 2 THEN '999' WHEN 3 THEN '11311'
+              ELSE '##502' END AS reporting,
+         r_name AS name
+  FROM region),
+members AS (
+  SELECT cast(n_regionkey as varchar) AS fkgroup, cast(n_nationkey as varchar) AS fkmember FROM nation)"""
+    agents = f"""
+agents AS (
+  SELECT event_id, cast(user_id % 25 as varchar) AS agentid,
+         [{prefixes}][user_id % 4 + 1] || cast(user_id as varchar) AS agentfirstname,
+         'L' || cast(user_id % 5 as varchar) AS agentlastname, ts AS midnightstartdate, value AS talktime
+  FROM events)"""
+
+    def member_in(col, c):
+        return (f"{col} IN (SELECT m.fkmember FROM members m JOIN groups g ON m.fkgroup = g.pkey "
+                f"WHERE g.reporting IN ({codes(c)}))")
+
+    agent_select = f"""
+SELECT a.event_id, a.agentid, a.agentfirstname, a.agentlastname, a.midnightstartdate, {{extra}}
+       dn.v AS pop_name, pb.v AS branch, cast(a.midnightstartdate as date) AS date
+FROM agents a
+LEFT JOIN agent_display dn ON a.agentfirstname || '' || a.agentlastname = dn.k
+LEFT JOIN agent_prefix pb ON substr(a.agentfirstname, 1, 4) = pb.k
+WHERE {member_in('a.agentid', AGENT_GROUP_CODES)}"""
+    agent_ctes = with_(groups, agents, values_cte("agent_display", lk.agent_display),
+                       values_cte("agent_prefix", lk.agent_prefix_branch))
+    out = {}
+    out["serve_agent_events"] = agent_ctes + agent_select.replace("{extra}", "")
+    out["serve_agent_performance"] = agent_ctes + agent_select.replace("{extra}", "a.talktime,")
+    out["serve_agent_names"] = with_(groups, agents, values_cte("agent_display", lk.agent_display),
+                                     CALL_SOURCES, CALL_TABLE_SQL) + f"""
+SELECT DISTINCT pop_name FROM (
+  SELECT dn.v AS pop_name FROM agents a
+  LEFT JOIN agent_display dn ON a.agentfirstname || '' || a.agentlastname = dn.k
+  WHERE {member_in('a.agentid', AGENT_GROUP_CODES)}
+  UNION ALL
+  SELECT Contact FROM call_table) u
+WHERE pop_name IS NOT NULL"""
+    out["serve_queue_performance"] = with_(groups, values_cte("queue_branch", lk.queue_branch)) + f"""
+SELECT e.event_id, cast(e.user_id % 25 as varchar) AS queueid, 'Q_' || e.event_type AS queuename,
+       e.ts AS midnightstartdate, qb.v AS branch, cast(e.ts as date) AS date
+FROM events e LEFT JOIN queue_branch qb ON 'Q_' || e.event_type = qb.k
+WHERE {member_in('cast(e.user_id % 25 as varchar)', QUEUE_GROUP_CODES)}"""
+    out["serve_extension_performance"] = with_(groups) + f"""
+SELECT event_id, cast(user_id % 25 as varchar) AS fkextension, ts AS midnightstartdate,
+       cast(ts as date) AS date
+FROM events WHERE {member_in('cast(user_id % 25 as varchar)', EXTENSION_GROUP_CODES)}"""
+    out["serve_queue_group"] = with_(groups, values_cte("gk", lk.queue_group_key)) + """
+SELECT g.pkey, g.reporting, g.name, coalesce(gk.v, 'not found') AS join_key
+FROM groups g LEFT JOIN gk ON g.name = gk.k"""
+    fixes = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SERVING_BRANCH_FIXES.items())
+    out["serve_branch_address"] = with_(values_cte("br", lk.branch_region)) + f"""
+SELECT n_name AS branchname, CASE n_name {fixes} ELSE n_name END AS branch_pbi, br.v AS region
+FROM nation LEFT JOIN br ON n_name = br.k"""
+    out["serve_customer_account"] = """
+SELECT CustomerNo, Internal, coalesce(expenditure_5yavg_total, 0) AS expenditure_5yavg_total,
+       coalesce(expenditure_5yavg_partsnservices, 0) AS expenditure_5yavg_partsnservices
+FROM (SELECT cast(c_custkey as varchar) AS CustomerNo, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS Internal,
+             CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_acctbal END AS expenditure_5yavg_total,
+             CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal / 2 END AS expenditure_5yavg_partsnservices
+      FROM customer) t
+WHERE Internal = 0"""
+    out["serve_call_table"] = with_(CALL_SOURCES, CALL_TABLE_SQL) + """
+SELECT *, CASE WHEN Objective IN ('Sale with a part number', 'Sale without part number', 'Parts Sale')
+               THEN 'Direct' ELSE 'Indirect' END AS contribution,
+       cast(CallStart as date) AS date
+FROM call_table"""
+    return out
