@@ -159,3 +159,244 @@ def q_serve_agent_names(spark, sf_dir):
     ctx = serving_context(spark, sf_dir)
     agents = transform(ctx.table("agentperformancebyperiodstats"), "agentperformancebyperiodstats", ctx)
     return unique_agent_names(agents, ctx.table("partscallcentre_popup_data"))
+
+
+# --- step 5: sources, sinks, times, windows -------------------------------------------
+
+from datetime import datetime as _dt  # noqa: E402
+
+from ..config import LoadWindow, MemberFilter, TableRef, TimeSpec  # noqa: E402
+from ..functions import timezone as tz  # noqa: E402
+from ..operators import incremental as inc  # noqa: E402
+from ..operators import mutate  # noqa: E402
+from ..operators.membership import filter_members  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import catalog as cat  # noqa: E402
+from ..sources import files, snapshot  # noqa: E402
+from . import runs  # noqa: E402
+
+
+@register("scan_project", "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
+def q_scan_project(spark, sf_dir):
+    return files.read_files(spark, "parquet", f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", "l_quantity")
+
+
+@register("csv_roundtrip", "SELECT * FROM nation")
+def q_csv_roundtrip(spark, sf_dir):
+    (nation,) = _t(spark, sf_dir, "nation")
+    path = scratch_path(spark, "csv")
+    files.write_files(nation, "csv", path)
+    return files.read_files(spark, "csv", path, schema=nation.schema)
+
+
+@register("partitioned_roundtrip", "SELECT * FROM orders")
+def q_partitioned_roundtrip(spark, sf_dir):
+    (orders,) = _t(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders_by_status")
+    files.write_files(orders, "parquet", path, partition_by=["o_orderstatus"])
+    return files.read_files(spark, "parquet", path).select(*orders.columns)
+
+
+@register("catalog_roundtrip", "SELECT * FROM region")
+def q_catalog_roundtrip(spark, sf_dir):
+    (region,) = _t(spark, sf_dir, "region")
+    root = scratch_path(spark, "catalog")
+    cat.create_database(spark, "callcredit_scratch", f"{root}/db")
+    cat.write_table(region, "callcredit_scratch", "region_copy", path=f"{root}/region_copy")
+    return cat.read_table(spark, "callcredit_scratch", "region_copy", columns=region.columns)
+
+
+_WINDOW = LoadWindow.resolve(stored_mark=_dt(2024, 1, 10), given_start=None,
+                             given_end="2024-01-20 00:00:00", run_time=_dt(2024, 1, 31),
+                             overlap_minutes="30")
+
+
+@register("window_scan", """SELECT * FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-09 23:30:00' AND TIMESTAMP '2024-01-20 00:00:00'""")
+def q_window_scan(spark, sf_dir):
+    (events,) = _t(spark, sf_dir, "events")
+    return inc.window_scan(events, _WINDOW, "ts")
+
+
+@register("utc_from_zone", "SELECT event_id, ts + INTERVAL 5 HOUR AS ts FROM events")
+def q_utc_from_zone(spark, sf_dir):
+    (events,) = _t(spark, sf_dir, "events")
+    spec = TimeSpec(zones=(("ts", "EST"),))
+    return tz.normalise_times(events.select("event_id", "ts"), spec)
+
+
+@register("offset_parse", """SELECT event_id, date_trunc('second', ts) + INTERVAL 5 HOUR AS ts_text
+FROM events""")
+def q_offset_parse(spark, sf_dir):
+    (events,) = _t(spark, sf_dir, "events")
+    text = events.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+                                              F.lit(" -05:00")).alias("ts_text"))
+    return tz.normalise_times(text, TimeSpec(formats=(("ts_text", "yyyy-MM-dd HH:mm:ss z"),)))
+
+
+@register("date_of_ts", "SELECT event_id, cast(ts as date) AS date FROM events")
+def q_date_of_ts(spark, sf_dir):
+    from ..functions.lookup import date_of
+    (events,) = _t(spark, sf_dir, "events")
+    return events.select("event_id", date_of(F.col("ts")).alias("date"))
+
+
+@register("control_mark", """SELECT r_name AS table_name,
+  CASE WHEN r_name = 'ASIA' THEN TIMESTAMP '2024-02-01 00:00:00'
+       ELSE TIMESTAMP '2024-01-01 00:00:00' + to_days(r_regionkey) END AS watermark_value
+FROM region""")
+def q_control_mark(spark, sf_dir):
+    (region,) = _t(spark, sf_dir, "region")
+    control = region.select(
+        F.col("r_name").alias("table_name"),
+        F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(r_regionkey, 0, 0, 0)")
+        .alias("watermark_value"))
+    root = scratch_path(spark, "control")
+    snapshot.write_snapshot(control, root)
+    current = snapshot.read_snapshot(spark, root)
+    assert inc.stored_mark(current, "ASIA") is not None
+    snapshot.write_snapshot(inc.advance_mark(current, "ASIA", _dt(2024, 2, 1)), root)
+    return snapshot.read_snapshot(spark, root)
+
+
+# --- step 6: upsert, delete, insert-if-absent ---------------------------------------------
+
+def _order_changes(orders: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    updated = orders.where(k % 10 == 0).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    added = orders.where(k % 50 == 0).withColumn("o_orderkey", k + 10000000)
+    return updated.unionByName(added)
+
+
+@register("upsert_orders", """WITH changes AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderkey % 10 = 0
+  UNION ALL
+  SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderkey % 50 = 0)
+SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM changes c WHERE c.o_orderkey = o.o_orderkey)
+UNION ALL SELECT * FROM changes""")
+def q_upsert_orders(spark, sf_dir):
+    (orders,) = _t(spark, sf_dir, "orders")
+    return mutate.upsert(orders, _order_changes(orders), ["o_orderkey"])
+
+
+@register("upsert_newest", """WITH changes AS (
+  SELECT o_orderkey % 1000 AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders),
+newest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey
+      ORDER BY o_orderdate DESC NULLS LAST, o_custkey DESC, o_orderstatus DESC, o_totalprice DESC,
+               o_orderpriority DESC) AS rn FROM changes) t WHERE rn = 1)
+SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM newest c WHERE c.o_orderkey = o.o_orderkey)
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM newest""")
+def q_upsert_newest(spark, sf_dir):
+    (orders,) = _t(spark, sf_dir, "orders")
+    changes = orders.withColumn("o_orderkey", F.col("o_orderkey") % 1000)
+    return mutate.upsert(orders, changes, ["o_orderkey"], newest_by="o_orderdate")
+
+
+@register("deleted_keys", """SELECT o_orderkey FROM orders
+EXCEPT SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0""")
+def q_deleted_keys(spark, sf_dir):
+    (orders,) = _t(spark, sf_dir, "orders")
+    return mutate.deleted_keys(orders, orders.where(F.col("o_orderkey") % 7 != 0), ["o_orderkey"])
+
+
+_LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+@register("delete_by_key", """SELECT * FROM lineitem l WHERE NOT EXISTS (
+  SELECT 1 FROM lineitem g WHERE g.l_orderkey % 5 = 0 AND g.l_linenumber = 1
+    AND g.l_orderkey = l.l_orderkey AND g.l_partkey = l.l_partkey AND g.l_suppkey = l.l_suppkey
+    AND g.l_linenumber = l.l_linenumber)""")
+def q_delete_by_key(spark, sf_dir):
+    (lineitem,) = _t(spark, sf_dir, "lineitem")
+    gone = lineitem.where((F.col("l_orderkey") % 5 == 0) & (F.col("l_linenumber") == 1))
+    return mutate.delete_keys(lineitem, gone, _LINE_KEY)
+
+
+@register("insert_if_absent", o.with_(o.NUMBERS) + """
+SELECT * FROM numbers WHERE MeetingId % 2 = 0
+UNION ALL
+SELECT * FROM numbers n WHERE NOT EXISTS (SELECT 1 FROM numbers t WHERE t.MeetingId % 2 = 0
+  AND t.MeetingId = n.MeetingId AND t.RootDocumentNumber = n.RootDocumentNumber)""")
+def q_insert_if_absent(spark, sf_dir):
+    (orders,) = _t(spark, sf_dir, "orders")
+    numbers = b.revenue_numbers(orders)
+    target = numbers.where(F.col("MeetingId") % 2 == 0)
+    return mutate.insert_if_absent(target, numbers, ["MeetingId", "RootDocumentNumber"])
+
+
+@register("member_filter", """SELECT * FROM customer WHERE c_nationkey IN (
+  SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name IN ('AMERICA', 'EUROPE'))""")
+def q_member_filter(spark, sf_dir):
+    customer, nation, region = _t(spark, sf_dir, "customer", "nation", "region")
+    spec = MemberFilter("n_regionkey", "r_regionkey", "n_nationkey", ("AMERICA", "EUROPE"),
+                        reporting_col="r_name")
+    return filter_members(customer, "c_nationkey", nation, region, spec)
+
+
+@register("unique_names", """SELECT DISTINCT name FROM (
+  SELECT c_name AS name FROM customer UNION ALL SELECT s_name FROM supplier
+  UNION ALL SELECT NULL) u WHERE name IS NOT NULL""")
+def q_unique_names(spark, sf_dir):
+    customer, supplier = _t(spark, sf_dir, "customer", "supplier")
+    nulls = spark.createDataFrame([(None,)], "name string")
+    return (customer.select(F.col("c_name").alias("name"))
+            .unionByName(supplier.select(F.col("s_name").alias("name")))
+            .unionByName(nulls).distinct().where(F.col("name").isNotNull()))
+
+
+# --- load runs ----------------------------------------------------------------------
+
+_ORDERS_REF = TableRef("dwdb", "dbo", "orders")
+_EVENTS_REF = TableRef("dwdb", "dbo", "events")
+
+
+@register("bronze_to_silver", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+  o_orderdate + INTERVAL 5 HOUR AS o_orderdate, o_orderpriority FROM orders""")
+def q_bronze_to_silver(spark, sf_dir):
+    (orders,) = _t(spark, sf_dir, "orders")
+    root = scratch_path(spark, "layers")
+    run_time = _dt(2024, 2, 1, 6, 0, 0)
+    runs.full_load(lambda ref: orders, [_ORDERS_REF], f"{root}/bronze", run_time)
+    spec = TimeSpec(zones=(("o_orderdate", "EST"),))
+    runs.bronze_to_silver(spark, _ORDERS_REF, f"{root}/bronze", run_time, f"{root}/silver", spec)
+    return snapshot.read_snapshot(spark, f"{root}/silver/dwdb/orders")
+
+
+@register("incremental_run", "SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-25 00:00:00'")
+def q_incremental_run(spark, sf_dir):
+    (events,) = _t(spark, sf_dir, "events")
+    root = scratch_path(spark, "incremental")
+    keys = {"events": ["event_id"]}
+    first_mark = _dt(2024, 1, 10)
+    snapshot.write_snapshot(events.where(F.col("ts") < F.lit(first_mark)),
+                            f"{root}/silver/dwdb/events")
+    control = inc.set_mark(inc.empty_control(spark), "events", first_mark)
+    snapshot.write_snapshot(control, f"{root}/control")
+    common = dict(bronze_root=f"{root}/bronze", silver_root=f"{root}/silver",
+                  control_root=f"{root}/control", keys=keys, overlap_minutes="60",
+                  time_column="ts")
+    runs.incremental_merge(spark, _EVENTS_REF, events, run_time=_dt(2024, 1, 20, 1),
+                           given_end="2024-01-20 00:00:00", **common)
+    runs.incremental_merge(spark, _EVENTS_REF, events, run_time=_dt(2024, 1, 25, 1),
+                           given_end="2024-01-25 00:00:00", **common)
+    return snapshot.read_snapshot(spark, f"{root}/silver/dwdb/events")
+
+
+@register("delete_run", "SELECT * FROM orders WHERE o_orderkey % 7 <> 0")
+def q_delete_run(spark, sf_dir):
+    (orders,) = _t(spark, sf_dir, "orders")
+    root = scratch_path(spark, "deletes")
+    keys = {"orders": ["o_orderkey"]}
+    run_time = _dt(2024, 2, 2)
+    snapshot.write_snapshot(orders, f"{root}/silver/dwdb/orders")
+    live = orders.where(F.col("o_orderkey") % 7 != 0)
+    runs.snapshot_live_keys(live, _ORDERS_REF, keys, f"{root}/bronze", run_time)
+    runs.delete_run(spark, _ORDERS_REF, keys=keys, bronze_root=f"{root}/bronze",
+                    silver_root=f"{root}/silver", run_time=run_time)
+    return snapshot.read_snapshot(spark, f"{root}/silver/dwdb/orders")
