@@ -251,3 +251,42 @@ def telephony_tables(events: DataFrame, nation: DataFrame, region: DataFrame,
         .alias("expenditure_5yavg_partsnservices"))
     out["global_branch_address"] = nation.select(F.col("n_name").alias("branchname"))
     return out
+
+
+# --- exploration inputs ---------------------------------------------------------
+
+EVENT_CALL_TYPES = {"view": "Queue Call", "click": "Afterhours", "error": "Direct Call",
+                    "signup": "Walk In", "purchase": "Queue Call"}
+
+
+def explore_calls(events: DataFrame) -> DataFrame:
+    """Calls for the exploration queries: one per event; ``value`` is the
+    duration in hours (exact to the cent, so sums do not depend on order)."""
+    et = F.col("event_type")
+    ctype = None
+    for k, v in EVENT_CALL_TYPES.items():
+        ctype = F.when(et == k, v) if ctype is None else ctype.when(et == k, v)
+    eid, uid = F.col("event_id"), F.col("user_id")
+    return events.select(
+        eid.alias("MeetingID"),
+        uid.cast("string").alias("CustomerNo"),
+        F.concat(F.lit("Customer "), uid.cast("string")).alias("CustomerName"),
+        ctype.alias("CallType"),
+        F.concat(F.lit("Obj "), (eid % 7).cast("string")).alias("Objective"),
+        F.concat(F.lit("Branch "), (uid % 9).cast("string"), F.lit("  ")).alias("Branch"),
+        F.concat(F.lit("Contact "), (eid % 5).cast("string")).alias("Contact"),
+        F.col("ts").alias("CallStart"),
+        F.when(eid % 97 == 0, F.lit(None).cast("decimal(12,2)"))
+        .otherwise(F.col("value").cast("decimal(12,2)")).alias("DurationHours"))
+
+
+def explore_spend(customer: DataFrame) -> DataFrame:
+    bal = F.col("c_acctbal")
+    return customer.select(
+        F.col("c_custkey").cast("string").alias("CustomerNo"),
+        F.when(bal < 1000, "Small").when(bal < 5000, "Medium").otherwise("Large").alias("Size"),
+        F.col("c_mktsegment").alias("SupportReliance"),
+        F.concat(F.lit("L"), (F.col("c_nationkey") % 3).cast("string")).alias("Loyalty"),
+        F.concat(F.lit("P"), (F.col("c_custkey") % 4).cast("string")).alias("Profitability"),
+        bal.alias("Expenditure_5YAVG_PartsNServices"),
+        (bal * 2 + 100).alias("Expenditure_5YAVG_Total"))

@@ -400,3 +400,163 @@ def q_delete_run(spark, sf_dir):
     runs.delete_run(spark, _ORDERS_REF, keys=keys, bronze_root=f"{root}/bronze",
                     silver_root=f"{root}/silver", run_time=run_time)
     return snapshot.read_snapshot(spark, f"{root}/silver/dwdb/orders")
+
+
+# --- step 7: exploration ------------------------------------------------------------
+
+from ..operators import explore as ex  # noqa: E402
+
+_CUST = ["CustomerNo", "CustomerName"]
+_SEGMENTS = ["Loyalty", "Size", "SupportReliance", "Profitability"]
+
+
+def _calls(spark, sf_dir):
+    (events,) = _t(spark, sf_dir, "events")
+    return b.explore_calls(events)
+
+
+def _queues(spark, sf_dir):
+    return _calls(spark, sf_dir).where(F.col("CallType") == "Queue Call")
+
+
+def _afterhours(spark, sf_dir):
+    return _calls(spark, sf_dir).where(F.col("CallType") == "Afterhours")
+
+
+def _spend(spark, sf_dir):
+    (customer,) = _t(spark, sf_dir, "customer")
+    clean = ex.dedupe_rows(b.explore_spend(customer)).where(
+        F.col("Expenditure_5YAVG_PartsNServices") >= 0)
+    ranked = ex.average_rank_desc(clean, "Expenditure_5YAVG_PartsNServices", "ExpPNSRank")
+    return ex.average_rank_desc(ranked, "Expenditure_5YAVG_Total", "ExpTotalRank")
+
+
+def _per_customer_segments(spark, sf_dir):
+    per = ex.all_but_total(_queues(spark, sf_dir), _CUST)
+    return per.join(_spend(spark, sf_dir).select("CustomerNo", *_SEGMENTS), "CustomerNo", "left")
+
+
+@register("top_with_total", o.TOP_WITH_TOTAL)
+def q_top_with_total(spark, sf_dir):
+    return ex.top_with_total(_queues(spark, sf_dir), _CUST)
+
+
+@register("top_by_calls", o.TOP_BY_CALLS)
+def q_top_by_calls(spark, sf_dir):
+    return ex.top_with_total(_afterhours(spark, sf_dir), _CUST, sort_by="TotalCalls")
+
+
+@register("top_objectives", o.TOP_OBJECTIVES)
+def q_top_objectives(spark, sf_dir):
+    return ex.top_with_total(_queues(spark, sf_dir), ["Objective"])
+
+
+@register("top_branches", o.TOP_BRANCHES)
+def q_top_branches(spark, sf_dir):
+    return ex.top_with_total(_afterhours(spark, sf_dir), ["Branch", "Contact"])
+
+
+@register("top_measures_sum", o.TOP_MEASURES_SUM)
+def q_top_measures_sum(spark, sf_dir):
+    return ex.top_measures_sum(_calls(spark, sf_dir), _CUST)
+
+
+@register("pivot_with_totals", o.PIVOT_WITH_TOTALS)
+def q_pivot_with_totals(spark, sf_dir):
+    return ex.pivot_with_totals(_calls(spark, sf_dir), _CUST, "CallType",
+                                ["Queue Call", "Afterhours", "Direct Call", "Walk In"])
+
+
+@register("calls_hours_by_customer", o.CALLS_HOURS_BY_CUSTOMER)
+def q_calls_hours_by_customer(spark, sf_dir):
+    return ex.calls_hours(_calls(spark, sf_dir), "CustomerNo")
+
+
+@register("calls_hours_corr", o.CALLS_HOURS_CORR)
+def q_calls_hours_corr(spark, sf_dir):
+    return ex.calls_hours_corr(_calls(spark, sf_dir), "CustomerNo")
+
+
+@register("pareto", o.PARETO)
+def q_pareto(spark, sf_dir):
+    queues = _queues(spark, sf_dir)
+    top = ex.by_key(queues, _CUST).orderBy(*ex._order("TotalHours", _CUST)).limit(10)
+    chosen = queues.join(top.select(*_CUST), _CUST, "left_semi")
+    return ex.pareto(chosen, _CUST, "Objective", threshold=90.0)
+
+
+@register("avg_rank", o.AVG_RANK)
+def q_avg_rank(spark, sf_dir):
+    return _spend(spark, sf_dir)
+
+
+@register("spend_per_hour", o.SPEND_PER_HOUR)
+def q_spend_per_hour(spark, sf_dir):
+    top = ex.by_key(_queues(spark, sf_dir), _CUST).orderBy(*ex._order("TotalHours", _CUST)).limit(10)
+    spend = _spend(spark, sf_dir).select("CustomerNo", "Expenditure_5YAVG_PartsNServices",
+                                         "ExpPNSRank", "ExpTotalRank")
+    return (top.select("CustomerNo", "TotalCalls", "TotalHours").join(spend, "CustomerNo")
+            .withColumn("ExpPerHour", F.col("Expenditure_5YAVG_PartsNServices") / F.col("TotalHours")))
+
+
+@register("segment_share", o.SEGMENT_SHARE)
+def q_segment_share(spark, sf_dir):
+    return ex.segment_share(_per_customer_segments(spark, sf_dir), _SEGMENTS)
+
+
+@register("segment_share_each", o.SEGMENT_SHARE_EACH)
+def q_segment_share_each(spark, sf_dir):
+    return ex.segment_share_each(_per_customer_segments(spark, sf_dir),
+                                 ["Size", "Loyalty", "SupportReliance", "Profitability"])
+
+
+@register("segment_distribution", o.SEGMENT_DISTRIBUTION)
+def q_segment_distribution(spark, sf_dir):
+    return ex.segment_distribution(_per_customer_segments(spark, sf_dir), "Size")
+
+
+@register("branch_drill", o.BRANCH_DRILL)
+def q_branch_drill(spark, sf_dir):
+    rows = _queues(spark, sf_dir).where(F.col("Branch") == "Branch 3  ")
+    return ex.drill(rows, ["Branch", "Contact", "Objective"])
+
+
+@register("branch_calls_filter", o.BRANCH_CALLS_FILTER)
+def q_branch_calls_filter(spark, sf_dir):
+    return _queues(spark, sf_dir).where((F.col("Branch") == "Branch 3  ")
+                                        & (F.col("Contact") == "Contact 2")
+                                        & (F.col("DurationHours") > 1))
+
+
+@register("call_duration", o.CALL_DURATION)
+def q_call_duration(spark, sf_dir):
+    (events,) = _t(spark, sf_dir, "events")
+    saved = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("event_id") % 600).cast("int"))
+    return events.select(F.col("event_id").alias("MeetingID"),
+                         ex.duration_hours(F.col("ts"), saved).alias("DurationHours"))
+
+
+@register("root_doc_sales", o.ROOT_DOC_SALES)
+def q_root_doc_sales(spark, sf_dir):
+    (lineitem,) = _t(spark, sf_dir, "lineitem")
+    invoice = lineitem.select(
+        F.concat(b.doc_of(F.col("l_orderkey")), F.lit("/"), F.col("l_linenumber").cast("string")).alias("PDN"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("TotalPartSales"))
+    return (invoice.groupBy(F.left("PDN", F.lit(9)).alias("RootPDN"))
+            .agg(F.sum("TotalPartSales").cast("double").alias("TotalPartSales")))
+
+
+@register("dedupe_rows", o.DEDUPE_ROWS)
+def q_dedupe_rows(spark, sf_dir):
+    (customer,) = _t(spark, sf_dir, "customer")
+    return ex.dedupe_rows(b.explore_spend(customer)).where(F.col("Expenditure_5YAVG_PartsNServices") >= 0)
+
+
+@register("clean_names", o.CLEAN_NAMES)
+def q_clean_names(spark, sf_dir):
+    (customer,) = _t(spark, sf_dir, "customer")
+    raw = customer.select(F.col("c_custkey").alias("Customer No"),
+                          F.col("c_mktsegment").alias("Size_ClusterDesc"),
+                          F.col("c_nationkey").alias("Loyalty_ClusterDesc"),
+                          F.col("c_acctbal").alias("Expenditure (PNS)"))
+    return ex.clean_names(raw, drop_suffix="_ClusterDesc")

@@ -396,3 +396,196 @@ SELECT *, CASE WHEN Objective IN ('Sale with a part number', 'Sale without part
        cast(CallStart as date) AS date
 FROM call_table"""
     return out
+
+
+# --- exploration ------------------------------------------------------------------
+
+EXPLORE_CALLS = """
+calls AS (
+  SELECT event_id AS MeetingID, cast(user_id as varchar) AS CustomerNo,
+         'Customer ' || cast(user_id as varchar) AS CustomerName,
+         CASE event_type WHEN 'view' THEN 'Queue Call' WHEN 'click' THEN 'Afterhours'
+              WHEN 'error' THEN 'Direct Call' WHEN 'signup' THEN 'Walk In' WHEN 'purchase' THEN 'Queue Call' END AS CallType,
+         'Obj ' || cast(event_id % 7 as varchar) AS Objective,
+         'Branch ' || cast(user_id % 9 as varchar) || '  ' AS Branch,
+         'Contact ' || cast(event_id % 5 as varchar) AS Contact,
+         ts AS CallStart,
+         CASE WHEN event_id % 97 = 0 THEN NULL ELSE cast(value as decimal(12,2)) END AS DurationHours
+  FROM events),
+queues AS (SELECT * FROM calls WHERE CallType = 'Queue Call'),
+afterhours AS (SELECT * FROM calls WHERE CallType = 'Afterhours')"""
+
+EXPLORE_SPEND = """
+spend_raw AS (
+  SELECT cast(c_custkey as varchar) AS CustomerNo,
+         CASE WHEN c_acctbal < 1000 THEN 'Small' WHEN c_acctbal < 5000 THEN 'Medium' ELSE 'Large' END AS Size,
+         c_mktsegment AS SupportReliance,
+         'L' || cast(c_nationkey % 3 as varchar) AS Loyalty,
+         'P' || cast(c_custkey % 4 as varchar) AS Profitability,
+         c_acctbal AS Expenditure_5YAVG_PartsNServices,
+         c_acctbal * 2 + 100 AS Expenditure_5YAVG_Total
+  FROM customer),
+spend_clean AS (SELECT DISTINCT * FROM spend_raw WHERE Expenditure_5YAVG_PartsNServices >= 0),
+spend AS (
+  SELECT s.*,
+    cast(trunc(rank() OVER (ORDER BY Expenditure_5YAVG_PartsNServices DESC)
+         + (count(*) OVER (PARTITION BY Expenditure_5YAVG_PartsNServices) - 1) / 2.0) as int) AS ExpPNSRank,
+    cast(trunc(rank() OVER (ORDER BY Expenditure_5YAVG_Total DESC)
+         + (count(*) OVER (PARTITION BY Expenditure_5YAVG_Total) - 1) / 2.0) as int) AS ExpTotalRank
+  FROM spend_clean s)"""
+
+
+def per_key_sql(src: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+    return f"""(SELECT {k}, count(MeetingID) AS TotalCalls,
+        cast(coalesce(sum(DurationHours), 0) as double) AS TotalHours,
+        cast(coalesce(sum(DurationHours), 0) as double) / cast(count(MeetingID) as double) * 60.0 AS MinPerCall
+      FROM {src} WHERE {nn} GROUP BY {k})"""
+
+
+def top_sql(src: str, keys: list[str], sort_by: str = "TotalHours", n: int = 10) -> str:
+    order = ", ".join([f"{sort_by} DESC NULLS LAST"] + [f"{c} ASC NULLS LAST" for c in keys])
+    return f"(SELECT * FROM {per_key_sql(src, keys)} p ORDER BY {order} LIMIT {n})"
+
+
+def top_with_total_sql(src: str, keys: list[str], sort_by: str = "TotalHours") -> str:
+    nulls = ", ".join(f"NULL AS {c}" for c in keys)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in keys + ["MeetingID", "DurationHours"])
+    return with_(EXPLORE_CALLS) + f"""
+SELECT *, false AS is_total FROM {top_sql(src, keys, sort_by)} t
+UNION ALL
+SELECT {nulls}, count(MeetingID), cast(coalesce(sum(DurationHours), 0) as double),
+       cast(coalesce(sum(DurationHours), 0) as double) / cast(count(MeetingID) as double) * 60.0, true
+FROM {src} WHERE {nn}"""
+
+
+_CUST = ["CustomerNo", "CustomerName"]
+
+TOP_WITH_TOTAL = top_with_total_sql("queues", _CUST)
+TOP_BY_CALLS = top_with_total_sql("afterhours", _CUST, "TotalCalls")
+TOP_OBJECTIVES = top_with_total_sql("queues", ["Objective"])
+TOP_BRANCHES = top_with_total_sql("afterhours", ["Branch", "Contact"])
+
+TOP_MEASURES_SUM = with_(EXPLORE_CALLS) + f"""
+SELECT sum(TotalCalls) AS TotalCalls, sum(TotalHours) AS TotalHours, sum(MinPerCall) AS MinPerCall
+FROM {top_sql('calls', _CUST)} t"""
+
+_PIVOT_VALUES = ["Queue Call", "Afterhours", "Direct Call", "Walk In"]
+
+
+def _pivot_counts() -> str:
+    return ", ".join(f"count(CASE WHEN CallType = '{v}' THEN MeetingID END) AS {v.replace(' ', '_')}"
+                     for v in _PIVOT_VALUES)
+
+
+PIVOT_WITH_TOTALS = with_(EXPLORE_CALLS) + f"""
+SELECT *, false AS is_total FROM (
+  SELECT CustomerNo, CustomerName, {_pivot_counts()},
+         count(CASE WHEN CallType IS NOT NULL THEN MeetingID END) AS Total
+  FROM calls WHERE CustomerNo IS NOT NULL AND CustomerName IS NOT NULL
+  GROUP BY CustomerNo, CustomerName
+  ORDER BY Total DESC NULLS LAST, CustomerNo, CustomerName LIMIT 10) t
+UNION ALL
+SELECT NULL, NULL, {_pivot_counts()}, count(MeetingID), true
+FROM calls WHERE CustomerNo IS NOT NULL AND CustomerName IS NOT NULL AND CallType IS NOT NULL
+  AND MeetingID IS NOT NULL"""
+
+CALLS_HOURS_BY_CUSTOMER = with_(EXPLORE_CALLS) + """
+SELECT CustomerNo, count(MeetingID) AS TotalCalls, cast(coalesce(sum(DurationHours), 0) as double) AS TotalHours
+FROM calls WHERE CustomerNo IS NOT NULL GROUP BY CustomerNo"""
+
+CALLS_HOURS_CORR = with_(EXPLORE_CALLS) + """
+SELECT round(corr(TotalCalls, TotalHours), 6) AS corr_calls_hours FROM (
+  SELECT CustomerNo, count(MeetingID) AS TotalCalls, cast(coalesce(sum(DurationHours), 0) as double) AS TotalHours
+  FROM calls WHERE CustomerNo IS NOT NULL GROUP BY CustomerNo) t"""
+
+PARETO = with_(EXPLORE_CALLS) + f"""
+, top AS {top_sql('queues', _CUST)},
+per_item AS (
+  SELECT q.CustomerNo, q.CustomerName, q.Objective, coalesce(sum(q.DurationHours), 0) AS h
+  FROM queues q WHERE q.CustomerNo IS NOT NULL AND q.CustomerName IS NOT NULL AND q.Objective IS NOT NULL
+    AND EXISTS (SELECT 1 FROM top t WHERE t.CustomerNo = q.CustomerNo AND t.CustomerName = q.CustomerName)
+  GROUP BY q.CustomerNo, q.CustomerName, q.Objective),
+shares AS (
+  SELECT CustomerNo, CustomerName, Objective, cast(h as double) AS TotalHours,
+    cast(h as double) / cast(sum(h) OVER (PARTITION BY CustomerNo, CustomerName) as double) * 100.0 AS PctTotal,
+    cast(sum(h) OVER (PARTITION BY CustomerNo, CustomerName ORDER BY h DESC, Objective ASC
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) as double)
+      / cast(sum(h) OVER (PARTITION BY CustomerNo, CustomerName) as double) * 100.0 AS PctTotalCumSum
+  FROM per_item)
+SELECT * FROM shares WHERE PctTotalCumSum <= 90.0"""
+
+AVG_RANK = with_(EXPLORE_SPEND) + "SELECT * FROM spend"
+
+_TOP_Q = top_sql("queues", _CUST)
+
+SPEND_PER_HOUR = with_(EXPLORE_CALLS, EXPLORE_SPEND) + f"""
+SELECT t.CustomerNo, t.TotalCalls, t.TotalHours, s.Expenditure_5YAVG_PartsNServices, s.ExpPNSRank, s.ExpTotalRank,
+       s.Expenditure_5YAVG_PartsNServices / t.TotalHours AS ExpPerHour
+FROM {_TOP_Q} t JOIN spend s ON t.CustomerNo = s.CustomerNo"""
+
+_SEGMENTS = ["Loyalty", "Size", "SupportReliance", "Profitability"]
+_SEG_BASE = f"""
+, per_customer AS (
+  SELECT p.*, {', '.join('s.' + x for x in _SEGMENTS)}
+  FROM {per_key_sql('queues', _CUST)} p LEFT JOIN spend s ON p.CustomerNo = s.CustomerNo)"""
+
+SEGMENT_SHARE = with_(EXPLORE_CALLS, EXPLORE_SPEND) + _SEG_BASE + f""",
+grouped AS (
+  SELECT {', '.join(_SEGMENTS)}, sum(cast(TotalHours as decimal(38,6))) AS m FROM per_customer
+  WHERE {' AND '.join(x + ' IS NOT NULL' for x in _SEGMENTS)} GROUP BY {', '.join(_SEGMENTS)})
+SELECT {', '.join(_SEGMENTS)},
+       cast(m as double) * 100.0 / cast((SELECT sum(m) FROM grouped) as double) AS PctTotalHours
+FROM grouped
+ORDER BY PctTotalHours DESC NULLS LAST, {', '.join(x + ' ASC NULLS LAST' for x in _SEGMENTS)}
+LIMIT 11"""
+
+_EACH = ["Size", "Loyalty", "SupportReliance", "Profitability"]
+
+SEGMENT_SHARE_EACH = with_(EXPLORE_CALLS, EXPLORE_SPEND) + _SEG_BASE + ",\nlong AS (" + \
+    " UNION ALL ".join(f"SELECT '{s}' AS segment, cast({s} as varchar) AS value, "
+                       f"cast(TotalHours as decimal(38,6)) AS m "
+                       f"FROM per_customer WHERE {s} IS NOT NULL" for s in _EACH) + """),
+grouped AS (SELECT segment, value, sum(m) AS m FROM long GROUP BY segment, value)
+SELECT segment, value,
+       cast(m as double) / cast(sum(m) OVER (PARTITION BY segment) as double) * 100.0 AS PctTotalHours
+FROM grouped"""
+
+SEGMENT_DISTRIBUTION = with_(EXPLORE_CALLS, EXPLORE_SPEND) + _SEG_BASE + """,
+rows_ AS (SELECT Size, MinPerCall FROM per_customer WHERE Size IS NOT NULL AND MinPerCall IS NOT NULL),
+stats AS (
+  SELECT Size, quantile_cont(MinPerCall, 0.25) AS q1, quantile_cont(MinPerCall, 0.5) AS median,
+         quantile_cont(MinPerCall, 0.75) AS q3
+  FROM rows_ GROUP BY Size)
+SELECT s.Size, s.q1, s.median, s.q3,
+       min(CASE WHEN r.MinPerCall >= s.q1 - 1.5 * (s.q3 - s.q1) THEN r.MinPerCall END) AS whisker_low,
+       max(CASE WHEN r.MinPerCall <= s.q3 + 1.5 * (s.q3 - s.q1) THEN r.MinPerCall END) AS whisker_high
+FROM rows_ r JOIN stats s ON r.Size = s.Size
+GROUP BY s.Size, s.q1, s.median, s.q3"""
+
+BRANCH_DRILL = with_(EXPLORE_CALLS) + """
+SELECT Branch, Contact, Objective, cast(coalesce(sum(DurationHours), 0) as double) AS TotalHours,
+       count(MeetingID) AS TotalCalls,
+       cast(coalesce(sum(DurationHours), 0) as double) / cast(count(MeetingID) as double) * 60.0 AS MinPerCall
+FROM queues WHERE Branch = 'Branch 3  '
+GROUP BY Branch, Contact, Objective"""
+
+BRANCH_CALLS_FILTER = with_(EXPLORE_CALLS) + """
+SELECT * FROM queues WHERE Branch = 'Branch 3  ' AND Contact = 'Contact 2' AND DurationHours > 1"""
+
+CALL_DURATION = """
+SELECT event_id AS MeetingID,
+       cast(epoch_us(ts + to_minutes(event_id % 600)) - epoch_us(ts) as double) / cast(3600000000.0 as double) AS DurationHours
+FROM events"""
+
+ROOT_DOC_SALES = f"""
+SELECT left({doc('l_orderkey')} || '/' || cast(l_linenumber as varchar), 9) AS RootPDN,
+       cast(sum(cast(l_extendedprice as decimal(18,2))) as double) AS TotalPartSales
+FROM lineitem GROUP BY 1"""
+
+DEDUPE_ROWS = with_(EXPLORE_SPEND) + "SELECT * FROM spend_clean"
+
+CLEAN_NAMES = """
+SELECT c_custkey AS CustomerNo, c_mktsegment AS Size, c_nationkey AS Loyalty, c_acctbal AS ExpenditurePNS
+FROM customer"""
