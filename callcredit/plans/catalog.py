@@ -560,3 +560,23 @@ def q_clean_names(spark, sf_dir):
                           F.col("c_nationkey").alias("Loyalty_ClusterDesc"),
                           F.col("c_acctbal").alias("Expenditure (PNS)"))
     return ex.clean_names(raw, drop_suffix="_ClusterDesc")
+
+
+@register("calls_with_revenue", o.CALLS_WITH_REVENUE)
+def q_calls_with_revenue(spark, sf_dir):
+    """Each call with the distinct numbers it names (legacy
+    parser), their invoice sales and the sales type."""
+    orders, lineitem = _t(spark, sf_dir, "orders", "lineitem")
+    calls = orders.select(F.col("o_orderkey").alias("MeetingId"),
+                          F.concat(F.lit("Branch "), (F.col("o_custkey") % 9).cast("string"),
+                                   F.lit("  ")).alias("Branch"))
+    numbers = docnum.extract_legacy(b.call_texts(orders))
+    sales = q_root_doc_sales(spark, sf_dir)
+    per_call = (numbers.join(sales, numbers.RootDocumentNumber == sales.RootPDN, "left")
+                .groupBy("MeetingId")
+                .agg(F.concat_ws(", ", F.array_sort(F.collect_set("RootDocumentNumber"))).alias("RootPDN"),
+                     F.coalesce(F.sum(F.col("TotalPartSales").cast(ex.EXACT)).cast("double"),
+                                F.lit(0.0)).alias("TotalPartSales")))
+    return (calls.join(per_call, "MeetingId", "left")
+            .select("MeetingId", F.trim("Branch").alias("Branch"), "RootPDN", "TotalPartSales",
+                    revenue.sales_type(F.col("RootPDN")).alias("SalesType")))

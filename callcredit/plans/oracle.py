@@ -183,6 +183,11 @@ def _extract_sql(text_col: str, complete_short: bool) -> str:
   FROM call_texts WHERE regexp_matches(upper({text_col}), '{_FULL}')"""
 
 
+ROOT_DOC_SALES_BODY = f"""
+SELECT left({doc('l_orderkey')} || '/' || cast(l_linenumber as varchar), 9) AS RootPDN,
+       cast(sum(cast(l_extendedprice as decimal(18,2))) as double) AS TotalPartSales
+FROM lineitem GROUP BY 1"""
+
 DOCNUM_FIELD = with_(CALL_TEXTS) + f"""
 SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('PartsDocumentNumber', True)}) x
 WHERE length(RootDocumentNumber) <> 0"""
@@ -205,7 +210,7 @@ SELECT DISTINCT MeetingId, RootDocumentNumber FROM (
 _LEGACY_FIELD = f"upper(trim(PartsDocumentNumber, {_STRIP}))"
 _LEGACY_NOTES = f"upper(trim(Notes, {_STRIP}))"
 
-DOCNUM_LEGACY = with_(CALL_TEXTS, f"""
+LEGACY_CTES = (f"""
 field_matches AS (
   SELECT MeetingId, regexp_extract_all({_LEGACY_FIELD}, '({_FULL}|\\b[0-9]+)', 1) AS m
   FROM call_texts WHERE coalesce(regexp_matches({_LEGACY_FIELD}, '^{_FULL}'), false)),
@@ -215,10 +220,27 @@ field_numbers AS (
   FROM field_matches),
 notes_numbers AS (
   SELECT MeetingId, unnest(regexp_extract_all({_LEGACY_NOTES}, '({_FULL})', 1)) AS RootDocumentNumber
-  FROM call_texts WHERE Notes IS NOT NULL)""") + """
-SELECT DISTINCT MeetingId, RootDocumentNumber FROM (
-  SELECT * FROM field_numbers UNION ALL SELECT * FROM notes_numbers) u
-WHERE RootDocumentNumber IS NOT NULL"""
+  FROM call_texts WHERE Notes IS NOT NULL),
+legacy_numbers AS (
+  SELECT DISTINCT MeetingId, RootDocumentNumber FROM (
+    SELECT * FROM field_numbers UNION ALL SELECT * FROM notes_numbers) u
+  WHERE RootDocumentNumber IS NOT NULL)""")
+
+DOCNUM_LEGACY = with_(CALL_TEXTS, LEGACY_CTES) + "SELECT * FROM legacy_numbers"
+
+CALLS_WITH_REVENUE = with_(CALL_TEXTS, LEGACY_CTES, f"""
+sales AS ({ROOT_DOC_SALES_BODY}),
+per_call AS (
+  SELECT n.MeetingId,
+         string_agg(DISTINCT n.RootDocumentNumber, ', ' ORDER BY n.RootDocumentNumber) AS RootPDN,
+         coalesce(cast(sum(cast(s.TotalPartSales as decimal(38,6))) as double), 0.0) AS TotalPartSales
+  FROM legacy_numbers n LEFT JOIN sales s ON n.RootDocumentNumber = s.RootPDN
+  GROUP BY n.MeetingId)""") + """
+SELECT c.MeetingId, trim(c.Branch) AS Branch, p.RootPDN, p.TotalPartSales,
+       nullif(regexp_extract(p.RootPDN, '([CS])', 0), '') AS SalesType
+FROM (SELECT t.MeetingId, 'Branch ' || cast(o.o_custkey % 9 as varchar) || '  ' AS Branch
+      FROM call_texts t JOIN orders o ON t.MeetingId = o.o_orderkey) c
+LEFT JOIN per_call p ON c.MeetingId = p.MeetingId"""
 
 
 # --- call table -------------------------------------------------------------------
