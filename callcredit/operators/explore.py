@@ -93,8 +93,9 @@ def top_measures_sum(calls: DataFrame, keys: list[str], top_n: int = 10,
                      sort_by: str = "TotalHours") -> DataFrame:
     """Column sums over the ``top_n`` rows (total row excluded)."""
     top = by_key(calls, keys).orderBy(*_order(sort_by, keys)).limit(top_n)
-    return top.agg(F.sum("TotalCalls").alias("TotalCalls"), F.sum("TotalHours").alias("TotalHours"),
-                   F.sum("MinPerCall").alias("MinPerCall"))
+    return top.agg(F.sum("TotalCalls").alias("TotalCalls"),
+                   F.sum(F.col("TotalHours").cast(EXACT)).cast("double").alias("TotalHours"),
+                   F.sum(F.col("MinPerCall").cast("decimal(38,10)")).cast("double").alias("MinPerCall"))
 
 
 def pivot_with_totals(calls: DataFrame, keys: list[str], pivot_col: str, values: list[str],
