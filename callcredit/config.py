@@ -189,7 +189,7 @@ DEFAULT_PRIMARY_KEYS = {
 # Local wall-clock columns recorded in fixed Eastern Standard Time, and text
 # columns carrying their own offset.
 DEFAULT_TIME_SPECS = {
-    "saleslink_wap_meetings": TimeSpec(zones=(
+    "meetings": TimeSpec(zones=(
         ("MeetingDate", "EST"), ("NextMeetingDate", "EST"), ("EnterDateTime", "EST"),
         ("UpdateDateTime", "EST"), ("CompletedDateTime", "EST"), ("EndMeetingDate", "EST"),
         ("EndNextMeetingDate", "EST"), ("CallStart", "EST"))),

@@ -352,8 +352,8 @@ def q_unique_names(spark, sf_dir):
 
 # --- load runs ----------------------------------------------------------------------
 
-_ORDERS_REF = TableRef("dwdb", "dbo", "orders")
-_EVENTS_REF = TableRef("dwdb", "dbo", "events")
+_ORDERS_REF = TableRef("warehouse", "dbo", "orders")
+_EVENTS_REF = TableRef("warehouse", "dbo", "events")
 
 
 @register("bronze_to_silver", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -365,7 +365,7 @@ def q_bronze_to_silver(spark, sf_dir):
     runs.full_load(lambda ref: orders, [_ORDERS_REF], f"{root}/bronze", run_time)
     spec = TimeSpec(zones=(("o_orderdate", "EST"),))
     runs.bronze_to_silver(spark, _ORDERS_REF, f"{root}/bronze", run_time, f"{root}/silver", spec)
-    return snapshot.read_snapshot(spark, f"{root}/silver/dwdb/orders")
+    return snapshot.read_snapshot(spark, f"{root}/silver/warehouse/orders")
 
 
 @register("incremental_run", "SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-25 00:00:00'")
@@ -375,7 +375,7 @@ def q_incremental_run(spark, sf_dir):
     keys = {"events": ["event_id"]}
     first_mark = _dt(2024, 1, 10)
     snapshot.write_snapshot(events.where(F.col("ts") < F.lit(first_mark)),
-                            f"{root}/silver/dwdb/events")
+                            f"{root}/silver/warehouse/events")
     control = inc.set_mark(inc.empty_control(spark), "events", first_mark)
     snapshot.write_snapshot(control, f"{root}/control")
     common = dict(bronze_root=f"{root}/bronze", silver_root=f"{root}/silver",
@@ -385,7 +385,7 @@ def q_incremental_run(spark, sf_dir):
                            given_end="2024-01-20 00:00:00", **common)
     runs.incremental_merge(spark, _EVENTS_REF, events, run_time=_dt(2024, 1, 25, 1),
                            given_end="2024-01-25 00:00:00", **common)
-    return snapshot.read_snapshot(spark, f"{root}/silver/dwdb/events")
+    return snapshot.read_snapshot(spark, f"{root}/silver/warehouse/events")
 
 
 @register("delete_run", "SELECT * FROM orders WHERE o_orderkey % 7 <> 0")
@@ -394,12 +394,12 @@ def q_delete_run(spark, sf_dir):
     root = scratch_path(spark, "deletes")
     keys = {"orders": ["o_orderkey"]}
     run_time = _dt(2024, 2, 2)
-    snapshot.write_snapshot(orders, f"{root}/silver/dwdb/orders")
+    snapshot.write_snapshot(orders, f"{root}/silver/warehouse/orders")
     live = orders.where(F.col("o_orderkey") % 7 != 0)
     runs.snapshot_live_keys(live, _ORDERS_REF, keys, f"{root}/bronze", run_time)
     runs.delete_run(spark, _ORDERS_REF, keys=keys, bronze_root=f"{root}/bronze",
                     silver_root=f"{root}/silver", run_time=run_time)
-    return snapshot.read_snapshot(spark, f"{root}/silver/dwdb/orders")
+    return snapshot.read_snapshot(spark, f"{root}/silver/warehouse/orders")
 
 
 # --- step 7: exploration ------------------------------------------------------------
