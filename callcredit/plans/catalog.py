@@ -580,3 +580,68 @@ def q_calls_with_revenue(spark, sf_dir):
     return (calls.join(per_call, "MeetingId", "left")
             .select("MeetingId", F.trim("Branch").alias("Branch"), "RootPDN", "TotalPartSales",
                     revenue.sales_type(F.col("RootPDN")).alias("SalesType")))
+
+
+# --- streaming form of the incremental merge -------------------------------------------
+
+@register("incremental_stream", "SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-25 00:00:00'")
+def q_incremental_stream(spark, sf_dir):
+    """N6 / M2 as a file stream: two overlapping load windows land as bronze
+    run folders; an AvailableNow stream upserts them into the snapshot."""
+    from ..sources import bronze
+    from ..streaming.incremental import merge_stream
+    (events,) = _t(spark, sf_dir, "events")
+    root = scratch_path(spark, "stream")
+    first_mark = _dt(2024, 1, 10)
+    snapshot.write_snapshot(events.where(F.col("ts") < F.lit(first_mark)), f"{root}/silver")
+    w1 = LoadWindow(_dt(2024, 1, 9, 23), _dt(2024, 1, 20))
+    w2 = LoadWindow(_dt(2024, 1, 19, 23), _dt(2024, 1, 25))
+    for run_time, w in ((_dt(2024, 1, 20, 1), w1), (_dt(2024, 1, 25, 1), w2)):
+        bronze.write_run(inc.window_scan(events, w, "ts"), f"{root}/bronze", _EVENTS_REF, run_time)
+    q = merge_stream(spark, f"{root}/bronze", events.schema, ["event_id"], f"{root}/silver",
+                     f"{root}/checkpoint", newest_by="ts", max_files_per_trigger=4)
+    q.awaitTermination()
+    return snapshot.read_snapshot(spark, f"{root}/silver")
+
+
+# --- serving dispatch (G9 / G10) ----------------------------------------------------------
+
+_SERVED = ["customeraccount", "global_branch_address", "agenteventstats", "agentperformancebyperiodstats",
+           "queueperformancebyperiodstats", "tblconfig_queuegroup", "tbldata_extensionperformancebyperiod",
+           "partscallcentre_popup_data", "tblconfig_agentgroup"]
+_SERVED_SQL = {"customeraccount": "serve_customer_account", "global_branch_address": "serve_branch_address",
+               "agenteventstats": "serve_agent_events", "agentperformancebyperiodstats": "serve_agent_performance",
+               "queueperformancebyperiodstats": "serve_queue_performance",
+               "tblconfig_queuegroup": "serve_queue_group",
+               "tbldata_extensionperformancebyperiod": "serve_extension_performance",
+               "partscallcentre_popup_data": "serve_call_table", "agent_name_unique": "serve_agent_names"}
+
+
+def _serving_dispatch_sql() -> str:
+    parts = [f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM ({_SERVING_SQL[q].strip()}) x"
+             for t, q in _SERVED_SQL.items()]
+    # a table without a transform passes unchanged
+    parts.append("SELECT 'tblconfig_agentgroup', count(*) FROM region")
+    return "\nUNION ALL\n".join(f"({p})" for p in parts)
+
+
+@register("serving_dispatch", _serving_dispatch_sql())
+def q_serving_dispatch(spark, sf_dir):
+    """Read -> transform -> write for every served table, then the row
+    count of each written table (read back from the files)."""
+    from .serving import serve
+    ctx = serving_context(spark, sf_dir)
+    root = scratch_path(spark, "gold")
+    written = []
+
+    def write(df, name):
+        files.write_files(df, "parquet", f"{root}/{name}")
+        written.append(name)
+
+    serve(_SERVED, ctx, write)
+    counts = [spark.read.parquet(f"{root}/{name}").groupBy().count()
+              .select(F.lit(name).alias("table_name"), F.col("count").alias("n_rows")) for name in written]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
