@@ -645,3 +645,15 @@ def q_serving_dispatch(spark, sf_dir):
     for c in counts[1:]:
         out = out.unionByName(c)
     return out
+
+
+@register("upsert_bucketed", ORACLE["upsert_orders"])
+def q_upsert_bucketed(spark, sf_dir):
+    """M1 at scale: the orders table kept in 32 key buckets; the changes
+    rewrite only the buckets they touch."""
+    from ..sources import buckets as bk
+    (orders,) = _t(spark, sf_dir, "orders")
+    root = scratch_path(spark, "orders_bucketed")
+    bk.write_bucketed(orders, root, ["o_orderkey"], 32)
+    bk.upsert_bucketed(spark, root, _order_changes(orders), ["o_orderkey"], 32)
+    return bk.read_bucketed(spark, root).select(*orders.columns)

@@ -63,6 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for the cluster")
         root = tempfile.mkdtemp(prefix="callcredit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -73,3 +76,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for intermediate tables."""
     return os.path.join(checkpoint_root(spark), "callcredit", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of input.
+
+    Start with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the input and let AQE coalesce the small
+    ones; scans split files at 256 MB.  Pass the result as ``extra`` to
+    ``build_session``.
+    """
+    parts = max(200, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }

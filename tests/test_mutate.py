@@ -63,3 +63,24 @@ def test_upsert_plan_has_no_python(spark):
     changes = spark.range(50, 150).select(F.col("id").alias("k"), F.lit("w").alias("v"))
     plan = mutate.upsert(target, changes, ["k"], check=False)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_bucketed_upsert_touches_only_its_buckets(spark, tmp_path):
+    import os
+
+    from callcredit.sources import buckets as bk
+    root = str(tmp_path / "t")
+    target = spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    bk.write_bucketed(target, root, ["k"], 16)
+    before = {d: os.stat(os.path.join(root, d)).st_mtime_ns for d in os.listdir(root) if d.startswith("bucket=")}
+    changes = spark.createDataFrame([(5, "b"), (2000, "c")], "k bigint, v string")
+    touched = bk.upsert_bucketed(spark, root, changes, ["k"], 16)
+    assert 1 <= len(touched) <= 2
+    after = {d: os.stat(os.path.join(root, d)).st_mtime_ns for d in os.listdir(root) if d.startswith("bucket=")}
+    untouched = [d for d in before if int(d.split("=")[1]) not in touched]
+    assert untouched and all(before[d] == after[d] for d in untouched)
+    got = {r.k: r.v for r in bk.read_bucketed(spark, root).collect()}
+    assert len(got) == 1001 and got[5] == "b" and got[2000] == "c" and got[6] == "a"
+    # the same batch again changes nothing
+    bk.upsert_bucketed(spark, root, changes, ["k"], 16)
+    assert {r.k: r.v for r in bk.read_bucketed(spark, root).collect()} == got
