@@ -32,9 +32,18 @@ def register(name: str, sql: str | None = None):
 
 
 def _t(spark, sf_dir, *names):
+    _ensure_conf(spark)
     return [b.read(spark, sf_dir, n) for n in names]
 
 
+def _ensure_conf(spark: SparkSession) -> None:
+    """Session settings the queries rely on (a caller's session may lack
+    them): UTC wall-clock semantics and adaptive execution."""
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.adaptive.enabled", "true")):
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem, part, supplier = _t(spark, sf_dir, "orders", "lineitem", "part", "supplier")
     return build_invoice_lines(**b.invoice_sources(orders, lineitem, part, supplier))
