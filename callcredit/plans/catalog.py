@@ -666,3 +666,22 @@ def q_upsert_bucketed(spark, sf_dir):
     bk.write_bucketed(orders, root, ["o_orderkey"], 32)
     bk.upsert_bucketed(spark, root, _order_changes(orders), ["o_orderkey"], 32)
     return bk.read_bucketed(spark, root).select(*orders.columns)
+
+
+# --- the recogniser over whole free texts ---------------------------------------------
+
+@register("docnum_documents", o.DOCNUM_DOCUMENTS)
+def q_docnum_documents(spark, sf_dir):
+    """B4 over every document's full text (notes rule)."""
+    (documents,) = _t(spark, sf_dir, "documents")
+    notes = documents.select(F.col("doc_id").alias("MeetingId"), F.upper("text").alias("Notes"))
+    return docnum.extract_from_notes(notes)
+
+
+@register("docnum_conversations", o.DOCNUM_CONVERSATIONS)
+def q_docnum_conversations(spark, sf_dir):
+    """B3 over every conversation turn's full text (document-field rule)."""
+    (conversations,) = _t(spark, sf_dir, "conversations")
+    field = conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("MeetingId"),
+                                 F.upper("text").alias("PartsDocumentNumber"))
+    return docnum.extract_from_field(field)

@@ -612,3 +612,17 @@ DEDUPE_ROWS = with_(EXPLORE_SPEND) + "SELECT * FROM spend_clean"
 CLEAN_NAMES = """
 SELECT c_custkey AS CustomerNo, c_mktsegment AS Size, c_nationkey AS Loyalty, c_acctbal AS ExpenditurePNS
 FROM customer"""
+
+
+# --- whole texts ------------------------------------------------------------------
+
+DOCNUM_DOCUMENTS = f"""
+WITH call_texts AS (SELECT doc_id AS MeetingId, NULL AS PartsDocumentNumber, upper(text) AS Notes FROM documents)
+SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('Notes', False)}) x
+WHERE length(RootDocumentNumber) <> 0"""
+
+DOCNUM_CONVERSATIONS = f"""
+WITH call_texts AS (SELECT conv_id * 1000 + turn AS MeetingId, upper(text) AS PartsDocumentNumber,
+                           NULL AS Notes FROM conversations)
+SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('PartsDocumentNumber', True)}) x
+WHERE length(RootDocumentNumber) <> 0"""
