@@ -50,8 +50,15 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_inputs(spark: SparkSession, sf_dir: str):
+    """Parsed numbers and the invoice-line table.  As in the load runs, the
+    invoice lines are built once and stored (here under the shared
+    checkpoint folder); attribution reads the stored table, which it scans
+    several times, instead of re-running the invoice joins each time."""
+    from ..session import scratch_path
     (orders,) = _t(spark, sf_dir, "orders")
-    return b.revenue_numbers(orders), invoice_lines(spark, sf_dir)
+    path = scratch_path(spark, "invoice_lines")
+    invoice_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return b.revenue_numbers(orders), spark.read.parquet(path)
 
 
 # --- step 1: revenue ----------------------------------------------------------------
@@ -521,7 +528,10 @@ def q_segment_share_each(spark, sf_dir):
 
 @register("segment_distribution", o.SEGMENT_DISTRIBUTION)
 def q_segment_distribution(spark, sf_dir):
-    return ex.segment_distribution(_per_customer_segments(spark, sf_dir), "Size")
+    # quartiles are interpolated; shown to 6 decimals (engines interpolate
+    # with different but equivalent formulas)
+    out = ex.segment_distribution(_per_customer_segments(spark, sf_dir), "Size")
+    return out.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
 
 
 @register("branch_drill", o.BRANCH_DRILL)

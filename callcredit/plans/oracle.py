@@ -581,7 +581,7 @@ stats AS (
   SELECT Size, quantile_cont(MinPerCall, 0.25) AS q1, quantile_cont(MinPerCall, 0.5) AS median,
          quantile_cont(MinPerCall, 0.75) AS q3
   FROM rows_ GROUP BY Size)
-SELECT s.Size, s.q1, s.median, s.q3,
+SELECT s.Size, round(s.q1, 6) AS q1, round(s.median, 6) AS median, round(s.q3, 6) AS q3,
        min(CASE WHEN r.MinPerCall >= s.q1 - 1.5 * (s.q3 - s.q1) THEN r.MinPerCall END) AS whisker_low,
        max(CASE WHEN r.MinPerCall <= s.q3 + 1.5 * (s.q3 - s.q1) THEN r.MinPerCall END) AS whisker_high
 FROM rows_ r JOIN stats s ON r.Size = s.Size
