@@ -695,3 +695,15 @@ def q_docnum_conversations(spark, sf_dir):
     field = conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("MeetingId"),
                                  F.upper("text").alias("PartsDocumentNumber"))
     return docnum.extract_from_field(field)
+
+
+@register("revenue_from_calls", o.REVENUE_FROM_CALLS)
+def q_revenue_from_calls(spark, sf_dir):
+    """Section 3.2 end to end: calls -> numbers -> invoice lines -> revenue,
+    each step stored before the next reads it."""
+    orders, customer, nation, region, supplier, events, lineitem, part = _t(
+        spark, sf_dir, "orders", "customer", "nation", "region", "supplier", "events", "lineitem", "part")
+    sources = dict(b.call_sources(orders, customer, nation, region, supplier, events))
+    sources.update(b.invoice_sources(orders, lineitem, part, supplier))
+    paths = runs.build_derived_tables(spark, sources, scratch_path(spark, "derived"))
+    return snapshot.read_snapshot(spark, paths["revenue"])

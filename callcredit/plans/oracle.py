@@ -626,3 +626,33 @@ WITH call_texts AS (SELECT conv_id * 1000 + turn AS MeetingId, upper(text) AS Pa
                            NULL AS Notes FROM conversations)
 SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('PartsDocumentNumber', True)}) x
 WHERE length(RootDocumentNumber) <> 0"""
+
+
+# --- derived tables end to end: calls -> numbers -> invoice lines -> revenue -------
+
+REVENUE_FROM_CALLS = with_(CALL_SOURCES, CALL_TABLE_SQL, INVOICE_SOURCES, INVOICE_LINES_SQL, f"""
+call_texts AS (SELECT MeetingId, PartsDocumentNumber, Notes FROM call_table),
+numbers AS (
+  SELECT DISTINCT MeetingId, RootDocumentNumber FROM (
+    SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('PartsDocumentNumber', True)}) x
+    UNION ALL
+    SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('Notes', False)}) y) z
+  WHERE length(RootDocumentNumber) <> 0),
+joined AS (
+  SELECT n.MeetingId, n.RootDocumentNumber, l.PartSales, l.OpenDate, l.ContractStart, l.ContractEnd
+  FROM numbers n LEFT JOIN invoice_lines l USING (RootDocumentNumber)),
+per_doc AS (
+  SELECT RootDocumentNumber, sum(PartSales) AS PartSales, min(OpenDate) AS OpenDate,
+         min(ContractStart) AS ContractStart, max(ContractEnd) AS ContractEnd,
+         CASE WHEN min(OpenDate) BETWEEN min(ContractStart) AND max(ContractEnd) THEN 1 ELSE 0 END AS OnContract
+  FROM joined GROUP BY RootDocumentNumber)""") + """
+SELECT j.MeetingId,
+       coalesce(string_agg(DISTINCT j.RootDocumentNumber, ', ' ORDER BY j.RootDocumentNumber), '') AS RootDocumentNumber,
+       cast(sum(j.PartSales) as double) AS PartSales,
+       cast(coalesce(sum(a.OnContract), 0) as bigint) AS OnContract,
+       nullif(regexp_extract(coalesce(string_agg(DISTINCT j.RootDocumentNumber, ', ' ORDER BY j.RootDocumentNumber), ''), '([CS])', 0), '') AS SalesType
+FROM joined j
+LEFT JOIN per_doc a
+  ON j.RootDocumentNumber = a.RootDocumentNumber AND j.PartSales = a.PartSales AND j.OpenDate = a.OpenDate
+ AND j.ContractStart = a.ContractStart AND j.ContractEnd = a.ContractEnd
+GROUP BY j.MeetingId"""

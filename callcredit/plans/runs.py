@@ -92,3 +92,30 @@ def run_load(load_type: str, steps: dict[str, Callable[[], object]],
             record_mark()
         done.append(step)
     return done
+
+
+def build_derived_tables(spark: SparkSession, sources: dict[str, DataFrame], root: str,
+                         distinct_numbers: bool = True) -> dict[str, str]:
+    """The derived-table path: call table (B1) -> document numbers (B5) ->
+    invoice lines (B2) -> revenue per call (B7), each written as the next
+    snapshot under ``root/<table>`` and read back by the next step, so every
+    step starts from stored data (short lineage, restartable per step)."""
+    from ..operators import docnum, revenue
+    from .calls import build_calls
+    from .invoices import build_invoice_lines
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root.rstrip('/')}/{name}"
+        snapshot.write_snapshot(df, path)
+        return snapshot.read_snapshot(spark, path)
+
+    calls = store(build_calls(**{k: sources[k] for k in (
+        "meetings", "x_user", "ad_user_all", "hr_corpdir", "branch_phone", "details")}), "calls")
+    texts = docnum.upper_text_columns(calls.select("MeetingId", "PartsDocumentNumber", "Notes"))
+    numbers = store(docnum.extract_all(texts, distinct=distinct_numbers), "document_numbers")
+    lines = store(build_invoice_lines(**{k: sources[k] for k in (
+        "invoice_header", "workorder_header", "workorder_partdetail", "equipment",
+        "conditionsummary")}), "invoice_lines")
+    store(revenue.attribute_revenue(numbers, lines), "revenue")
+    return {name: f"{root.rstrip('/')}/{name}" for name in
+            ("calls", "document_numbers", "invoice_lines", "revenue")}
