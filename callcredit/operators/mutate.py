@@ -52,12 +52,17 @@ def latest_per_key(changes: DataFrame, keys, order_by: str) -> DataFrame:
 
 def check_unique_changes(target: DataFrame, changes: DataFrame, keys) -> None:
     """Raise when two change rows would update the same target row (the
-    condition a MERGE refuses).  One aggregate over the changes, and a count
-    of at most one row to the driver."""
+    condition a MERGE refuses).
+
+    The common case costs one aggregate over the changes (a batch, not the
+    table): only when some key repeats is the target consulted, and then
+    only for the repeated keys.  At most one row reaches the driver."""
     keys = _keys(keys)
-    dup = (changes.where(_non_null(keys)).groupBy(*keys).count().where(F.col("count") > 1)
-           .join(target.select(*keys), keys, "left_semi"))
-    if dup.limit(1).count():
+    repeated = (changes.where(_non_null(keys)).groupBy(*keys).count()
+                .where(F.col("count") > 1).select(*keys))
+    if not repeated.limit(1).count():
+        return
+    if repeated.join(target.select(*keys), keys, "left_semi").limit(1).count():
         raise DuplicateChangeError(f"several changes for one target row on keys {keys}")
 
 

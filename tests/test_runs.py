@@ -74,3 +74,18 @@ def test_serve_writes_each_table_and_names(spark):
                        "tblconfig_agentgroup": 1, "agent_name_unique": 2}
     assert out["partscallcentre_popup_data"].first().contribution == "Direct"
     assert sorted(r.pop_name for r in out["agent_name_unique"].collect()) == ["Agent One", "Ann Lee"]
+
+
+def test_stream_into_buckets(spark, tmp_path):
+    from callcredit.sources import buckets as bk
+    root = str(tmp_path)
+    ref = TableRef("db", "dbo", "t")
+    rows = spark.createDataFrame([(i, "a", datetime(2024, 1, 1)) for i in range(20)], SCHEMA)
+    bk.write_bucketed(rows, f"{root}/silver", ["id"], 4)
+    changed = spark.createDataFrame([(3, "b", datetime(2024, 1, 2)), (3, "c", datetime(2024, 1, 3)),
+                                     (25, "d", datetime(2024, 1, 2))], SCHEMA)
+    bronze.write_run(changed, f"{root}/bronze", ref, datetime(2024, 1, 4))
+    merge_stream(spark, f"{root}/bronze", rows.schema, ["id"], f"{root}/silver", f"{root}/ckpt",
+                 newest_by="ETLTimestamp", buckets=4).awaitTermination()
+    got = {r.id: r.v for r in bk.read_bucketed(spark, f"{root}/silver").collect()}
+    assert len(got) == 21 and got[3] == "c" and got[25] == "d" and got[4] == "a"
