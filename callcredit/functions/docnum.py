@@ -5,8 +5,9 @@ A document number is two digits, one capital letter and six digits
 ``00C074511-23`` means ``00C074511`` and ``00C074523``.
 
 The recogniser is a left fold over the tokens of a text, written with
-``aggregate`` so it stays inside the JVM (whole-stage codegen, no Python
-worker).  Digits are ASCII only.
+``aggregate`` so it stays inside the JVM (no Python worker; the higher-order
+functions are evaluated by the JVM row by row, the scan and filters around
+them are whole-stage codegen).  Digits are ASCII only.
 """
 
 from __future__ import annotations
