@@ -707,3 +707,13 @@ def q_revenue_from_calls(spark, sf_dir):
     sources.update(b.invoice_sources(orders, lineitem, part, supplier))
     paths = runs.build_derived_tables(spark, sources, scratch_path(spark, "derived"))
     return snapshot.read_snapshot(spark, paths["revenue"])
+
+
+@register("csv_dates_roundtrip", "SELECT * FROM orders")
+def q_csv_dates_roundtrip(spark, sf_dir):
+    """Orders (with timestamps) to CSV in 24 files, read back with
+    an explicit schema (no inference pass), timestamps parsed."""
+    (orders,) = _t(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders_csv")
+    files.write_files(orders, "csv", path, num_files=24)
+    return files.read_files(spark, "csv", path, schema=orders.schema)
