@@ -35,10 +35,17 @@ def stored_mark(control: DataFrame, table: str) -> datetime:
     return rows[0][0]
 
 
+def _wall_clock(value: datetime):
+    """A bound as wall-clock text: it takes the column's own type in the
+    comparison, so no client or session zone is applied to it."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f"))
+
+
 def window_scan(df: DataFrame, window: LoadWindow, column: str = "ETLTimestamp") -> DataFrame:
     """Rows whose load time lies in the inclusive window.  The
-    bounds are literals, so the predicate reaches the scan."""
-    return df.where(F.col(column).between(F.lit(window.start), F.lit(window.end)))
+    bounds fold to literals of the column's type, so the predicate reaches
+    the scan (``PushedFilters``)."""
+    return df.where(F.col(column).between(_wall_clock(window.start), _wall_clock(window.end)))
 
 
 def advance_mark(control: DataFrame, table: str, value: datetime) -> DataFrame:
@@ -46,7 +53,7 @@ def advance_mark(control: DataFrame, table: str, value: datetime) -> DataFrame:
     other tables unchanged; a table without a row gets none, as an UPDATE)."""
     return control.withColumn(
         "watermark_value",
-        F.when(F.col("table_name") == table, F.lit(value).cast("timestamp_ntz"))
+        F.when(F.col("table_name") == table, _wall_clock(value).cast("timestamp_ntz"))
         .otherwise(F.col("watermark_value")))
 
 

@@ -24,10 +24,10 @@ def call_type(activity: Column, after_hours: Column, service: Column, used: Colu
               dialed: Column) -> Column:
     """First matching test wins."""
     walk_in, afterhours, svc, used_restored, direct, queue = CALL_TYPES
-    return (F.when(activity == WALK_IN_ACTIVITY, walk_in)
-            .when(after_hours == 1, afterhours)
-            .when(service == 1, svc)
-            .when(used == 1, used_restored)
+    return (F.when(activity.cast("int") == WALK_IN_ACTIVITY, walk_in)
+            .when(after_hours.cast("int") == 1, afterhours)
+            .when(service.cast("int") == 1, svc)
+            .when(used.cast("int") == 1, used_restored)
             .when(dialed.isNull(), direct)
             .otherwise(queue))
 
@@ -55,7 +55,8 @@ def build_calls(meetings: DataFrame, x_user: DataFrame, ad_user_all: DataFrame,
     e = ad_user_all.select("LoginName", "DomainId", "FirstName", "LastName", "SAPID").alias("e")
     c = hr_corpdir.select("EmployeeNumber", "PersSubText").alias("c")
     p = branch_phone.select("PhoneNumber", "BranchNo", "BranchName").alias("p")
-    d = (details.where(F.col("IsAgwest") == 0)
+    # D-20: flags may arrive as booleans; compare them as integers
+    d = (details.where(F.col("IsAgwest").cast("int") == 0)
          .select("MeetingId", "IsAfterhours", "BranchNo", "IsService", "IsUsedRestored",
                  "Notes", "PhoneNumber").alias("d"))
     v = first_per_key(branch_phone, "BranchNo", "BranchName", ["BranchNo", "BranchName"]).alias("v")
