@@ -111,3 +111,30 @@ def test_legacy_first_base(spark):
     # anchored mask: row 2's field does not start with a number; notes take
     # any full number (no next-character check)
     assert got == [(1, "00C074511"), (1, "00C074523"), (1, "03C526341"), (1, "1234567")]
+
+
+def test_extractors_match_model_on_random_texts(spark):
+    """Whole pipeline (upper, strip, split, fold, explode) against the model
+    on random texts built from number-like fragments and separators."""
+    rng = random.Random(11)
+    frags = ["00C074511", "03c526338", "23", "4", "1234567", "03C5263414", "12A345678B", "x", "doc",
+             "99Z999999", "000001", "_", "-", "/", "&", " ", ", ", "\t", "<p>"]
+    rows = []
+    for i in range(400):
+        text = "".join(rng.choice(frags) for _ in range(rng.randint(0, 10)))
+        rows.append((i, text if rng.random() > 0.05 else None, text[::-1] if rng.random() > 0.05 else None))
+    df = spark.createDataFrame(rows, SCHEMA)
+
+    def model(text, short):
+        if text is None:
+            return []
+        up = text.upper()
+        if not re.search(r"[0-9]{2}[A-Z][0-9]{6}", up):
+            return []
+        return [x for x in _model(re.split(r"[^A-Za-z0-9_]+", up.strip(" \t\n\r\x0b\x0c")), short) if x]
+
+    field = _collect(docnum.extract_from_field(docnum.upper_text_columns(df)))
+    notes = _collect(docnum.extract_from_notes(docnum.upper_text_columns(df)))
+    for i, f, n in rows:
+        assert field.get(i, []) == model(f, True), f
+        assert notes.get(i, []) == model(n, False), n
