@@ -53,15 +53,18 @@ def extract_all(calls: DataFrame, distinct: bool = True, id_col: str = "MeetingI
     return both.distinct() if distinct else both
 
 
-def extract_legacy(calls: DataFrame, id_col: str = "MeetingId") -> DataFrame:
+def extract_legacy(calls: DataFrame, id_col: str = "MeetingId", with_position: bool = False) -> DataFrame:
     """The earlier parser.
 
     The document field must *start* with a full number (after strip and
     upper-case); every full number or word-initial digit run is taken, runs
     of up to six digits are completed from the row's *first* number.  Notes
     give every full number anywhere (no next-character check).  The two sets
-    are combined with duplicates of (call, number) removed.  ``match`` is the
-    position of the number inside its text (W5).
+    are combined with duplicates of (call, number) removed.
+
+    ``with_position=True`` returns every match before de-duplication with
+    its position inside its text (``match``, W5) and the column it came
+    from (``source``).
     """
     field = dn.clean_text(F.col(FIELD))
     notes = dn.clean_text(F.col(NOTES))
@@ -73,6 +76,9 @@ def extract_legacy(calls: DataFrame, id_col: str = "MeetingId") -> DataFrame:
                   .select(F.col(id_col).alias("MeetingId"),
                           F.posexplode(F.regexp_extract_all(notes, F.lit(f"({dn.FULL_PATTERN})"), 1))
                           .alias("match", DOC)))
+    if with_position:
+        return (from_field.withColumn("source", F.lit(FIELD))
+                .unionByName(from_notes.withColumn("source", F.lit(NOTES))))
     # J10 + F17: outer join on (call, match) then unpivot to one number column
     # is the same multiset as this union; U3 drops the repeats.
     return (from_field.unionByName(from_notes)

@@ -138,3 +138,11 @@ def test_extractors_match_model_on_random_texts(spark):
     for i, f, n in rows:
         assert field.get(i, []) == model(f, True), f
         assert notes.get(i, []) == model(n, False), n
+
+
+def test_legacy_positions(spark):
+    df = spark.createDataFrame([(1, "00C074511-23", "a 03C526341 b 03C526342")], SCHEMA)
+    got = sorted((r.source, r.match, r.RootDocumentNumber)
+                 for r in docnum.extract_legacy(df, with_position=True).collect())
+    assert got == [("Notes", 0, "03C526341"), ("Notes", 1, "03C526342"),
+                   ("PartsDocumentNumber", 0, "00C074511"), ("PartsDocumentNumber", 1, "00C074523")]
