@@ -490,7 +490,7 @@ TOP_OBJECTIVES = top_with_total_sql("queues", ["Objective"])
 TOP_BRANCHES = top_with_total_sql("afterhours", ["Branch", "Contact"])
 
 TOP_MEASURES_SUM = with_(EXPLORE_CALLS) + f"""
-SELECT sum(TotalCalls) AS TotalCalls, cast(sum(cast(TotalHours as decimal(38,6))) as double) AS TotalHours,
+SELECT cast(sum(TotalCalls) as bigint) AS TotalCalls, cast(sum(cast(TotalHours as decimal(38,6))) as double) AS TotalHours,
        cast(sum(cast(MinPerCall as decimal(38,10))) as double) AS MinPerCall
 FROM {top_sql('calls', _CUST)} t"""
 
