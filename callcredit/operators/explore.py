@@ -154,42 +154,88 @@ def pareto(calls: DataFrame, group: list[str], item: str, threshold: float = 85.
                     "PctTotalCumSum"))
 
 
-def average_rank_desc(df: DataFrame, col: str, out: str, partitions: int | None = None) -> DataFrame:
-    """Pandas ``rank(ascending=False)`` (ties get the average
-    rank) cut to an integer, on the whole table without a global window.
-
-    rank(v) = #rows with a larger value + (#rows equal to v + 1) / 2.
-
-    1. distinct values with their counts (partial aggregation, so a value
-       held by a third of the rows costs nothing extra);
-    2. the values are range-partitioned in descending order; each range
-       gets its row count, and the offsets of the ranges (one row per
-       range) are summed in order;
-    3. inside each range a running count gives the rows before each value;
-    4. ranks join back to the rows by value.
-    The ranked value table is checkpointed to the shared checkpoint folder
-    so a lost executor does not re-run the sampling of the range split.
+def ordered_counts(df: DataFrame, groups: list[str], col: str, descending: bool = False,
+                   partitions: int | None = None) -> DataFrame:
+    """Distinct values of ``col`` per group with their row count ``_n`` and
+    ``_before``, the number of rows of the group that come earlier in the
+    order - the building block of ranks and exact quantiles, computed
+    without a global window and without holding any group in one task:
+
+    1. (group, value) counts - partial aggregation, so a value held by a
+       third of the rows costs one row;
+    2. range-partitioned by (group, value); the rows of each partition are
+       summed per group, and these per-partition sums (at most one row per
+       partition and group) are accumulated in partition order;
+    3. inside each partition a running count gives the rows before each
+       value.
+    The range-partitioned counts are checkpointed to the shared checkpoint
+    folder, so a lost executor does not re-run the sampling of the range
+    split.
     """
     from ..session import checkpoint_root
     checkpoint_root(df.sparkSession)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = (counts.repartitionByRange(n, F.col(col).desc())
+    order = F.col(col).desc() if descending else F.col(col).asc()
+    counts = (df.where(F.col(col).isNotNull()).groupBy(*groups, col)
+              .agg(F.count(F.lit(1)).alias("_n")))
+    ranged = (counts.repartitionByRange(n, *[F.col(g).asc() for g in groups], order)
               .withColumn("_p", F.spark_partition_id())
               .checkpoint())
-    offsets = (ranged.groupBy("_p").agg(F.sum("_n").alias("_pn"))
-               .withColumn("_off", F.coalesce(F.sum("_pn").over(
-                   Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select("_p", "_off"))
-    within = Window.partitionBy("_p").orderBy(F.col(col).desc()).rowsBetween(
+    earlier = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_p", *groups).agg(F.sum("_n").alias("_pn"))
+               .withColumn("_off", F.coalesce(F.sum("_pn").over(earlier), F.lit(0)))
+               .select("_p", *groups, "_off"))
+    if not groups:
+        # one row per range partition: its size is bounded by the partition count
+        offsets = F.broadcast(offsets)
+    within = Window.partitionBy("_p", *groups).orderBy(order).rowsBetween(
         Window.unboundedPreceding, -1)
-    ranks = (ranged.join(F.broadcast(offsets), "_p")
-             .withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-             .select(col, (F.col("_off") + F.col("_before") + (F.col("_n") + 1) / 2)
-                     .cast("int").alias(out)))
+    return (ranged.join(offsets, ["_p", *groups])
+            .withColumn("_before", F.col("_off") + F.coalesce(F.sum("_n").over(within), F.lit(0)))
+            .select(*groups, col, "_n", "_before"))
+
+
+def average_rank_desc(df: DataFrame, col: str, out: str, partitions: int | None = None) -> DataFrame:
+    """Pandas ``rank(ascending=False)`` (ties get the average
+    rank) cut to an integer, over the whole table.
+
+    rank(v) = #rows with a larger value + (#rows equal to v + 1) / 2, from
+    ``ordered_counts``; the ranks join back to the rows by value.
+    """
+    ranks = (ordered_counts(df, [], col, descending=True, partitions=partitions)
+             .select(col, (F.col("_before") + (F.col("_n") + 1) / 2).cast("int").alias(out)))
     return df.join(ranks, col, "left")
 
 
+def exact_quantiles(df: DataFrame, group: str, col: str, probs: dict[str, float],
+                    partitions: int | None = None) -> DataFrame:
+    """Exact quantiles of ``col`` per ``group`` with linear interpolation
+    (position ``p * (n - 1)``, as SQL ``percentile_cont``), one column per
+    entry of ``probs``.
+
+    Built on ``ordered_counts``: each group's size comes from summing its
+    counts; the values at the two positions around each quantile are found
+    by their covering [before, before + n) ranges.  No aggregate keeps the
+    values of a group, so a group holding most of the rows is handled like
+    any other.
+    """
+    oc = ordered_counts(df, [group], col, partitions=partitions)
+    sizes = oc.groupBy(group).agg(F.sum("_n").alias("_size"))
+    wanted = [F.struct(F.lit(name).alias("q"), F.lit(float(p)).alias("p")) for name, p in probs.items()]
+    targets = (sizes.select(group, "_size", F.explode(F.array(*wanted)).alias("_t"))
+               .select(group, "_t.q", (F.col("_t.p") * (F.col("_size") - 1)).alias("_pos"))
+               .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
+    covers = lambda k: (F.col("_before") <= F.col(k)) & (F.col(k) < F.col("_before") + F.col("_n"))
+    picked = (oc.join(targets, group)
+              .where(covers("_lo") | covers("_hi"))
+              .groupBy(group, "q", "_pos", "_lo")
+              .agg(F.max(F.when(covers("_lo"), F.col(col))).alias("_vlo"),
+                   F.max(F.when(covers("_hi"), F.col(col))).alias("_vhi")))
+    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_lo"))
+    return (picked.groupBy(group)
+            .agg(*[F.max(F.when(F.col("q") == name, value)).alias(name) for name in probs]))
+
+
 def share_of_total(grouped: DataFrame, measure: str, out: str) -> DataFrame:
     """Share in percent of a grouped measure (scalar subquery for the
     total)."""
@@ -234,16 +280,17 @@ def segment_distribution(per_customer: DataFrame, segment: str, measure: str = "
     """Box-plot numbers of ``measure`` per segment value: quartiles and
     the whiskers (furthest values within 1.5 IQR of the box).
 
-    ``approx=True`` uses a bounded-memory sketch per group instead of the
-    exact percentile (which keeps the distinct values of a group).
+    Quartiles are exact (``exact_quantiles``); ``approx=True`` uses a
+    bounded-memory sketch per group instead.
     """
     rows = per_customer.where(F.col(segment).isNotNull() & F.col(measure).isNotNull())
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = (F.percentile_approx(measure, probs, 10000) if approx
-         else F.percentile(F.col(measure), probs))
-    stats = (rows.groupBy(segment).agg(q.alias("_q"))
-             .select(segment, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                     F.col("_q")[2].alias("q3")))
+    if approx:
+        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+        stats = (rows.groupBy(segment).agg(F.percentile_approx(measure, probs, 10000).alias("_q"))
+                 .select(segment, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                         F.col("_q")[2].alias("q3")))
+    else:
+        stats = exact_quantiles(rows, segment, measure, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     lo = F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))
     v = F.col(measure)

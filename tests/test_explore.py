@@ -42,3 +42,19 @@ def test_pivot_totals(spark):
 def test_clean_names(spark):
     df = spark.createDataFrame([(1, "s")], "`Customer No` int, `Size_ClusterDesc` string")
     assert ex.clean_names(df, "_ClusterDesc").columns == ["CustomerNo", "Size"]
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import random
+
+    import numpy as np
+    rng = random.Random(5)
+    rows = [(g, float(rng.randint(0, 40))) for g in ("a", "b", "c") for _ in range(rng.randint(1, 300))]
+    rows += [("hot", 7.0)] * 500 + [("hot", float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r for r in ex.exact_quantiles(df, "g", "v", {"q1": 0.25, "median": 0.5, "q3": 0.75},
+                                              partitions=5).collect()}
+    for g in {r[0] for r in rows}:
+        vals = np.array([v for gg, v in rows if gg == g])
+        for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+            assert abs(getattr(got[g], name) - np.quantile(vals, p)) < 1e-9, (g, name)
