@@ -259,8 +259,8 @@ def segment_share_each(per_customer: DataFrame, segments: list[str],
     """For each segment column on its own, measure share per value.
 
     One pass: the segment columns are unpivoted to (segment, value) and
-    grouped once; each segment's total comes from a window partitioned by
-    segment over the grouped rows.
+    grouped once; the totals (one row per segment column, so their size is
+    known) are broadcast back onto the grouped rows.
     """
     long = (per_customer.select(F.col(measure).cast(EXACT).alias("_m"),
                                 F.explode(F.array(*[F.struct(F.lit(s).alias("segment"),
@@ -269,10 +269,9 @@ def segment_share_each(per_customer: DataFrame, segments: list[str],
             .select("_s.segment", "_s.value", "_m")
             .where(F.col("value").isNotNull()))
     grouped = long.groupBy("segment", "value").agg(F.sum("_m").alias("_m"))
-    return grouped.select(
-        "segment", "value",
-        (_ratio(F.col("_m"), F.sum("_m").over(Window.partitionBy("segment"))) * F.lit(100.0))
-        .alias("PctTotalHours"))
+    totals = grouped.groupBy("segment").agg(F.sum("_m").alias("_total"))
+    return grouped.join(F.broadcast(totals), "segment").select(
+        "segment", "value", (_ratio(F.col("_m"), F.col("_total")) * F.lit(100.0)).alias("PctTotalHours"))
 
 
 def segment_distribution(per_customer: DataFrame, segment: str, measure: str = "MinPerCall",
