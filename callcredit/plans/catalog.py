@@ -717,3 +717,88 @@ def q_csv_dates_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "orders_csv")
     files.write_files(orders, "csv", path, num_files=24)
     return files.read_files(spark, "csv", path, schema=orders.schema)
+
+
+# --- single lookups and case expressions on the test tables ----------------------------
+
+_SEGMENT_LABELS = {"MACHINERY": "Machines", "BUILDING": "Buildings", "AUTOMOBILE": "Autos"}
+_NAME_PREFIXES = {"smal": "S", "red ": "R", "blue": "B"}
+_REGION_KEYS = {"ASIA": "k-as", "EUROPE": "k-eu"}
+_NATION_FIXES = {"NATION_1": "NATION ONE", "NATION_2": "NATION TWO"}
+_DIRECT_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+
+
+def _case_sql(col: str, mapping: dict[str, str], default: str) -> str:
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {whens} ELSE {default} END"
+
+
+@register("lookup_exact", f"""SELECT c_custkey, c_mktsegment,
+  {_case_sql('c_mktsegment', _SEGMENT_LABELS, 'NULL')} AS label FROM customer""")
+def q_lookup_exact(spark, sf_dir):
+    """exact-key lookup; a missing key gives NULL."""
+    from ..functions import lookup as lkf
+    (customer,) = _t(spark, sf_dir, "customer")
+    return lkf.lookup(customer.select("c_custkey", "c_mktsegment"), F.col("c_mktsegment"),
+                      _SEGMENT_LABELS, "label")
+
+
+@register("lookup_prefix", f"""SELECT p_partkey, p_name,
+  {_case_sql('substr(p_name, 1, 4)', _NAME_PREFIXES, 'NULL')} AS tag FROM part""")
+def q_lookup_prefix(spark, sf_dir):
+    """F2 + F15: lookup on the first four characters."""
+    from ..functions import lookup as lkf
+    (part,) = _t(spark, sf_dir, "part")
+    return lkf.lookup(part.select("p_partkey", "p_name"), lkf.prefix(F.col("p_name"), 4),
+                      _NAME_PREFIXES, "tag")
+
+
+@register("lookup_default", f"""SELECT r_regionkey, r_name,
+  {_case_sql('r_name', _REGION_KEYS, "'not found'")} AS join_key FROM region""")
+def q_lookup_default(spark, sf_dir):
+    """F15 + P15: lookup with a default for missing keys."""
+    from ..functions import lookup as lkf
+    (region,) = _t(spark, sf_dir, "region")
+    return lkf.lookup(region, F.col("r_name"), _REGION_KEYS, "join_key", default="not found")
+
+
+@register("case_remap", f"""SELECT n_nationkey, {_case_sql('n_name', _NATION_FIXES, 'n_name')} AS n_name
+FROM nation""")
+def q_case_remap(spark, sf_dir):
+    """Listed values replaced, all others kept."""
+    from ..functions import lookup as lkf
+    (nation,) = _t(spark, sf_dir, "nation")
+    return nation.select("n_nationkey", lkf.remap(F.col("n_name"), _NATION_FIXES).alias("n_name"))
+
+
+@register("case_contribution", """SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+  THEN 'Direct' ELSE 'Indirect' END AS contribution FROM orders""")
+def q_case_contribution(spark, sf_dir):
+    """Two-way classification (NULL counts as the second class)."""
+    from ..functions import lookup as lkf
+    (orders,) = _t(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", lkf.two_way(F.col("o_orderpriority"), _DIRECT_PRIORITIES,
+                                                   "Direct", "Indirect").alias("contribution"))
+
+
+@register("filter_fill", """SELECT * FROM (
+  SELECT cast(c.c_custkey as varchar) AS CustomerNo, CASE WHEN c.c_acctbal < 0 THEN 1 ELSE 0 END AS Internal,
+         coalesce(s.total, 0) AS expenditure_5yavg_total,
+         coalesce(s.total / 5, 0) AS expenditure_5yavg_partsnservices
+  FROM customer c LEFT JOIN (
+    SELECT o_custkey, cast(sum(cast(o_totalprice as decimal(18,2))) as double) AS total
+    FROM orders GROUP BY o_custkey) s ON c.c_custkey = s.o_custkey) t
+WHERE Internal = 0""")
+def q_filter_fill(spark, sf_dir):
+    """P2 + P15 (G1 on joined data): spend per customer from its orders,
+    external customers only, missing spend 0."""
+    from .serving import customer_account
+    customer, orders = _t(spark, sf_dir, "customer", "orders")
+    spend = orders.groupBy("o_custkey").agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
+    joined = customer.join(spend, customer.c_custkey == spend.o_custkey, "left").select(
+        F.col("c_custkey").cast("string").alias("CustomerNo"),
+        F.when(F.col("c_acctbal") < 0, F.lit(1)).otherwise(F.lit(0)).alias("Internal"),
+        F.col("total").alias("expenditure_5yavg_total"),
+        (F.col("total") / 5).alias("expenditure_5yavg_partsnservices"))
+    return customer_account(joined)
