@@ -168,19 +168,17 @@ def ordered_counts(df: DataFrame, groups: list[str], col: str, descending: bool
        partition and group) are accumulated in partition order;
     3. inside each partition a running count gives the rows before each
        value.
-    The range-partitioned counts are checkpointed to the shared checkpoint
-    folder, so a lost executor does not re-run the sampling of the range
-    split.
+    The range-partitioned counts are written to the shared checkpoint
+    folder and read back, so a lost executor does not re-run the sampling of
+    the range split.
     """
-    from ..session import checkpoint_root
-    checkpoint_root(df.sparkSession)
+    from ..session import materialize
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.col(col).desc() if descending else F.col(col).asc()
     counts = (df.where(F.col(col).isNotNull()).groupBy(*groups, col)
               .agg(F.count(F.lit(1)).alias("_n")))
-    ranged = (counts.repartitionByRange(n, *[F.col(g).asc() for g in groups], order)
-              .withColumn("_p", F.spark_partition_id())
-              .checkpoint())
+    ranged = materialize(counts.repartitionByRange(n, *[F.col(g).asc() for g in groups], order)
+                         .withColumn("_p", F.spark_partition_id()), "ordered_counts")
     earlier = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("_p", *groups).agg(F.sum("_n").alias("_pn"))
                .withColumn("_off", F.coalesce(F.sum("_pn").over(earlier), F.lit(0)))

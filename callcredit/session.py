@@ -94,3 +94,13 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> d
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
     }
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: one job, lineage cut at the written table (a lost executor
+    re-reads files instead of re-running the plan), and later scans keep
+    column pruning."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
