@@ -26,9 +26,10 @@ Plan
 
   1. per document, from the lines: sum, count, min/min/max    (partial agg)
   2. per document, from the numbers: mention count ``c``       (partial agg)
-  3. strict only: lines JOIN (1 x 2) ON document, keep the lines equal to
-     the joined-row aggregate, count them per document ``m``  (1 row per key
-     on the right: AQE splits a hot document on the left)
+  3. strict only: count per document ``m`` the lines equal to the
+     joined-row aggregate - decided from the aggregates for almost every
+     document; the few undecided ones are matched line by line (see
+     ``_strict_flags``)
   4. numbers LEFT JOIN per-document result, GROUP BY call       (partial agg)
 
   Sums are taken in ``decimal(38,2)`` so the result does not depend on the
@@ -87,6 +88,9 @@ def attribute_revenue(numbers: DataFrame, lines: DataFrame, mode: str = "strict"
     doc_lines = (typed.groupBy(DOC)
                  .agg(F.sum(SALES).alias("doc_sales"),
                       F.count(F.lit(1)).alias("n_lines"),
+                      F.count(SALES).alias("n_sales"),
+                      F.min(SALES).alias("min_sales"),
+                      F.max(SALES).alias("max_sales"),
                       F.min("OpenDate").alias("min_open"),
                       F.min("ContractStart").alias("min_start"),
                       F.max("ContractEnd").alias("max_end")))
@@ -96,22 +100,7 @@ def attribute_revenue(numbers: DataFrame, lines: DataFrame, mode: str = "strict"
         # every joined (call, line) row carries its document's flag
         per_doc = doc_lines.select(DOC, "doc_sales", (F.col("n_lines") * flag).alias("doc_flags"))
     else:
-        doc_calls = mentions.where(F.col(DOC).isNotNull()).groupBy(DOC).agg(
-            F.count(F.lit(1)).alias("n_calls"))
-        # the aggregate the published plan computes over joined rows
-        target = (doc_lines.join(doc_calls, DOC)
-                  .select(DOC,
-                          (F.col("doc_sales") * F.col("n_calls")).alias("t_sales"),
-                          "min_open", "min_start", "max_end"))
-        matched = (typed.join(target, DOC)
-                   .where((F.col(SALES) == F.col("t_sales"))
-                          & (F.col("OpenDate") == F.col("min_open"))
-                          & (F.col("ContractStart") == F.col("min_start"))
-                          & (F.col("ContractEnd") == F.col("max_end")))
-                   .groupBy(DOC).agg(F.count(F.lit(1)).alias("n_matched")))
-        per_doc = (doc_lines.join(matched, DOC, "left")
-                   .select(DOC, "doc_sales",
-                           (F.coalesce(F.col("n_matched"), F.lit(0)) * flag).alias("doc_flags")))
+        per_doc = _strict_flags(typed, mentions, doc_lines, flag)
 
     return (mentions.join(per_doc, DOC, "left")
             .groupBy("MeetingId")
@@ -119,3 +108,45 @@ def attribute_revenue(numbers: DataFrame, lines: DataFrame, mode: str = "strict"
                  F.sum("doc_sales").cast("double").alias(SALES),
                  F.coalesce(F.sum("doc_flags"), F.lit(0)).cast("bigint").alias("OnContract"))
             .withColumn("SalesType", sales_type(F.col(DOC))))
+
+
+def _strict_flags(typed: DataFrame, mentions: DataFrame, doc_lines: DataFrame, flag: Column) -> DataFrame:
+    """Per mentioned document: its sales and ``n_matched * flag``, where
+    ``n_matched`` counts its lines equal, on all five join columns, to the
+    aggregate over joined rows (sales ``n_calls * doc_sales``, first open
+    date, first contract start, last contract end).
+
+    Most documents are decided by their aggregates alone:
+      * one line: it matches iff its sales are present and equal
+        ``n_calls`` times themselves (one mention, or zero sales) and its
+        three dates are present;
+      * two or more present sales all of one sign: ``n_calls * doc_sales``
+        is larger (smaller) than every single line, so nothing matches;
+      * no present sales: nothing matches.
+    Only the rest (several lines with zero or mixed-sign sales) is matched
+    line by line.  That set is usually tiny, so AQE, after measuring it,
+    broadcasts it and the invoice lines are probed without a shuffle; when it
+    is large the join stays a sort-merge join on all five columns.
+    """
+    doc_calls = mentions.where(F.col(DOC).isNotNull()).groupBy(DOC).agg(
+        F.count(F.lit(1)).alias("n_calls"))
+    stats = doc_lines.join(doc_calls, DOC)
+    n_calls, sales = F.col("n_calls"), F.col("doc_sales")
+    dates_present = (F.col("min_open").isNotNull() & F.col("min_start").isNotNull()
+                     & F.col("max_end").isNotNull())
+    single = F.col("n_lines") == 1
+    one_sign = (F.col("n_sales") >= 2) & ((F.col("min_sales") > 0) | (F.col("max_sales") < 0))
+    decided = single | one_sign | (F.col("n_sales") == 0)
+    single_match = F.when(single & sales.isNotNull() & ((n_calls == 1) | (sales == 0)) & dates_present,
+                          F.lit(1)).otherwise(F.lit(0))
+    candidates = (stats.where(~decided)
+                  .select(DOC, (sales * n_calls).alias("t_sales"), "min_open", "min_start", "max_end"))
+    matched = (typed.join(candidates, DOC)
+               .where((F.col(SALES) == F.col("t_sales"))
+                      & (F.col("OpenDate") == F.col("min_open"))
+                      & (F.col("ContractStart") == F.col("min_start"))
+                      & (F.col("ContractEnd") == F.col("max_end")))
+               .groupBy(DOC).agg(F.count(F.lit(1)).alias("n_matched")))
+    return (stats.join(matched, DOC, "left")
+            .select(DOC, "doc_sales",
+                    ((single_match + F.coalesce(F.col("n_matched"), F.lit(0))) * flag).alias("doc_flags")))
