@@ -129,6 +129,15 @@ def call_texts(orders: DataFrame) -> DataFrame:
 
 # --- call table inputs ----------------------------------------------------------
 
+def branch_phones(supplier: DataFrame) -> DataFrame:
+    """Branch phone numbers: one per supplier; branches are nations, so a
+    branch number has several names."""
+    return supplier.select(
+        F.concat(F.lit("PH"), F.col("s_suppkey").cast("string")).alias("PhoneNumber"),
+        F.concat(F.lit("B"), F.col("s_nationkey").cast("string")).alias("BranchNo"),
+        F.col("s_name").alias("BranchName"))
+
+
 def call_sources(orders: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame,
                  supplier: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
     k = F.col("o_orderkey")
@@ -166,10 +175,7 @@ def call_sources(orders: DataFrame, customer: DataFrame, nation: DataFrame, regi
     hr_corpdir = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.concat(F.lit("E"), F.col("n_nationkey").cast("string")).alias("EmployeeNumber"),
         F.concat(F.lit("Branch "), F.col("r_name")).alias("PersSubText"))
-    branch_phone = supplier.select(
-        F.concat(F.lit("PH"), F.col("s_suppkey").cast("string")).alias("PhoneNumber"),
-        F.concat(F.lit("B"), F.col("s_nationkey").cast("string")).alias("BranchNo"),
-        F.col("s_name").alias("BranchName"))
+    branch_phone = branch_phones(supplier)
     et = F.col("event_type")
     details = events.select(
         F.col("event_id").alias("MeetingId"),

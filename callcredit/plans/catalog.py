@@ -134,9 +134,7 @@ def q_call_table(spark, sf_dir):
 @register("first_per_key", o.FIRST_PER_KEY)
 def q_first_per_key(spark, sf_dir):
     (supplier,) = _t(spark, sf_dir, "supplier")
-    phones = b.call_sources(*_t(spark, sf_dir, "orders", "customer", "nation", "region"),
-                            supplier, *_t(spark, sf_dir, "events"))["branch_phone"]
-    return first_per_key(phones, "BranchNo", "BranchName", ["BranchNo", "BranchName"])
+    return first_per_key(b.branch_phones(supplier), "BranchNo", "BranchName", ["BranchNo", "BranchName"])
 
 
 # --- step 4: serving ----------------------------------------------------------------
