@@ -8,15 +8,31 @@ tables, snapshots) write under the session's ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import LoadWindow, MemberFilter, TableRef, TimeSpec
+from ..functions import lookup as lkf
+from ..functions import timezone as tz
 from ..operators import docnum, revenue
+from ..operators import explore as ex
+from ..operators import incremental as inc
+from ..operators import mutate
+from ..operators.membership import filter_members
+from ..session import scratch_path
+from ..sources import buckets as bk
+from ..sources import bronze
+from ..sources import catalog as cat
+from ..sources import files, snapshot
+from ..streaming.incremental import merge_stream
 from . import bindings as b
 from . import oracle as o
+from . import runs
 from .calls import build_calls, first_per_key
 from .invoices import build_invoice_lines
+from .serving import ServingContext, customer_account, serve, transform, unique_agent_names
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,7 +70,6 @@ def revenue_inputs(spark: SparkSession, sf_dir: str):
     invoice lines are built once and stored (here under the shared
     checkpoint folder); attribution reads the stored table, which it scans
     several times, instead of re-running the invoice joins each time."""
-    from ..session import scratch_path
     (orders,) = _t(spark, sf_dir, "orders")
     path = scratch_path(spark, "invoice_lines")
     invoice_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
@@ -140,7 +155,6 @@ def q_first_per_key(spark, sf_dir):
 # --- step 4: serving ----------------------------------------------------------------
 
 def serving_context(spark: SparkSession, sf_dir: str):
-    from .serving import ServingContext
     events, nation, region, customer = _t(spark, sf_dir, "events", "nation", "region", "customer")
     tables = b.telephony_tables(events, nation, region, customer)
     tables["partscallcentre_popup_data"] = call_table(spark, sf_dir)
@@ -149,7 +163,6 @@ def serving_context(spark: SparkSession, sf_dir: str):
 
 def _serve(table: str):
     def run(spark, sf_dir):
-        from .serving import transform
         ctx = serving_context(spark, sf_dir)
         return transform(ctx.table(table), table, ctx)
     return run
@@ -169,7 +182,6 @@ for _name, _table in [("serve_customer_account", "customeraccount"),
 
 @register("serve_agent_names", _SERVING_SQL["serve_agent_names"])
 def q_serve_agent_names(spark, sf_dir):
-    from .serving import transform, unique_agent_names
     ctx = serving_context(spark, sf_dir)
     agents = transform(ctx.table("agentperformancebyperiodstats"), "agentperformancebyperiodstats", ctx)
     return unique_agent_names(agents, ctx.table("partscallcentre_popup_data"))
@@ -177,18 +189,6 @@ def q_serve_agent_names(spark, sf_dir):
 
 # --- step 5: sources, sinks, times, windows -------------------------------------------
 
-from datetime import datetime as _dt  # noqa: E402
-
-from ..config import LoadWindow, MemberFilter, TableRef, TimeSpec  # noqa: E402
-from ..functions import timezone as tz  # noqa: E402
-from ..operators import incremental as inc  # noqa: E402
-from ..operators import mutate  # noqa: E402
-from ..operators.membership import filter_members  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import catalog as cat  # noqa: E402
-from ..sources import files, snapshot  # noqa: E402
-from . import runs  # noqa: E402
-
 
 @register("scan_project", "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
 def q_scan_project(spark, sf_dir):
@@ -251,9 +251,8 @@ def q_offset_parse(spark, sf_dir):
 
 @register("date_of_ts", "SELECT event_id, cast(ts as date) AS date FROM events")
 def q_date_of_ts(spark, sf_dir):
-    from ..functions.lookup import date_of
     (events,) = _t(spark, sf_dir, "events")
-    return events.select("event_id", date_of(F.col("ts")).alias("date"))
+    return events.select("event_id", lkf.date_of(F.col("ts")).alias("date"))
 
 
 @register("control_mark", """SELECT r_name AS table_name,
@@ -418,7 +417,6 @@ def q_delete_run(spark, sf_dir):
 
 # --- step 7: exploration ------------------------------------------------------------
 
-from ..operators import explore as ex  # noqa: E402
 
 _CUST = ["CustomerNo", "CustomerName"]
 _SEGMENTS = ["Loyalty", "Size", "SupportReliance", "Profitability"]
@@ -605,8 +603,6 @@ def q_calls_with_revenue(spark, sf_dir):
 def q_incremental_stream(spark, sf_dir):
     """N6 / M2 as a file stream: two overlapping load windows land as bronze
     run folders; an AvailableNow stream upserts them into the snapshot."""
-    from ..sources import bronze
-    from ..streaming.incremental import merge_stream
     (events,) = _t(spark, sf_dir, "events")
     root = scratch_path(spark, "stream")
     first_mark = _dt(2024, 1, 10)
@@ -646,7 +642,6 @@ def _serving_dispatch_sql() -> str:
 def q_serving_dispatch(spark, sf_dir):
     """Read -> transform -> write for every served table, then the row
     count of each written table (read back from the files)."""
-    from .serving import serve
     ctx = serving_context(spark, sf_dir)
     root = scratch_path(spark, "gold")
     written = []
@@ -668,7 +663,6 @@ def q_serving_dispatch(spark, sf_dir):
 def q_upsert_bucketed(spark, sf_dir):
     """M1 at scale: the orders table kept in 32 key buckets; the changes
     rewrite only the buckets they touch."""
-    from ..sources import buckets as bk
     (orders,) = _t(spark, sf_dir, "orders")
     root = scratch_path(spark, "orders_bucketed")
     bk.write_bucketed(orders, root, ["o_orderkey"], 32)
@@ -735,7 +729,6 @@ def _case_sql(col: str, mapping: dict[str, str], default: str) -> str:
   {_case_sql('c_mktsegment', _SEGMENT_LABELS, 'NULL')} AS label FROM customer""")
 def q_lookup_exact(spark, sf_dir):
     """exact-key lookup; a missing key gives NULL."""
-    from ..functions import lookup as lkf
     (customer,) = _t(spark, sf_dir, "customer")
     return lkf.lookup(customer.select("c_custkey", "c_mktsegment"), F.col("c_mktsegment"),
                       _SEGMENT_LABELS, "label")
@@ -745,7 +738,6 @@ def q_lookup_exact(spark, sf_dir):
   {_case_sql('substr(p_name, 1, 4)', _NAME_PREFIXES, 'NULL')} AS tag FROM part""")
 def q_lookup_prefix(spark, sf_dir):
     """F2 + F15: lookup on the first four characters."""
-    from ..functions import lookup as lkf
     (part,) = _t(spark, sf_dir, "part")
     return lkf.lookup(part.select("p_partkey", "p_name"), lkf.prefix(F.col("p_name"), 4),
                       _NAME_PREFIXES, "tag")
@@ -755,7 +747,6 @@ def q_lookup_prefix(spark, sf_dir):
   {_case_sql('r_name', _REGION_KEYS, "'not found'")} AS join_key FROM region""")
 def q_lookup_default(spark, sf_dir):
     """F15 + P15: lookup with a default for missing keys."""
-    from ..functions import lookup as lkf
     (region,) = _t(spark, sf_dir, "region")
     return lkf.lookup(region, F.col("r_name"), _REGION_KEYS, "join_key", default="not found")
 
@@ -764,7 +755,6 @@ def q_lookup_default(spark, sf_dir):
 FROM nation""")
 def q_case_remap(spark, sf_dir):
     """Listed values replaced, all others kept."""
-    from ..functions import lookup as lkf
     (nation,) = _t(spark, sf_dir, "nation")
     return nation.select("n_nationkey", lkf.remap(F.col("n_name"), _NATION_FIXES).alias("n_name"))
 
@@ -773,7 +763,6 @@ def q_case_remap(spark, sf_dir):
   THEN 'Direct' ELSE 'Indirect' END AS contribution FROM orders""")
 def q_case_contribution(spark, sf_dir):
     """Two-way classification (NULL counts as the second class)."""
-    from ..functions import lookup as lkf
     (orders,) = _t(spark, sf_dir, "orders")
     return orders.select("o_orderkey", lkf.two_way(F.col("o_orderpriority"), _DIRECT_PRIORITIES,
                                                    "Direct", "Indirect").alias("contribution"))
@@ -790,7 +779,6 @@ WHERE Internal = 0""")
 def q_filter_fill(spark, sf_dir):
     """P2 + P15 (G1 on joined data): spend per customer from its orders,
     external customers only, missing spend 0."""
-    from .serving import customer_account
     customer, orders = _t(spark, sf_dir, "customer", "orders")
     spend = orders.groupBy("o_custkey").agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
