@@ -220,15 +220,21 @@ SERVING_BRANCH_FIXES = {"NATION_1": "NATION ONE", "NATION_2": "NATION TWO"}
 
 def telephony_tables(events: DataFrame, nation: DataFrame, region: DataFrame,
                      customer: DataFrame) -> dict[str, DataFrame]:
-    groups = region.select(F.col("r_regionkey").cast("string").alias("pkey"),
-                           reporting_code(F.col("r_regionkey")).alias("reporting"),
-                           F.col("r_name").alias("name"))
-    out = {"tblconfig_queuegroup": groups}
+    """Telephony configuration and facts.  Groups are one per customer
+    account, with a reporting code by the account's region; a group's
+    members are the ids of its account's nation; agent, queue and
+    extension facts are events keyed by ``user_id mod 25``."""
+    accounts = customer.join(nation, customer.c_nationkey == nation.n_nationkey) \
+        .join(region, nation.n_regionkey == region.r_regionkey)
+    groups = accounts.select(F.col("c_custkey").cast("string").alias("pkey"),
+                             reporting_code(F.col("r_regionkey")).alias("reporting"),
+                             F.col("r_name").alias("name"))
+    out = {}
     for kind in ("agent", "queue", "extension"):
         out[f"tblconfig_{kind}group"] = groups
-        out[f"tblconfig_{kind}groupmembers"] = nation.select(
-            F.col("n_regionkey").cast("string").alias(f"fk{kind}group"),
-            F.col("n_nationkey").cast("string").alias(f"fk{kind}"))
+        out[f"tblconfig_{kind}groupmembers"] = customer.select(
+            F.col("c_custkey").cast("string").alias(f"fk{kind}group"),
+            F.col("c_nationkey").cast("string").alias(f"fk{kind}"))
     uid = F.col("user_id")
     member = (uid % 25).cast("string")
     first = F.concat(F.element_at(F.array(*[F.lit(p) for p in AGENT_PREFIXES]),
@@ -255,7 +261,8 @@ def telephony_tables(events: DataFrame, nation: DataFrame, region: DataFrame,
         .alias("expenditure_5yavg_total"),
         F.when(c % 3 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal") / 2)
         .alias("expenditure_5yavg_partsnservices"))
-    out["global_branch_address"] = nation.select(F.col("n_name").alias("branchname"))
+    out["global_branch_address"] = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        F.col("c_custkey").alias("addressid"), F.col("n_name").alias("branchname"))
     return out
 
 

@@ -196,12 +196,12 @@ def q_scan_project(spark, sf_dir):
         "l_orderkey", "l_partkey", "l_quantity")
 
 
-@register("csv_roundtrip", "SELECT * FROM nation")
+@register("csv_roundtrip", "SELECT * FROM customer")
 def q_csv_roundtrip(spark, sf_dir):
-    (nation,) = _t(spark, sf_dir, "nation")
+    (customer,) = _t(spark, sf_dir, "customer")
     path = scratch_path(spark, "csv")
-    files.write_files(nation, "csv", path)
-    return files.read_files(spark, "csv", path, schema=nation.schema)
+    files.write_files(customer, "csv", path)
+    return files.read_files(spark, "csv", path, schema=customer.schema)
 
 
 @register("partitioned_roundtrip", "SELECT * FROM orders")
@@ -212,13 +212,13 @@ def q_partitioned_roundtrip(spark, sf_dir):
     return files.read_files(spark, "parquet", path).select(*orders.columns)
 
 
-@register("catalog_roundtrip", "SELECT * FROM region")
+@register("catalog_roundtrip", "SELECT * FROM supplier")
 def q_catalog_roundtrip(spark, sf_dir):
-    (region,) = _t(spark, sf_dir, "region")
+    (supplier,) = _t(spark, sf_dir, "supplier")
     root = scratch_path(spark, "catalog")
     cat.create_database(spark, "callcredit_scratch", f"{root}/db")
-    cat.write_table(region, "callcredit_scratch", "region_copy", path=f"{root}/region_copy")
-    return cat.read_table(spark, "callcredit_scratch", "region_copy", columns=region.columns)
+    cat.write_table(supplier, "callcredit_scratch", "supplier_copy", path=f"{root}/supplier_copy")
+    return cat.read_table(spark, "callcredit_scratch", "supplier_copy", columns=supplier.columns)
 
 
 _WINDOW = LoadWindow.resolve(stored_mark=_dt(2024, 1, 10), given_start=None,
@@ -255,21 +255,23 @@ def q_date_of_ts(spark, sf_dir):
     return events.select("event_id", lkf.date_of(F.col("ts")).alias("date"))
 
 
-@register("control_mark", """SELECT r_name AS table_name,
-  CASE WHEN r_name = 'ASIA' THEN TIMESTAMP '2024-02-01 00:00:00'
-       ELSE TIMESTAMP '2024-01-01 00:00:00' + to_days(r_regionkey) END AS watermark_value
-FROM region""")
+@register("control_mark", """SELECT c_name AS table_name,
+  CASE WHEN c_name = 'Customer#000000007' THEN TIMESTAMP '2024-02-01 00:00:00'
+       ELSE TIMESTAMP '2024-01-01 00:00:00' + to_days(cast(c_custkey % 30 as int)) END AS watermark_value
+FROM customer""")
 def q_control_mark(spark, sf_dir):
-    (region,) = _t(spark, sf_dir, "region")
-    control = region.select(
-        F.col("r_name").alias("table_name"),
-        F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(r_regionkey, 0, 0, 0)")
-        .alias("watermark_value"))
+    """A control table with one mark per loaded table (here one
+    per customer name), read back, one mark advanced."""
+    (customer,) = _t(spark, sf_dir, "customer")
+    control = customer.select(
+        F.col("c_name").alias("table_name"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval((F.col("c_custkey") % 30).cast("int"))).alias("watermark_value"))
     root = scratch_path(spark, "control")
     snapshot.write_snapshot(control, root)
     current = snapshot.read_snapshot(spark, root)
-    assert inc.stored_mark(current, "ASIA") is not None
-    snapshot.write_snapshot(inc.advance_mark(current, "ASIA", _dt(2024, 2, 1)), root)
+    inc.stored_mark(current, "Customer#000000007")   # N1: raises when the table has no mark
+    snapshot.write_snapshot(inc.advance_mark(current, "Customer#000000007", _dt(2024, 2, 1)), root)
     return snapshot.read_snapshot(spark, root)
 
 
@@ -634,7 +636,8 @@ def _serving_dispatch_sql() -> str:
     parts = [f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM ({_SERVING_SQL[q].strip()}) x"
              for t, q in _SERVED_SQL.items()]
     # a table without a transform passes unchanged
-    parts.append("SELECT 'tblconfig_agentgroup', count(*) FROM region")
+    parts.append("SELECT 'tblconfig_agentgroup', count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey "
+                 "JOIN region ON n_regionkey = r_regionkey")
     return "\nUNION ALL\n".join(f"({p})" for p in parts)
 
 
@@ -715,8 +718,8 @@ def q_csv_dates_roundtrip(spark, sf_dir):
 
 _SEGMENT_LABELS = {"MACHINERY": "Machines", "BUILDING": "Buildings", "AUTOMOBILE": "Autos"}
 _NAME_PREFIXES = {"smal": "S", "red ": "R", "blue": "B"}
-_REGION_KEYS = {"ASIA": "k-as", "EUROPE": "k-eu"}
-_NATION_FIXES = {"NATION_1": "NATION ONE", "NATION_2": "NATION TWO"}
+_PRIORITY_KEYS = {"1-URGENT": "k-1", "2-HIGH": "k-2"}
+_STATUS_FIXES = {"F": "Finished", "O": "Open"}
 _DIRECT_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 
 
@@ -743,20 +746,21 @@ def q_lookup_prefix(spark, sf_dir):
                       _NAME_PREFIXES, "tag")
 
 
-@register("lookup_default", f"""SELECT r_regionkey, r_name,
-  {_case_sql('r_name', _REGION_KEYS, "'not found'")} AS join_key FROM region""")
+@register("lookup_default", f"""SELECT o_orderkey, o_orderpriority,
+  {_case_sql('o_orderpriority', _PRIORITY_KEYS, "'not found'")} AS join_key FROM orders""")
 def q_lookup_default(spark, sf_dir):
     """F15 + P15: lookup with a default for missing keys."""
-    (region,) = _t(spark, sf_dir, "region")
-    return lkf.lookup(region, F.col("r_name"), _REGION_KEYS, "join_key", default="not found")
+    (orders,) = _t(spark, sf_dir, "orders")
+    return lkf.lookup(orders.select("o_orderkey", "o_orderpriority"), F.col("o_orderpriority"),
+                      _PRIORITY_KEYS, "join_key", default="not found")
 
 
-@register("case_remap", f"""SELECT n_nationkey, {_case_sql('n_name', _NATION_FIXES, 'n_name')} AS n_name
-FROM nation""")
+@register("case_remap", f"""SELECT o_orderkey,
+  {_case_sql('o_orderstatus', _STATUS_FIXES, 'o_orderstatus')} AS o_orderstatus FROM orders""")
 def q_case_remap(spark, sf_dir):
     """Listed values replaced, all others kept."""
-    (nation,) = _t(spark, sf_dir, "nation")
-    return nation.select("n_nationkey", lkf.remap(F.col("n_name"), _NATION_FIXES).alias("n_name"))
+    (orders,) = _t(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", lkf.remap(F.col("o_orderstatus"), _STATUS_FIXES).alias("o_orderstatus"))
 
 
 @register("case_contribution", """SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')

@@ -349,13 +349,13 @@ def serving_sql():
     prefixes = ", ".join("'" + p + "'" for p in AGENT_PREFIXES)
     groups = """
 groups AS (
-  SELECT cast(r_regionkey as varchar) AS pkey,
+  SELECT cast(c_custkey as varchar) AS pkey,
          CASE r_regionkey WHEN 0 THEN '520' WHEN 1 THEN '232' WHEN 2 THEN '999' WHEN 3 THEN '11311'
               ELSE '##502' END AS reporting,
          r_name AS name
-  FROM region),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 members AS (
-  SELECT cast(n_regionkey as varchar) AS fkgroup, cast(n_nationkey as varchar) AS fkmember FROM nation)"""
+  SELECT cast(c_custkey as varchar) AS fkgroup, cast(c_nationkey as varchar) AS fkmember FROM customer)"""
     agents = f"""
 agents AS (
   SELECT event_id, cast(user_id % 25 as varchar) AS agentid,
@@ -402,8 +402,9 @@ SELECT g.pkey, g.reporting, g.name, coalesce(gk.v, 'not found') AS join_key
 FROM groups g LEFT JOIN gk ON g.name = gk.k"""
     fixes = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SERVING_BRANCH_FIXES.items())
     out["serve_branch_address"] = with_(values_cte("br", lk.branch_region)) + f"""
-SELECT n_name AS branchname, CASE n_name {fixes} ELSE n_name END AS branch_pbi, br.v AS region
-FROM nation LEFT JOIN br ON n_name = br.k"""
+SELECT c_custkey AS addressid, n_name AS branchname, CASE n_name {fixes} ELSE n_name END AS branch_pbi,
+       br.v AS region
+FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN br ON n_name = br.k"""
     out["serve_customer_account"] = """
 SELECT CustomerNo, Internal, coalesce(expenditure_5yavg_total, 0) AS expenditure_5yavg_total,
        coalesce(expenditure_5yavg_partsnservices, 0) AS expenditure_5yavg_partsnservices
