@@ -119,3 +119,42 @@ def build_derived_tables(spark: SparkSession, sources: dict[str, DataFrame], roo
     store(revenue.attribute_revenue(numbers, lines), "revenue")
     return {name: f"{root.rstrip('/')}/{name}" for name in
             ("calls", "document_numbers", "invoice_lines", "revenue")}
+
+
+def jdbc_source(spark: SparkSession, url_for: Callable[[TableRef], str], *, user: str | None = None,
+                password: str | None = None, driver: str | None = None,
+                query_for: Callable[[TableRef], str] | None = None) -> Callable[[TableRef], DataFrame]:
+    """A ``read_source`` for ``full_load`` that reads a
+    table (bracket-quoted source name) or, with ``query_for``, a query run
+    by the database (the load-window filter or a key projection)."""
+    from ..sources.jdbc import read_jdbc
+
+    def read(ref: TableRef) -> DataFrame:
+        if query_for is not None:
+            return read_jdbc(spark, url_for(ref), query=query_for(ref), user=user, password=password,
+                             driver=driver)
+        return read_jdbc(spark, url_for(ref), table=ref.qualified_source, user=user, password=password,
+                         driver=driver)
+    return read
+
+
+def incremental_merges(spark: SparkSession, tables: list[TableRef],
+                       read_source: Callable[[TableRef], DataFrame], **kwargs) -> dict[str, LoadWindow]:
+    """One incremental merge per configured table, in order; each table
+    is its own set of jobs, so a failure names the table and the tables
+    before it keep their new state and marks."""
+    return {ref.target_name: incremental_merge(spark, ref, read_source(ref), **kwargs) for ref in tables}
+
+
+def delete_runs(spark: SparkSession, tables: list[TableRef], read_source: Callable[[TableRef], DataFrame],
+                *, keys: dict, bronze_root: str, silver_root: str, run_time: datetime) -> dict[str, int]:
+    """M3 + M6 for every table: snapshot the live keys, then delete the gone
+    ones; a table without configured keys is an error before any job."""
+    for ref in tables:
+        primary_keys(keys, ref.target_name)
+    out = {}
+    for ref in tables:
+        snapshot_live_keys(read_source(ref), ref, keys, bronze_root, run_time)
+        out[ref.target_name] = delete_run(spark, ref, keys=keys, bronze_root=bronze_root,
+                                          silver_root=silver_root, run_time=run_time)
+    return out

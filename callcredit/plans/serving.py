@@ -163,3 +163,18 @@ def serve(tables: list[str], ctx: ServingContext,
         out["agent_name_unique"] = names
         write(names, "agent_name_unique")
     return out
+
+
+def jdbc_writer(url: str, schema: str = "dbo", *, user: str | None = None, password: str | None = None,
+                driver: str | None = None, batch_size: int = 10000,
+                num_partitions: int | None = None) -> Callable[[DataFrame, str], None]:
+    """A ``write`` for ``serve`` that overwrites
+    ``<schema>.<table>`` in a relational reporting database, inserting in
+    batches, with at most ``num_partitions`` connections."""
+    from ..config import check_identifier
+    from ..sources.jdbc import write_jdbc
+
+    def write(df: DataFrame, table: str) -> None:
+        write_jdbc(df, url, f"{check_identifier(schema)}.{check_identifier(table)}", user=user,
+                   password=password, driver=driver, batch_size=batch_size, num_partitions=num_partitions)
+    return write

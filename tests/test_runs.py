@@ -89,3 +89,36 @@ def test_stream_into_buckets(spark, tmp_path):
                  newest_by="ETLTimestamp", buckets=4).awaitTermination()
     got = {r.id: r.v for r in bk.read_bucketed(spark, f"{root}/silver").collect()}
     assert len(got) == 21 and got[3] == "c" and got[25] == "d" and got[4] == "a"
+
+
+def test_delete_runs_check_keys_first(spark, tmp_path):
+    import pytest
+    with pytest.raises(ValueError):
+        runs.delete_runs(spark, [TableRef("db", "dbo", "nokeys")], lambda ref: None, keys={},
+                         bronze_root=str(tmp_path), silver_root=str(tmp_path), run_time=datetime(2024, 1, 1))
+
+
+def test_incremental_merges_over_tables(spark, tmp_path):
+    root = str(tmp_path)
+    refs = [TableRef("db", "dbo", "a"), TableRef("db", "dbo", "b")]
+    src = spark.createDataFrame([(i, "x", datetime(2024, 1, 1 + i)) for i in range(6)], SCHEMA)
+    control = inc.empty_control(spark)
+    for ref in refs:
+        snapshot.write_snapshot(src.where("id < 2"), f"{root}/silver/db/{ref.table}")
+        control = inc.set_mark(control, ref.table, datetime(2024, 1, 3))
+    snapshot.write_snapshot(control, f"{root}/control")
+    windows = runs.incremental_merges(spark, refs, lambda ref: src, bronze_root=f"{root}/bronze",
+                                      silver_root=f"{root}/silver", control_root=f"{root}/control",
+                                      keys={"a": ["id"], "b": ["id"]}, run_time=datetime(2024, 1, 10))
+    assert set(windows) == {"a", "b"}
+    for ref in refs:
+        assert snapshot.read_snapshot(spark, f"{root}/silver/db/{ref.table}").count() == 6
+
+
+def test_jdbc_writer_checks_names():
+    import pytest
+
+    from callcredit.plans.serving import jdbc_writer
+    w = jdbc_writer("jdbc:none://x", schema="dbo")
+    with pytest.raises(ValueError):
+        w(None, "t; drop")
