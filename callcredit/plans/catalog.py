@@ -792,3 +792,21 @@ def q_filter_fill(spark, sf_dir):
         F.col("total").alias("expenditure_5yavg_total"),
         (F.col("total") / 5).alias("expenditure_5yavg_partsnservices"))
     return customer_account(joined)
+
+
+@register("call_table_bucketed", o.CALL_TABLE)
+def q_call_table_bucketed(spark, sf_dir):
+    """B1 over silver tables stored bucketed on the call id: the calls and
+    their details (the two large inputs) are co-located, so their join needs
+    no shuffle when neither side is small enough to broadcast."""
+    orders, customer, nation, region, supplier, events = _t(
+        spark, sf_dir, "orders", "customer", "nation", "region", "supplier", "events")
+    sources = b.call_sources(orders, customer, nation, region, supplier, events)
+    root = scratch_path(spark, "silver_bucketed")
+    cat.create_database(spark, "callcredit_scratch", f"{root}/db")
+    suffix = root.rsplit("-", 1)[-1]
+    for name in ("meetings", "details"):
+        cat.write_table(sources[name], "callcredit_scratch", f"{name}_{suffix}", path=f"{root}/{name}",
+                        bucket_by=(16, ["MeetingId"]))
+        sources[name] = cat.read_table(spark, "callcredit_scratch", f"{name}_{suffix}")
+    return build_calls(**sources)

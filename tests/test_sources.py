@@ -65,3 +65,24 @@ def test_catalog_roundtrip_external(spark, tmp_path):
     assert cat.read_table(spark, "cc_test_db", "t", columns=["id"]).count() == 4
     with pytest.raises(ValueError):
         cat.read_table(spark, "cc_test_db", "t; drop table x")
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from callcredit.sources import catalog as cat
+    cat.create_database(spark, "cc_bucket_db", str(tmp_path / "db"))
+    a = spark.range(5000).select(F.col("id").alias("MeetingId"), (F.col("id") % 7).alias("x"))
+    b = spark.range(5000).select(F.col("id").alias("MeetingId"), (F.col("id") % 5).alias("y"))
+    cat.write_table(a, "cc_bucket_db", "a", path=str(tmp_path / "a"), bucket_by=(8, ["MeetingId"]))
+    cat.write_table(b, "cc_bucket_db", "b", path=str(tmp_path / "b"), bucket_by=(8, ["MeetingId"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = cat.read_table(spark, "cc_bucket_db", "a").join(cat.read_table(spark, "cc_bucket_db", "b"),
+                                                            "MeetingId", "left")
+        assert j.count() == 5000
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
