@@ -8,7 +8,7 @@ fan-out is part of the published definition (D-25).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values -------------------------------------------------------------
@@ -70,3 +70,39 @@ def build_invoice_lines(invoice_header: DataFrame, workorder_header: DataFrame,
                                .alias("PartSales"),
                                "ContractStart", "ContractEnd"))
     return from_invoices.unionByName(from_workorders)
+
+
+def affected_documents(invoice_header: DataFrame, workorder_header: DataFrame,
+                       workorder_partdetail: DataFrame, changed: Column) -> DataFrame:
+    """Root documents touched by source rows for which ``changed`` holds
+    (e.g. a load-time window on ``ETLTimestamp``): invoices, work-order lines,
+    and every line of a changed work-order header.  Distinct keys only."""
+    root = lambda c: F.left(F.col(c), F.lit(ROOT_LENGTH)).alias("RootDocumentNumber")
+    from_headers = invoice_header.where(changed).select(root("DocumentNumber"))
+    from_details = workorder_partdetail.where(changed).select(root("RefDocumentNo"))
+    changed_orders = workorder_header.where(changed).select("WONo")
+    from_orders = (workorder_partdetail.join(changed_orders, "WONo", "left_semi")
+                   .select(root("RefDocumentNo")))
+    return from_headers.unionByName(from_details).unionByName(from_orders).distinct()
+
+
+def update_invoice_lines(current: DataFrame, invoice_header: DataFrame, workorder_header: DataFrame,
+                         workorder_partdetail: DataFrame, equipment: DataFrame,
+                         conditionsummary: DataFrame, changed: Column) -> DataFrame:
+    """The invoice-line table after source changes, without a full rebuild.
+
+    Lines are replaced per root document: the documents touched by changed
+    source rows are recomputed from the sources restricted to them (semi
+    joins on the document keep the big joins small), and every other
+    document's lines are kept.  Replacing by document is idempotent, so a
+    repeated or overlapping window gives the same table.  Changes to
+    equipment or contracts touch unknown documents and need a full build.
+    """
+    docs = affected_documents(invoice_header, workorder_header, workorder_partdetail, changed)
+    root = lambda c: F.left(F.col(c), F.lit(ROOT_LENGTH))
+    headers = invoice_header.join(docs, root("DocumentNumber") == docs.RootDocumentNumber, "left_semi")
+    details = workorder_partdetail.join(docs, root("RefDocumentNo") == docs.RootDocumentNumber, "left_semi")
+    orders = workorder_header.join(details.select("WONo"), "WONo", "left_semi")
+    fresh = build_invoice_lines(headers, orders, details, equipment, conditionsummary)
+    kept = current.join(docs, "RootDocumentNumber", "left_anti")
+    return kept.unionByName(fresh)
