@@ -11,7 +11,20 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
 
+# --- fixed values: formats and names shared with the source system -----------
+# Time text of watermarks and window bounds.
 TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
+# Run folders: <root>/<db>/<table>/<day>/<day>-<time>
+RUN_DAY_FORMAT = "%Y_%m_%d"
+RUN_STAMP_FORMAT = "%Y_%m_%d-%H_%M_%S"
+# Sub-folder of the raw layer holding the key snapshots used for deletes.
+KEY_SNAPSHOT_FOLDER = "primary_keys"
+# Load types a run accepts; the last runs both in turn.
+LOAD_TYPES = ("full_load", "initial_load", "full-initial")
+# Parts of a table name.
+TABLE_NAME_PARTS = 3
+# --- end of fixed values ------------------------------------------------------
+
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_$#]*$")
 
 
@@ -37,7 +50,7 @@ class TableRef:
     server: str = ""
 
     @classmethod
-    def parse(cls, qualified: str, server: str = "", parts: int = 3) -> "TableRef":
+    def parse(cls, qualified: str, server: str = "", parts: int = TABLE_NAME_PARTS) -> "TableRef":
         pieces = [p.strip() for p in qualified.split(".")]
         if len(pieces) != parts:
             raise ValueError(f"table name must have {parts} parts: {qualified!r}")
@@ -119,8 +132,8 @@ def run_folder(root: str, ref: TableRef, run_time: datetime | str) -> str:
     """``<root>/<db>/<table>/YYYY_MM_DD/YYYY_MM_DD-HH_MM_SS``."""
     if isinstance(run_time, str):
         run_time = LoadWindow.parse_time(run_time)
-    day = run_time.strftime("%Y_%m_%d")
-    stamp = run_time.strftime("%Y_%m_%d-%H_%M_%S")
+    day = run_time.strftime(RUN_DAY_FORMAT)
+    stamp = run_time.strftime(RUN_STAMP_FORMAT)
     return f"{root.rstrip('/')}/{ref.database}/{ref.target_name}/{day}/{stamp}"
 
 
@@ -155,9 +168,6 @@ class TimeSpec:
     formats: tuple[tuple[str, str], ...] = ()
 
 
-LOAD_TYPES = ("full_load", "initial_load", "full-initial")
-
-
 def load_steps(load_type: str) -> list[str]:
     """M7: which load steps a run performs, in order."""
     if load_type not in LOAD_TYPES:

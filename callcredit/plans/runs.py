@@ -14,7 +14,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import LoadWindow, TableRef, TimeSpec, load_steps, primary_keys, sets_mark
+from ..config import (KEY_SNAPSHOT_FOLDER, LoadWindow, TableRef, TimeSpec, load_steps, primary_keys,
+                      sets_mark)
 from ..functions.timezone import normalise_times
 from ..operators import incremental as inc
 from ..operators import mutate
@@ -67,14 +68,14 @@ def snapshot_live_keys(source: DataFrame, ref: TableRef, keys: dict, bronze_root
                        run_time: datetime) -> str:
     """M3: the source's current keys into ``<bronze>/primary_keys/...``."""
     cols = primary_keys(keys, ref.target_name)
-    return bronze.write_run(source.select(*cols), f"{bronze_root}/primary_keys", ref, run_time)
+    return bronze.write_run(source.select(*cols), f"{bronze_root}/{KEY_SNAPSHOT_FOLDER}", ref, run_time)
 
 
 def delete_run(spark: SparkSession, ref: TableRef, *, keys: dict, bronze_root: str,
                silver_root: str, run_time: datetime) -> int:
     """M6: silver rows whose key is gone at the source are removed."""
     cols = primary_keys(keys, ref.target_name)
-    live = bronze.read_run(spark, f"{bronze_root}/primary_keys", ref, run_time)
+    live = bronze.read_run(spark, f"{bronze_root}/{KEY_SNAPSHOT_FOLDER}", ref, run_time)
     silver_path = f"{silver_root}/{ref.database}/{ref.target_name}"
     current = snapshot.read_snapshot(spark, silver_path)
     gone = mutate.deleted_keys(current, live, cols)
