@@ -38,3 +38,24 @@ def test_hot_document_is_linear(spark):
     others = sum(i % 97 + 0.25 for i in (5000, 10000, 20000, 25000))
     assert round(first.PartSales, 2) == round(2 * hot_sum + others, 2)
     assert first.RootDocumentNumber.count(",") == 4
+
+
+def test_hot_key_operators_reduce_before_the_shuffle(spark):
+    """Newest change per key is an aggregate (partial + final), and first row
+    per key carries a group limit below the exchange: a key holding a third
+    of the rows never reaches one task whole."""
+    from callcredit.operators import mutate
+    from callcredit.plans.calls import first_per_key
+    n = 30000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                               F.col("id").alias("t"), (F.col("id") % 11).cast("string").alias("v"))
+    newest = mutate.latest_per_key(df, ["k"], "t")
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_max" in plan
+    got = {r.k: r.t for r in newest.collect()}
+    assert got[0] == max(i for i in range(n) if i % 3 == 0) and len(got) == n - n // 3 + 1
+
+    first = first_per_key(df, "k", "t", ["k", "t"])
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert {r.k: r.t for r in first.collect()}[0] == 0
