@@ -44,46 +44,65 @@ def first_per_key(df: DataFrame, key: str, order: str, cols: list[str] | None =
             .where(F.col("_rn") == 1).drop("_rn"))
 
 
+def staff_dimension(x_user: DataFrame, ad_user_all: DataFrame, hr_corpdir: DataFrame) -> DataFrame:
+    """Who entered a call: application user -> directory person (on login
+    and domain) -> employee record.  ``UserId -> Contact, Branch``."""
+    person = ad_user_all.select("LoginName", "DomainId", "FirstName", "LastName", "SAPID")
+    employee = hr_corpdir.select(F.col("EmployeeNumber").alias("SAPID"), "PersSubText")
+    return (x_user.select("UserId", "LoginName", "DomainId")
+            .join(person, ["LoginName", "DomainId"], "left")
+            .join(employee, "SAPID", "left")
+            .select("UserId",
+                    F.concat(F.col("FirstName"), F.lit(" "), F.col("LastName")).alias("Contact"),
+                    F.col("PersSubText").alias("Branch")))
+
+
+def detail_dimension(details: DataFrame, branch_phone: DataFrame) -> DataFrame:
+    """Telephony details of a call (the group's own calls excluded) with the
+    first name of the branch they name.  ``MeetingId -> ...``."""
+    first_name = first_per_key(branch_phone, "BranchNo", "BranchName", ["BranchNo", "BranchName"])
+    # D-20: flags may arrive as booleans; compare them as integers
+    kept = (details.where(F.col("IsAgwest").cast("int") == 0)
+            .select("MeetingId", "IsAfterhours", "IsService", "IsUsedRestored", "Notes",
+                    F.col("PhoneNumber").alias("DetailPhone"), F.col("BranchNo").alias("DetailBranchNo")))
+    return kept.join(first_name.withColumnRenamed("BranchNo", "DetailBranchNo")
+                     .withColumnRenamed("BranchName", "DetailBranchName"), "DetailBranchNo", "left")
+
+
 def build_calls(meetings: DataFrame, x_user: DataFrame, ad_user_all: DataFrame,
                 hr_corpdir: DataFrame, branch_phone: DataFrame, details: DataFrame,
                 first_year: int = FIRST_YEAR) -> DataFrame:
-    w = meetings.alias("w")
+    """B1.  The chains of small tables (user -> person -> employee, and
+    details -> first branch name) are joined first, at their own size, so
+    the large call table takes part in three left joins (staff, dialled
+    branch, details) instead of six.  For left joins whose conditions only
+    touch the joined-in tables this gives the same rows."""
     # A range on the column itself, so the scan can skip row groups
-    w = w.where(F.col("w.PartsCallId").isNotNull()
-                & (F.col("w.CallStart") >= F.lit(f"{first_year:04d}-01-01 00:00:00")))
-    x = x_user.select("UserId", "LoginName", "DomainId").alias("x")
-    e = ad_user_all.select("LoginName", "DomainId", "FirstName", "LastName", "SAPID").alias("e")
-    c = hr_corpdir.select("EmployeeNumber", "PersSubText").alias("c")
-    p = branch_phone.select("PhoneNumber", "BranchNo", "BranchName").alias("p")
-    # D-20: flags may arrive as booleans; compare them as integers
-    d = (details.where(F.col("IsAgwest").cast("int") == 0)
-         .select("MeetingId", "IsAfterhours", "BranchNo", "IsService", "IsUsedRestored",
-                 "Notes", "PhoneNumber").alias("d"))
-    v = first_per_key(branch_phone, "BranchNo", "BranchName", ["BranchNo", "BranchName"]).alias("v")
-
-    joined = (w.join(x, F.col("w.EnterXUId") == F.col("x.UserId"), "left")
-              .join(e, (F.col("x.LoginName") == F.col("e.LoginName"))
-                    & (F.col("x.DomainId") == F.col("e.DomainId")), "left")
-              .join(c, F.col("c.EmployeeNumber") == F.col("e.SAPID"), "left")
-              .join(p, F.col("w.DialedNumber") == F.col("p.PhoneNumber"), "left")
-              .join(d, F.col("w.MeetingId") == F.col("d.MeetingId"), "left")
-              .join(v, F.col("v.BranchNo") == F.col("d.BranchNo"), "left"))
-    return joined.select(
-        F.col("w.MeetingId").alias("MeetingId"),
-        F.trim(F.coalesce(F.col("w.CustomerNo"), F.lit(""))).alias("CustomerNo"),
-        F.col("w.CustomerName").alias("CustomerName"),
-        F.coalesce(F.col("d.PhoneNumber"), F.col("w.CallerId")).alias("CallerId"),
-        F.col("w.ContactName").alias("Influencer"),
-        F.concat(F.col("e.FirstName"), F.lit(" "), F.col("e.LastName")).alias("Contact"),
-        F.col("c.PersSubText").alias("Branch"),
-        F.col("w.Objective").alias("Objective"),
-        F.col("w.PartsDocumentNumber").alias("PartsDocumentNumber"),
-        F.coalesce(F.col("d.Notes"), F.lit("")).alias("Notes"),
-        F.col("w.DialedNumber").alias("DialedNumber"),
-        F.coalesce(F.col("p.BranchNo"), F.col("d.BranchNo"), F.lit("")).alias("DialedBranchNo"),
-        F.coalesce(F.col("p.BranchName"), F.col("v.BranchName"), F.lit("")).alias("DialedBranchName"),
-        call_type(F.col("w.ActivityTypeId"), F.col("d.IsAfterhours"), F.col("d.IsService"),
-                  F.col("d.IsUsedRestored"), F.col("w.DialedNumber")).alias("CallType"),
-        F.col("w.CallStart").alias("CallStart"),
-        F.col("w.EnterDateTime").alias("CallSaved"),
+    calls = meetings.where(F.col("PartsCallId").isNotNull()
+                           & (F.col("CallStart") >= F.lit(f"{first_year:04d}-01-01 00:00:00")))
+    dialed = branch_phone.select(F.col("PhoneNumber").alias("DialedNumber"),
+                                 F.col("BranchNo").alias("DialedBranchNo_"),
+                                 F.col("BranchName").alias("DialedBranchName_"))
+    staff = staff_dimension(x_user, ad_user_all, hr_corpdir).withColumnRenamed("UserId", "EnterXUId")
+    out = (calls.select("MeetingId", "CustomerNo", "CustomerName", "CallerId", "ContactName", "Objective",
+                        "PartsDocumentNumber", "DialedNumber", "ActivityTypeId", "CallStart", "EnterDateTime",
+                        "EnterXUId")
+           .join(staff, "EnterXUId", "left")
+           .join(dialed, "DialedNumber", "left")
+           .join(detail_dimension(details, branch_phone), "MeetingId", "left"))
+    return out.select(
+        "MeetingId",
+        F.trim(F.coalesce(F.col("CustomerNo"), F.lit(""))).alias("CustomerNo"),
+        "CustomerName",
+        F.coalesce(F.col("DetailPhone"), F.col("CallerId")).alias("CallerId"),
+        F.col("ContactName").alias("Influencer"),
+        "Contact", "Branch", "Objective", "PartsDocumentNumber",
+        F.coalesce(F.col("Notes"), F.lit("")).alias("Notes"),
+        "DialedNumber",
+        F.coalesce(F.col("DialedBranchNo_"), F.col("DetailBranchNo"), F.lit("")).alias("DialedBranchNo"),
+        F.coalesce(F.col("DialedBranchName_"), F.col("DetailBranchName"), F.lit("")).alias("DialedBranchName"),
+        call_type(F.col("ActivityTypeId"), F.col("IsAfterhours"), F.col("IsService"),
+                  F.col("IsUsedRestored"), F.col("DialedNumber")).alias("CallType"),
+        "CallStart",
+        F.col("EnterDateTime").alias("CallSaved"),
     )

@@ -61,23 +61,25 @@ conditionsummary AS (
   FROM supplier)"""
 
 INVOICE_LINES_SQL = """
+machine_contract AS (
+  SELECT eq.OriginalMakeCode AS make, eq.OriginalSerialNumber AS serial,
+         cast(cs.ContractStart as date) AS ContractStart, cast(cs.ContractEnd as date) AS ContractEnd
+  FROM equipment eq LEFT JOIN conditionsummary cs ON cs.EquipmentId = eq.EquipmentId),
+parts_invoice AS (
+  SELECT left(DocumentNumber, 9) AS RootDocumentNumber, cast(OpenDate as date) AS OpenDate,
+         cast(TotalParts as decimal(28,2)) AS PartSales, Make AS make, SerialNumber AS serial
+  FROM invoice_header
+  WHERE InvoiceType IN ('P', 'C') AND substr(DocumentNumber, 3, 1) IN ('C', 'R')),
+workorder_part AS (
+  SELECT left(d.RefDocumentNo, 9) AS RootDocumentNumber, cast(h.OpenDate as date) AS OpenDate,
+         cast(d.UnitSell * d.InvoiceQty as decimal(28,2)) AS PartSales, h.EquipManufCode AS make,
+         h.SerialNo AS serial
+  FROM workorder_partdetail d JOIN workorder_header h ON h.WONo = d.WONo
+  WHERE d.HdrSegInvoiceIndicator IS NULL AND substr(d.RefDocumentNo, 3, 1) = 'S'),
 invoice_lines AS (
-  SELECT left(s.DocumentNumber, 9) AS RootDocumentNumber, cast(s.OpenDate as date) AS OpenDate,
-         cast(s.TotalParts as decimal(28,2)) AS PartSales,
-         cast(c.ContractStart as date) AS ContractStart, cast(c.ContractEnd as date) AS ContractEnd
-  FROM invoice_header s
-  LEFT JOIN equipment e ON s.Make = e.OriginalMakeCode AND s.SerialNumber = e.OriginalSerialNumber
-  LEFT JOIN conditionsummary c ON e.EquipmentId = c.EquipmentId
-  WHERE s.InvoiceType IN ('P', 'C') AND (s.DocumentNumber LIKE '__C%' OR s.DocumentNumber LIKE '__R%')
-  UNION ALL
-  SELECT left(p.RefDocumentNo, 9), cast(h.OpenDate as date),
-         cast(p.UnitSell * p.InvoiceQty as decimal(28,2)),
-         cast(c.ContractStart as date), cast(c.ContractEnd as date)
-  FROM workorder_partdetail p
-  JOIN workorder_header h ON p.WONo = h.WONo
-  LEFT JOIN equipment e ON h.EquipManufCode = e.OriginalMakeCode AND h.SerialNo = e.OriginalSerialNumber
-  LEFT JOIN conditionsummary c ON e.EquipmentId = c.EquipmentId
-  WHERE p.HdrSegInvoiceIndicator IS NULL AND p.RefDocumentNo LIKE '__S%')"""
+  SELECT li.RootDocumentNumber, li.OpenDate, li.PartSales, mc.ContractStart, mc.ContractEnd
+  FROM (SELECT * FROM parts_invoice UNION ALL SELECT * FROM workorder_part) li
+  LEFT JOIN machine_contract mc ON mc.make = li.make AND mc.serial = li.serial)"""
 
 
 def with_(*ctes: str) -> str:
@@ -286,39 +288,46 @@ phonecall_extdetails AS (
   FROM events)"""
 
 CALL_TABLE_SQL = """
+in_scope AS (
+  SELECT * FROM meetings WHERE PartsCallId IS NOT NULL AND year(CallStart) >= 2017),
+entered_by AS (
+  SELECT usr.UserId, ppl.FirstName || ' ' || ppl.LastName AS Contact, emp.PersSubText AS Branch
+  FROM x_user usr
+  LEFT JOIN ad_user_all ppl ON ppl.LoginName = usr.LoginName AND ppl.DomainId = usr.DomainId
+  LEFT JOIN hr_corpdir emp ON emp.EmployeeNumber = ppl.SAPID),
+branch_first_name AS (
+  -- first name of each branch number in name order, a missing name first
+  SELECT BranchNo, CASE WHEN count(*) > count(BranchName) THEN NULL ELSE min(BranchName) END AS BranchName
+  FROM global_branch_phone GROUP BY BranchNo),
+call_detail AS (
+  SELECT det.MeetingId, det.IsAfterhours, det.IsService, det.IsUsedRestored, det.Notes,
+         det.PhoneNumber AS DetailPhone, det.BranchNo AS DetailBranchNo, bfn.BranchName AS DetailBranchName
+  FROM phonecall_extdetails det LEFT JOIN branch_first_name bfn ON bfn.BranchNo = det.BranchNo
+  WHERE det.IsAgwest = 0),
 call_table AS (
-SELECT w.MeetingId,
-       trim(coalesce(w.CustomerNo, '')) AS CustomerNo,
-       w.CustomerName,
-       coalesce(pced.PhoneNumber, w.CallerId) AS CallerId,
-       w.ContactName AS Influencer,
-       e.FirstName || ' ' || e.LastName AS Contact,
-       c.PersSubText AS Branch,
-       w.Objective,
-       w.PartsDocumentNumber,
-       coalesce(pced.Notes, '') AS Notes,
-       w.DialedNumber,
-       coalesce(p.BranchNo, pced.BranchNo, '') AS DialedBranchNo,
-       coalesce(p.BranchName, v.BranchName, '') AS DialedBranchName,
-       CASE WHEN w.ActivityTypeId = 2 THEN 'Walk In'
-            WHEN pced.IsAfterhours = 1 THEN 'Afterhours'
-            WHEN pced.IsService = 1 THEN 'Service'
-            WHEN pced.IsUsedRestored = 1 THEN 'Used/Restored'
-            WHEN w.DialedNumber IS NULL THEN 'Direct Call'
-            ELSE 'Queue Call' END AS CallType,
-       w.CallStart,
-       w.EnterDateTime AS CallSaved
-FROM meetings w
-LEFT JOIN x_user x ON w.EnterXUId = x.UserId
-LEFT JOIN ad_user_all e ON x.LoginName = e.LoginName AND x.DomainId = e.DomainId
-LEFT JOIN hr_corpdir c ON c.EmployeeNumber = e.SAPID
-LEFT JOIN global_branch_phone p ON w.DialedNumber = p.PhoneNumber
-LEFT JOIN (SELECT MeetingId, IsAfterhours, BranchNo, IsService, IsUsedRestored, Notes, PhoneNumber
-           FROM phonecall_extdetails WHERE IsAgwest = 0) pced ON w.MeetingId = pced.MeetingId
-LEFT JOIN (SELECT * FROM (SELECT BranchNo, BranchName,
-                                 row_number() OVER (PARTITION BY BranchNo ORDER BY BranchName NULLS FIRST) AS rn
-                          FROM global_branch_phone) b WHERE rn = 1) v ON v.BranchNo = pced.BranchNo
-WHERE w.PartsCallId IS NOT NULL AND year(w.CallStart) >= 2017)"""
+  SELECT cl.MeetingId,
+         trim(coalesce(cl.CustomerNo, '')) AS CustomerNo,
+         cl.CustomerName,
+         coalesce(cd.DetailPhone, cl.CallerId) AS CallerId,
+         cl.ContactName AS Influencer,
+         eb.Contact, eb.Branch,
+         cl.Objective, cl.PartsDocumentNumber,
+         coalesce(cd.Notes, '') AS Notes,
+         cl.DialedNumber,
+         coalesce(ph.BranchNo, cd.DetailBranchNo, '') AS DialedBranchNo,
+         coalesce(ph.BranchName, cd.DetailBranchName, '') AS DialedBranchName,
+         CASE WHEN cl.ActivityTypeId = 2 THEN 'Walk In'
+              WHEN cd.IsAfterhours = 1 THEN 'Afterhours'
+              WHEN cd.IsService = 1 THEN 'Service'
+              WHEN cd.IsUsedRestored = 1 THEN 'Used/Restored'
+              WHEN cl.DialedNumber IS NULL THEN 'Direct Call'
+              ELSE 'Queue Call' END AS CallType,
+         cl.CallStart,
+         cl.EnterDateTime AS CallSaved
+  FROM in_scope cl
+  LEFT JOIN entered_by eb ON eb.UserId = cl.EnterXUId
+  LEFT JOIN global_branch_phone ph ON ph.PhoneNumber = cl.DialedNumber
+  LEFT JOIN call_detail cd ON cd.MeetingId = cl.MeetingId)"""
 
 CALL_TABLE = with_(CALL_SOURCES, CALL_TABLE_SQL) + "SELECT * FROM call_table"
 
