@@ -84,3 +84,25 @@ def test_bucketed_upsert_touches_only_its_buckets(spark, tmp_path):
     # the same batch again changes nothing
     bk.upsert_bucketed(spark, root, changes, ["k"], 16)
     assert {r.k: r.v for r in bk.read_bucketed(spark, root).collect()} == got
+
+
+def test_upsert_delete_match_python_model(spark):
+    """Random tables with NULL keys, against a plain Python statement of
+    MERGE (update matched, insert unmatched) and DELETE ... EXISTS."""
+    import random
+    rng = random.Random(9)
+    for _ in range(4):
+        tgt_keys = rng.sample(range(30), 15) + [None, None]
+        target = [(k, f"t{k}") for k in tgt_keys]
+        ch_keys = rng.sample(range(20, 45), 10) + [None]
+        changes = [(k, f"c{k}") for k in ch_keys]
+        want = [(k, v) for k, v in target if k is None or k not in {c for c, _ in changes if c is not None}]
+        want += changes
+        got = mutate.upsert(spark.createDataFrame(target, SCHEMA), spark.createDataFrame(changes, SCHEMA), ["k"])
+        assert rows(got) == sorted(want, key=repr)
+
+        live = set(rng.sample(range(30), 12))
+        cur = spark.createDataFrame(target, SCHEMA)
+        gone = mutate.deleted_keys(cur, spark.createDataFrame([(k,) for k in live], "k int"), ["k"])
+        left = mutate.delete_keys(cur, gone, ["k"])
+        assert rows(left) == sorted([(k, v) for k, v in target if k is None or k in live], key=repr)
