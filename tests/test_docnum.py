@@ -114,7 +114,7 @@ def test_legacy_first_base(spark):
 
 
 def test_extractors_match_model_on_random_texts(spark):
-    """Whole pipeline (upper, strip, split, fold, explode) against the model
+    """The whole extraction (upper, strip, split, fold, explode) against the model
     on random texts built from number-like fragments and separators."""
     rng = random.Random(11)
     frags = ["00C074511", "03c526338", "23", "4", "1234567", "03C5263414", "12A345678B", "x", "doc",
