@@ -37,7 +37,7 @@ def _fs(spark: SparkSession, path: str):
 def write_bucketed(df: DataFrame, root: str, keys: list[str], buckets: int) -> None:
     """Initial write of a table in key buckets (one folder per bucket)."""
     (df.withColumn(BUCKET, bucket_of(keys, buckets))
-     .repartition(BUCKET)
+     .hint("rebalance", BUCKET)
      .write.mode("overwrite").partitionBy(BUCKET).parquet(root))
 
 
@@ -59,7 +59,7 @@ def upsert_bucketed(spark: SparkSession, root: str, changes: DataFrame, keys: li
     merged = mutate.upsert(current.select(*cols, BUCKET), staged_changes.select(*cols, BUCKET),
                            keys, newest_by=newest_by)
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
-    (merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staging))
+    merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
     fs, jvm = _fs(spark, root)
     path = jvm.org.apache.hadoop.fs.Path
     for b in touched:

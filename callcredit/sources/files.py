@@ -37,17 +37,18 @@ def write_files(df: DataFrame, fmt: str, path: str, mode: str = "overwrite",
                 header: bool = True) -> None:
     """K1 / K2 / K8: write a DataFrame as files.
 
-    With ``partition_by`` the output is Hive-style ``col=value`` folders; the
-    rows are first clustered by those columns so each task writes few files.
-    ``num_files`` asks for a fixed count through a rebalance (AQE keeps the
-    partitions even); by default AQE sizes the output.
+    With ``partition_by`` the output is Hive-style ``col=value`` folders.  The
+    rows are clustered by those columns with a ``rebalance`` hint: each task
+    writes few files, and AQE splits a value that holds a large share of the
+    rows over several tasks (and merges small ones) instead of one task
+    writing it all.  ``num_files`` asks for a fixed file count.
     """
     kind = fmt.lower()
     if kind not in ("parquet", "csv", "json", "orc"):
         raise ValueError(f"invalid target type {fmt!r}")
     out = df
     if partition_by:
-        out = out.repartition(*partition_by)
+        out = out.hint("rebalance", *partition_by)
     elif num_files:
         out = out.repartition(num_files)
     writer = out.write.format(kind).mode(mode)
