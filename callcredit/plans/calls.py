@@ -57,39 +57,40 @@ def staff_dimension(x_user: DataFrame, ad_user_all: DataFrame, hr_corpdir: DataF
                     F.col("PersSubText").alias("Branch")))
 
 
-def detail_dimension(details: DataFrame, branch_phone: DataFrame) -> DataFrame:
-    """Telephony details of a call (the group's own calls excluded) with the
-    first name of the branch they name.  ``MeetingId -> ...``."""
-    first_name = first_per_key(branch_phone, "BranchNo", "BranchName", ["BranchNo", "BranchName"])
-    # D-20: flags may arrive as booleans; compare them as integers
-    kept = (details.where(F.col("IsAgwest").cast("int") == 0)
-            .select("MeetingId", "IsAfterhours", "IsService", "IsUsedRestored", "Notes",
-                    F.col("PhoneNumber").alias("DetailPhone"), F.col("BranchNo").alias("DetailBranchNo")))
-    return kept.join(first_name.withColumnRenamed("BranchNo", "DetailBranchNo")
-                     .withColumnRenamed("BranchName", "DetailBranchName"), "DetailBranchNo", "left")
-
-
 def build_calls(meetings: DataFrame, x_user: DataFrame, ad_user_all: DataFrame,
                 hr_corpdir: DataFrame, branch_phone: DataFrame, details: DataFrame,
                 first_year: int = FIRST_YEAR) -> DataFrame:
-    """B1.  The chains of small tables (user -> person -> employee, and
-    details -> first branch name) are joined first, at their own size, so
-    the large call table takes part in three left joins (staff, dialled
-    branch, details) instead of six.  For left joins whose conditions only
-    touch the joined-in tables this gives the same rows."""
+    """B1.
+
+    Join order: the two large inputs first - calls and their telephony
+    details, both keyed by the call id (co-located, without a shuffle, when
+    stored bucketed on it) - then the small dimensions: the first name of
+    the branch a detail names, who entered the call (user -> person ->
+    employee, pre-joined at its own size) and the dialled branch.  All joins
+    are left joins whose conditions only touch the joined-in side, so the
+    order does not change the rows.
+    """
     # A range on the column itself, so the scan can skip row groups
     calls = meetings.where(F.col("PartsCallId").isNotNull()
                            & (F.col("CallStart") >= F.lit(f"{first_year:04d}-01-01 00:00:00")))
+    # D-20: flags may arrive as booleans; compare them as integers
+    kept = (details.where(F.col("IsAgwest").cast("int") == 0)
+            .select("MeetingId", "IsAfterhours", "IsService", "IsUsedRestored", "Notes",
+                    F.col("PhoneNumber").alias("DetailPhone"), F.col("BranchNo").alias("DetailBranchNo")))
+    first_name = (first_per_key(branch_phone, "BranchNo", "BranchName", ["BranchNo", "BranchName"])
+                  .select(F.col("BranchNo").alias("DetailBranchNo"),
+                          F.col("BranchName").alias("DetailBranchName")))
+    staff = staff_dimension(x_user, ad_user_all, hr_corpdir).withColumnRenamed("UserId", "EnterXUId")
     dialed = branch_phone.select(F.col("PhoneNumber").alias("DialedNumber"),
                                  F.col("BranchNo").alias("DialedBranchNo_"),
                                  F.col("BranchName").alias("DialedBranchName_"))
-    staff = staff_dimension(x_user, ad_user_all, hr_corpdir).withColumnRenamed("UserId", "EnterXUId")
     out = (calls.select("MeetingId", "CustomerNo", "CustomerName", "CallerId", "ContactName", "Objective",
                         "PartsDocumentNumber", "DialedNumber", "ActivityTypeId", "CallStart", "EnterDateTime",
                         "EnterXUId")
+           .join(kept, "MeetingId", "left")
+           .join(first_name, "DetailBranchNo", "left")
            .join(staff, "EnterXUId", "left")
-           .join(dialed, "DialedNumber", "left")
-           .join(detail_dimension(details, branch_phone), "MeetingId", "left"))
+           .join(dialed, "DialedNumber", "left"))
     return out.select(
         "MeetingId",
         F.trim(F.coalesce(F.col("CustomerNo"), F.lit(""))).alias("CustomerNo"),
