@@ -86,3 +86,25 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_call_table_over_bucketed_tables_keeps_colocation(spark):
+    """With broadcasts off (as for tables too large to broadcast), the join
+    of calls and details reads both bucketed tables without an exchange."""
+    import re
+
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["call_table_bucketed"](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("\n")
+        idx = [i for i, l in enumerate(lines) if re.search(r"SortMergeJoin \[MeetingId#\d+L\], \[MeetingId", l)]
+        assert idx, plan
+        # the two children of that join are Sort -> Project/Filter -> scan, no Exchange
+        below = "\n".join(lines[idx[0] + 1: idx[0] + 12])
+        assert "Exchange" not in below and below.count("FileScan") == 2, below
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
