@@ -48,23 +48,40 @@ def _non_null(cols: list[str]) -> Column:
     return cond
 
 
-def by_key(calls: DataFrame, keys: list[str]) -> DataFrame:
-    """A4 body: per key ``TotalCalls`` (non-null ids), ``TotalHours`` (sum
-    of non-null hours, 0 when none) and ``MinPerCall``; NULL keys dropped."""
+def _per_key(calls: DataFrame, keys: list[str]) -> DataFrame:
+    """One aggregation pass: the per-key measures, plus the parts of the
+    total row (calls with both an id and hours) so the total needs no
+    second scan."""
+    both = F.col(ID).isNotNull() & F.col(HOURS).isNotNull()
     return (calls.where(_non_null(keys))
             .groupBy(*keys)
             .agg(F.count(ID).alias("TotalCalls"),
-                 F.coalesce(F.sum(HOURS), F.lit(0)).cast("double").alias("TotalHours"))
-            .withColumn("MinPerCall", _min_per_call(F.col("TotalHours"), F.col("TotalCalls"))))
+                 F.coalesce(F.sum(HOURS), F.lit(0)).alias("_hours"),
+                 F.count(F.when(both, F.lit(1))).alias("_total_calls"),
+                 F.sum(F.when(both, F.col(HOURS))).alias("_total_hours")))
+
+
+def _finish(df: DataFrame, calls_col: str = "TotalCalls", hours_col: str = "_hours") -> DataFrame:
+    return (df.withColumn("TotalHours", F.col(hours_col).cast("double"))
+            .withColumn("MinPerCall", _min_per_call(F.col("TotalHours"), F.col(calls_col))))
+
+
+def by_key(calls: DataFrame, keys: list[str]) -> DataFrame:
+    """A4 body: per key ``TotalCalls`` (non-null ids), ``TotalHours`` (sum
+    of non-null hours, 0 when none) and ``MinPerCall``; NULL keys dropped."""
+    return _finish(_per_key(calls, keys)).select(*keys, "TotalCalls", "TotalHours", "MinPerCall")
 
 
 def total_row(calls: DataFrame, keys: list[str]) -> DataFrame:
     """A4 margin: one row over the calls whose keys, id and hours are all
     present (so the parts may add up to more than the total)."""
-    return (calls.where(_non_null(keys + [ID, HOURS]))
-            .agg(F.count(ID).alias("TotalCalls"), F.coalesce(F.sum(HOURS), F.lit(0)).cast("double")
-                 .alias("TotalHours"))
-            .withColumn("MinPerCall", _min_per_call(F.col("TotalHours"), F.col("TotalCalls"))))
+    return _total_of(_per_key(calls, keys))
+
+
+def _total_of(per_key: DataFrame) -> DataFrame:
+    total = per_key.agg(F.coalesce(F.sum("_total_calls"), F.lit(0)).alias("TotalCalls"),
+                        F.coalesce(F.sum("_total_hours"), F.lit(0)).alias("_hours"))
+    return _finish(total).select("TotalCalls", "TotalHours", "MinPerCall")
 
 
 def _order(sort_by: str, keys: list[str]) -> list[Column]:
@@ -74,12 +91,15 @@ def _order(sort_by: str, keys: list[str]) -> list[Column]:
 def top_with_total(calls: DataFrame, keys: list[str], top_n: int = 10,
                    sort_by: str = "TotalHours") -> DataFrame:
     """A4 / L1 / L2: the total row (``is_total = true``, keys NULL) plus the
-    ``top_n`` keys by ``sort_by``."""
+    ``top_n`` keys by ``sort_by``.  Both come from one aggregation of the
+    calls (the total sums per-key parts; Spark reuses the exchange)."""
     if sort_by not in ("TotalHours", "TotalCalls"):
         raise ValueError("sort_by must be TotalHours or TotalCalls")
-    top = by_key(calls, keys).orderBy(*_order(sort_by, keys)).limit(top_n)
-    total = total_row(calls, keys).select(*[F.lit(None).cast(calls.schema[k].dataType).alias(k)
-                                            for k in keys], "TotalCalls", "TotalHours", "MinPerCall")
+    per_key = _per_key(calls, keys)
+    top = (_finish(per_key).select(*keys, "TotalCalls", "TotalHours", "MinPerCall")
+           .orderBy(*_order(sort_by, keys)).limit(top_n))
+    total = _total_of(per_key).select(*[F.lit(None).cast(calls.schema[k].dataType).alias(k) for k in keys],
+                                      "TotalCalls", "TotalHours", "MinPerCall")
     return (total.withColumn("is_total", F.lit(True))
             .unionByName(top.withColumn("is_total", F.lit(False))))
 
@@ -103,18 +123,19 @@ def pivot_with_totals(calls: DataFrame, keys: list[str], pivot_col: str, values:
     """A5: call counts per key x pivot value, a ``Total`` column, the
     ``top_n`` keys by total and the total row.
 
-    The pivot values are given, so no job runs to find them, and all
-    columns come from one aggregation pass.
+    The pivot values are given, so no job runs to find them; every column
+    comes from one aggregation pass, and the total row is the column sums
+    of the per-key rows (each counts calls with a key, a pivot value and an
+    id, exactly the calls the total row counts).
     """
     names = {v: re.sub(r"\W+", "_", v) for v in values}
-    present = calls.where(_non_null(keys + [pivot_col, ID]))
     counts = [F.count(F.when(F.col(pivot_col) == v, F.col(ID))).alias(names[v]) for v in values]
     per_key = (calls.where(_non_null(keys)).groupBy(*keys)
                .agg(*counts, F.count(F.when(F.col(pivot_col).isNotNull(), F.col(ID))).alias("Total")))
     top = per_key.orderBy(*_order("Total", keys)).limit(top_n)
-    total = present.agg(*counts, F.count(ID).alias("Total")).select(
-        *[F.lit(None).cast(calls.schema[k].dataType).alias(k) for k in keys],
-        *[names[v] for v in values], "Total")
+    cols = [names[v] for v in values] + ["Total"]
+    total = per_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols]).select(
+        *[F.lit(None).cast(calls.schema[k].dataType).alias(k) for k in keys], *cols)
     return (total.withColumn("is_total", F.lit(True))
             .unionByName(top.withColumn("is_total", F.lit(False))))
 
