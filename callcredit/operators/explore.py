@@ -48,40 +48,14 @@ def _non_null(cols: list[str]) -> Column:
     return cond
 
 
-def _per_key(calls: DataFrame, keys: list[str]) -> DataFrame:
-    """One aggregation pass: the per-key measures, plus the parts of the
-    total row (calls with both an id and hours) so the total needs no
-    second scan."""
-    both = F.col(ID).isNotNull() & F.col(HOURS).isNotNull()
-    return (calls.where(_non_null(keys))
-            .groupBy(*keys)
-            .agg(F.count(ID).alias("TotalCalls"),
-                 F.coalesce(F.sum(HOURS), F.lit(0)).alias("_hours"),
-                 F.count(F.when(both, F.lit(1))).alias("_total_calls"),
-                 F.sum(F.when(both, F.col(HOURS))).alias("_total_hours")))
-
-
-def _finish(df: DataFrame, calls_col: str = "TotalCalls", hours_col: str = "_hours") -> DataFrame:
-    return (df.withColumn("TotalHours", F.col(hours_col).cast("double"))
-            .withColumn("MinPerCall", _min_per_call(F.col("TotalHours"), F.col(calls_col))))
-
-
 def by_key(calls: DataFrame, keys: list[str]) -> DataFrame:
     """A4 body: per key ``TotalCalls`` (non-null ids), ``TotalHours`` (sum
     of non-null hours, 0 when none) and ``MinPerCall``; NULL keys dropped."""
-    return _finish(_per_key(calls, keys)).select(*keys, "TotalCalls", "TotalHours", "MinPerCall")
-
-
-def total_row(calls: DataFrame, keys: list[str]) -> DataFrame:
-    """A4 margin: one row over the calls whose keys, id and hours are all
-    present (so the parts may add up to more than the total)."""
-    return _total_of(_per_key(calls, keys))
-
-
-def _total_of(per_key: DataFrame) -> DataFrame:
-    total = per_key.agg(F.coalesce(F.sum("_total_calls"), F.lit(0)).alias("TotalCalls"),
-                        F.coalesce(F.sum("_total_hours"), F.lit(0)).alias("_hours"))
-    return _finish(total).select("TotalCalls", "TotalHours", "MinPerCall")
+    return (calls.where(_non_null(keys))
+            .groupBy(*keys)
+            .agg(F.count(ID).alias("TotalCalls"),
+                 F.coalesce(F.sum(HOURS), F.lit(0)).cast("double").alias("TotalHours"))
+            .withColumn("MinPerCall", _min_per_call(F.col("TotalHours"), F.col("TotalCalls"))))
 
 
 def _order(sort_by: str, keys: list[str]) -> list[Column]:
@@ -91,17 +65,33 @@ def _order(sort_by: str, keys: list[str]) -> list[Column]:
 def top_with_total(calls: DataFrame, keys: list[str], top_n: int = 10,
                    sort_by: str = "TotalHours") -> DataFrame:
     """A4 / L1 / L2: the total row (``is_total = true``, keys NULL) plus the
-    ``top_n`` keys by ``sort_by``.  Both come from one aggregation of the
-    calls (the total sums per-key parts; Spark reuses the exchange)."""
+    ``top_n`` keys by ``sort_by``.
+
+    One scan: ``GROUPING SETS ((keys), ())`` gives the per-key rows and the
+    total in a single aggregation (each with its own measure: the total
+    counts only calls with both an id and hours), and one top-k keeps the
+    total first and the ``top_n`` largest keys after it.  With no calls at
+    all the result is empty.
+    """
     if sort_by not in ("TotalHours", "TotalCalls"):
         raise ValueError("sort_by must be TotalHours or TotalCalls")
-    per_key = _per_key(calls, keys)
-    top = (_finish(per_key).select(*keys, "TotalCalls", "TotalHours", "MinPerCall")
-           .orderBy(*_order(sort_by, keys)).limit(top_n))
-    total = _total_of(per_key).select(*[F.lit(None).cast(calls.schema[k].dataType).alias(k) for k in keys],
-                                      "TotalCalls", "TotalHours", "MinPerCall")
-    return (total.withColumn("is_total", F.lit(True))
-            .unionByName(top.withColumn("is_total", F.lit(False))))
+    both = F.col(ID).isNotNull() & F.col(HOURS).isNotNull()
+    rows = (calls.where(_non_null(keys))
+            .groupingSets([keys, []], *keys)
+            .agg(F.count(ID).alias("_calls"),
+                 F.coalesce(F.sum(HOURS), F.lit(0)).alias("_hours"),
+                 F.count(F.when(both, F.lit(1))).alias("_total_calls"),
+                 F.coalesce(F.sum(F.when(both, F.col(HOURS))), F.lit(0)).alias("_total_hours"),
+                 F.grouping_id().alias("_gid")))
+    is_total = F.col("_gid") > 0
+    out = rows.select(*keys,
+                      F.when(is_total, F.col("_total_calls")).otherwise(F.col("_calls")).alias("TotalCalls"),
+                      F.when(is_total, F.col("_total_hours")).otherwise(F.col("_hours"))
+                      .cast("double").alias("TotalHours"),
+                      is_total.alias("is_total"))
+    out = out.withColumn("MinPerCall", _min_per_call(F.col("TotalHours"), F.col("TotalCalls")))
+    return (out.orderBy(F.col("is_total").desc(), *_order(sort_by, keys)).limit(top_n + 1)
+            .select(*keys, "TotalCalls", "TotalHours", "MinPerCall", "is_total"))
 
 
 def all_but_total(calls: DataFrame, keys: list[str]) -> DataFrame:
