@@ -437,17 +437,19 @@ def _afterhours(spark, sf_dir):
     return _calls(spark, sf_dir).where(F.col("CallType") == "Afterhours")
 
 
-def _spend(spark, sf_dir):
+def _spend_clean(spark, sf_dir):
     (customer,) = _t(spark, sf_dir, "customer")
-    clean = ex.dedupe_rows(b.explore_spend(customer)).where(
-        F.col("Expenditure_5YAVG_PartsNServices") >= 0)
-    ranked = ex.average_rank_desc(clean, "Expenditure_5YAVG_PartsNServices", "ExpPNSRank")
+    return ex.dedupe_rows(b.explore_spend(customer)).where(F.col("Expenditure_5YAVG_PartsNServices") >= 0)
+
+
+def _spend(spark, sf_dir):
+    ranked = ex.average_rank_desc(_spend_clean(spark, sf_dir), "Expenditure_5YAVG_PartsNServices", "ExpPNSRank")
     return ex.average_rank_desc(ranked, "Expenditure_5YAVG_Total", "ExpTotalRank")
 
 
 def _per_customer_segments(spark, sf_dir):
     per = ex.all_but_total(_queues(spark, sf_dir), _CUST)
-    return per.join(_spend(spark, sf_dir).select("CustomerNo", *_SEGMENTS), "CustomerNo", "left")
+    return per.join(_spend_clean(spark, sf_dir).select("CustomerNo", *_SEGMENTS), "CustomerNo", "left")
 
 
 @register("top_with_total", o.TOP_WITH_TOTAL)
