@@ -22,3 +22,15 @@ def test_every_query_has_oracle_or_reason():
 def test_query_runs(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     df.write.format("noop").mode("overwrite").save()
+
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+             "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_stays_in_the_jvm_without_pair_joins(spark, name):
+    """No Python evaluation and no nested-loop / cartesian join in any plan."""
+    df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [f for f in FORBIDDEN if f in plan], plan
