@@ -5,11 +5,13 @@ Input ``calls``: one row per call with at least ``MeetingID`` and
 type, objective, branch, contact).  ``spend``: one row per customer with
 segment labels and expenditure.
 
-Every query is an aggregate first and a small ordering step after.  Totals
-and shares of a total use a scalar subquery (one aggregate row, injected as
-a literal), not a global window or a cross join.  Top-N uses ``orderBy +
-limit`` (a top-k per task, then a merge of k rows per task), always with the
-grouping keys as tie-break so the chosen rows are deterministic.
+Every query is an aggregate first and a small ordering step after.  The
+total row of a top-N comes from the same grouping-sets aggregation; a share
+of a grand total divides by a scalar subquery (one aggregate row); per-
+segment totals are one row per segment column, broadcast.  No global window
+over data rows and no cross join.  Top-N uses ``orderBy + limit`` (a top-k
+per task, then a merge of k rows per task), always with the grouping keys
+as tie-break so the chosen rows are deterministic.
 """
 
 from __future__ import annotations
