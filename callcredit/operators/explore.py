@@ -273,11 +273,10 @@ def segment_share_each(per_customer: DataFrame, segments: list[str],
     grouped once; the totals (one row per segment column, so their size is
     known) are broadcast back onto the grouped rows.
     """
+    # unpivot the segment columns to (segment, value) rows
     long = (per_customer.select(F.col(measure).cast(EXACT).alias("_m"),
-                                F.explode(F.array(*[F.struct(F.lit(s).alias("segment"),
-                                                             F.col(s).cast("string").alias("value"))
-                                                    for s in segments])).alias("_s"))
-            .select("_s.segment", "_s.value", "_m")
+                                *[F.col(s).cast("string").alias(s) for s in segments])
+            .unpivot(["_m"], segments, "segment", "value")
             .where(F.col("value").isNotNull()))
     grouped = long.groupBy("segment", "value").agg(F.sum("_m").alias("_m"))
     totals = grouped.groupBy("segment").agg(F.sum("_m").alias("_total"))
