@@ -7,9 +7,12 @@ set of buckets (at most ``buckets`` values), and only those are read (the
 partition filter prunes the others at listing time), merged and rewritten.
 
 Replacement goes through a staging folder: the merged buckets are written
-there first, then each touched bucket folder is swapped in.  If a job dies
-between swaps, running the same batch again is safe: the upsert of a batch
-onto a bucket that already holds it changes nothing.
+there first; then each touched bucket's folder is moved aside into a
+``_prev-*`` folder and the new one moved into place; the old folders are
+deleted last.  No bucket is ever deleted before its replacement is in place.
+If a job dies part-way, the next upsert first restores any bucket that was
+moved aside but not replaced, and running the same batch again is safe: the
+upsert of a batch onto a bucket that already holds it changes nothing.
 """
 
 from __future__ import annotations
@@ -50,6 +53,7 @@ def upsert_bucketed(spark: SparkSession, root: str, changes: DataFrame, keys: li
     """Apply ``changes`` (M1 semantics) to a bucketed table; returns the
     buckets rewritten.  The touched-bucket list (at most ``buckets`` ints)
     is the only thing brought to the driver."""
+    recover(spark, root)
     staged_changes = changes.withColumn(BUCKET, bucket_of(keys, buckets))
     touched = sorted(r[0] for r in staged_changes.select(BUCKET).distinct().collect())
     if not touched:
@@ -58,16 +62,46 @@ def upsert_bucketed(spark: SparkSession, root: str, changes: DataFrame, keys: li
     cols = [c for c in current.columns if c != BUCKET]
     merged = mutate.upsert(current.select(*cols, BUCKET), staged_changes.select(*cols, BUCKET),
                            keys, newest_by=newest_by)
-    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
+    run = uuid.uuid4().hex[:12]
+    base = root.rstrip("/")
+    staging = f"{base}/_staging-{run}"
     merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
     fs, jvm = _fs(spark, root)
     path = jvm.org.apache.hadoop.fs.Path
+    prev = path(f"{base}/_prev-{run}")
+    fs.mkdirs(prev)
     for b in touched:
         src = path(f"{staging}/{BUCKET}={b}")
-        dst = path(f"{root.rstrip('/')}/{BUCKET}={b}")
+        dst = path(f"{base}/{BUCKET}={b}")
         if fs.exists(dst):
-            fs.delete(dst, True)
+            fs.rename(dst, path(prev, f"{BUCKET}={b}"))
         if fs.exists(src):
             fs.rename(src, dst)
+    fs.delete(prev, True)
     fs.delete(path(staging), True)
     return touched
+
+
+def recover(spark: SparkSession, root: str) -> list[int]:
+    """Finish an interrupted swap: a bucket moved aside whose replacement is
+    not in place is moved back; leftover ``_prev-*`` and ``_staging-*``
+    folders are removed.  Returns the buckets restored."""
+    fs, jvm = _fs(spark, root)
+    path = jvm.org.apache.hadoop.fs.Path
+    base = path(root)
+    restored = []
+    if not fs.exists(base):
+        return restored
+    for status in fs.listStatus(base):
+        name = status.getPath().getName()
+        if name.startswith("_prev-"):
+            for inner in fs.listStatus(status.getPath()):
+                bucket = inner.getPath().getName()
+                live = path(base, bucket)
+                if not fs.exists(live):
+                    fs.rename(inner.getPath(), live)
+                    restored.append(int(bucket.split("=", 1)[1]))
+            fs.delete(status.getPath(), True)
+        elif name.startswith("_staging-"):
+            fs.delete(status.getPath(), True)
+    return sorted(restored)
