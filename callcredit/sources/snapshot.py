@@ -61,5 +61,12 @@ def write_snapshot(df: DataFrame, root: str, num_files: int | None = None) -> in
     current = latest_version(spark, root)
     nxt = 0 if current is None else current + 1
     out = df.repartition(num_files) if num_files else df
-    out.write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={nxt}")
+    target = f"{root.rstrip('/')}/v={nxt}"
+    out.write.mode("overwrite").parquet(target)
+    # the version counts once its marker exists; write it ourselves when the
+    # session's committer is set not to (the write above has succeeded)
+    fs, p, jvm = _fs(spark, target)
+    marker = jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")
+    if not fs.exists(marker):
+        fs.create(marker, True).close()
     return nxt

@@ -108,3 +108,16 @@ def test_call_table_over_bucketed_tables_keeps_colocation(spark):
         assert "Exchange" not in below and below.count("FileScan") == 2, below
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_snapshot_marker_written_even_when_committer_skips_it(spark, tmp_path):
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = hconf.get(key)
+    hconf.set(key, "false")
+    try:
+        root = str(tmp_path / "s")
+        assert snapshot.write_snapshot(spark.range(3), root) == 0
+        assert snapshot.versions(spark, root) == [0]
+    finally:
+        hconf.set(key, old or "true")
