@@ -30,15 +30,18 @@ def merge_stream(spark: SparkSession, bronze_dir: str, schema: StructType, keys:
                  silver_root: str, checkpoint: str, spec: TimeSpec | None = None,
                  newest_by: str | None = None, available_now: bool = True,
                  processing_time: str = "1 minute", max_files_per_trigger: int | None = None,
-                 buckets: int | None = None) -> StreamingQuery:
+                 buckets: int | None = None, archive_dir: str | None = None) -> StreamingQuery:
     """Start the merge stream.  With ``buckets`` the silver table is a
     key-bucketed table (``sources.buckets``) and each micro-batch rewrites
     only the buckets it touches; otherwise each batch writes the next
-    snapshot version."""
+    snapshot version.  With ``archive_dir`` merged bronze files are moved
+    there, so the source listing does not grow with the run history."""
     reader = (spark.readStream.schema(schema)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     changes = reader.parquet(bronze_dir)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:

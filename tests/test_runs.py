@@ -122,3 +122,21 @@ def test_jdbc_writer_checks_names():
     w = jdbc_writer("jdbc:none://x", schema="dbo")
     with pytest.raises(ValueError):
         w(None, "t; drop")
+
+
+def test_stream_archives_merged_files(spark, tmp_path):
+    import os
+    root = str(tmp_path)
+    ref = TableRef("db", "dbo", "t")
+    rows = spark.createDataFrame([(i, "a", datetime(2024, 1, 1)) for i in range(5)], SCHEMA)
+    snapshot.write_snapshot(rows.limit(0), f"{root}/silver")
+    bronze.write_run(rows, f"{root}/bronze", ref, datetime(2024, 1, 2))
+    merge_stream(spark, f"{root}/bronze", rows.schema, ["id"], f"{root}/silver", f"{root}/ckpt",
+                 archive_dir=f"{root}/archive").awaitTermination()
+    assert snapshot.read_snapshot(spark, f"{root}/silver").count() == 5
+    # a later batch triggers the clean-up of files already merged
+    bronze.write_run(rows.where("id = 1"), f"{root}/bronze", ref, datetime(2024, 1, 3))
+    merge_stream(spark, f"{root}/bronze", rows.schema, ["id"], f"{root}/silver", f"{root}/ckpt",
+                 archive_dir=f"{root}/archive").awaitTermination()
+    archived = [f for _, _, fs in os.walk(f"{root}/archive") for f in fs if f.endswith(".parquet")]
+    assert archived
