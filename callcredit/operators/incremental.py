@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
-from ..config import LoadWindow
+from ..config import TIME_FORMAT, LoadWindow, TableRef, check_identifier
 
 CONTROL_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
@@ -62,3 +62,19 @@ def set_mark(control: DataFrame, table: str, value: datetime) -> DataFrame:
     spark = control.sparkSession
     row = spark.createDataFrame([(table, value)], CONTROL_SCHEMA)
     return control.where(F.col("table_name") != table).unionByName(row)
+
+
+def window_query(ref: TableRef, window: LoadWindow, column: str = "ETLTimestamp") -> str:
+    """The load window as a query the source database runs, so only
+    the window's rows leave it.  Identifiers are checked and the bounds are
+    formatted timestamps, never free text (D-23)."""
+    col = check_identifier(column)
+    start = window.start.strftime(TIME_FORMAT)
+    end = window.end.strftime(TIME_FORMAT)
+    return f"SELECT * FROM {ref.qualified_source} WHERE {col} BETWEEN '{start}' AND '{end}'"
+
+
+def key_query(ref: TableRef, keys: list[str]) -> str:
+    """M3: the live primary keys of a source table, projected remotely."""
+    cols = ", ".join(check_identifier(k) for k in keys)
+    return f"SELECT {cols} FROM {ref.qualified_source}"
