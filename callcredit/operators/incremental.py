@@ -61,7 +61,7 @@ def set_mark(control: DataFrame, table: str, value: datetime) -> DataFrame:
     """Advance the mark, inserting the table's row when it has none."""
     spark = control.sparkSession
     row = spark.createDataFrame([(table, value)], CONTROL_SCHEMA)
-    return control.where(F.col("table_name") != table).unionByName(row)
+    return control.where(~F.col("table_name").eqNullSafe(table)).unionByName(row)
 
 
 def window_query(ref: TableRef, window: LoadWindow, column: str = "ETLTimestamp") -> str:

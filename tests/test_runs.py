@@ -140,3 +140,12 @@ def test_stream_archives_merged_files(spark, tmp_path):
                  archive_dir=f"{root}/archive").awaitTermination()
     archived = [f for _, _, fs in os.walk(f"{root}/archive") for f in fs if f.endswith(".parquet")]
     assert archived
+
+
+def test_set_mark_keeps_other_rows(spark):
+    control = spark.createDataFrame([("a", datetime(2024, 1, 1)), (None, datetime(2024, 1, 2)),
+                                     ("b", datetime(2024, 1, 3))],
+                                    "table_name string, watermark_value timestamp_ntz")
+    out = sorted(((r.table_name or ""), r.watermark_value)
+                 for r in inc.set_mark(control, "a", datetime(2024, 2, 1)).collect())
+    assert out == [("", datetime(2024, 1, 2)), ("a", datetime(2024, 2, 1)), ("b", datetime(2024, 1, 3))]
