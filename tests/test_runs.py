@@ -149,3 +149,11 @@ def test_set_mark_keeps_other_rows(spark):
     out = sorted(((r.table_name or ""), r.watermark_value)
                  for r in inc.set_mark(control, "a", datetime(2024, 2, 1)).collect())
     assert out == [("", datetime(2024, 1, 2)), ("a", datetime(2024, 2, 1)), ("b", datetime(2024, 1, 3))]
+
+
+def test_window_bounds_are_inclusive(spark):
+    from callcredit.config import LoadWindow
+    w = LoadWindow(datetime(2024, 1, 2), datetime(2024, 1, 4))
+    df = spark.createDataFrame([(i, "x", datetime(2024, 1, 1 + i)) for i in range(5)], SCHEMA)
+    got = sorted(r.id for r in inc.window_scan(df, w).collect())
+    assert got == [1, 2, 3]   # both border rows are read (and absorbed by the upsert when read twice)
