@@ -121,3 +121,11 @@ def test_snapshot_marker_written_even_when_committer_skips_it(spark, tmp_path):
         assert snapshot.versions(spark, root) == [0]
     finally:
         hconf.set(key, old or "true")
+
+
+def test_csv_inferred_schema_by_default(spark, tmp_path):
+    path = str(tmp_path / "inf")
+    files.write_files(spark.createDataFrame([(1, 2.5, "a")], "i int, d double, s string"), "csv", path)
+    back = files.read_files(spark, "csv", path)
+    assert dict(back.dtypes) == {"i": "int", "d": "double", "s": "string"}
+    assert dict(files.read_files(spark, "csv", path, infer_schema=False).dtypes)["i"] == "string"
