@@ -21,7 +21,7 @@ from ..operators import explore as ex
 from ..operators import incremental as inc
 from ..operators import mutate
 from ..operators.membership import filter_members
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import buckets as bk
 from ..sources import bronze
 from ..sources import catalog as cat
@@ -71,9 +71,7 @@ def revenue_inputs(spark: SparkSession, sf_dir: str):
     checkpoint folder); attribution reads the stored table, which it scans
     several times, instead of re-running the invoice joins each time."""
     (orders,) = _t(spark, sf_dir, "orders")
-    path = scratch_path(spark, "invoice_lines")
-    invoice_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return b.revenue_numbers(orders), spark.read.parquet(path)
+    return b.revenue_numbers(orders), materialize(invoice_lines(spark, sf_dir), "invoice_lines")
 
 
 # --- step 1: revenue ----------------------------------------------------------------
