@@ -683,6 +683,14 @@ def q_docnum_documents(spark, sf_dir):
     return docnum.extract_from_notes(notes)
 
 
+@register("docnum_pages", o.DOCNUM_PAGES)
+def q_docnum_pages(spark, sf_dir):
+    """B4 over every raw web page (markup included, as call notes carry it)."""
+    (pages,) = _t(spark, sf_dir, "pages")
+    return docnum.extract_from_notes(pages.select(F.col("page_id").alias("MeetingId"),
+                                                  F.upper("html").alias("Notes")))
+
+
 @register("docnum_conversations", o.DOCNUM_CONVERSATIONS)
 def q_docnum_conversations(spark, sf_dir):
     """B3 over every conversation turn's full text (document-field rule)."""

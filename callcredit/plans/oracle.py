@@ -666,3 +666,8 @@ LEFT JOIN per_doc a
   ON j.RootDocumentNumber = a.RootDocumentNumber AND j.PartSales = a.PartSales AND j.OpenDate = a.OpenDate
  AND j.ContractStart = a.ContractStart AND j.ContractEnd = a.ContractEnd
 GROUP BY j.MeetingId"""
+
+DOCNUM_PAGES = f"""
+WITH call_texts AS (SELECT page_id AS MeetingId, NULL AS PartsDocumentNumber, upper(html) AS Notes FROM pages)
+SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('Notes', False)}) x
+WHERE length(RootDocumentNumber) <> 0"""
