@@ -78,15 +78,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "callcredit", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 1 << 16) -> dict[str, str]:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 
-    Start with enough shuffle partitions that each holds about
-    ``target_partition_bytes`` of the input and let AQE coalesce the small
-    ones; scans split files at 256 MB.  Pass the result as ``extra`` to
-    ``build_session``.
+    Start with about one shuffle partition per ``target_partition_bytes`` of
+    input (capped: shuffles carry projected, often pre-aggregated rows, and
+    very many reducers cost scheduling and shuffle metadata) and let AQE
+    coalesce the small ones; scans split files at the same size.  Pass the
+    result as ``extra`` to ``build_session``.
     """
-    parts = max(200, input_bytes // target_partition_bytes)
+    parts = min(max_partitions, max(200, input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
