@@ -72,8 +72,14 @@ class TableRef:
 
     @property
     def qualified_source(self) -> str:
+        """``schema.[table]``: the raw name, bracket-quoted (linked servers)."""
         return f"{self.schema}.{self.source_name}" if self.schema else self.source_name
 
+    @property
+    def plain_source(self) -> str:
+        """``schema.table`` with the ``$`` dropped (direct connections)."""
+        return f"{self.schema}.{self.target_name}" if self.schema else self.target_name
+
 
 @dataclass(frozen=True)
 class LoadWindow:

@@ -124,18 +124,22 @@ def build_derived_tables(spark: SparkSession, sources: dict[str, DataFrame], roo
 
 def jdbc_source(spark: SparkSession, url_for: Callable[[TableRef], str], *, user: str | None = None,
                 password: str | None = None, driver: str | None = None,
-                query_for: Callable[[TableRef], str] | None = None) -> Callable[[TableRef], DataFrame]:
+                query_for: Callable[[TableRef], str] | None = None,
+                bracket: bool = False) -> Callable[[TableRef], DataFrame]:
     """A ``read_source`` for ``full_load`` that reads a
-    table (bracket-quoted source name) or, with ``query_for``, a query run
-    by the database (the load-window filter or a key projection)."""
+    table or, with ``query_for``, a query run by the database (the
+    load-window filter or a key projection).  Table names are
+    ``schema.table`` on direct connections and ``schema.[table]`` with
+    ``bracket=True`` (tables reached through a linked server) - one loader
+    for both."""
     from ..sources.jdbc import read_jdbc
 
     def read(ref: TableRef) -> DataFrame:
         if query_for is not None:
             return read_jdbc(spark, url_for(ref), query=query_for(ref), user=user, password=password,
                              driver=driver)
-        return read_jdbc(spark, url_for(ref), table=ref.qualified_source, user=user, password=password,
-                         driver=driver)
+        name = ref.qualified_source if bracket else ref.plain_source
+        return read_jdbc(spark, url_for(ref), table=name, user=user, password=password, driver=driver)
     return read
 
 

@@ -9,6 +9,7 @@ from callcredit.sources.files import read_files
 def test_table_ref():
     t = c.TableRef.parse("branchdb.dbo.$global_branch_address")
     assert t.source_name == "[$global_branch_address]" and t.target_name == "global_branch_address"
+    assert t.qualified_source == "dbo.[$global_branch_address]" and t.plain_source == "dbo.global_branch_address"
     with pytest.raises(ValueError):
         c.TableRef.parse("db.table")
 
