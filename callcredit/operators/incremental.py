@@ -64,17 +64,22 @@ def set_mark(control: DataFrame, table: str, value: datetime) -> DataFrame:
     return control.where(~F.col("table_name").eqNullSafe(table)).unionByName(row)
 
 
-def window_query(ref: TableRef, window: LoadWindow, column: str = "ETLTimestamp") -> str:
+def _source_name(ref: TableRef, bracket: bool) -> str:
+    return ref.qualified_source if bracket else ref.plain_source
+
+
+def window_query(ref: TableRef, window: LoadWindow, column: str = "ETLTimestamp",
+                 bracket: bool = False) -> str:
     """The load window as a query the source database runs, so only
     the window's rows leave it.  Identifiers are checked and the bounds are
     formatted timestamps, never free text (D-23)."""
     col = check_identifier(column)
     start = window.start.strftime(TIME_FORMAT)
     end = window.end.strftime(TIME_FORMAT)
-    return f"SELECT * FROM {ref.qualified_source} WHERE {col} BETWEEN '{start}' AND '{end}'"
+    return f"SELECT * FROM {_source_name(ref, bracket)} WHERE {col} BETWEEN '{start}' AND '{end}'"
 
 
-def key_query(ref: TableRef, keys: list[str]) -> str:
+def key_query(ref: TableRef, keys: list[str], bracket: bool = False) -> str:
     """M3: the live primary keys of a source table, projected remotely."""
     cols = ", ".join(check_identifier(k) for k in keys)
-    return f"SELECT {cols} FROM {ref.qualified_source}"
+    return f"SELECT {cols} FROM {_source_name(ref, bracket)}"

@@ -58,9 +58,10 @@ def test_source_queries():
     from callcredit.operators.incremental import key_query, window_query
     ref = c.TableRef("db", "dbo", "$t")
     w = c.LoadWindow(datetime(2020, 1, 1), datetime(2020, 1, 2, 3, 4, 5))
-    assert window_query(ref, w) == ("SELECT * FROM dbo.[$t] WHERE ETLTimestamp BETWEEN "
+    assert window_query(ref, w) == ("SELECT * FROM dbo.t WHERE ETLTimestamp BETWEEN "
                                     "'2020-01-01 00:00:00' AND '2020-01-02 03:04:05'")
-    assert key_query(ref, ["WONo", "SeqNo"]) == "SELECT WONo, SeqNo FROM dbo.[$t]"
+    assert key_query(ref, ["WONo", "SeqNo"]) == "SELECT WONo, SeqNo FROM dbo.t"
+    assert key_query(ref, ["WONo"], bracket=True) == "SELECT WONo FROM dbo.[$t]"
     with pytest.raises(ValueError):
         key_query(ref, ["a; drop table x"])
 
