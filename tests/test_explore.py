@@ -58,3 +58,23 @@ def test_exact_quantiles_match_numpy(spark):
         vals = np.array([v for gg, v in rows if gg == g])
         for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
             assert abs(getattr(got[g], name) - np.quantile(vals, p)) < 1e-9, (g, name)
+
+
+def test_segment_shares(spark):
+    rows = [(f"c{i}", float(i + 1), "S" if i % 2 else "L", f"L{i % 3}", "R", "P") for i in range(20)]
+    rows.append(("cx", 5.0, None, "L0", "R", "P"))      # missing segment: left out of the shares
+    df = spark.createDataFrame(rows, "CustomerNo string, TotalHours double, Size string, Loyalty string, "
+                                     "SupportReliance string, Profitability string")
+    segs = ["Loyalty", "Size", "SupportReliance", "Profitability"]
+    top = ex.segment_share(df, segs, top_n=3).collect()
+    assert len(top) == 3 and top[0].PctTotalHours >= top[1].PctTotalHours >= top[2].PctTotalHours
+    full = ex.segment_share(df, segs, top_n=100).collect()
+    assert abs(sum(r.PctTotalHours for r in full) - 100.0) < 1e-9
+    each = ex.segment_share_each(df, ["Size", "Loyalty"]).collect()
+    for seg in ("Size", "Loyalty"):
+        assert abs(sum(r.PctTotalHours for r in each if r.segment == seg) - 100.0) < 1e-9
+    # the row without a Size still counts for Loyalty
+    loyalty_total = sum(r[1] for r in rows)
+    l0 = sum(r[1] for r in rows if r[3] == "L0")
+    got = {r.value: r.PctTotalHours for r in each if r.segment == "Loyalty"}
+    assert abs(got["L0"] - l0 * 100 / loyalty_total) < 1e-9
