@@ -150,3 +150,27 @@ def _strict_flags(typed: DataFrame, mentions: DataFrame, doc_lines: DataFrame, f
     return (stats.join(matched, DOC, "left")
             .select(DOC, "doc_sales",
                     ((single_match + F.coalesce(F.col("n_matched"), F.lit(0))) * flag).alias("doc_flags")))
+
+
+def attribute_revenue_joined(joined: DataFrame) -> DataFrame:
+    """B7 for callers that already hold the joined rows (one per call
+    mention and invoice line: ``MeetingId, RootDocumentNumber, PartSales,
+    OpenDate, ContractStart, ContractEnd``), as the published function takes
+    them.  The per-document aggregate is one row per document, so joining it
+    back on the five columns adds no rows."""
+    rows = joined.select(
+        "MeetingId", F.col(DOC), F.col(SALES).cast(MONEY).alias(SALES),
+        F.to_date("OpenDate").alias("OpenDate"), F.to_date("ContractStart").alias("ContractStart"),
+        F.to_date("ContractEnd").alias("ContractEnd"))
+    per_doc = (rows.groupBy(F.col(DOC).alias("_doc"))
+               .agg(F.sum(SALES).alias("_s"), F.min("OpenDate").alias("_o"),
+                    F.min("ContractStart").alias("_cs"), F.max("ContractEnd").alias("_ce"))
+               .withColumn("_flag", _on_contract(F.col("_o"), F.col("_cs"), F.col("_ce"))))
+    cond = ((F.col(DOC) == F.col("_doc")) & (F.col(SALES) == F.col("_s")) & (F.col("OpenDate") == F.col("_o"))
+            & (F.col("ContractStart") == F.col("_cs")) & (F.col("ContractEnd") == F.col("_ce")))
+    return (rows.join(per_doc, cond, "left")
+            .groupBy("MeetingId")
+            .agg(F.concat_ws(", ", F.array_sort(F.collect_set(DOC))).alias(DOC),
+                 F.sum(SALES).cast("double").alias(SALES),
+                 F.coalesce(F.sum("_flag"), F.lit(0)).cast("bigint").alias("OnContract"))
+            .withColumn("SalesType", sales_type(F.col(DOC))))
