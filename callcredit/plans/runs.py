@@ -41,7 +41,8 @@ def incremental_merge(spark: SparkSession, ref: TableRef, source: DataFrame, *,
                       run_time: datetime, given_start: str | None = None,
                       given_end: str | None = None, overlap_minutes: str | int = 0,
                       source_zone: str | None = None, spec: TimeSpec | None = None,
-                      time_column: str = "ETLTimestamp", save_mark: bool = True) -> LoadWindow:
+                      time_column: str = "ETLTimestamp", save_mark: bool = True,
+                      keep_versions: int | None = None) -> LoadWindow:
     """Window scan -> bronze -> times -> upsert -> mark.
 
     The window overlaps the previous one by ``overlap_minutes``; rows read
@@ -61,6 +62,9 @@ def incremental_merge(spark: SparkSession, ref: TableRef, source: DataFrame, *,
     snapshot.write_snapshot(mutate.upsert(current, changes, primary_keys(keys, table)), silver_path)
     if save_mark:
         snapshot.write_snapshot(inc.set_mark(control, table, window.end), control_root)
+    if keep_versions:
+        snapshot.vacuum(spark, silver_path, keep_versions)
+        snapshot.vacuum(spark, control_root, keep_versions)
     return window
 
 
@@ -72,14 +76,18 @@ def snapshot_live_keys(source: DataFrame, ref: TableRef, keys: dict, bronze_root
 
 
 def delete_run(spark: SparkSession, ref: TableRef, *, keys: dict, bronze_root: str,
-               silver_root: str, run_time: datetime) -> int:
-    """M6: silver rows whose key is gone at the source are removed."""
+               silver_root: str, run_time: datetime, keep_versions: int | None = None) -> int:
+    """M6: silver rows whose key is gone at the source are removed.
+    ``keep_versions`` drops older snapshot versions afterwards."""
     cols = primary_keys(keys, ref.target_name)
     live = bronze.read_run(spark, f"{bronze_root}/{KEY_SNAPSHOT_FOLDER}", ref, run_time)
     silver_path = f"{silver_root}/{ref.database}/{ref.target_name}"
     current = snapshot.read_snapshot(spark, silver_path)
     gone = mutate.deleted_keys(current, live, cols)
-    return snapshot.write_snapshot(mutate.delete_keys(current, gone, cols), silver_path)
+    version = snapshot.write_snapshot(mutate.delete_keys(current, gone, cols), silver_path)
+    if keep_versions:
+        snapshot.vacuum(spark, silver_path, keep_versions)
+    return version
 
 
 def run_load(load_type: str, steps: dict[str, Callable[[], object]],

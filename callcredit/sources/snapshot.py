@@ -70,3 +70,30 @@ def write_snapshot(df: DataFrame, root: str, num_files: int | None = None) -> in
     if not fs.exists(marker):
         fs.create(marker, True).close()
     return nxt
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` complete versions (and incomplete
+    folders older than the newest complete one); returns the versions
+    removed.  Without it every run keeps a full copy of the table.  Keep at
+    least two so a reader that started on the previous version can finish."""
+    if keep < 1:
+        raise ValueError("keep at least one version")
+    complete = versions(spark, root)
+    if len(complete) <= keep:
+        return []
+    fs, p, jvm = _fs(spark, root)
+    newest = complete[-1]
+    removed = []
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if not (status.isDirectory() and name.startswith("v=")):
+            continue
+        try:
+            n = int(name[2:])
+        except ValueError:
+            continue
+        if (n in complete and n < complete[-keep]) or (n not in complete and n < newest):
+            fs.delete(status.getPath(), True)
+            removed.append(n)
+    return sorted(removed)

@@ -30,7 +30,8 @@ def test_incremental_merge_overlap_is_harmless(spark, tmp_path):
     w1 = runs.incremental_merge(spark, ref, src, run_time=datetime(2024, 1, 7, 1),
                                 given_end="2024-01-07 00:00:00", **kw)
     assert w1.start == datetime(2024, 1, 3)
-    w2 = runs.incremental_merge(spark, ref, src, run_time=datetime(2024, 1, 11), **kw)
+    w2 = runs.incremental_merge(spark, ref, src, run_time=datetime(2024, 1, 11), keep_versions=2, **kw)
+    assert snapshot.versions(spark, f"{root}/silver/db/t") == [1, 2]
     assert w2.start == datetime(2024, 1, 6)   # stored mark = end used by run 1, minus a day
     out = snapshot.read_snapshot(spark, f"{root}/silver/db/t")
     assert sorted(r.id for r in out.collect()) == list(range(10))

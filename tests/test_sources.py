@@ -129,3 +129,15 @@ def test_csv_inferred_schema_by_default(spark, tmp_path):
     back = files.read_files(spark, "csv", path)
     assert dict(back.dtypes) == {"i": "int", "d": "double", "s": "string"}
     assert dict(files.read_files(spark, "csv", path, infer_schema=False).dtypes)["i"] == "string"
+
+
+def test_snapshot_vacuum_keeps_newest(spark, tmp_path):
+    root = str(tmp_path / "v")
+    for i in range(4):
+        snapshot.write_snapshot(spark.range(i + 1), root)
+    os.makedirs(os.path.join(root, "v=1x"))          # not a version: untouched
+    assert snapshot.vacuum(spark, root, keep=2) == [0, 1]
+    assert snapshot.versions(spark, root) == [2, 3]
+    assert snapshot.read_snapshot(spark, root).count() == 4
+    with pytest.raises(ValueError):
+        snapshot.vacuum(spark, root, keep=0)
