@@ -45,8 +45,8 @@ def test_window_resolution():
 
 def test_run_folder():
     t = c.TableRef("db", "dbo", "tbl")
-    assert c.run_folder("/mnt/bronze", t, "2020-09-01 14:20:55") == \
-        "/mnt/bronze/db/tbl/2020_09_01/2020_09_01-14_20_55"
+    assert c.run_folder("/lake/raw", t, "2020-09-01 14:20:55") == \
+        "/lake/raw/db/tbl/2020_09_01/2020_09_01-14_20_55"
 
 
 def test_bad_source(spark):
