@@ -78,3 +78,15 @@ def test_segment_shares(spark):
     l0 = sum(r[1] for r in rows if r[3] == "L0")
     got = {r.value: r.PctTotalHours for r in each if r.segment == "Loyalty"}
     assert abs(got["L0"] - l0 * 100 / loyalty_total) < 1e-9
+
+
+def test_average_rank_matches_pandas_on_random_ties(spark):
+    import random
+
+    import pandas as pd
+    rng = random.Random(21)
+    vals = [float(rng.randint(0, 60)) for _ in range(700)] + [7.0] * 300     # one value with many ties
+    df = spark.createDataFrame(list(enumerate(vals)), "id int, x double")
+    got = {r.id: r.r for r in ex.average_rank_desc(df, "x", "r", partitions=6).collect()}
+    want = pd.Series(vals).rank(ascending=False).astype("int")
+    assert [got[i] for i in range(len(vals))] == list(want)
