@@ -90,3 +90,29 @@ def test_average_rank_matches_pandas_on_random_ties(spark):
     got = {r.id: r.r for r in ex.average_rank_desc(df, "x", "r", partitions=6).collect()}
     want = pd.Series(vals).rank(ascending=False).astype("int")
     assert [got[i] for i in range(len(vals))] == list(want)
+
+
+def test_pareto_matches_pandas_statement(spark):
+    """The published per-customer computation, in pandas, on rows without
+    ties in hours (its sort does not fix an order among ties)."""
+    import random
+
+    import pandas as pd
+    rng = random.Random(4)
+    rows, hours_used = [], set()
+    for i in range(300):
+        h = round(rng.uniform(0.01, 9.99), 2)
+        while h in hours_used:
+            h = round(h + 0.01, 2)
+        hours_used.add(h)
+        rows.append((i, f"c{rng.randint(0, 4)}", f"o{rng.randint(0, 30)}", h))
+    df = spark.createDataFrame(rows, CALLS)
+    got = sorted((r.CustomerNo, r.Objective) for r in ex.pareto(df, ["CustomerNo"], "Objective", 90.0).collect())
+    pdf = pd.DataFrame(rows, columns=["MeetingID", "CustomerNo", "Objective", "DurationHours"])
+    want = []
+    for cust, part in pdf.groupby("CustomerNo"):
+        o = part.groupby("Objective")["DurationHours"].sum().sort_values(ascending=False)
+        pct = o * 100 / o.sum()
+        keep = pct.cumsum() <= 90
+        want += [(cust, obj) for obj in o.index[keep.values]]
+    assert got == sorted(want)
