@@ -116,3 +116,33 @@ def test_pareto_matches_pandas_statement(spark):
         keep = pct.cumsum() <= 90
         want += [(cust, obj) for obj in o.index[keep.values]]
     assert got == sorted(want)
+
+
+def test_top_with_total_matches_pandas_pivot_margins(spark):
+    """``pivot_table(..., margins=True)`` as the published helper calls it,
+    on rows with missing hours and missing keys."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        key = rng.choice([f"k{j}" for j in range(12)] + [None])
+        hours = None if rng.random() < 0.1 else float(rng.randint(1, 400)) / 4   # exact in binary
+        rows.append((i, key, "o", hours))
+    df = spark.createDataFrame(rows, CALLS)
+    out = ex.top_with_total(df, ["CustomerNo"], top_n=5).collect()
+    got_total = [(r.TotalCalls, r.TotalHours) for r in out if r.is_total][0]
+    got_keys = {r.CustomerNo: (r.TotalCalls, r.TotalHours) for r in out if not r.is_total}
+
+    pdf = pd.DataFrame(rows, columns=["MeetingID", "CustomerNo", "Objective", "DurationHours"])
+    piv = pd.pivot_table(pdf, values=["MeetingID", "DurationHours"], index=["CustomerNo"],
+                         aggfunc={"MeetingID": "count", "DurationHours": "sum"}, fill_value=0,
+                         margins=True, margins_name="Total")
+    assert got_total == (int(piv.loc["Total", "MeetingID"]), float(piv.loc["Total", "DurationHours"]))
+    body = piv.drop(index="Total").reset_index()
+    body = body.sort_values(["DurationHours", "CustomerNo"], ascending=[False, True]).head(5)
+    want = {r.CustomerNo: (int(r.MeetingID), float(r.DurationHours)) for r in body.itertuples()}
+    assert got_keys == want
+    assert np.isfinite(got_total[1])
