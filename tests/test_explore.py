@@ -146,3 +146,26 @@ def test_top_with_total_matches_pandas_pivot_margins(spark):
     want = {r.CustomerNo: (int(r.MeetingID), float(r.DurationHours)) for r in body.itertuples()}
     assert got_keys == want
     assert np.isfinite(got_total[1])
+
+
+def test_pivot_matches_pandas_pivot_margins(spark):
+    import random
+
+    import pandas as pd
+    rng = random.Random(13)
+    types = ["Queue Call", "Afterhours", "Direct Call", "Walk In", "Service"]
+    rows = [(i, f"c{rng.randint(0, 15)}", rng.choice(types)) for i in range(500)]
+    df = spark.createDataFrame(rows, "MeetingID bigint, CustomerNo string, CallType string")
+    shown = ["Queue Call", "Afterhours", "Direct Call", "Walk In"]
+    out = ex.pivot_with_totals(df, ["CustomerNo"], "CallType", shown, top_n=6).collect()
+    pdf = pd.DataFrame(rows, columns=["MeetingID", "CustomerNo", "CallType"])
+    piv = pd.pivot_table(pdf, values="MeetingID", index=["CustomerNo"], columns=["CallType"], aggfunc="count",
+                         fill_value=0, margins=True, margins_name="Total")
+    cols = ["Total"] + shown
+    total = [r for r in out if r.is_total][0]
+    assert [total.Total, total.Queue_Call, total.Afterhours, total.Direct_Call, total.Walk_In] == \
+        [int(piv.loc["Total", c]) for c in cols]
+    body = piv.drop(index="Total").reset_index().sort_values(["Total", "CustomerNo"], ascending=[False, True]).head(6)
+    want = {r["CustomerNo"]: [int(r[c]) for c in cols] for _, r in body.iterrows()}
+    got = {r.CustomerNo: [r.Total, r.Queue_Call, r.Afterhours, r.Direct_Call, r.Walk_In] for r in out if not r.is_total}
+    assert got == want
