@@ -146,3 +146,33 @@ def test_legacy_positions(spark):
                  for r in docnum.extract_legacy(df, with_position=True).collect())
     assert got == [("Notes", 0, "03C526341"), ("Notes", 1, "03C526342"),
                    ("PartsDocumentNumber", 0, "00C074511"), ("PartsDocumentNumber", 1, "00C074523")]
+
+
+def test_legacy_matches_pandas_statement(spark):
+    """The earlier parser as pandas code (anchored mask, extractall of full
+    numbers or word-initial digit runs, short runs completed from the row's
+    first match, notes' full numbers, (call, number) duplicates dropped)."""
+    import pandas as pd
+    rng = random.Random(17)
+    frags = ["00C074511", "-23", " 4", " 1234567", "X", " ", "/", "&", "03C5263414", "12", "ab 45S000001"]
+    rows = []
+    for i in range(300):
+        f = "".join(rng.choice(frags) for _ in range(rng.randint(0, 6)))
+        n = "".join(rng.choice(frags) for _ in range(rng.randint(0, 6)))
+        rows.append((i, f if rng.random() > 0.05 else None, n if rng.random() > 0.05 else None))
+    got = sorted((r.MeetingId, r.RootDocumentNumber)
+                 for r in docnum.extract_legacy(spark.createDataFrame(rows, SCHEMA)).collect())
+
+    pat = r"\d{2}[A-Z]\d{6}"
+    pdf = pd.DataFrame(rows, columns=["MeetingId", "PartsDocumentNumber", "Notes"]).set_index("MeetingId")
+    for c in ("PartsDocumentNumber", "Notes"):
+        pdf[c] = pdf[c].str.strip().str.upper()
+    mask = pdf["PartsDocumentNumber"].str.match(pat).fillna(False).astype(bool)
+    found = []
+    for mid, text in pdf.loc[mask, "PartsDocumentNumber"].items():
+        ms = re.findall(rf"({pat}|\b\d+)", text)
+        first = ms[0]
+        found += [(mid, first[: 9 - len(m)] + m if len(m) <= 6 else m) for m in ms]
+    for mid, text in pdf["Notes"].dropna().items():
+        found += [(mid, m) for m in re.findall(rf"({pat})", text)]
+    assert got == sorted(set(found))
