@@ -169,3 +169,21 @@ def test_pivot_matches_pandas_pivot_margins(spark):
     want = {r["CustomerNo"]: [int(r[c]) for c in cols] for _, r in body.iterrows()}
     got = {r.CustomerNo: [r.Total, r.Queue_Call, r.Afterhours, r.Direct_Call, r.Walk_In] for r in out if not r.is_total}
     assert got == want
+
+
+def test_segment_share_matches_pandas(spark):
+    import random
+
+    import pandas as pd
+    rng = random.Random(23)
+    segs = ["Loyalty", "Size", "SupportReliance", "Profitability"]
+    rows = [(f"c{i}", rng.randint(1, 10 ** 6) / 100, rng.choice("AB"), rng.choice("XYZ"), rng.choice("PQ"),
+             rng.choice("MN")) for i in range(400)]
+    df = spark.createDataFrame(rows, "CustomerNo string, TotalHours double, Loyalty string, Size string, "
+                                     "SupportReliance string, Profitability string")
+    got = [(tuple(r[s] for s in segs), round(r.PctTotalHours, 9)) for r in ex.segment_share(df, segs).collect()]
+    pdf = pd.DataFrame(rows, columns=["CustomerNo", "TotalHours"] + segs)
+    c = pdf.groupby(segs).agg({"TotalHours": "sum"}).sort_values("TotalHours", ascending=False)
+    share = (c * 100 / c.sum()).iloc[:11]
+    want = [(idx, round(v, 9)) for idx, v in zip(share.index, share["TotalHours"])]
+    assert got == want
