@@ -187,3 +187,14 @@ def test_segment_share_matches_pandas(spark):
     share = (c * 100 / c.sum()).iloc[:11]
     want = [(idx, round(v, 9)) for idx, v in zip(share.index, share["TotalHours"])]
     assert got == want
+
+
+def test_duration_hours(spark):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(datetime(2024, 3, 10, 1, 0), datetime(2024, 3, 10, 4, 30)),
+                                (datetime(2024, 1, 1, 0, 0), datetime(2024, 1, 1, 0, 0, 36))],
+                               "s timestamp_ntz, e timestamp_ntz")
+    got = [r.h for r in df.select(ex.duration_hours(F.col("s"), F.col("e")).alias("h")).collect()]
+    assert got == [3.5, 0.01]
