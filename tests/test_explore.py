@@ -198,3 +198,18 @@ def test_duration_hours(spark):
                                "s timestamp_ntz, e timestamp_ntz")
     got = [r.h for r in df.select(ex.duration_hours(F.col("s"), F.col("e")).alias("h")).collect()]
     assert got == [3.5, 0.01]
+
+
+def test_calls_hours_and_correlation_match_pandas(spark):
+    import random
+
+    import pandas as pd
+    rng = random.Random(31)
+    rows = [(i, f"c{rng.randint(0, 40)}", "o", rng.randint(1, 4000) / 8) for i in range(1500)]
+    df = spark.createDataFrame(rows, CALLS)
+    pdf = pd.DataFrame(rows, columns=["MeetingID", "CustomerNo", "Objective", "DurationHours"])
+    per = pdf.groupby("CustomerNo").agg({"MeetingID": "count", "DurationHours": "sum"})
+    got = {r.CustomerNo: (r.TotalCalls, r.TotalHours) for r in ex.calls_hours(df, "CustomerNo").collect()}
+    assert got == {k: (int(v.MeetingID), float(v.DurationHours)) for k, v in per.iterrows()}
+    corr = ex.calls_hours_corr(df, "CustomerNo").first().corr_calls_hours
+    assert abs(corr - per["MeetingID"].corr(per["DurationHours"])) < 1e-6
