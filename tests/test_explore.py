@@ -213,3 +213,21 @@ def test_calls_hours_and_correlation_match_pandas(spark):
     assert got == {k: (int(v.MeetingID), float(v.DurationHours)) for k, v in per.iterrows()}
     corr = ex.calls_hours_corr(df, "CustomerNo").first().corr_calls_hours
     assert abs(corr - per["MeetingID"].corr(per["DurationHours"])) < 1e-6
+
+
+def test_drill_matches_pandas_order(spark):
+    import random
+
+    import pandas as pd
+    rng = random.Random(41)
+    rows = [(i, "B1", f"p{rng.randint(0, 3)}", f"o{rng.randint(0, 5)}", rng.randint(1, 10 ** 5) / 100)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "MeetingID bigint, Branch string, Contact string, Objective string, "
+                                     "DurationHours double")
+    got = [(r.Contact, r.Objective, r.TotalCalls) for r in ex.drill(df, ["Branch", "Contact", "Objective"]).collect()]
+    pdf = pd.DataFrame(rows, columns=["MeetingID", "Branch", "Contact", "Objective", "DurationHours"])
+    agg = (pdf.groupby(["Branch", "Contact", "Objective"])
+           .agg({"DurationHours": "sum", "MeetingID": "count"})
+           .groupby(level=1, group_keys=False).apply(lambda x: x.sort_values("DurationHours", ascending=False)))
+    want = [(c, o, int(n)) for (_, c, o), n in zip(agg.index, agg["MeetingID"])]
+    assert got == want
