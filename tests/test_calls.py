@@ -73,3 +73,11 @@ def test_detail_branch_first_name(spark):
     # dialled number unknown: the detail's branch, named by its first name in order
     assert (r.DialedBranchNo, r.DialedBranchName) == ("B2", "Alpha")
     assert r.Contact is None and r.CallType == "Queue Call"
+
+
+def test_first_per_key_orders_missing_names_first(spark):
+    from callcredit.plans.calls import first_per_key
+    df = spark.createDataFrame([("B1", "Zeta"), ("B1", None), ("B2", "Beta"), ("B2", "Alpha")],
+                               "BranchNo string, BranchName string")
+    got = {r.BranchNo: r.BranchName for r in first_per_key(df, "BranchNo", "BranchName").collect()}
+    assert got == {"B1": None, "B2": "Alpha"}
