@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from callcredit.plans import catalog
 from conftest import SF_SMALL
 
 
@@ -28,9 +29,9 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "Map
              "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_plan_stays_in_the_jvm_without_pair_joins(spark, name):
     """No Python evaluation and no nested-loop / cartesian join in any plan."""
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = catalog.QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [f for f in FORBIDDEN if f in plan], plan
