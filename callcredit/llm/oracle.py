@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import MASKS, SHARE, SPAN, WINDOW
 from .quality import RULES, STOP_WORDS
 
 SQL: dict[str, str] = {}
@@ -58,3 +59,36 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND failed_rules = '' AS kept, failed_rules
 FROM f"""
+
+
+def _seed_rows(source: str, key: str) -> str:
+    parts = [f"SELECT {key}, i - 1 AS pos, {m} AS mask, concat_ws(' ', {', '.join(f'ws[i + {o}]' for o in mask)}) AS seed FROM "
+             f"(SELECT {key}, ws, unnest(generate_series(1, len(ws) - {SPAN - 1})) AS i FROM {source})"
+             for m, mask in enumerate(MASKS)]
+    return " UNION ALL ".join(parts)
+
+
+SQL["op7_benchmark_decontamination"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS ws
+  FROM (SELECT DISTINCT doc_id, text FROM documents)),
+b AS (
+  SELECT row_number() OVER () AS bid, item_id, ws
+  FROM (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS ws FROM benchmark)),
+ds AS ({_seed_rows('d', 'rid')}),
+bs AS ({_seed_rows('b', 'bid')}),
+h AS (SELECT DISTINCT rid, bid, ds.pos - bs.pos AS diag FROM ds JOIN bs USING (mask, seed)),
+q AS (
+  SELECT rid, bid, diag, p, (d.ws[p + diag] = b.ws[p])::INT AS eq, least({WINDOW}, len(b.ws)) AS w, len(b.ws) AS item_words
+  FROM (SELECT rid, bid, diag, unnest(generate_series(greatest(1, 1 - diag), least(len(bw), len(dw) - diag))) AS p
+        FROM (SELECT h.*, d.ws AS dw, b.ws AS bw FROM h JOIN d USING (rid) JOIN b USING (bid)))
+  JOIN d USING (rid) JOIN b USING (bid)),
+v AS (
+  SELECT a.rid, a.bid, a.diag, a.p, a.w, a.item_words, count(*) AS n, sum(z.eq) AS e
+  FROM q a JOIN q z ON a.rid = z.rid AND a.bid = z.bid AND a.diag = z.diag AND z.p BETWEEN a.p AND a.p + a.w - 1
+  GROUP BY ALL),
+g AS (SELECT rid, bid, diag, any_value(item_words) AS item_words, max(e) AS best FROM v WHERE n = w AND e >= {SHARE} * w GROUP BY ALL),
+s AS (SELECT rid, bid, diag, sum(eq) AS n FROM q GROUP BY ALL)
+SELECT doc_id, item_id, item_words::INT AS item_words, max(s.n)::INT AS equal_words, max(best)::INT AS window_equal
+FROM g JOIN s USING (rid, bid, diag) JOIN d USING (rid) JOIN b USING (bid)
+GROUP BY rid, bid, doc_id, item_id, item_words"""
