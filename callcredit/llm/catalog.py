@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, oracle, quality, simhash
+from . import bpe, decontaminate, oracle, quality, secrets, simhash
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,31 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     """Documents and the benchmark items they hold."""
     found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "item_words", "equal_words", "window_equal")
+
+
+def tokenizer() -> tuple[str, str]:
+    """Rank file and split pattern of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), *tokenizer())
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document, and how many look live; a document's source
+    is its owner, source and language its repository."""
+    docs = table(spark, sf_dir, "documents").withColumn("repository", F.concat_ws("/", "source", "lang"))
+    found = secrets.scan(docs, repository="repository", owner="source")
+    spans = F.col("spans")
+    of = lambda *kinds: F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(secrets.spans_text(of(*secrets.BASE)), 256).alias("base_sha256"),
+        secrets.spans_text(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["live"])).cast("bigint").alias("n_live"))

@@ -35,9 +35,12 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callcredit.session import materialize
 
+from .text import map_texts
+
 BITS = 64
 SEED = 42
 BLOCK = 1024  # most fingerprints of a bucket that one comparison loads per side
@@ -65,14 +68,9 @@ def _shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
     """``doc_id``, ``fp`` (the 64 bits as a signed long) and ``text_hash`` of
     every row."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in b["text"]), np.uint64, len(b))
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": fps.view(np.int64), "text_hash": b["text_hash"]})
-
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
-                       F.xxhash64(text).alias("text_hash"))
-    return rows.mapInPandas(run, "doc_id bigint, fp bigint, text_hash bigint")
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text"))
+    make = lambda texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
+    return map_texts(rows, "_text", [T.StructField("fp", T.LongType())], make, drop=("_text",))
 
 
 @dataclass(frozen=True)

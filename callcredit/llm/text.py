@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # White space of the word rule: space and the controls 0x09 to 0x0D.
 WS_CLASS = r"[\x20\x09-\x0D]"
@@ -34,3 +37,26 @@ def ratio(a: Column, b: Column) -> Column:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def map_texts(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[list], list[list]],
+              drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``fields`` computed in Arrow batches from one column.
+
+    ``make`` gets a batch of its values and returns one list per field.  The
+    other columns pass through untouched; ``drop`` names those that end here,
+    and an input column with the name of a field is replaced.
+    """
+    gone = {f.name for f in fields} | set(drop)
+    kept = [f for f in df.schema.fields if f.name not in gone]
+    out = T.StructType([*kept, *fields])
+    names, arrow = [f.name for f in kept], to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = make(b.column(text).to_pylist())
+            passed = [b.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(
+                [*passed, *(pa.array(v, f.type) for v, f in zip(made, list(arrow)[len(names):]))], names=arrow.names)
+
+    return df.mapInArrow(run, out)

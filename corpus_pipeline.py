@@ -1,26 +1,61 @@
-"""Cleaning pipeline over ``documents``; each stage reads what the one
-before wrote."""
+"""Cleaning pipeline over ``documents``: five stages, each over all that the
+stage before it kept, written as Parquet and reread.
+
+1. quality rules: documents that fail a rule go;
+2. SimHash near-duplicates: one document of each group stays;
+3. benchmark decontamination: documents that hold a benchmark item go;
+4. secret scans: live-looking credentials are masked in the texts;
+5. byte-level BPE: every text as token ids, decoded again as a check.
+
+Stages 1 to 4 return the columns of ``documents``; stage 5 returns the ids.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from callcredit.llm import quality
+from callcredit.llm import bpe, decontaminate, quality, secrets, simhash
+from callcredit.llm.catalog import tokenizer
 from callcredit.session import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail a quality rule go."""
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_first(docs, shingle=4, distance=4)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    marked = docs.withColumn("_repository", F.concat_ws("/", "source", "lang"))
+    return secrets.redact(marked, repository="_repository", owner="source", length="n_chars").drop("_repository")
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.checked_ids(docs, *tokenizer()).drop("text")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("byte_bpe", byte_bpe),
+]
 
+# fingerprints, components and token ids are beyond SQL; tests/llm compares
+# run() with a plain Python version of the stages
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and reread."""
+    """All stages over ``documents``; the last one's rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
