@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import AGAIN, CLOSE, CONTROL, HEAD, OPEN
 from .decontaminate import MASKS, SHARE, SPAN, WINDOW
 from .quality import RULES, STOP_WORDS
 
@@ -92,3 +93,26 @@ s AS (SELECT rid, bid, diag, sum(eq) AS n FROM q GROUP BY ALL)
 SELECT doc_id, item_id, item_words::INT AS item_words, max(s.n)::INT AS equal_words, max(best)::INT AS window_equal
 FROM g JOIN s USING (rid, bid, diag) JOIN d USING (rid) JOIN b USING (bid)
 GROUP BY rid, bid, doc_id, item_id, item_words"""
+
+
+def _escaped_length(column: str) -> str:
+    """Every backslash and every control string gains one character."""
+    more = " + ".join(f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in ("\\", *CONTROL))
+    return f"(length({column}) + {more})"
+
+
+SQL["op8_chat_formatting"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM t),
+p AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY rn) AS before FROM o),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn) AS said,
+         coalesce(string_agg(text, '' ORDER BY rn) FILTER (role = 'assistant'), '') AS loss,
+         sum({_escaped_length('text')} + CASE WHEN before = role THEN {len(AGAIN)}
+             ELSE {len(OPEN) + len(HEAD) + len(CLOSE)} + {_escaped_length('role')} END) AS formatted_chars
+  FROM p GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars::BIGINT AS formatted_chars
+FROM g"""
