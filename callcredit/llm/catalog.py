@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, oracle, quality, secrets, simhash
+from . import bpe, chat, decontaminate, oracle, quality, secrets, simhash, warc
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
         F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
