@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import AGAIN, CLOSE, CONTROL, HEAD, OPEN
 from .decontaminate import MASKS, SHARE, SPAN, WINDOW
+from .licenses import EQUIVALENT, KNOWN
 from .quality import RULES, STOP_WORDS
 
 SQL: dict[str, str] = {}
@@ -116,3 +117,31 @@ g AS (
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
        formatted_chars::BIGINT AS formatted_chars
 FROM g"""
+
+
+def _canonical(t: str) -> str:
+    out = f"regexp_replace(lower(coalesce({t}, '')), '(?m)^[^\\p{{L}}\\p{{N}}\\n©]*(?:©|\\(c\\)|copyright\\b|all rights reserved\\b)[^\\n]*$', '', 'g')"
+    out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    for a, b in EQUIVALENT:
+        out = f"regexp_replace({out}, '\\b{a}\\b', '{b}', 'g')"
+    return out
+
+
+def _canonical_digest(c: str) -> str:
+    words = f"trim(regexp_replace({c}, '[ \\n]+', ' ', 'g'))"
+    return f"CASE WHEN {words} <> '' THEN sha256({words}) END"
+
+
+_KNOWN = ", ".join(f"('{n}', '{t}')" for n, t in KNOWN)
+
+SQL["op1_license_scan"] = f"""
+WITH k AS (
+  SELECT {_canonical_digest('c')} AS digest, min(license) AS license
+  FROM (SELECT license, {_canonical('text')} AS c FROM (VALUES {_KNOWN}) AS v(license, text)) GROUP BY 1),
+c AS (SELECT row_number() OVER () AS rid, doc_id, {_canonical('text')} AS c FROM documents),
+l AS (
+  SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses
+  FROM (SELECT rid, {_canonical_digest('line')} AS digest FROM (SELECT rid, unnest(string_split(c, chr(10))) AS line FROM c))
+  JOIN k USING (digest) GROUP BY rid)
+SELECT doc_id, digest, license, coalesce(line_licenses, '') AS line_licenses
+FROM (SELECT rid, doc_id, {_canonical_digest('c')} AS digest FROM c) LEFT JOIN k USING (digest) LEFT JOIN l USING (rid)"""

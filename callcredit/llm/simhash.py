@@ -31,7 +31,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,15 +82,15 @@ class Part:
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
     """Rows, ones per bit and joint ones per bit pair over all of ``fp``:
     4,161 numbers whatever the number of rows."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, joint = 0, np.zeros((BITS, BITS))
         for b in batches:
-            m = _bit_matrix(b["fp"].to_numpy()).astype(np.float32)
+            m = _bit_matrix(b.column("fp").to_numpy()).astype(np.float32)
             n += len(m)
             joint += m.T @ m
-        yield pd.DataFrame({"cell": np.arange(BITS * BITS + 1), "v": np.append(joint.ravel(), n)})
+        yield pa.RecordBatch.from_pydict({"cell": np.arange(BITS * BITS + 1, dtype=np.int32), "v": np.append(joint.ravel(), n)})
 
-    got = fps.select("fp").mapInPandas(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+    got = fps.select("fp").mapInArrow(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
     out = np.zeros(BITS * BITS + 1)
     for r in got:
         out[r["cell"]] = r["v"]
@@ -180,17 +180,18 @@ def probe_rows(fps: DataFrame, parts: list[Part]) -> DataFrame:
     value within the part's threshold; ``own`` marks its very own value."""
     probed = [(i, *_masks(p)) for i, p in enumerate(parts) if p.threshold >= 0]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b["fp"].to_numpy().view(np.uint64)
+            fp = b.column("fp").to_numpy().view(np.uint64)
             for i, mask, flips in probed:
                 v = (fp & mask)[:, None] ^ flips[None, :]
                 own = np.zeros(v.shape, bool)
                 own[:, 0] = True
-                yield pd.DataFrame({"part": np.int32(i), "value": v.ravel().view(np.int64),
-                                    "fp": np.repeat(fp, len(flips)).view(np.int64), "own": own.ravel()})
+                yield pa.RecordBatch.from_pydict({
+                    "part": np.full(v.size, i, np.int32), "value": v.ravel().view(np.int64),
+                    "fp": np.repeat(fp, len(flips)).view(np.int64), "own": own.ravel()})
 
-    return fps.select("fp").mapInPandas(run, "part int, value bigint, fp bigint, own boolean")
+    return fps.select("fp").mapInArrow(run, "part int, value bigint, fp bigint, own boolean")
 
 
 def _forest(fp: np.ndarray, own: np.ndarray, left: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -244,34 +245,35 @@ def links(spark: SparkSession, fps: DataFrame, parts: list[Part], distance: int)
     rows = rows.select("part", "value", "fp", "own", F.least("block", "other").alias("i"),
                        F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("left"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ("part", "value", "i", "j", "fp", "own", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = None
         for b in batches:
-            b = b if carry is None else pd.concat([carry, b], ignore_index=True)
-            keys = b[["part", "value", "i", "j"]].to_numpy()
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            c = [b.column(n).to_numpy(zero_copy_only=False) for n in columns]
+            c = c if carry is None else [np.concatenate(x) for x in zip(carry, c)]
+            cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in c[:4]])) + 1
             last = int(cuts[-1]) if len(cuts) else 0
-            carry = b.iloc[last:]
-            yield from emit(b.iloc[:last], cuts[:-1])
+            carry = [x[last:] for x in c]
+            if last:
+                yield emit([x[:last] for x in c], cuts[:-1].tolist())
         if carry is not None:
-            yield from emit(carry, np.array([], dtype=int))
+            yield emit(carry, [])
 
-    def emit(b: pd.DataFrame, cuts: np.ndarray) -> Iterator[pd.DataFrame]:
-        if not len(b):
-            return
-        fp, own, left = b["fp"].to_numpy().view(np.uint64), b["own"].to_numpy(), b["left"].to_numpy()
-        same = (b["i"] == b["j"]).to_numpy()
+    def emit(c: list[np.ndarray], cuts: list[int]) -> pa.RecordBatch:
+        _, _, i, j, fp, own, left = c
+        fp, same = fp.view(np.uint64), i == j
         out_a, out_b = [], []
-        for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(b)]):
+        for s, e in zip([0, *cuts], [*cuts, len(fp)]):
             side = left[s:e] if not same[s] else np.ones(e - s, bool)
             for x, y in _forest(fp[s:e], own[s:e], side, distance):
                 out_a.append(s + x)
                 out_b.append(s + y)
-        a, c = fp[out_a].view(np.int64), fp[out_b].view(np.int64)
-        yield pd.DataFrame({"a": np.minimum(a, c), "b": np.maximum(a, c)})
+        a, b = fp[np.array(out_a, int)].view(np.int64), fp[np.array(out_b, int)].view(np.int64)
+        return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     keys = ["part", "value", "i", "j"]
-    found = rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a bigint, b bigint")
+    found = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint")
     return found.where("a < b").distinct()
 
 
@@ -283,21 +285,25 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     when nothing changes; both sides of each join are stored tables, so a
     node with very many links is split by the adaptive join.
     """
-    current = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                          .where("a > b").distinct(), "cc-edges")
+    def stars(links: DataFrame, name: str) -> DataFrame:
+        """Smallest of every ``a`` and its neighbours beside its links."""
+        low = materialize(links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), f"cc-{name}")
+        return links.join(low, "a")
+
+    def stored(links: DataFrame) -> tuple[DataFrame, tuple]:
+        out = materialize(links.where("a > b").distinct(), "cc-edges")
+        return out, tuple(out.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    current, sign = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while True:
-        both = materialize(current.union(current.select("b", "a")), "cc-both")
-        low = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "cc-low")
-        star = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialize(star.where("a > b").distinct(), "cc-large")
-        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "cc-low")
-        small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
-                                            F.col("m").alias("b"))
-        after = materialize(small.where("a > b").distinct(), "cc-edges")
-        # done when every node has one edge and no root has a smaller neighbour
-        same = current.count() == after.count() and current.exceptAll(after).isEmpty()
-        current = after
-        if same:
+        both = current.union(current.select("b", "a"))
+        large = stars(both, "large").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = materialize(large.where("a > b").distinct(), "cc-stars")
+        small = stars(large, "small").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
+                                             F.col("m").alias("b"))
+        before = sign
+        current, sign = stored(small)
+        if sign == before:  # a round that changes nothing: every edge names its root
             return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 current.select(F.col("b"), F.col("b")).distinct())
 
