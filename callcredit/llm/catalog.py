@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, licenses, oracle, quality, secrets, simhash, warc
+from . import bpe, chat, decontaminate, licenses, maxent, oracle, quality, secrets, simhash, warc
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known licences of every document: whole texts and whole lines."""
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_table(spark))
+
+
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every document."""
+    return maxent.fit_and_score(table(spark, sf_dir, "documents"))
