@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, licenses, maxent, oracle, quality, secrets, simhash, warc
+from . import bpe, chat, decontaminate, licenses, maxent, oracle, quality, secrets, simhash, suffixes, warc
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model scores of every document."""
     return maxent.fit_and_score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings that start earlier."""
+    done = suffixes.deduplicate(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
