@@ -136,15 +136,19 @@ def _fails(rule: Rule) -> Column:
 def annotate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with the metrics, ``base_failed``, ``failed_rules`` (names,
     comma-joined) and ``kept``."""
-    out = metrics(docs, text).withColumn(
+    names = docs.columns
+    boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs[text].alias("_t"))
+    out = metrics(boxed, "_t").withColumn(
         "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-    names = F.array(*[F.when(_fails(r), F.lit(r.name)) for r in rules]) if rules else F.array().cast("array<string>")
-    out = out.withColumn("failed_rules", F.array_join(F.array_compact(names), ","))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == ""))
+    failed = F.array(*[F.when(_fails(r), F.lit(r.name)) for r in rules]) if rules else F.array().cast("array<string>")
+    out = out.withColumn("failed_rules", F.array_join(F.array_compact(failed), ","))
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == ""))
+    made = [c for c in out.columns if c not in ("_row", "_t")]
+    return out.select(*[F.col(f"_row.`{c}`") for c in names if c not in made], *made)
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass, with the columns they came with."""
     names = docs.columns
-    boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs[text].alias("_t"))
-    return annotate(boxed, "_t", rules).where("kept").select("_row.*")
+    boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("row_"), docs[text].alias("text_"))
+    return annotate(boxed, "text_", rules).where("kept").select("row_.*")

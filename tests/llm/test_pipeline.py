@@ -1,0 +1,27 @@
+import inspect
+
+import corpus_pipeline
+from callcredit.llm import catalog
+from llm_helpers import SF
+
+
+def test_stages(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    docs, before = documents, documents.count()
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "simhash_near_dedup", "benchmark_decontamination", "secret_scan", "byte_bpe"]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.materialize(stage(spark, docs, SF), f"test-{name}")
+        assert docs.count() <= before
+        before = docs.count()
+        if name != "byte_bpe":
+            assert docs.columns == documents.columns
+    assert docs.where("not exact").count() == 0
+    assert corpus_pipeline.run(spark, SF).count() == before
+
+
+def test_registered():
+    for n in range(1, 11):
+        assert sum(q.startswith(f"op{n}_") for q in catalog.QUERIES) == 1
+    assert list(inspect.signature(corpus_pipeline.run).parameters) == ["spark", "sf_dir"]
+    assert set(catalog.ORACLE) <= set(catalog.QUERIES)
