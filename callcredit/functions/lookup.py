@@ -1,40 +1,33 @@
 """Lookups and classification expressions.
 
-A lookup table is a Python mapping held by the caller; its size is known on
-the driver.  Up to ``MAP_LITERAL_MAX`` keys it becomes a map literal inside
-the projection (no join at all); above that it is shipped as a broadcast
-relation, which is safe because its size is the mapping's, not the data's.
+A lookup table is a Python mapping held by the caller.  It becomes a small
+relation with a known size, left-joined on columns of private names, so the
+caller's columns are never touched; Spark broadcasts it when it is under the
+session's threshold.
 """
 
 from __future__ import annotations
 
-from itertools import chain
+import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAP_LITERAL_MAX = 256
-
-
-def map_literal(mapping: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-
 
 def lookup(df: DataFrame, key: Column, mapping: dict[str, str], out: str,
            default: str | None = None) -> DataFrame:
     """``out = mapping[key]``; a missing key gives ``default`` (NULL
     unless given, D-17)."""
-    if len(mapping) <= MAP_LITERAL_MAX:
-        value = map_literal(mapping)[key] if mapping else F.lit(None).cast("string")
-        if default is not None:
-            value = F.coalesce(value, F.lit(default))
-        return df.withColumn(out, value)
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(mapping.items()), "_lk string, _lv string")
-    keyed = df.withColumn("_lk", key)
-    joined = keyed.join(F.broadcast(table), "_lk", "left")
-    value = F.col("_lv") if default is None else F.coalesce(F.col("_lv"), F.lit(default))
-    return joined.withColumn(out, value).drop("_lk", "_lv")
+    mark = uuid.uuid4().hex
+    k, v = f"_key_{mark}", f"_value_{mark}"
+    table = df.sparkSession.createDataFrame(pa.table(
+        {k: pa.array(list(mapping.keys()), pa.string()), v: pa.array(list(mapping.values()), pa.string())}))
+    joined = df.join(table, key == F.col(k), "left")
+    value = (F.col(v) if default is None else F.coalesce(F.col(v), F.lit(default))).alias(out)
+    if out in df.columns:
+        return joined.select(*[value if c == out else df[c] for c in df.columns])
+    return joined.select(*[df[c] for c in df.columns], value)
 
 
 def prefix(col: Column, length: int) -> Column:
@@ -61,7 +54,7 @@ def two_way(col: Column, members: tuple[str, ...], yes: str, no: str) -> Column:
     return F.when(col.isin(*members), yes).otherwise(no)
 
 
-def date_of(col: Column) -> Column:
-    """Calendar date of a timestamp (a format given for a
-    timestamp input has no effect, so none is taken)."""
-    return F.to_date(col)
+def date_of(col: Column, fmt: str | None = None) -> Column:
+    """Calendar date of a timestamp or text (in ``fmt``, which has
+    no effect on a timestamp); text that is no date gives NULL."""
+    return F.try_to_date(col, fmt) if fmt else F.try_to_date(col)

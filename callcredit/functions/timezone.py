@@ -25,8 +25,9 @@ def local_to_utc(col: Column, zone: str, wall_clock: bool = True) -> Column:
 
 
 def parse_with_offset(col: Column, fmt: str, wall_clock: bool = True) -> Column:
-    """Text carrying its own offset (``... -05:00``) as an instant."""
-    out = F.to_timestamp(col, fmt)
+    """Text carrying its own offset (``... -05:00``) as an instant;
+    text in another form gives NULL (see :func:`parse_misses`)."""
+    out = F.try_to_timestamp(col, F.lit(fmt))
     return out.cast("timestamp_ntz") if wall_clock else out
 
 
@@ -45,3 +46,10 @@ def normalise_times(df: DataFrame, spec: TimeSpec | None) -> DataFrame:
         if name.lower() in types:
             changes[name] = parse_with_offset(F.col(name), fmt)
     return df.withColumns(changes) if changes else df
+
+
+def parse_misses(df: DataFrame, spec: TimeSpec) -> DataFrame:
+    """One row: for each column of ``spec.formats`` the number of texts that
+    do not parse, as ``<column>_misses``."""
+    return df.agg(*[F.count_if(F.col(c).isNotNull() & parse_with_offset(F.col(c), fmt).isNull()).alias(f"{c}_misses")
+                    for c, fmt in spec.formats])

@@ -267,7 +267,8 @@ def segment_share(per_customer: DataFrame, segments: list[str], measure: str = "
 
 def segment_share_each(per_customer: DataFrame, segments: list[str],
                        measure: str = "TotalHours") -> DataFrame:
-    """For each segment column on its own, measure share per value.
+    """For each segment column on its own, the fraction of the measure
+    per value and its place, largest first.
 
     One pass: the segment columns are unpivoted to (segment, value) and
     grouped once; the totals (one row per segment column, so their size is
@@ -280,8 +281,10 @@ def segment_share_each(per_customer: DataFrame, segments: list[str],
             .where(F.col("value").isNotNull()))
     grouped = long.groupBy("segment", "value").agg(F.sum("_m").alias("_m"))
     totals = grouped.groupBy("segment").agg(F.sum("_m").alias("_total"))
+    place = Window.partitionBy("segment").orderBy(F.col("_m").desc(), F.col("value").asc())
     return grouped.join(F.broadcast(totals), "segment").select(
-        "segment", "value", (_ratio(F.col("_m"), F.col("_total")) * F.lit(100.0)).alias("PctTotalHours"))
+        "segment", "value", _ratio(F.col("_m"), F.col("_total")).alias("ShareTotalHours"),
+        F.row_number().over(place).alias("Place"))
 
 
 def segment_distribution(per_customer: DataFrame, segment: str, measure: str = "MinPerCall",
@@ -310,13 +313,43 @@ def segment_distribution(per_customer: DataFrame, segment: str, measure: str = "
     return whiskers
 
 
+def spend_per_hour(top: DataFrame, spend: DataFrame, key: str = "CustomerNo") -> DataFrame:
+    """The top customers with their spend per hour (NULL without
+    hours) and their place by hours, most first.  ``top`` is a top-N list, so
+    its window is small."""
+    place = Window.orderBy(F.col("TotalHours").desc(), F.col(key).asc())
+    return (top.join(spend, key)
+            .withColumn("ExpPerHour", F.try_divide(F.col("Expenditure_5YAVG_PartsNServices"), F.col("TotalHours")))
+            .withColumn("Place", F.row_number().over(place)).orderBy("Place"))
+
+
+def sales_by_root(invoices: DataFrame, document: str, sales: str, length: int = 9) -> DataFrame:
+    """Sales per root document, the first ``length`` characters."""
+    return invoices.groupBy(F.left(document, F.lit(length)).alias("RootPDN")).agg(F.sum(sales).cast("double").alias(sales))
+
+
+def calls_with_sales(calls: DataFrame, numbers: DataFrame, sales: DataFrame) -> DataFrame:
+    """Every call with the distinct numbers it names, their
+    sales and the sales type."""
+    from .revenue import sales_type
+    per_call = (numbers.join(sales, numbers["RootDocumentNumber"] == sales["RootPDN"], "left")
+                .groupBy("MeetingId")
+                .agg(F.concat_ws(", ", F.array_sort(F.collect_set("RootDocumentNumber"))).alias("RootPDN"),
+                     F.coalesce(F.sum(F.col("TotalPartSales").cast(EXACT)).cast("double"), F.lit(0.0)).alias("TotalPartSales")))
+    return (calls.join(per_call, "MeetingId", "left")
+            .select("MeetingId", F.trim("Branch").alias("Branch"), "RootPDN", "TotalPartSales",
+                    sales_type(F.col("RootPDN")).alias("SalesType")))
+
+
 def drill(calls: DataFrame, keys: list[str]) -> DataFrame:
     """Hours, calls and minutes per call per key combination,
-    ordered inside the second key by hours."""
+    ordered inside the second key by hours (``Place``)."""
     out = (calls.groupBy(*keys)
            .agg(F.coalesce(F.sum(HOURS), F.lit(0)).cast("double").alias("TotalHours"),
                 F.count(ID).alias("TotalCalls"))
-           .withColumn("MinPerCall", _min_per_call(F.col("TotalHours"), F.col("TotalCalls"))))
+           .withColumn("MinPerCall", _min_per_call(F.col("TotalHours"), F.col("TotalCalls")))
+           .withColumn("Place", F.row_number().over(Window.partitionBy(*keys[:2]).orderBy(
+               F.col("TotalHours").desc(), *[F.col(k).asc() for k in keys[2:]]))))
     return out.orderBy(*[F.col(k).asc() for k in keys[:2]], F.col("TotalHours").desc(),
                        *[F.col(k).asc() for k in keys[2:]])
 

@@ -96,8 +96,26 @@ def delete_keys(target: DataFrame, gone: DataFrame, keys) -> DataFrame:
     return target.join(gone.select(*keys), keys, "left_anti")
 
 
+def keep_live(target: DataFrame, live: DataFrame, keys) -> DataFrame:
+    """M4 + M5 in one step: the rows of ``target`` whose key is in ``live``,
+    and those with a NULL in their key, which no delete matches."""
+    keys = _keys(keys)
+    kept = target.where(_non_null(keys)).join(live.select(*keys), keys, "left_semi")
+    return kept.select(*target.columns).unionByName(target.where(~_non_null(keys)))
+
+
 def insert_if_absent(target: DataFrame, new_rows: DataFrame, keys) -> DataFrame:
-    """Append the rows whose key is not in the target yet."""
+    """Append the rows whose key is not in the target yet, as if
+    they came one by one: of several new rows with one key a single one goes
+    in (the smallest by the other columns).  A NULL key is never present."""
     keys = _keys(keys)
-    fresh = new_rows.select(*target.columns).join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(fresh)
+    cols = target.columns
+    rest = [c for c in cols if c not in keys]
+    new_rows = new_rows.select(*cols)
+    known = new_rows.where(_non_null(keys))
+    if rest:
+        one = known.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_one")).select(*keys, "_one.*")
+    else:
+        one = known.distinct()
+    fresh = one.join(target.select(*keys), keys, "left_anti").select(*cols)
+    return target.unionByName(fresh).unionByName(new_rows.where(~_non_null(keys)))

@@ -32,8 +32,13 @@ Plan
      ``_strict_flags``)
   4. numbers LEFT JOIN per-document result, GROUP BY call       (partial agg)
 
-  Sums are taken in ``decimal(38,2)`` so the result does not depend on the
-  order of addition, and cast to double at the end.
+  The per-document result is stored before it meets the mentions (and, in
+  strict mode, before the candidates meet the lines): AQE splits a hot
+  document's mentions only when both sides of the join are plain shuffles.
+
+  Sums are taken in decimals that keep six digits of a cent's fraction, so the
+  result does not depend on the order of addition, and become double at the
+  end.
 """
 
 from __future__ import annotations
@@ -41,9 +46,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 DOC = "RootDocumentNumber"
 SALES = "PartSales"
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,6)"
 
 
 def _on_contract(open_col: Column, start: Column, end: Column) -> Column:
@@ -101,6 +108,7 @@ def attribute_revenue(numbers: DataFrame, lines: DataFrame, mode: str = "strict"
         per_doc = doc_lines.select(DOC, "doc_sales", (F.col("n_lines") * flag).alias("doc_flags"))
     else:
         per_doc = _strict_flags(typed, mentions, doc_lines, flag)
+    per_doc = materialize(per_doc, "revenue-per-document")
 
     return (mentions.join(per_doc, DOC, "left")
             .groupBy("MeetingId")
@@ -124,13 +132,13 @@ def _strict_flags(typed: DataFrame, mentions: DataFrame, doc_lines: DataFrame, f
         is larger (smaller) than every single line, so nothing matches;
       * no present sales: nothing matches.
     Only the rest (several lines with zero or mixed-sign sales) is matched
-    line by line.  That set is usually tiny, so AQE, after measuring it,
-    broadcasts it and the invoice lines are probed without a shuffle; when it
-    is large the join stays a sort-merge join on all five columns.
+    line by line.  That set is stored first, so its size is known: when small
+    it is broadcast and the invoice lines are probed without a shuffle, else
+    the lines of a hot document are split over tasks.
     """
     doc_calls = mentions.where(F.col(DOC).isNotNull()).groupBy(DOC).agg(
         F.count(F.lit(1)).alias("n_calls"))
-    stats = doc_lines.join(doc_calls, DOC)
+    stats = materialize(doc_lines.join(doc_calls, DOC), "revenue-documents")
     n_calls, sales = F.col("n_calls"), F.col("doc_sales")
     dates_present = (F.col("min_open").isNotNull() & F.col("min_start").isNotNull()
                      & F.col("max_end").isNotNull())
@@ -139,8 +147,9 @@ def _strict_flags(typed: DataFrame, mentions: DataFrame, doc_lines: DataFrame, f
     decided = single | one_sign | (F.col("n_sales") == 0)
     single_match = F.when(single & sales.isNotNull() & ((n_calls == 1) | (sales == 0)) & dates_present,
                           F.lit(1)).otherwise(F.lit(0))
-    candidates = (stats.where(~decided)
-                  .select(DOC, (sales * n_calls).alias("t_sales"), "min_open", "min_start", "max_end"))
+    candidates = materialize(
+        stats.where(~decided).select(DOC, (sales * n_calls).alias("t_sales"), "min_open", "min_start", "max_end"),
+        "revenue-candidates")
     matched = (typed.join(candidates, DOC)
                .where((F.col(SALES) == F.col("t_sales"))
                       & (F.col("OpenDate") == F.col("min_open"))

@@ -44,7 +44,7 @@ workorder_header AS (
 workorder_partdetail AS (
   SELECT cast(l_orderkey as varchar) AS WONo,
          {doc('l_orderkey')} || '/' || cast(l_linenumber as varchar) AS RefDocumentNo,
-         cast(l_extendedprice as decimal(18,2)) AS UnitSell,
+         cast(cast(l_extendedprice as decimal(18,2)) + 0.0040 as decimal(18,4)) AS UnitSell,
          CASE WHEN l_linenumber % 3 = 0 THEN 2 ELSE 1 END AS InvoiceQty,
          CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS HdrSegInvoiceIndicator
   FROM lineitem),
@@ -67,12 +67,12 @@ machine_contract AS (
   FROM equipment eq LEFT JOIN conditionsummary cs ON cs.EquipmentId = eq.EquipmentId),
 parts_invoice AS (
   SELECT left(DocumentNumber, 9) AS RootDocumentNumber, cast(OpenDate as date) AS OpenDate,
-         cast(TotalParts as decimal(28,2)) AS PartSales, Make AS make, SerialNumber AS serial
+         cast(TotalParts as decimal(28,6)) AS PartSales, Make AS make, SerialNumber AS serial
   FROM invoice_header
   WHERE InvoiceType IN ('P', 'C') AND substr(DocumentNumber, 3, 1) IN ('C', 'R')),
 workorder_part AS (
   SELECT left(d.RefDocumentNo, 9) AS RootDocumentNumber, cast(h.OpenDate as date) AS OpenDate,
-         cast(d.UnitSell * d.InvoiceQty as decimal(28,2)) AS PartSales, h.EquipManufCode AS make,
+         cast(d.UnitSell * d.InvoiceQty as decimal(28,6)) AS PartSales, h.EquipManufCode AS make,
          h.SerialNo AS serial
   FROM workorder_partdetail d JOIN workorder_header h ON h.WONo = d.WONo
   WHERE d.HdrSegInvoiceIndicator IS NULL AND substr(d.RefDocumentNo, 3, 1) = 'S'),
@@ -456,7 +456,7 @@ spend_raw AS (
          'P' || cast(c_custkey % 4 as varchar) AS Profitability,
          c_acctbal AS Expenditure_5YAVG_PartsNServices,
          c_acctbal * 2 + 100 AS Expenditure_5YAVG_Total
-  FROM customer),
+  FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 3 = 0)),
 spend_clean AS (SELECT DISTINCT * FROM spend_raw WHERE Expenditure_5YAVG_PartsNServices >= 0),
 spend AS (
   SELECT s.*,
@@ -498,6 +498,8 @@ TOP_WITH_TOTAL = top_with_total_sql("queues", _CUST)
 TOP_BY_CALLS = top_with_total_sql("afterhours", _CUST, "TotalCalls")
 TOP_OBJECTIVES = top_with_total_sql("queues", ["Objective"])
 TOP_BRANCHES = top_with_total_sql("afterhours", ["Branch", "Contact"])
+TOP_QUEUE_BRANCHES = top_with_total_sql("queues", ["Branch", "Contact"])
+TOP_AFTERHOURS_OBJECTIVES = top_with_total_sql("afterhours", ["Objective"])
 
 TOP_MEASURES_SUM = with_(EXPLORE_CALLS) + f"""
 SELECT cast(sum(TotalCalls) as bigint) AS TotalCalls, cast(sum(cast(TotalHours as decimal(38,6))) as double) AS TotalHours,
@@ -555,7 +557,8 @@ _TOP_Q = top_sql("queues", _CUST)
 
 SPEND_PER_HOUR = with_(EXPLORE_CALLS, EXPLORE_SPEND) + f"""
 SELECT t.CustomerNo, t.TotalCalls, t.TotalHours, s.Expenditure_5YAVG_PartsNServices, s.ExpPNSRank, s.ExpTotalRank,
-       s.Expenditure_5YAVG_PartsNServices / t.TotalHours AS ExpPerHour
+       s.Expenditure_5YAVG_PartsNServices / nullif(t.TotalHours, 0) AS ExpPerHour,
+       row_number() OVER (ORDER BY t.TotalHours DESC, t.CustomerNo)::INT AS Place
 FROM {_TOP_Q} t JOIN spend s ON t.CustomerNo = s.CustomerNo"""
 
 _SEGMENTS = ["Loyalty", "Size", "SupportReliance", "Profitability"]
@@ -582,25 +585,29 @@ SEGMENT_SHARE_EACH = with_(EXPLORE_CALLS, EXPLORE_SPEND) + _SEG_BASE + ",\nlong
                        f"FROM per_customer WHERE {s} IS NOT NULL" for s in _EACH) + """),
 grouped AS (SELECT segment, value, sum(m) AS m FROM long GROUP BY segment, value)
 SELECT segment, value,
-       cast(m as double) / cast(sum(m) OVER (PARTITION BY segment) as double) * 100.0 AS PctTotalHours
+       cast(m as double) / cast(sum(m) OVER (PARTITION BY segment) as double) AS ShareTotalHours,
+       row_number() OVER (PARTITION BY segment ORDER BY m DESC, value)::INT AS Place
 FROM grouped"""
 
-SEGMENT_DISTRIBUTION = with_(EXPLORE_CALLS, EXPLORE_SPEND) + _SEG_BASE + """,
-rows_ AS (SELECT Size, MinPerCall FROM per_customer WHERE Size IS NOT NULL AND MinPerCall IS NOT NULL),
+def segment_distribution_sql(seg: str) -> str:
+    return with_(EXPLORE_CALLS, EXPLORE_SPEND) + _SEG_BASE + f""",
+rows_ AS (SELECT {seg}, MinPerCall FROM per_customer WHERE {seg} IS NOT NULL AND MinPerCall IS NOT NULL),
 stats AS (
-  SELECT Size, quantile_cont(MinPerCall, 0.25) AS q1, quantile_cont(MinPerCall, 0.5) AS median,
+  SELECT {seg}, quantile_cont(MinPerCall, 0.25) AS q1, quantile_cont(MinPerCall, 0.5) AS median,
          quantile_cont(MinPerCall, 0.75) AS q3
-  FROM rows_ GROUP BY Size)
-SELECT s.Size, round(s.q1, 6) AS q1, round(s.median, 6) AS median, round(s.q3, 6) AS q3,
+  FROM rows_ GROUP BY {seg})
+SELECT s.{seg}, round(s.q1, 6) AS q1, round(s.median, 6) AS median, round(s.q3, 6) AS q3,
        min(CASE WHEN r.MinPerCall >= s.q1 - 1.5 * (s.q3 - s.q1) THEN r.MinPerCall END) AS whisker_low,
        max(CASE WHEN r.MinPerCall <= s.q3 + 1.5 * (s.q3 - s.q1) THEN r.MinPerCall END) AS whisker_high
-FROM rows_ r JOIN stats s ON r.Size = s.Size
-GROUP BY s.Size, s.q1, s.median, s.q3"""
+FROM rows_ r JOIN stats s ON r.{seg} = s.{seg}
+GROUP BY s.{seg}, s.q1, s.median, s.q3"""
+
 
 BRANCH_DRILL = with_(EXPLORE_CALLS) + """
 SELECT Branch, Contact, Objective, cast(coalesce(sum(DurationHours), 0) as double) AS TotalHours,
        count(MeetingID) AS TotalCalls,
-       cast(coalesce(sum(DurationHours), 0) as double) / cast(count(MeetingID) as double) * 60.0 AS MinPerCall
+       cast(coalesce(sum(DurationHours), 0) as double) / cast(count(MeetingID) as double) * 60.0 AS MinPerCall,
+       row_number() OVER (PARTITION BY Branch, Contact ORDER BY coalesce(sum(DurationHours), 0) DESC, Objective)::INT AS Place
 FROM queues WHERE Branch = 'Branch 3  '
 GROUP BY Branch, Contact, Objective"""
 
@@ -627,12 +634,13 @@ FROM customer"""
 # --- whole texts ------------------------------------------------------------------
 
 DOCNUM_DOCUMENTS = f"""
-WITH call_texts AS (SELECT doc_id AS MeetingId, NULL AS PartsDocumentNumber, upper(text) AS Notes FROM documents)
+WITH call_texts AS (SELECT doc_id AS MeetingId, NULL AS PartsDocumentNumber, upper({doc('doc_id')} || ' ' || text || ' ref. ' || {doc('doc_id')}) AS Notes FROM documents)
 SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('Notes', False)}) x
 WHERE length(RootDocumentNumber) <> 0"""
 
 DOCNUM_CONVERSATIONS = f"""
-WITH call_texts AS (SELECT conv_id * 1000 + turn AS MeetingId, upper(text) AS PartsDocumentNumber,
+WITH call_texts AS (SELECT conv_id * 1000 + turn AS MeetingId,
+                           upper({doc('(conv_id * 1000 + turn)')} || ' ' || text || ' ref. ' || {doc('(conv_id * 1000 + turn)')}) AS PartsDocumentNumber,
                            NULL AS Notes FROM conversations)
 SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('PartsDocumentNumber', True)}) x
 WHERE length(RootDocumentNumber) <> 0"""
@@ -668,6 +676,6 @@ LEFT JOIN per_doc a
 GROUP BY j.MeetingId"""
 
 DOCNUM_PAGES = f"""
-WITH call_texts AS (SELECT page_id AS MeetingId, NULL AS PartsDocumentNumber, upper(html) AS Notes FROM pages)
+WITH call_texts AS (SELECT page_id AS MeetingId, NULL AS PartsDocumentNumber, upper({doc('page_id')} || ' ' || html || ' ref. ' || {doc('page_id')}) AS Notes FROM pages)
 SELECT MeetingId, RootDocumentNumber FROM ({_extract_sql('Notes', False)}) x
 WHERE length(RootDocumentNumber) <> 0"""

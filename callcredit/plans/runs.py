@@ -19,7 +19,7 @@ from ..config import (KEY_SNAPSHOT_FOLDER, LoadWindow, TableRef, TimeSpec, load_
 from ..functions.timezone import normalise_times
 from ..operators import incremental as inc
 from ..operators import mutate
-from ..sources import bronze, snapshot
+from ..sources import bronze, buckets, snapshot
 
 
 def full_load(read_source: Callable[[TableRef], DataFrame], tables: list[TableRef],
@@ -58,12 +58,18 @@ def incremental_merge(spark: SparkSession, ref: TableRef, source: DataFrame, *,
     bronze.write_run(inc.window_scan(source, window, time_column), bronze_root, ref, run_time)
     changes = normalise_times(bronze.read_run(spark, bronze_root, ref, run_time), spec)
     silver_path = f"{silver_root}/{ref.database}/{table}"
-    current = snapshot.read_snapshot(spark, silver_path)
-    snapshot.write_snapshot(mutate.upsert(current, changes, primary_keys(keys, table)), silver_path)
+    columns = primary_keys(keys, table)
+    in_buckets = buckets.is_bucketed(spark, silver_path)
+    if in_buckets:  # only the buckets that the window touches are rewritten
+        buckets.upsert_bucketed(spark, silver_path, changes, columns)
+    else:
+        current = snapshot.read_snapshot(spark, silver_path)
+        snapshot.write_snapshot(mutate.upsert(current, changes, columns), silver_path)
     if save_mark:
         snapshot.write_snapshot(inc.set_mark(control, table, window.end), control_root)
     if keep_versions:
-        snapshot.vacuum(spark, silver_path, keep_versions)
+        if not in_buckets:
+            snapshot.vacuum(spark, silver_path, keep_versions)
         snapshot.vacuum(spark, control_root, keep_versions)
     return window
 
@@ -83,8 +89,7 @@ def delete_run(spark: SparkSession, ref: TableRef, *, keys: dict, bronze_root: s
     live = bronze.read_run(spark, f"{bronze_root}/{KEY_SNAPSHOT_FOLDER}", ref, run_time)
     silver_path = f"{silver_root}/{ref.database}/{ref.target_name}"
     current = snapshot.read_snapshot(spark, silver_path)
-    gone = mutate.deleted_keys(current, live, cols)
-    version = snapshot.write_snapshot(mutate.delete_keys(current, gone, cols), silver_path)
+    version = snapshot.write_snapshot(mutate.keep_live(current, live, cols), silver_path)
     if keep_versions:
         snapshot.vacuum(spark, silver_path, keep_versions)
     return version

@@ -78,17 +78,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "callcredit", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                 max_partitions: int = 1 << 16) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 
     Start with about one shuffle partition per ``target_partition_bytes`` of
-    input (capped: shuffles carry projected, often pre-aggregated rows, and
-    very many reducers cost scheduling and shuffle metadata) and let AQE
-    coalesce the small ones; scans split files at the same size.  Pass the
-    result as ``extra`` to ``build_session``.
+    input and let AQE coalesce the small ones; scans split files at the same
+    size.  For very large inputs raise ``target_partition_bytes`` rather than
+    starting fewer, larger partitions unawares.  Pass the result as ``extra``
+    to ``build_session``.
     """
-    parts = min(max_partitions, max(200, input_bytes // target_partition_bytes))
+    parts = max(200, input_bytes // target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -108,3 +107,15 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def bucket_count(input_bytes: int, bucket_bytes: int = 256 << 20, least: int = 8) -> int:
+    """Buckets of about ``bucket_bytes`` for ``input_bytes``."""
+    return max(least, -(-input_bytes // bucket_bytes))

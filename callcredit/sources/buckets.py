@@ -1,47 +1,52 @@
 """Key-bucketed tables: an upsert rewrites only the buckets it touches.
 
 A full-snapshot upsert rewrites the whole table for every incremental batch.
-Here the table is stored as ``<root>/bucket=<b>/`` with
-``b = pmod(xxhash64(keys), buckets)``; a batch of changes touches a bounded
-set of buckets (at most ``buckets`` values), and only those are read (the
-partition filter prunes the others at listing time), merged and rewritten.
-
-Replacement goes through a staging folder: the merged buckets are written
-there first; then each touched bucket's folder is moved aside into a
-``_prev-*`` folder and the new one moved into place; the old folders are
-deleted last.  No bucket is ever deleted before its replacement is in place.
-If a job dies part-way, the next upsert first restores any bucket that was
-moved aside but not replaced, and running the same batch again is safe: the
-upsert of a batch onto a bucket that already holds it changes nothing.
+Here the table is partitioned by ``b = pmod(xxhash64(keys), buckets)``; the
+buckets a batch touches are read (the partition filter prunes the others),
+merged and written back by Spark's dynamic partition overwrite, which leaves
+every other bucket alone.  The number of buckets and the key columns are
+stored beside the data; a batch that names others is refused.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import mutate
+from ..session import materialize
 
 BUCKET = "bucket"
+LAYOUT = "_layout"  # a leading underscore keeps it out of the table's files
 
 
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+class LayoutError(ValueError):
+    """The table has other buckets or keys than asked for."""
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
 def write_bucketed(df: DataFrame, root: str, keys: list[str], buckets: int) -> None:
-    """Initial write of a table in key buckets (one folder per bucket)."""
+    """Initial write of a table in key buckets."""
     (df.withColumn(BUCKET, bucket_of(keys, buckets))
      .hint("rebalance", BUCKET)
      .write.mode("overwrite").partitionBy(BUCKET).parquet(root))
+    df.sparkSession.createDataFrame([(buckets, list(keys))], "buckets int, keys array<string>").coalesce(1).write.mode(
+        "overwrite").json(f"{root.rstrip('/')}/{LAYOUT}")
+
+
+def layout(spark: SparkSession, root: str) -> tuple[int, list[str]]:
+    """The stored number of buckets and key columns."""
+    row = spark.read.schema("buckets int, keys array<string>").json(f"{root.rstrip('/')}/{LAYOUT}").first()
+    return row["buckets"], list(row["keys"])
+
+
+def is_bucketed(spark: SparkSession, root: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{LAYOUT}")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def read_bucketed(spark: SparkSession, root: str) -> DataFrame:
@@ -49,59 +54,21 @@ def read_bucketed(spark: SparkSession, root: str) -> DataFrame:
 
 
 def upsert_bucketed(spark: SparkSession, root: str, changes: DataFrame, keys: list[str],
-                    buckets: int, newest_by: str | None = None) -> list[int]:
+                    buckets: int | None = None, newest_by: str | None = None) -> list[int]:
     """Apply ``changes`` (M1 semantics) to a bucketed table; returns the
-    buckets rewritten.  The touched-bucket list (at most ``buckets`` ints)
-    is the only thing brought to the driver."""
-    recover(spark, root)
-    staged_changes = changes.withColumn(BUCKET, bucket_of(keys, buckets))
-    touched = sorted(r[0] for r in staged_changes.select(BUCKET).distinct().collect())
+    buckets rewritten.  The changes are computed once and stored; the list of
+    touched buckets is all that reaches the driver.  Rows with a NULL key are
+    inserted each time they are applied, as a MERGE does."""
+    stored, stored_keys = layout(spark, root)
+    if list(keys) != stored_keys or buckets not in (None, stored):
+        raise LayoutError(f"{root} has {stored} buckets on {stored_keys}, not {buckets} on {list(keys)}")
+    staged = materialize(changes.withColumn(BUCKET, bucket_of(keys, stored)), "changes")
+    touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
     if not touched:
         return []
     current = spark.read.parquet(root).where(F.col(BUCKET).isin(touched))
     cols = [c for c in current.columns if c != BUCKET]
-    merged = mutate.upsert(current.select(*cols, BUCKET), staged_changes.select(*cols, BUCKET),
-                           keys, newest_by=newest_by)
-    run = uuid.uuid4().hex[:12]
-    base = root.rstrip("/")
-    staging = f"{base}/_staging-{run}"
-    merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-    fs, jvm = _fs(spark, root)
-    path = jvm.org.apache.hadoop.fs.Path
-    prev = path(f"{base}/_prev-{run}")
-    fs.mkdirs(prev)
-    for b in touched:
-        src = path(f"{staging}/{BUCKET}={b}")
-        dst = path(f"{base}/{BUCKET}={b}")
-        if fs.exists(dst):
-            fs.rename(dst, path(prev, f"{BUCKET}={b}"))
-        if fs.exists(src):
-            fs.rename(src, dst)
-    fs.delete(prev, True)
-    fs.delete(path(staging), True)
+    merged = mutate.upsert(current.select(*cols, BUCKET), staged.select(*cols, BUCKET), keys, newest_by=newest_by)
+    (merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(root))
     return touched
-
-
-def recover(spark: SparkSession, root: str) -> list[int]:
-    """Finish an interrupted swap: a bucket moved aside whose replacement is
-    not in place is moved back; leftover ``_prev-*`` and ``_staging-*``
-    folders are removed.  Returns the buckets restored."""
-    fs, jvm = _fs(spark, root)
-    path = jvm.org.apache.hadoop.fs.Path
-    base = path(root)
-    restored = []
-    if not fs.exists(base):
-        return restored
-    for status in fs.listStatus(base):
-        name = status.getPath().getName()
-        if name.startswith("_prev-"):
-            for inner in fs.listStatus(status.getPath()):
-                bucket = inner.getPath().getName()
-                live = path(base, bucket)
-                if not fs.exists(live):
-                    fs.rename(inner.getPath(), live)
-                    restored.append(int(bucket.split("=", 1)[1]))
-            fs.delete(status.getPath(), True)
-        elif name.startswith("_staging-"):
-            fs.delete(status.getPath(), True)
-    return sorted(restored)

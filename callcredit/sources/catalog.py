@@ -35,7 +35,10 @@ def write_table(df: DataFrame, database: str, table: str, mode: str = "overwrite
     for the large tables joined on every run (calls and their details on
     the call id)."""
     name = f"`{check_identifier(database)}`.`{check_identifier(table)}`"
-    writer = df.write.format(fmt).mode(mode).option("overwriteSchema", "true")
+    out = df
+    if bucket_by:  # rows of a bucket in one task: one file per bucket
+        out = df.repartition(bucket_by[0], *[check_identifier(c) for c in bucket_by[1]])
+    writer = out.write.format(fmt).mode(mode).option("overwriteSchema", "true")
     if path:
         writer = writer.option("path", path)
     if bucket_by:

@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 FORMATS = ("parquet", "csv")
+# text as it is: quotes doubled inside quotes, blanks kept at both ends
+CSV_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_files(spark: SparkSession, fmt: str, path: str, header: bool = True,
-               schema: StructType | str | None = None, infer_schema: bool = True) -> DataFrame:
+               schema: StructType | str | None = None, infer_schema: bool = True,
+               multiline: bool = False) -> DataFrame:
     """Parquet or CSV.
 
     CSV with an explicit ``schema`` is read as declared (S12, the way to read
     large inputs); without one the schema is inferred as the published
-    reader does (S2), which costs an extra pass over the data.  An unknown
-    format is an error before any job runs (S3).
+    reader does (S2), which costs an extra pass over the data.  ``multiline``
+    reads values that hold line breaks; such a file is read by one task.  An
+    unknown format is an error before any job runs (S3).
     """
     kind = fmt.lower()
     if kind not in FORMATS:
@@ -25,7 +29,7 @@ def read_files(spark: SparkSession, fmt: str, path: str, header: bool = True,
         if schema is not None:
             reader = reader.schema(schema)
         return reader.load(path)
-    reader = spark.read.format("csv").option("header", header)
+    reader = spark.read.format("csv").options(**CSV_TEXT).option("header", header).option("multiLine", multiline)
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -54,7 +58,7 @@ def write_files(df: DataFrame, fmt: str, path: str, mode: str = "overwrite",
         out = out.repartition(num_files)
     writer = out.write.format(kind).mode(mode)
     if kind == "csv":
-        writer = writer.option("header", header)
+        writer = writer.options(**CSV_TEXT).option("header", header)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

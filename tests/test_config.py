@@ -69,7 +69,7 @@ def test_source_queries():
 def test_cluster_conf_sizing():
     from callcredit.session import cluster_conf
     big = cluster_conf(100 << 40)
-    assert big["spark.sql.shuffle.partitions"] == str(1 << 16)
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 4096)
     assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf(1 << 40)["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))
     assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"

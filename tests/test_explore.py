@@ -72,11 +72,11 @@ def test_segment_shares(spark):
     assert abs(sum(r.PctTotalHours for r in full) - 100.0) < 1e-9
     each = ex.segment_share_each(df, ["Size", "Loyalty"]).collect()
     for seg in ("Size", "Loyalty"):
-        assert abs(sum(r.PctTotalHours for r in each if r.segment == seg) - 100.0) < 1e-9
+        assert abs(sum(r.ShareTotalHours for r in each if r.segment == seg) - 1.0) < 1e-9
     # the row without a Size still counts for Loyalty
     loyalty_total = sum(r[1] for r in rows)
     l0 = sum(r[1] for r in rows if r[3] == "L0")
-    got = {r.value: r.PctTotalHours for r in each if r.segment == "Loyalty"}
+    got = {r.value: 100 * r.ShareTotalHours for r in each if r.segment == "Loyalty"}
     assert abs(got["L0"] - l0 * 100 / loyalty_total) < 1e-9
 
 

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from callcredit.plans import bindings as b
-from callcredit.plans.invoices import build_invoice_lines, update_invoice_lines
+from callcredit.plans.invoices import build_invoice_lines, source_keys, update_invoice_lines
 from conftest import SF_SMALL
 
 
@@ -15,8 +15,8 @@ def test_incremental_update_equals_full_build_and_is_idempotent(spark):
     cutoff = F.lit("1999-01-01 00:00:00")
     before = {k: (v.where(F.col("ETLTimestamp") < cutoff) if "ETLTimestamp" in v.columns else v)
               for k, v in src.items()}
-    old = build_invoice_lines(**before).cache()
-    full = _rows(build_invoice_lines(**src))
+    old = build_invoice_lines(**before, keep_source=True).cache()
+    full = _rows(build_invoice_lines(**src, keep_source=True))
     assert _rows(old) != full
     changed = F.col("ETLTimestamp") >= cutoff
     once = update_invoice_lines(old, changed=changed, **src).cache()
@@ -25,6 +25,23 @@ def test_incremental_update_equals_full_build_and_is_idempotent(spark):
     assert _rows(update_invoice_lines(once, changed=changed, **src)) == full
 
 
+def test_update_follows_key_changes_and_deletions(spark):
+    """An invoice that now names another document, one that is void, and one
+    that is gone take their old lines with them."""
+    t = {n: b.read(spark, SF_SMALL, n) for n in ("orders", "lineitem", "part", "supplier")}
+    src = b.invoice_sources(t["orders"], t["lineitem"], t["part"], t["supplier"])
+    old = build_invoice_lines(**src, keep_source=True).cache()
+    key = F.col("InvoiceNumber").cast("bigint")
+    changed = dict(src)
+    changed["invoice_header"] = src["invoice_header"].where(key % 7 != 0).withColumn(
+        "DocumentNumber", F.when(key % 5 == 0, F.lit("99C999999-X")).otherwise(F.col("DocumentNumber"))).withColumn(
+        "InvoiceType", F.when(key % 11 == 0, F.lit("W")).otherwise(F.col("InvoiceType"))).withColumn(
+        "ETLTimestamp", F.when((key % 5 == 0) | (key % 11 == 0), F.lit("2030-01-01").cast("timestamp_ntz")).otherwise(F.col("ETLTimestamp")))
+    gone = old.select("SourceKey").subtract(source_keys(changed["invoice_header"], changed["workorder_partdetail"]))
+    out = update_invoice_lines(old, changed=F.col("ETLTimestamp") >= F.lit("2030-01-01"), gone=gone, **changed)
+    assert _rows(out) == _rows(build_invoice_lines(**changed, keep_source=True))
+
+
 def test_invoice_fixture_rows(spark):
     from datetime import datetime
     from decimal import Decimal

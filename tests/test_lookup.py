@@ -3,16 +3,21 @@ from pyspark.sql import functions as F
 from callcredit.functions import lookup as lk
 
 
-def test_map_literal_and_broadcast_paths_agree(spark):
-    df = spark.range(600).select(F.col("id").cast("string").alias("k"))
-    small = {str(i): f"v{i}" for i in range(0, 200, 2)}
-    large = {str(i): f"v{i}" for i in range(0, 1000, 2)}
-    assert len(small) <= lk.MAP_LITERAL_MAX < len(large)
-    a = {r.k: r.out for r in lk.lookup(df, F.col("k"), small, "out").collect()}
-    b = {r.k: r.out for r in lk.lookup(df, F.col("k"), large, "out", default="none").collect()}
-    assert a["4"] == "v4" and a["5"] is None and a["300"] is None
-    assert b["4"] == "v4" and b["5"] == "none" and b["300"] == "v300"
-    assert len(b) == 600
+def test_lookup_is_the_same_at_any_size(spark):
+    df = spark.range(600).select(F.col("id").cast("string").alias("k"), F.lit("mine").alias("_lk"), F.lit("kept").alias("_lv"))
+    for n in (10, 300, 10000):
+        table = {str(i): f"v{i}" for i in range(0, 2 * n, 2)}
+        out = lk.lookup(df, F.col("k"), table, "out", default="none")
+        assert out.columns == ["k", "_lk", "_lv", "out"]
+        got = {r.k: r for r in out.collect()}
+        assert len(got) == 600 and all(r.out == table.get(k, "none") and r._lk == "mine" for k, r in got.items())
+    assert lk.lookup(df, F.col("k"), {}, "k").where("k is null").count() == 600  # replaces a column in place
+
+
+def test_dates_that_do_not_parse_are_null(spark):
+    df = spark.createDataFrame([("2020-12-31",), ("31-12-2020",), ("n/a",), (None,)], "t string")
+    assert [str(r.d) for r in df.select(lk.date_of(F.col("t")).alias("d")).collect()] == ["2020-12-31", "None", "None", "None"]
+    assert [str(r.d) for r in df.select(lk.date_of(F.col("t"), "dd-MM-yyyy").alias("d")).collect()] == ["None", "2020-12-31", "None", "None"]
 
 
 def test_remap_and_two_way(spark):

@@ -108,24 +108,29 @@ def test_upsert_delete_match_python_model(spark):
         assert rows(left) == sorted([(k, v) for k, v in target if k is None or k in live], key=repr)
 
 
-def test_bucketed_upsert_survives_an_interrupted_swap(spark, tmp_path):
-    """A job that dies after moving a bucket aside but before moving its
-    replacement in: the next run restores the bucket, and replaying the
-    batch gives the right table."""
-    import os
-    import shutil
+def test_bucket_layout_is_checked(spark, tmp_path):
+    import pytest
 
     from callcredit.sources import buckets as bk
     root = str(tmp_path / "t")
-    target = spark.range(200).select(F.col("id").alias("k"), F.lit("a").alias("v"))
-    bk.write_bucketed(target, root, ["k"], 4)
-    bucket_dirs = sorted(d for d in os.listdir(root) if d.startswith("bucket="))
-    # simulate the crash: one bucket moved aside, nothing moved in
-    os.makedirs(os.path.join(root, "_prev-crash"))
-    shutil.move(os.path.join(root, bucket_dirs[0]), os.path.join(root, "_prev-crash", bucket_dirs[0]))
-    os.makedirs(os.path.join(root, "_staging-crash"))
-    changes = spark.createDataFrame([(5, "b"), (500, "c")], "k bigint, v string")
-    bk.upsert_bucketed(spark, root, changes, ["k"], 4)
-    got = {r.k: r.v for r in bk.read_bucketed(spark, root).collect()}
-    assert len(got) == 201 and got[5] == "b" and got[500] == "c"
-    assert not [d for d in os.listdir(root) if d.startswith(("_prev", "_staging"))]
+    bk.write_bucketed(spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v")), root, ["k"], 8)
+    changes = spark.createDataFrame([(5, "b")], "k bigint, v string")
+    for keys, n in ((["k"], 16), (["v"], None)):
+        with pytest.raises(bk.LayoutError):
+            bk.upsert_bucketed(spark, root, changes, keys, n)
+    assert bk.layout(spark, root) == (8, ["k"]) and bk.read_bucketed(spark, root).count() == 100
+
+
+def test_insert_if_absent_takes_one_of_repeats(spark):
+    target = spark.createDataFrame([(1, "a")], SCHEMA)
+    new = spark.createDataFrame([(1, "x"), (2, "c"), (2, "b"), (2, "b"), (None, "n"), (None, "n")], SCHEMA)
+    assert rows(mutate.insert_if_absent(target, new, ["k"])) == sorted([(1, "a"), (2, "b"), (None, "n"), (None, "n")], key=repr)
+    keys_only = spark.createDataFrame([(3,), (3,), (1,)], "k int")
+    assert sorted(r.k for r in mutate.insert_if_absent(keys_only.where("k = 1"), keys_only, ["k"]).collect()) == [1, 3]
+
+
+def test_keep_live_equals_except_then_delete(spark):
+    current = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], SCHEMA)
+    live = spark.createDataFrame([(2,), (2,), (7,)], "k int")
+    assert rows(mutate.keep_live(current, live, ["k"])) == sorted([(2, "b"), (None, "c")], key=repr)
+

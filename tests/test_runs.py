@@ -87,7 +87,7 @@ def test_stream_into_buckets(spark, tmp_path):
                                      (25, "d", datetime(2024, 1, 2))], SCHEMA)
     bronze.write_run(changed, f"{root}/bronze", ref, datetime(2024, 1, 4))
     merge_stream(spark, f"{root}/bronze", rows.schema, ["id"], f"{root}/silver", f"{root}/ckpt",
-                 newest_by="ETLTimestamp", buckets=4).awaitTermination()
+                 newest_by="ETLTimestamp").awaitTermination()
     got = {r.id: r.v for r in bk.read_bucketed(spark, f"{root}/silver").collect()}
     assert len(got) == 21 and got[3] == "c" and got[25] == "d" and got[4] == "a"
 

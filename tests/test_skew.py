@@ -59,3 +59,29 @@ def test_hot_key_operators_reduce_before_the_shuffle(spark):
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert {r.k: r.t for r in first.collect()}[0] == 0
+
+
+def test_hot_document_is_split_in_the_final_plan(spark, tmp_path):
+    """Broadcasting off, a third of the mentions on one document: the last
+    join's shuffle partitions of that document are split."""
+    n = 300000
+    doc = F.when(F.col("id") % 3 == 0, F.lit("00C000001")).otherwise(F.format_string("%02dS%06d", F.col("id") % 100, F.col("id") % 5000))
+    numbers = spark.range(n).select((F.col("id") % 50000).alias("MeetingId"), doc.alias("RootDocumentNumber"))
+    lines = spark.range(5000).select(doc.alias("RootDocumentNumber"), F.lit(1.5).alias("PartSales"), F.lit("2020-01-01").alias("OpenDate"),
+                                     F.lit("2019-01-01").alias("ContractStart"), F.lit("2021-01-01").alias("ContractEnd"))
+    numbers.write.parquet(str(tmp_path / "numbers"))
+    numbers = spark.read.parquet(str(tmp_path / "numbers"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for mode in ("strict", "by_document"):
+            out = revenue.attribute_revenue(numbers, lines, mode=mode)
+            assert len(out.collect()) == 50000
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString(), mode
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
