@@ -205,7 +205,7 @@ DEFAULT_PRIMARY_KEYS = {
 # Local wall-clock columns recorded in fixed Eastern Standard Time, and text
 # columns carrying their own offset.
 DEFAULT_TIME_SPECS = {
-    "meetings": TimeSpec(zones=(
+    "saleslink_wap_meetings": TimeSpec(zones=(
         ("MeetingDate", "EST"), ("NextMeetingDate", "EST"), ("EnterDateTime", "EST"),
         ("UpdateDateTime", "EST"), ("CompletedDateTime", "EST"), ("EndMeetingDate", "EST"),
         ("EndNextMeetingDate", "EST"), ("CallStart", "EST"))),
@@ -223,6 +223,12 @@ QUEUE_GROUP_CODES = ("11311", "11312", "11313", "11314", "11315", "11328")
 EXTENSION_GROUP_CODES = ("##502",)
 # --- end of fixed values ------------------------------------------------------
 
+
+def time_spec(table: str) -> TimeSpec | None:
+    """The configured time columns of a source table, by its own name."""
+    return DEFAULT_TIME_SPECS.get(table.lower())
+
+
 AGENT_FILTER = MemberFilter("fkagentgroup", "pkey", "fkagent", AGENT_GROUP_CODES)
 QUEUE_FILTER = MemberFilter("fkqueuegroup", "pkey", "fkqueue", QUEUE_GROUP_CODES)
 EXTENSION_FILTER = MemberFilter("fkextensiongroup", "pkey", "fkextension", EXTENSION_GROUP_CODES)

@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import (KEY_SNAPSHOT_FOLDER, LoadWindow, TableRef, TimeSpec, load_steps, primary_keys,
-                      sets_mark)
+                      sets_mark, time_spec)
 from ..functions.timezone import normalise_times
 from ..operators import incremental as inc
 from ..operators import mutate
@@ -29,10 +29,10 @@ def full_load(read_source: Callable[[TableRef], DataFrame], tables: list[TableRe
 
 
 def bronze_to_silver(spark: SparkSession, ref: TableRef, bronze_root: str, run_time: datetime,
-                     silver_root: str, spec: TimeSpec | None) -> int:
-    """K7: this run's bronze rows, times normalised, as the next silver
-    snapshot of the table."""
-    df = normalise_times(bronze.read_run(spark, bronze_root, ref, run_time), spec)
+                     silver_root: str, spec: TimeSpec | None = None) -> int:
+    """K7: this run's bronze rows, times normalised (by the configuration of
+    the table unless ``spec`` is given), as the next silver snapshot."""
+    df = normalise_times(bronze.read_run(spark, bronze_root, ref, run_time), spec or time_spec(ref.target_name))
     return snapshot.write_snapshot(df, f"{silver_root}/{ref.database}/{ref.target_name}")
 
 
@@ -56,7 +56,7 @@ def incremental_merge(spark: SparkSession, ref: TableRef, source: DataFrame, *,
                                 run_time=run_time, overlap_minutes=overlap_minutes,
                                 source_zone=source_zone)
     bronze.write_run(inc.window_scan(source, window, time_column), bronze_root, ref, run_time)
-    changes = normalise_times(bronze.read_run(spark, bronze_root, ref, run_time), spec)
+    changes = normalise_times(bronze.read_run(spark, bronze_root, ref, run_time), spec or time_spec(table))
     silver_path = f"{silver_root}/{ref.database}/{table}"
     columns = primary_keys(keys, table)
     in_buckets = buckets.is_bucketed(spark, silver_path)

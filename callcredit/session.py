@@ -78,6 +78,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "callcredit", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def purge_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this library under the shared
+    folder: for when no DataFrame that reads them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(os.path.join(checkpoint_root(spark), "callcredit"))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 

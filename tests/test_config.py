@@ -73,3 +73,9 @@ def test_cluster_conf_sizing():
     assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf(1 << 40)["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))
     assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+
+
+def test_time_specs_go_by_table_name():
+    from callcredit.config import time_spec
+    assert ("CallStart", "EST") in time_spec("SalesLink_WAP_Meetings").zones
+    assert time_spec("equipment").formats and time_spec("orders") is None
