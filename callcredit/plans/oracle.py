@@ -406,6 +406,10 @@ WHERE {member_in('cast(e.user_id % 25 as varchar)', QUEUE_GROUP_CODES)}"""
 SELECT event_id, cast(user_id % 25 as varchar) AS fkextension, ts AS midnightstartdate,
        cast(ts as date) AS date
 FROM events WHERE {member_in('cast(user_id % 25 as varchar)', EXTENSION_GROUP_CODES)}"""
+    for kind in ("agent", "queue", "extension"):
+        out[f"serve_{kind}_group_members"] = with_(groups) + f"SELECT fkgroup AS fk{kind}group, fkmember AS fk{kind} FROM members"
+        if kind != "queue":
+            out[f"serve_{kind}_group"] = with_(groups) + "SELECT * FROM groups"
     out["serve_queue_group"] = with_(groups, values_cte("gk", lk.queue_group_key)) + """
 SELECT g.pkey, g.reporting, g.name, coalesce(gk.v, 'not found') AS join_key
 FROM groups g LEFT JOIN gk ON g.name = gk.k"""
