@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # --- fixed values -------------------------------------------------------------
 WALK_IN_ACTIVITY = 2
 CALL_TYPES = ("Walk In", "Afterhours", "Service", "Used/Restored", "Direct Call", "Queue Call")
@@ -77,9 +79,12 @@ def build_calls(meetings: DataFrame, x_user: DataFrame, ad_user_all: DataFrame,
     kept = (details.where(F.col("IsAgwest").cast("int") == 0)
             .select("MeetingId", "IsAfterhours", "IsService", "IsUsedRestored", "Notes",
                     F.col("PhoneNumber").alias("DetailPhone"), F.col("BranchNo").alias("DetailBranchNo")))
-    first_name = (first_per_key(branch_phone, "BranchNo", "BranchName", ["BranchNo", "BranchName"])
-                  .select(F.col("BranchNo").alias("DetailBranchNo"),
-                          F.col("BranchName").alias("DetailBranchName")))
+    # stored: its size is known to the join, which can split a hot branch
+    # only when neither side is an aggregate or window
+    first_name = materialize(
+        first_per_key(branch_phone, "BranchNo", "BranchName", ["BranchNo", "BranchName"])
+        .select(F.col("BranchNo").alias("DetailBranchNo"), F.col("BranchName").alias("DetailBranchName")),
+        "branch-first-name")
     staff = staff_dimension(x_user, ad_user_all, hr_corpdir).withColumnRenamed("UserId", "EnterXUId")
     dialed = branch_phone.select(F.col("PhoneNumber").alias("DialedNumber"),
                                  F.col("BranchNo").alias("DialedBranchNo_"),
