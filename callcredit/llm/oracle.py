@@ -145,3 +145,21 @@ l AS (
   JOIN k USING (digest) GROUP BY rid)
 SELECT doc_id, digest, license, coalesce(line_licenses, '') AS line_licenses
 FROM (SELECT rid, doc_id, {_canonical_digest('c')} AS digest FROM c) LEFT JOIN k USING (digest) LEFT JOIN l USING (rid)"""
+
+
+def _base32(hexed: str) -> str:
+    """Upper-case base32 of 40 hex digits."""
+    parts = []
+    for k in range(8):
+        value = " + ".join(f"(instr('0123456789abcdef', substr({hexed}, {5 * k + i + 1}, 1)) - 1) * {16 ** (4 - i)}" for i in range(5))
+        parts += [f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((({value}) >> {shift}) & 31)::INT + 1, 1)" for shift in (15, 10, 5, 0)]
+    return " || ".join(parts)
+
+
+SQL["op4_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, {_base32('x')} AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM m"""
