@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from .text import map_texts
 
+HEAD = 5  # bytes of a piece whose table is kept for pieces that begin alike
 CACHE = 1 << 18  # distinct pieces of at most 64 bytes that a task remembers
 
 
@@ -42,6 +43,8 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {r: b for b, r in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
+        # every ending of a token, with its rank where it is a token itself
+        self.suffixes = {b[i:]: -1 for b in ranks for i in range(1, len(b))} | ranks
         self._halves: dict[int, tuple[int, int]] = {}
         self.own: dict[int, bool] = {}
         self.compatible = lru_cache(maxsize=1 << 20)(self._separate)
@@ -110,17 +113,28 @@ class Prefixes:
         self._fill(start, len(self.piece))
 
     def _fill(self, start: int, stop: int) -> None:
-        v, piece, last = self.vocabulary, self.piece, self.last
-        rank, compatible, longest = v.ranks.get, v.compatible, v.longest
+        """Entries for the prefixes that end after ``start``: of the tokens
+        that end there, shortest first, the one that is compatible with the
+        entry before it.  The walk ends where no token is that long."""
+        piece, last = self.piece, self.last
+        suffix, compatible, put = self.vocabulary.suffixes.get, self.vocabulary.compatible, last.append
         for end in range(start + 1, stop + 1):
-            for begin in range(end - longest if end > longest else 0, end):
-                token = rank(piece[begin:end])
-                if token is not None and (compatible((last[begin - 1], token)) if begin else self._own(token)):
-                    last.append(token)
+            begin = end - 1
+            while (token := suffix(piece[begin:end])) is not None:
+                if token >= 0 and (compatible((last[begin - 1], token)) if begin else self._own(token)):
+                    put(token)
                     break
+                if not begin:
+                    raise ValueError("no encoding")
+                begin -= 1
             else:
                 raise ValueError("the vocabulary lacks single bytes")
 
+    def copy(self) -> Prefixes:
+        out = Prefixes.__new__(Prefixes)
+        out.vocabulary, out.piece, out.last = self.vocabulary, self.piece, self.last.copy()
+        return out
+
     def _own(self, token: int) -> bool:
         got = self.vocabulary.own.get(token)
         if got is None:
@@ -161,11 +175,23 @@ class Encoder:
         self.vocabulary = Vocabulary.load(path)
         self.split = regex.compile(pattern).findall
         self._ids: dict[str, str] = {}
+        self._older: dict[str, str] = {}  # the memory before the present one
+        self._heads: dict[bytes, Prefixes] = {}
         self._bytes: dict[str, bytes] = {}
 
     def piece(self, piece: bytes) -> list[int]:
         whole = self.vocabulary.ranks.get(piece)
-        return [whole] if whole is not None else Prefixes(self.vocabulary, piece).ids()
+        if whole is not None:
+            return [whole]
+        # pieces that begin alike share the table of their beginning
+        head = self._heads.get(piece[:HEAD])
+        if head is None:
+            if len(self._heads) >= CACHE:
+                self._heads.clear()
+            head = self._heads[piece[:HEAD]] = Prefixes(self.vocabulary, piece[:HEAD])
+        table = head.copy()
+        table.append(piece[HEAD:])
+        return table.ids()
 
     def pieces(self, text: str | None) -> list[str]:
         """The decimal ids of each piece, joined by one space."""
@@ -174,14 +200,16 @@ class Encoder:
         if None in out:
             for i, got in enumerate(out):
                 if got is None:
-                    out[i] = self._ids.get(found[i]) or self._learn(found[i])
+                    out[i] = self._learn(found[i])
         return out
 
     def _learn(self, piece: str) -> str:
-        ids = " ".join(map(str, self.piece(piece.encode())))
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = " ".join(map(str, self.piece(piece.encode())))
         if len(piece) <= 64:
             if len(self._ids) >= CACHE:
-                self._ids.clear()
+                self._older, self._ids = self._ids, {}
             self._ids[piece] = ids
         return ids
 
