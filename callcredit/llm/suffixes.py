@@ -13,14 +13,18 @@ hash within every string of ``LENGTH`` bytes is its anchor: equal strings
 have equal anchors at the same place.  The bytes around an anchor that strings
 with this anchor can reach are its window.
 
-1. Tasks list the anchors of each document with hashes of anchor and window;
-   rows are dealt by anchor and sorted by (anchor, window, document, place).
-   Of equal windows all but the first are repeats as a whole.  Anchors with
-   one window are done with that.
+1. Tasks list the anchors of each document with hashes of anchor and window.
+   Of equal windows all but the first are repeats as a whole; a batch of
+   documents sends on only its own first, so a passage of very many
+   documents is a row per batch.  Rows are dealt by anchor and sorted by
+   (anchor, window, document, place).  Anchors with one window are done with
+   that.
 2. Anchors with several different windows: their first windows are fetched,
-   dealt by anchor again, and suffix-sorted together, at most ``BLOCK``
-   windows a time.  An anchor with more windows than that has its strings
-   dealt out by their own 128-bit digest, one row per string.
+   dealt by anchor again and cut down to the reach that any other window of
+   the anchor shares, and suffix-sorted together, at most ``BLOCK`` at a
+   time.  An anchor with more windows than that is split by the bytes on the
+   left of the anchor: strings that begin few bytes before it are dealt out
+   by their own 128-bit digest, the others by these bytes, level by level.
 3. The removed runs of each document meet its text again.
 
 Defined results: null texts are empty; documents shorter than ``LENGTH``
@@ -37,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -177,27 +182,46 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def list_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """``anchor``, ``window`` (hashes), ``doc``, ``sub``, ``at``, and how far
-    the window reaches to the left and right of ``at``."""
+    the window reaches to the left and right of ``at``; ``anchor`` is null
+    for repeats of a window within a batch of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, digest = Anchors(length, gram), xxhash.xxh3_64_intdigest
         for b in batches:
+            doc, sub, text = b.column("doc").to_numpy(), b.column("sub").to_numpy(), b.column("text")
             out: list[list[np.ndarray]] = []
-            for doc, sub, t in zip(b.column("doc").to_pylist(), b.column("sub").to_pylist(), b.column("text")):
-                raw = t.as_py().encode()
+            for i in np.lexsort((sub, doc)).tolist():
+                raw = text[i].as_py().encode()
                 at, h = find(np.frombuffer(raw, np.uint8))
                 if not len(at):
                     continue
                 left, right = np.minimum(at, length - gram), np.minimum(len(raw) - at, length)
                 hashes = [digest(raw[p - x:p + y], x) for p, x, y in zip(at.tolist(), left.tolist(), right.tolist())]
-                out.append([h.view(np.int64), np.array(hashes, np.uint64).view(np.int64), np.full(len(at), doc, np.int64),
-                            np.full(len(at), sub, np.int32), at.astype(np.int32), left.astype(np.int16), right.astype(np.int16)])
+                out.append([h, np.array(hashes, np.uint64), np.full(len(at), doc[i]), np.full(len(at), sub[i]),
+                            at.astype(np.int32), left.astype(np.int16), right.astype(np.int16)])
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
+                c = [np.concatenate(x) for x in zip(*out)]
+                again = _later_of_equal(c[0], c[1], c[2:5])
+                yield pa.RecordBatch.from_arrays([pa.array(c[0].view(np.int64), mask=again), pa.array(c[1].view(np.int64), mask=again),
+                                                  *map(pa.array, c[2:])], names=names)
 
     names = ["anchor", "window", "doc", "sub", "at", "left", "right"]
     return docs.mapInArrow(run, "anchor bigint, window bigint, doc bigint, sub int, at int, left smallint, right smallint")
 
 
+def _later_of_equal(anchor: np.ndarray, window: np.ndarray, place: list[np.ndarray]) -> np.ndarray:
+    """Rows, in order of place, whose anchor and window were there before at
+    another place."""
+    order = np.argsort(anchor ^ (window * np.uint64(_ODD)), kind="stable")
+    a, w = anchor[order], window[order]
+    same = np.zeros(len(order), bool)
+    same[1:] = (a[1:] == a[:-1]) & (w[1:] == w[:-1])
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+    other = np.logical_or.reduce([p[order] != p[order][first] for p in place])
+    out = np.zeros(len(order), bool)
+    out[order] = same & other
+    return out
+
+
 _FOUND = "doc bigint, sub int, at int, start int, stop int, anchor bigint"
 
 
@@ -213,6 +237,13 @@ def split_windows(anchors: DataFrame) -> DataFrame:
         last = None  # anchor and window of the row before
         first = np.zeros(3, np.int64)  # document and place of the current window's first row
         for b in batches:
+            known = b.filter(pc.is_null(b.column("anchor")))
+            if known.num_rows:  # sorted first
+                at, start, stop = (known.column(n).to_numpy() for n in ("at", "left", "right"))
+                yield pa.RecordBatch.from_arrays(
+                    [known.column("doc"), known.column("sub"), known.column("at"), pa.array(at - start), pa.array(at + stop),
+                     pa.nulls(known.num_rows, pa.int64())], names=["doc", "sub", "at", "start", "stop", "anchor"])
+                b = b.filter(pc.is_valid(b.column("anchor")))
             c = {n: b.column(n).to_numpy() for n in ("anchor", "window", "doc", "sub", "at", "left", "right")}
             n = len(c["at"])
             if not n:
@@ -250,33 +281,36 @@ def split_windows(anchors: DataFrame) -> DataFrame:
                  pa.array(np.concatenate([x[5] for x in out]), mask=np.concatenate([x[6] for x in out]))],
                 names=["doc", "sub", "at", "start", "stop", "anchor"])
 
-    dealt = anchors.repartition("anchor").sortWithinPartitions("anchor", "window", "doc", "sub", "at")
+    # known repeats go anywhere
+    dealt = anchors.repartition(F.coalesce("anchor", F.xxhash64("doc", "at"))).sortWithinPartitions(
+        F.col("anchor").asc_nulls_first(), "window", "doc", "sub", "at")
     return dealt.mapInArrow(run, _FOUND)
 
 
 def fetch_windows(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``anchor``, ``doc``, ``sub``, ``start`` and ``bytes`` of the windows."""
+    """``anchor``, ``doc``, ``sub``, ``start``, ``left`` (bytes before the
+    anchor) and ``bytes`` of the windows."""
     wanted = firsts.groupBy(F.col("doc").alias("_d"), F.col("sub").alias("_s")).agg(
-        F.collect_list(F.struct("anchor", "start", "stop")).alias("windows"))
+        F.collect_list(F.struct("anchor", "at", "start", "stop")).alias("windows"))
     wanted = materialize(wanted, "suffix-wanted")
     rows = docs.join(wanted, (F.col("doc") == F.col("_d")) & (F.col("sub") == F.col("_s"))).select("doc", "sub", "text", "windows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in names]
             for doc, sub, t, windows in zip(b.column("doc").to_pylist(), b.column("sub").to_pylist(), b.column("text"), b.column("windows")):
                 raw = t.as_py().encode()
                 for w in windows.as_py():
-                    for o, v in zip(out, (w["anchor"], doc, sub, w["start"], raw[w["start"]:w["stop"]])):
+                    for o, v in zip(out, (w["anchor"], doc, sub, w["start"], w["at"] - w["start"], raw[w["start"]:w["stop"]])):
                         o.append(v)
                 if len(out[0]) >= BLOCK:
                     yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
-                    out = [[], [], [], [], []]
+                    out = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
 
-    names = ["anchor", "doc", "sub", "start", "bytes"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return rows.mapInArrow(run, "anchor bigint, doc bigint, sub int, start int, bytes binary")
+    names = ["anchor", "doc", "sub", "start", "left", "bytes"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    return rows.mapInArrow(run, "anchor bigint, doc bigint, sub int, start int, left int, bytes binary")
 
 
 def repeated_starts(windows: list[bytes], order: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -306,15 +340,34 @@ def repeated_starts(windows: list[bytes], order: np.ndarray, start: np.ndarray,
     return w[late], o[late]
 
 
-def sort_windows(windows: DataFrame, length: int) -> DataFrame:
+def shared_reach(anchor: np.ndarray, windows: list[bytes], left: list[int], gram: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Upper bounds of the bytes before and after the anchor that a window
+    shares with any other of its anchor: unshared at k bytes, at most k - 1."""
+    out = (np.full(len(windows), reach), np.full(len(windows), reach))
+    salt = anchor.astype(np.uint64) * np.uint64(_ODD)
+    for k in sorted({max(1, reach * q // 16) for q in (1, 2, 4, 8, 12, 16)}, reverse=True):
+        for side, bound in enumerate(out):
+            if side:
+                ends = [w[x + gram:x + gram + k] for w, x in zip(windows, left)]
+            else:
+                ends = [w[max(x - k, 0):x] for w, x in zip(windows, left)]
+            h = np.array([hash(e) for e in ends], np.int64).view(np.uint64) ^ salt
+            _, at, n = np.unique(h, return_inverse=True, return_counts=True)
+            bound[(n[at] < 2) | (np.array([len(e) for e in ends]) < k)] = k - 1
+    return out
+
+
+def sort_windows(windows: DataFrame, length: int, gram: int) -> DataFrame:
     """``doc``, ``sub``, ``start``, ``stop``: removed runs, from suffix
-    sorting the windows of whole anchors together, ``BLOCK`` at a time."""
+    sorting the windows of whole anchors together, about ``BLOCK`` at a time."""
+    reach = length - gram
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for b in batches:
-            rows = list(zip(*(b.column(n).to_pylist() for n in ("anchor", "doc", "sub", "start", "bytes"))))
+            rows = list(zip(*(b.column(n).to_pylist() for n in ("key", "doc", "sub", "start", "left", "bytes"))))
             for r in rows:
-                if len(held) >= BLOCK // 2 and r[0] != held[-1][0]:
+                if len(held) >= BLOCK and r[0] != held[-1][0]:
                     yield solve(held)
                     held = []
                 held.append(r)
@@ -322,10 +375,16 @@ def sort_windows(windows: DataFrame, length: int) -> DataFrame:
             yield solve(held)
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        ids = sorted({(r[1], r[2]) for r in rows})
+        before, after = shared_reach(np.array([r[0] for r in rows], np.int64), [r[5] for r in rows], [r[4] for r in rows], gram, reach)
+        kept = []
+        for i in np.flatnonzero(before + after >= reach).tolist():
+            _, doc, sub, start, left, raw = rows[i]
+            a = max(left - int(before[i]), 0)
+            kept.append((doc, sub, start + a, raw[a:left + gram + int(after[i])]))
+        ids = sorted({r[:2] for r in kept})
         rank = {d: i for i, d in enumerate(ids)}
-        start = np.array([r[3] for r in rows], np.int64)
-        w, o = repeated_starts([r[4] for r in rows], np.array([rank[r[1], r[2]] for r in rows], np.int64), start, length)
+        start = np.array([r[2] for r in kept], np.int64)
+        w, o = repeated_starts([r[3] for r in kept], np.array([rank[r[:2]] for r in kept], np.int64), start, length)
         by = np.lexsort((o, w))
         w, o = w[by], o[by]
         # neighbouring starts make one run
@@ -333,27 +392,29 @@ def sort_windows(windows: DataFrame, length: int) -> DataFrame:
         a = np.flatnonzero(cut)
         z = np.append(a[1:], len(w))[:len(a)] - 1
         lo, hi = start[w[a]] + o[a], start[w[a]] + o[z] + length
+        owner = w[a].tolist()
         return pa.RecordBatch.from_pydict({
-            "doc": pa.array([rows[i][1] for i in w[a].tolist()], pa.int64()), "sub": pa.array([rows[i][2] for i in w[a].tolist()], pa.int32()),
+            "doc": pa.array([kept[i][0] for i in owner], pa.int64()), "sub": pa.array([kept[i][1] for i in owner], pa.int32()),
             "start": pa.array(lo, pa.int32()), "stop": pa.array(hi, pa.int32())})
 
-    return windows.repartition("anchor").sortWithinPartitions("anchor", "doc", "sub", "start").mapInArrow(
+    return windows.repartition("key").sortWithinPartitions("key", "doc", "sub", "start").mapInArrow(
         run, "doc bigint, sub int, start int, stop int")
 
 
-def deal_strings(windows: DataFrame, length: int) -> DataFrame:
-    """As :func:`sort_windows`, for anchors of very many windows: every
-    string is dealt out by its digest and compared with the first of it."""
+def deal_strings(windows: DataFrame, length: int, least: int, most: int) -> DataFrame:
+    """Removed runs among the strings that begin ``least`` to ``most - 1``
+    bytes before the anchor: every such string is dealt out by its digest
+    and compared with the first of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 out: list[list] = [[], [], [], []]
-                for doc, sub, start, raw in zip(*(b.column(n).slice(i, 256).to_pylist() for n in ("doc", "sub", "start", "bytes"))):
-                    n = len(raw) - length + 1
-                    out[0] += [hashlib.md5(raw[k:k + length]).digest() for k in range(n)]
-                    out[1] += [doc] * n
-                    out[2] += [sub] * n
-                    out[3] += range(start, start + n)
+                for doc, sub, start, left, raw in zip(*(b.column(n).slice(i, 256).to_pylist() for n in ("doc", "sub", "start", "left", "bytes"))):
+                    at = range(max(left - most + 1, 0), min(left - least, len(raw) - length) + 1)
+                    out[0] += [hashlib.md5(raw[k:k + length]).digest() for k in at]
+                    out[1] += [doc] * len(at)
+                    out[2] += [sub] * len(at)
+                    out[3] += [start + k for k in at]
                 yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=["digest", "doc", "sub", "start"])
 
     kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32()]
@@ -365,16 +426,33 @@ def deal_strings(windows: DataFrame, length: int) -> DataFrame:
         "doc", "sub", "start", (F.col("start") + length).alias("stop"))
 
 
+def compare_windows(windows: DataFrame, length: int, gram: int) -> list[DataFrame]:
+    """Removed runs of windows dealt by anchor; anchors of more than
+    ``BLOCK`` windows are split level by level by the bytes before them."""
+    reach, out = length - gram, []
+    levels = [0, *sorted({max(1, reach * q // 16) for q in (1, 4, 8)}), reach + 1]
+    pending = windows.withColumn("key", F.col("anchor"))
+    for least, most in zip(levels, levels[1:]):
+        large = materialize(pending.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK).select("key"), "suffix-large")
+        if large.isEmpty():
+            return [*out, sort_windows(pending, length, gram)]
+        out.append(sort_windows(pending.join(large, "key", "left_anti"), length, gram))
+        split = materialize(pending.join(large, "key", "left_semi"), "suffix-split")
+        out.append(deal_strings(split, length, least, most))
+        pending = split.where(F.col("left") >= most).withColumn(
+            "key", F.xxhash64("anchor", F.expr(f"substring(bytes, left - {most} + 1, {most})")))
+    return out
+
+
 def removed_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc``, ``sub``, ``start``, ``stop``: byte runs to remove, which may
     overlap; ``docs`` has ``doc``, ``sub``, ``text``."""
     found = materialize(split_windows(list_anchors(docs, length, gram)), "suffix-found")
-    firsts = found.where("anchor is not null")
-    sizes = materialize(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK).select("anchor"), "suffix-large")
-    windows = materialize(fetch_windows(docs, firsts), "suffix-windows")
-    sorted_ = sort_windows(windows.join(sizes, "anchor", "left_anti"), length)
-    dealt = deal_strings(windows.join(sizes, "anchor", "left_semi"), length)
-    return found.where("anchor is null").select("doc", "sub", "start", "stop").unionByName(sorted_).unionByName(dealt)
+    windows = materialize(fetch_windows(docs, found.where("anchor is not null")), "suffix-windows")
+    runs = found.where("anchor is null").select("doc", "sub", "start", "stop")
+    for more in compare_windows(windows, length, gram):
+        runs = runs.unionByName(more)
+    return runs
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
