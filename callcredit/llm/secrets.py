@@ -74,7 +74,7 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """``hash``, ``n_repositories``, ``n_owners``, ``n_texts`` over all
+    """``hash``, ``n_repositories``, ``n_owners``, ``n_spans`` over all
     candidates; distinct owners are counted from already distinct pairs, so a
     value that fills a third of the corpus is small before it is shuffled."""
     each = found.select("repository", "owner", F.explode("found.hash").alias("hash"))
