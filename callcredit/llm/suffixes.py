@@ -22,9 +22,10 @@ with this anchor can reach are its window.
 2. Anchors with several different windows: their first windows are fetched,
    dealt by anchor again and cut down to the reach that any other window of
    the anchor shares, and suffix-sorted together, at most ``BLOCK`` at a
-   time.  An anchor with more windows than that is split by the bytes on the
-   left of the anchor: strings that begin few bytes before it are dealt out
-   by their own 128-bit digest, the others by these bytes, level by level.
+   time.  Where an anchor has more windows than that, the range of places at
+   which strings begin is halved, and windows are dealt by the longer run of
+   bytes that all strings of a half cover; the last two strings of a range
+   are dealt out by their 128-bit digest.
 3. The removed runs of each document meet its text again.
 
 Defined results: null texts are empty; documents shorter than ``LENGTH``
@@ -51,6 +52,7 @@ from callcredit.session import materialize
 LENGTH = 100
 GRAM = 32
 BLOCK = 4096  # most windows that one suffix sort holds
+NARROW = 2  # strings of a window that are left when a range is halved no more
 _LAST = (1 << 63) - 1
 _ODD = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(20).integers(0, 2 ** 64, 256, dtype=np.uint64)
@@ -401,24 +403,24 @@ def sort_windows(windows: DataFrame, length: int, gram: int) -> DataFrame:
         run, "doc bigint, sub int, start int, stop int")
 
 
-def deal_strings(windows: DataFrame, length: int, least: int, most: int) -> DataFrame:
+def deal_strings(windows: DataFrame, length: int) -> DataFrame:
     """Removed runs among the strings that begin ``least`` to ``most - 1``
     bytes before the anchor: every such string is dealt out by its digest
     and compared with the first of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                out: list[list] = [[], [], [], []]
-                for doc, sub, start, left, raw in zip(*(b.column(n).slice(i, 256).to_pylist() for n in ("doc", "sub", "start", "left", "bytes"))):
-                    at = range(max(left - most + 1, 0), min(left - least, len(raw) - length) + 1)
-                    out[0] += [hashlib.md5(raw[k:k + length]).digest() for k in at]
-                    out[1] += [doc] * len(at)
-                    out[2] += [sub] * len(at)
-                    out[3] += [start + k for k in at]
-                yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=["digest", "doc", "sub", "start"])
-
+            out: list[list] = [[], [], [], []]
+            for doc, sub, start, left, least, most, raw in zip(*(b.column(n).to_pylist() for n in columns)):
+                at = range(max(left - most + 1, 0), min(left - least, len(raw) - length) + 1)
+                out[0] += [hashlib.md5(raw[k:k + length]).digest() for k in at]
+                out[1] += [doc] * len(at)
+                out[2] += [sub] * len(at)
+                out[3] += [start + k for k in at]
+            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=["digest", "doc", "sub", "start"])
+
+    columns = ("doc", "sub", "start", "left", "least", "most", "bytes")
     kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32()]
-    strings = materialize(windows.mapInArrow(run, "digest binary, doc bigint, sub int, start int"), "suffix-strings")
+    strings = materialize(windows.select(*columns).mapInArrow(run, "digest binary, doc bigint, sub int, start int"), "suffix-strings")
     place = F.struct("doc", "sub", "start")
     first = materialize(strings.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
                         "suffix-first")
@@ -427,21 +429,39 @@ def deal_strings(windows: DataFrame, length: int, least: int, most: int) -> Data
 
 
 def compare_windows(windows: DataFrame, length: int, gram: int) -> list[DataFrame]:
-    """Removed runs of windows dealt by anchor; anchors of more than
-    ``BLOCK`` windows are split level by level by the bytes before them."""
+    """Removed runs of windows dealt by anchor.
+
+    A row stands for the strings that begin ``least`` to ``most - 1`` bytes
+    before the anchor; its key is the bytes that all of these cover.  Windows
+    of one key are sorted together; where they are more than ``BLOCK``, the
+    range is halved, which makes the key longer, until ``NARROW`` strings are
+    left, which are dealt out by digest.
+    """
     reach, out = length - gram, []
-    levels = [0, *sorted({max(1, reach * q // 16) for q in (1, 4, 8)}), reach + 1]
-    pending = windows.withColumn("key", F.col("anchor"))
-    for least, most in zip(levels, levels[1:]):
-        large = materialize(pending.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK).select("key"), "suffix-large")
+    pending = windows.withColumns({"least": F.lit(0), "most": F.lit(reach + 1), "key": F.col("anchor")})
+    width = reach + 1
+    while True:
+        sizes = pending.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        large = materialize(sizes.where(F.col("n") > BLOCK).select("key"), "suffix-large")
         if large.isEmpty():
             return [*out, sort_windows(pending, length, gram)]
         out.append(sort_windows(pending.join(large, "key", "left_anti"), length, gram))
         split = materialize(pending.join(large, "key", "left_semi"), "suffix-split")
-        out.append(deal_strings(split, length, least, most))
-        pending = split.where(F.col("left") >= most).withColumn(
-            "key", F.xxhash64("anchor", F.expr(f"substring(bytes, left - {most} + 1, {most})")))
-    return out
+        if width <= NARROW:
+            return [*out, deal_strings(split, length)]
+        middle = F.floor((F.col("least") + F.col("most")) / 2).cast("int")
+        halves = split.withColumn("half", F.explode(F.array(F.struct(F.col("least").alias("a"), middle.alias("b")),
+                                                            F.struct(middle.alias("a"), F.col("most").alias("b")))))
+        halves = halves.withColumns({"least": F.col("half.a"), "most": F.col("half.b")}).drop("half")
+        after = F.lit(reach + 1) - F.col("most")  # bytes behind the anchor that all strings cover
+        halves = halves.where((F.col("least") < F.col("most")) & (F.col("left") >= F.col("least"))
+                              & (F.octet_length("bytes") >= F.col("left") + gram + after))
+        shared = F.expr("substring(bytes, left - least + 1, least + int(%d) + %d - most)" % (gram, reach + 1))
+        pending = halves.withColumn("key", F.xxhash64("anchor", "least", "most", shared))
+        # a key of one window has no repeat
+        twice = materialize(pending.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "suffix-twice")
+        pending = materialize(pending.join(twice, "key", "left_semi").select(*split.columns), "suffix-halves")
+        width = -(-width // 2)
 
 
 def removed_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
