@@ -69,7 +69,8 @@ def known_digests(licenses: DataFrame, name: str = "license", text: str = "text"
 
 
 def known_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "license string, text string")
+    rows = F.array(*[F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in KNOWN])
+    return spark.range(1).select(F.inline(rows))
 
 
 def scan(docs: DataFrame, licenses: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "license",
