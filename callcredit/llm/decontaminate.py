@@ -6,7 +6,11 @@ items are joined; each hit names a diagonal (document position minus item
 position) on which the words are compared.  A document holds an item when on
 some diagonal a window of ``WINDOW`` words (the whole item, if shorter) has at
 least ``SHARE`` of its words equal.  The two masks find every such window of
-13 words with up to two substitutions.
+13 words with up to two substitutions.  Items of fewer words have seeds over
+the whole item: its positions are dealt to five groups, and of each choice of
+as many groups as words may differ one seed leaves those groups out, so one of
+them is without the words that differ (up to four words: one seed, all words).
+Documents are searched for the lengths that the benchmark has.
 
 Work before the join stays in the scan: two constant-size bitmaps of the
 benchmark (word pairs, seeds) sieve the positions of each document.  They only
@@ -15,7 +19,8 @@ result.  Documents with a surviving seed go to a table with their word
 hashes, so no text is shuffled.
 
 Defined results: words are runs of letters and digits, lower-cased; null and
-empty texts and items of fewer than ``SPAN`` words match nothing; null ids are
+empty texts and items of fewer than ``least_words`` words (by default
+``SPAN``; the registered queries look for all) match nothing; null ids are
 kept as an id of their own; repeated rows of one id and text, and repeated
 items, count once; extra columns are ignored by :func:`overlaps` and kept by
 :func:`keep_clean`.
@@ -23,6 +28,8 @@ items, count once; extra columns are ignored by :func:`overlaps` and kept by
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +42,20 @@ SPAN = 8
 WINDOW = 13
 SHARE = 0.8
 BIT_WORDS = 1 << 17  # longs per bitmap: 1 MB
+GROUPS = 5  # of the positions of an item shorter than WINDOW
+_SHORT = 100  # mask numbers of items of n words begin at n times this
+
+
+def may_differ(n: int) -> int:
+    """Words of ``n`` that may differ with ``SHARE`` of them equal."""
+    return max(k for k in range(n + 1) if n - k >= SHARE * n)
+
+
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Positions of the seeds of an item of ``n`` words: for each set of
+    positions that may differ, one mask holds none of it."""
+    groups = min(n, GROUPS)
+    return [tuple(i for i in range(n) if i % groups not in out) for out in combinations(range(groups), may_differ(n))]
 
 
 def word_hashes(text: Column) -> Column:
@@ -60,6 +81,26 @@ def _seeds(h: Column, starts: Column) -> Column:
         F.struct(i.alias("pos"), F.lit(m).alias("mask"), _seed(h, i, m).alias("seed")) for m in range(len(MASKS))])))
 
 
+def _short_seed(h: Column, i: Column, n: int) -> Column:
+    """All seeds of the ``n`` words from ``i`` on."""
+    return F.array(*[F.struct(i.alias("pos"), F.lit(_SHORT * n + m).alias("mask"), F.xxhash64(F.lit(_SHORT * n + m), *[F.get(h, i + o) for o in mask]).alias("seed"))
+                     for m, mask in enumerate(short_masks(n))])
+
+
+def _short_seeds(h: Column, n: int) -> Column:
+    starts = F.when(F.size(h) >= n, F.sequence(F.lit(0), F.size(h) - n)).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.transform(starts, lambda i: _short_seed(h, i, n)))
+
+
+def _item_seeds(h: Column) -> Column:
+    """The seeds of an item, by its length."""
+    out = _seeds(h, _starts(h))
+    for n in range(1, WINDOW):
+        short = F.when(F.size(h) == n, _short_seed(h, F.lit(0), n))
+        out = F.concat(out, F.coalesce(short, F.array().cast("array<struct<pos:int,mask:int,seed:bigint>>")))
+    return out
+
+
 def _slot(hash_: Column) -> Column:
     return F.shiftrightunsigned(hash_, 47).cast("int")
 
@@ -75,7 +116,7 @@ def _marked(bits: Column, first: int, hash_: Column) -> Column:
 def bitmap(items: DataFrame) -> DataFrame:
     """One row, ``bits``: the pair bitmap followed by the seed bitmap."""
     pairs = items.select(F.explode(F.transform(_starts(F.col("iw")), lambda i: _pair(F.col("iw"), i))).alias("h"), F.lit(0).alias("first"))
-    seeds = items.select(F.explode(F.transform(_seeds(F.col("iw"), _starts(F.col("iw"))), lambda s: s["seed"])).alias("h"),
+    seeds = items.select(F.explode(F.transform(_item_seeds(F.col("iw")), lambda s: s["seed"])).alias("h"),
                          F.lit(BIT_WORDS).alias("first"))
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(F.col("h")))
     filled = pairs.union(seeds).groupBy((_slot(F.col("h")) + F.col("first")).cast("bigint").alias("slot")).agg(F.bit_or(one).alias("v"))
@@ -85,19 +126,24 @@ def bitmap(items: DataFrame) -> DataFrame:
 
 
 def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-             item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+             item_id: str = "item_id", item_text: str = "text", least_words: int = SPAN) -> DataFrame:
     """``doc_id``, ``text_hash``, ``item_id``, ``item_words``, and over the
     verified diagonals the most equal words (``equal_words``) and the best
     window (``window_equal``); one row per document text and item it holds."""
     items = items.select(F.col(item_id).alias("item_id"), word_hashes(F.col(item_text)).alias("iw")).distinct()
-    items = materialize(items.where(F.size("iw") >= SPAN), "decon-items")
-    item_seeds = materialize(items.select("item_id", F.explode(_seeds(F.col("iw"), _starts(F.col("iw")))).alias("s")).select(
+    items = materialize(items.where(F.size("iw") >= max(least_words, 1)), "decon-items")
+    # the lengths below WINDOW that the benchmark has
+    lengths = sorted(r["n"] for r in items.select(F.size("iw").alias("n")).where(F.col("n") < WINDOW).distinct().collect())
+    exact = [n for n in lengths if not may_differ(n)]
+    item_seeds = materialize(items.select("item_id", F.explode(_item_seeds(F.col("iw"))).alias("s")).select(
         "item_id", F.col("s.pos").alias("item_pos"), "s.mask", "s.seed"), "decon-seeds")
     bits = materialize(bitmap(items), "decon-bits")
 
     def sieve(s: Column) -> Column:
         starts = F.filter(_starts(s["h"]), lambda i: _marked(s["bits"], 0, _pair(s["h"], i)))
-        return F.filter(_seeds(s["h"], starts), lambda x: _marked(s["bits"], BIT_WORDS, x["seed"]))
+        marked = lambda x: _marked(s["bits"], BIT_WORDS, x["seed"])
+        found = F.filter(_seeds(s["h"], starts), marked)
+        return F.concat(found, *[F.filter(_short_seeds(s["h"], n), marked) for n in lengths]) if lengths else found
 
     found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), word_hashes(F.col(text)).alias("dw"))
     found = found.withColumn("bits", bits.scalar())
@@ -110,7 +156,13 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
 
     hits = found.select("doc_id", "text_hash", F.explode("seeds").alias("s")).select(
         "doc_id", "text_hash", "s.pos", "s.mask", "s.seed").join(item_seeds, ["mask", "seed"])
-    hits = materialize(hits.select("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("diag")).distinct(), "decon-hits")
+    diag = F.col("pos") - F.col("item_pos")
+    if exact:  # all words are the seed: one place of a document tells
+        whole = F.floor(F.col("mask") / _SHORT).isin(exact)
+        hits = hits.groupBy("doc_id", "text_hash", "item_id", F.when(~whole, diag).alias("_at")).agg(F.min(diag).alias("diag")).drop("_at")
+    else:
+        hits = hits.select("doc_id", "text_hash", "item_id", diag.alias("diag"))
+    hits = materialize(hits.distinct(), "decon-hits")
 
     texts = found.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "dw")
     sides = hits.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")))
@@ -135,10 +187,10 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-               item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+               item_id: str = "item_id", item_text: str = "text", least_words: int = SPAN) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
     names = docs.columns
-    bad = materialize(overlaps(docs, items, doc_id, text, item_id, item_text).select(
+    bad = materialize(overlaps(docs, items, doc_id, text, item_id, item_text, least_words).select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct(), "decon-bad")
     boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs[doc_id].alias("_id"), F.xxhash64(docs[text]).alias("_th"))
     return boxed.join(bad, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left_anti").select("_row.*")
