@@ -32,16 +32,40 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 # Forms that mark a credential without a keyword before it.
 FORMS = (
-    ("pem", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?")),
     ("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+")),
     ("hosted", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")),
-    ("userinfo", re.compile(r"(?<=://)[^\s/:@]{1,64}:[^\s/:@]{1,128}(?=@)")),
+    ("userinfo", re.compile(r"(?<=://)[^\s/:@]++:[^\s/:@]++(?=@)")),
 )
-KINDS = (*BASE, *(k for k, _ in FORMS))
+KINDS = (*BASE, "pem", *(k for k, _ in FORMS))
+# Armoured private keys: from the BEGIN line to the END line that follows it;
+# where none does, over the headers and the key characters after it.  Line
+# breaks may be escaped.
+_ARMOUR = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+_BREAK = r"(?:\r?\n|\\+[nr]|\\+u000[aAdD])"
+_HEADERS = re.compile(rf"(?:\s|{_BREAK})*+(?:[A-Za-z][A-Za-z0-9-]*+: [^\n\\]*+{_BREAK}+)*+")
+_KEY_RUN = re.compile(r"[A-Za-z0-9+/=\s\\]*")
+_NO_KEY = re.compile(r"[\"']\s*+[+.]?\s*+[\"']|\\+u000[aAdD]|\\+[nrt]|[^A-Za-z0-9+/=]+")
 _KEYWORDS = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 WIDE_OWNERS = 3  # a value of this many owners is a widely copied example
 
 
+def _armoured(text: str) -> list[tuple[int, str, int, str]]:
+    """The private keys; the value is the key material, without headers,
+    line breaks and escapes (the whole span when there is none)."""
+    marks = list(_ARMOUR.finditer(text))
+    out = []
+    for m, after in zip(marks, [*marks[1:], None]):
+        if m[1] == "END":
+            continue
+        body = _HEADERS.match(text, m.end(), after.start() if after else len(text)).end()
+        if after and after[1] == "END":
+            stop, end = after.start(), after.end()
+        else:
+            stop = end = _KEY_RUN.match(text, body, after.start() if after else len(text)).end()
+        out.append((m.start(), "pem", end, _NO_KEY.sub("", text[body:stop]) or text[m.start():end]))
+    return out
+
+
 def find(text: str | None) -> list[tuple[int, str, int, str]]:
     """``(start, kind, end, value)`` of every candidate, by start, then kind."""
     text = text or ""
@@ -50,6 +74,7 @@ def find(text: str | None) -> list[tuple[int, str, int, str]]:
         out += [(m.start(), "assign", m.end(), m[2]) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
     out += [(m.start(), "access", m.end(), m[0]) for m in _ACCESS.finditer(text)]
     out += [(m.start(), "hex", m.end(), m[0]) for m in _HEX.finditer(text)]
+    out += _armoured(text)
     for kind, form in FORMS:
         out += [(m.start(), kind, m.end(), m[0]) for m in form.finditer(text)]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[1])))
