@@ -35,7 +35,8 @@ from callcredit.session import materialize, scratch_path
 
 RECORDS = 2048  # most records per archive
 PREFIX = "urn:page:"
-_MAGIC = b"WARC/1.0\r\n"
+_MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
+_BIGINT = range(-(1 << 63), 1 << 63)
 _CHUNK = 1 << 20
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -123,42 +124,55 @@ def _candidates(path: str, data: bytes, payloads: bool) -> Iterator[dict]:
     """Every place where a record could start, with its successor.  Memory:
     the archive (at most ``RECORDS`` records)."""
     text = b"".join(_inflated(data))
-    at = text.find(_MAGIC)
-    while at >= 0:
+    found = _MAGIC.search(text)
+    while found:
+        at = found.start()
         end = text.find(b"\r\n\r\n", at)
         fields = _fields(text[at:end]) if end >= 0 else {}
         length = fields.get(b"content-length", b"")
         if length.isdigit() and end + 4 + int(length) + 4 <= len(text):
             body = end + 4
             stop = body + int(length)
-            http = text.find(b"\r\n\r\n", body, stop)
-            payload = text[http + 4:stop] if http >= 0 else b""
+            http = -1
+            if fields.get(b"content-type", b"").lower().startswith(b"application/http"):
+                http = text.find(b"\r\n\r\n", body, stop)
+                payload = text[http + 4:stop] if http >= 0 else b""
+            else:  # the block as a whole
+                payload = text[body:stop]
             kind = fields.get(b"warc-type", b"").decode(errors="replace")
             stated = _fields(text[body:http]).get(b"content-length", b"") if http >= 0 else b""
             revisit = kind == "revisit"
             named = lambda k: fields.get(k, b"").decode(errors="replace").removeprefix(f"<{PREFIX}").removesuffix(">")
             digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-            given = fields.get(b"warc-payload-digest", b"").decode(errors="replace").removeprefix("sha1:")
-            yield {"file": path, "at": at, "next": stop + 4, "page_id": _number(named(b"warc-record-id")), "record_type": kind,
-                   "refers_to": _number(named(b"warc-refers-to")) if revisit else None,
+            stated_digest = fields.get(b"warc-payload-digest", b"").decode(errors="replace")
+            given = stated_digest.removeprefix("sha1:")
+            ids = _number(named(b"warc-record-id")), _number(named(b"warc-refers-to")) if revisit else None
+            yield {"file": path, "at": at, "next": stop + 4, "record_type": kind,
+                   **{k: v if v is not None and v in _BIGINT else None for k, v in zip(("page_id", "refers_to"), ids)},
+                   "beyond": next((str(v) for v in ids if v is not None and v not in _BIGINT), None),
                    "url": fields.get(b"warc-target-uri", b"").decode(errors="replace"),
                    # a revisit states what its response holds
                    "payload_digest": given if revisit else digest,
                    "payload_bytes": int(stated) if revisit and stated.isdigit() else len(payload),
-                   "intact": revisit or digest == given, "payload": payload if payloads and not revisit else None}
-        at = text.find(_MAGIC, at + 1)
+                   "intact": True if revisit else digest == given if stated_digest.startswith("sha1:") else None, "payload": payload if payloads and not revisit else None}
+        found = _MAGIC.search(text, at + 1)
 
 
 def _number(text: str) -> int | None:
-    return int(text) if re.fullmatch(r"-?\d{1,18}", text) else None
+    """The value of a page id; None for other ids."""
+    if not re.fullmatch(r"-?[0-9]+", text):
+        return None
+    # too many digits to be in range, and for int() on a long text
+    return int(text) if len(text.lstrip("-0")) <= 19 else 10 ** 19
 
 
 _SCHEMA = ("file string, at bigint, next bigint, page_id bigint, record_type string, refers_to bigint, url string, "
-           "payload_digest string, payload_bytes bigint, intact boolean, payload binary")
+           "payload_digest string, payload_bytes bigint, intact boolean, payload binary, beyond string")
 
 
 def candidates(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """All candidate records of the archives under ``path``."""
+    """All candidate records of the files under ``path``; ``beyond`` is a page
+    id outside the range of bigint."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -176,7 +190,7 @@ def candidates(spark: SparkSession, path: str, payloads: bool = False) -> DataFr
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInArrow(run, _SCHEMA)
 
 
@@ -203,9 +217,13 @@ def reachable(found: DataFrame) -> DataFrame:
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """The true records under ``path``: ``file``, ``at``, ``next``,
     ``page_id``, ``record_type``, ``refers_to``, ``url``, ``payload_digest``,
-    ``payload_bytes``, ``intact`` (stated and actual digest agree) and, if
-    wanted, ``payload``."""
-    return reachable(materialize(candidates(spark, path, payloads), "warc-candidates"))
+    ``payload_bytes``, ``intact`` (stated and actual digest agree; null where
+    no SHA-1 is stated) and, if wanted, ``payload``.  Ids other than page
+    numbers are null; a record with a page number that no bigint holds is an
+    error."""
+    found = reachable(materialize(candidates(spark, path, payloads), "warc-candidates"))
+    error = F.raise_error(F.concat(F.lit("page id out of range: "), F.col("beyond"))).cast("bigint")
+    return found.withColumn("page_id", F.when(F.col("beyond").isNotNull(), error).otherwise(F.col("page_id"))).drop("beyond")
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", html: str = "html", url: str = "url", least_bytes: int = 0) -> DataFrame:

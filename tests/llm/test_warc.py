@@ -48,3 +48,35 @@ def test_small_payloads_are_all_responses(spark):
     df = spark.createDataFrame([(1, "ab", "u"), (2, "ab", "u"), (3, "abcdef", "u"), (4, "abcdef", "u")], "page_id bigint, html string, url string")
     got = {r.page_id: r.record_type for r in warc.plan_records(df, least_bytes=5).collect()}
     assert got == {1: "response", 2: "response", 3: "revisit", 4: "response"}
+
+
+def test_ids_of_the_whole_bigint_range(spark):
+    ids = [2 ** 63 - 1, -2 ** 63, 10 ** 18, -10 ** 18, 0, 8 * 10 ** 18]
+    rows = [(i, "same") for i in ids] + [(10 ** 18 + 7, "alone")]
+    back = warc.round_trip(spark.createDataFrame([(i, h, "u") for i, h in rows], "page_id bigint, html string, url string"))
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back.collect()), key=repr) == brute(rows)
+
+
+def record(version, id_, block, *more):
+    head = [f"WARC/{version}", "WARC-Type: resource", f"WARC-Record-ID: <{id_}>", *more, f"Content-Length: {len(block)}"]
+    return ("\r\n".join(head) + "\r\n\r\n" + block + "\r\n\r\n").encode()
+
+
+def test_ordinary_crawl_folder(spark, tmp_path):
+    import gzip
+    digest = base64.b32encode(hashlib.sha1(b"x\r\n\r\ny").digest()).decode()
+    one = record("1.1", "urn:uuid:12345678-1234-1234-1234-123456789012", "software: x\r\n")
+    two = record("1.1", "urn:page:5", "x\r\n\r\ny", f"WARC-Payload-Digest: sha1:{digest}")
+    (tmp_path / "crawl-00000.warc.gz").write_bytes(gzip.compress(one) + gzip.compress(two))
+    (tmp_path / "CRAWL.warc").write_bytes(record("1.0", "urn:page:6", "z", "WARC-Payload-Digest: sha1:WRONG"))
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.intact) for r in got), key=str) == [(5, 6, True), (6, 1, False), (None, 13, None)]
+
+
+def test_ids_beyond_bigint_raise(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(record("1.0", f"urn:page:{2 ** 63}", "z"))
+    with pytest.raises(Exception, match="page id out of range"):
+        warc.read_archives(spark, str(tmp_path)).collect()
+    # such an id inside a payload is no record
+    fake = record("1.0", "urn:page:" + "9" * 5000, "z").decode()
+    assert [r.page_id for r in warc.round_trip(spark.createDataFrame([(1, fake, "u")], "page_id bigint, html string, url string")).collect()] == [1]
