@@ -31,7 +31,7 @@ with this anchor can reach are its window.
 Defined results: null texts are empty; documents shorter than ``LENGTH``
 lose nothing; a null id counts as the largest; rows with equal id and text
 are one document and get the same result; different texts under one id are
-ordered by a hash of the text; an empty table gives no rows; extra columns
+told apart and ordered by a 64-bit hash of the text; an empty table gives no rows; extra columns
 are ignored.
 """
 
@@ -179,7 +179,7 @@ def _sliding(x: np.ndarray, w: int, f: np.ufunc, fill: np.uint64) -> np.ndarray:
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LAST)).alias("doc"),
-                       F.hash(F.coalesce(F.col(text), F.lit(""))).alias("sub"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+                       F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("sub"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
 def list_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -207,7 +207,7 @@ def list_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                                                   *map(pa.array, c[2:])], names=names)
 
     names = ["anchor", "window", "doc", "sub", "at", "left", "right"]
-    return docs.mapInArrow(run, "anchor bigint, window bigint, doc bigint, sub int, at int, left smallint, right smallint")
+    return docs.mapInArrow(run, "anchor bigint, window bigint, doc bigint, sub bigint, at int, left smallint, right smallint")
 
 
 def _later_of_equal(anchor: np.ndarray, window: np.ndarray, place: list[np.ndarray]) -> np.ndarray:
@@ -224,7 +224,7 @@ def _later_of_equal(anchor: np.ndarray, window: np.ndarray, place: list[np.ndarr
     return out
 
 
-_FOUND = "doc bigint, sub int, at int, start int, stop int, anchor bigint"
+_FOUND = "doc bigint, sub bigint, at int, start int, stop int, anchor bigint"
 
 
 def split_windows(anchors: DataFrame) -> DataFrame:
@@ -311,8 +311,8 @@ def fetch_windows(docs: DataFrame, firsts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
 
     names = ["anchor", "doc", "sub", "start", "left", "bytes"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-    return rows.mapInArrow(run, "anchor bigint, doc bigint, sub int, start int, left int, bytes binary")
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return rows.mapInArrow(run, "anchor bigint, doc bigint, sub bigint, start int, left int, bytes binary")
 
 
 def repeated_starts(windows: list[bytes], order: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -396,11 +396,11 @@ def sort_windows(windows: DataFrame, length: int, gram: int) -> DataFrame:
         lo, hi = start[w[a]] + o[a], start[w[a]] + o[z] + length
         owner = w[a].tolist()
         return pa.RecordBatch.from_pydict({
-            "doc": pa.array([kept[i][0] for i in owner], pa.int64()), "sub": pa.array([kept[i][1] for i in owner], pa.int32()),
+            "doc": pa.array([kept[i][0] for i in owner], pa.int64()), "sub": pa.array([kept[i][1] for i in owner], pa.int64()),
             "start": pa.array(lo, pa.int32()), "stop": pa.array(hi, pa.int32())})
 
     return windows.repartition("key").sortWithinPartitions("key", "doc", "sub", "start").mapInArrow(
-        run, "doc bigint, sub int, start int, stop int")
+        run, "doc bigint, sub bigint, start int, stop int")
 
 
 def deal_strings(windows: DataFrame, length: int) -> DataFrame:
@@ -419,8 +419,8 @@ def deal_strings(windows: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=["digest", "doc", "sub", "start"])
 
     columns = ("doc", "sub", "start", "left", "least", "most", "bytes")
-    kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32()]
-    strings = materialize(windows.select(*columns).mapInArrow(run, "digest binary, doc bigint, sub int, start int"), "suffix-strings")
+    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+    strings = materialize(windows.select(*columns).mapInArrow(run, "digest binary, doc bigint, sub bigint, start int"), "suffix-strings")
     place = F.struct("doc", "sub", "start")
     first = materialize(strings.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
                         "suffix-first")

@@ -59,3 +59,16 @@ def test_matches_brute_force(spark, docs_of, rng, monkeypatch, block):
 
 def test_empty(spark, docs_of):
     assert suffixes.deduplicate(docs_of([])).count() == 0
+
+
+def test_texts_with_one_32_bit_hash_under_a_null_id(spark, docs_of, rng):
+    from pyspark.sql import functions as F
+    shared = words(rng, 30)
+    n, hexed = F.col("id").cast("string"), lambda k: F.sha2(F.concat(F.lit(k), F.col("id").cast("string")), 512)
+    ids = spark.range(250000)
+    left = ids.select(F.concat(F.lit(shared), hexed("a")).alias("a"))
+    right = ids.select(F.concat(hexed("b"), hexed("c"), F.lit(shared)).alias("b"))
+    a, b = left.join(right, F.hash("a") == F.hash("b")).first()
+    got = suffixes.deduplicate(docs_of([(1, shared), (None, a), (None, b)])).collect()
+    kept = {bytes(r.kept).decode() for r in got if r.doc_id is None}
+    assert kept == {a[len(shared):], b[:-len(shared)]}
