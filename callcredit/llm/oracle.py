@@ -163,3 +163,43 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes, {_base32('x')} AS payload_di
        CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> last THEN last END AS refers_to
 FROM m"""
+
+SQL["op11_lexical_search"] = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+s AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM t),
+tf AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM t) GROUP BY rid, term),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term) CROSS JOIN s),
+m AS (SELECT rid, doc_id, 25 + (75 * len(ts) * n_docs) // n_terms AS m FROM t CROSS JOIN s WHERE len(ts) > 0),
+scored AS (
+  SELECT item_id, rid, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY item_id, rid),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scored JOIN m USING (rid) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+SQL["op12_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT rid, i, array_to_string(ws[i : i + 34], ' ') AS win
+  FROM (SELECT rid, ws, unnest(generate_series(1, len(ws) - 34)) AS i FROM d)),
+rep AS (SELECT rid, i FROM win WHERE win IN (SELECT win FROM win GROUP BY win HAVING count(*) > 1)),
+gone AS (SELECT rid, list(DISTINCT p) AS ps FROM (SELECT rid, unnest(generate_series(i, i + 34)) AS p FROM rep) GROUP BY rid),
+words AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d),
+cov AS (SELECT DISTINCT rid, unnest(ps) AS p FROM gone),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n FROM words ANTI JOIN cov USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)"""
