@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, lexical, licenses, maxent, oracle, quality, secrets, simhash, suffixes, superkmers, warc
+from . import alignment, bpe, chat, decontaminate, lexical, licenses, maxent, oracle, quality, secrets, simhash, suffixes, superkmers, warc
 from .text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,12 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 35-word windows that start elsewhere too."""
     done = superkmers.deduplicate(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in a byte-level and a piece vocabulary, aligned."""
+    import public_tokenizers
+
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
