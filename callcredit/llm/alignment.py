@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from callcredit.session import materialize
 
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"
 _B_BITS = 32  # a pair is A id * 2^32 + B id
