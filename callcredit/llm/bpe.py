@@ -25,12 +25,14 @@ import hashlib
 from collections.abc import Iterable
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import map_texts
+from .text import map_texts, named
 
 HEAD = 5  # bytes of a piece whose table is kept for pieces that begin alike
 CACHE = 1 << 18  # distinct pieces of at most 64 bytes that a task remembers
@@ -216,6 +218,10 @@ class Encoder:
     def encode(self, text: str | None) -> list[int]:
         return list(map(int, " ".join(self.pieces(text)).split()))
 
+    def as_array(self, pieces: list[str]) -> np.ndarray:
+        """Ids given as decimal text, piece by piece, as 32-bit integers."""
+        return np.fromstring(" ".join(pieces), np.int32, sep=" ") if pieces else np.empty(0, np.int32)
+
     def decode(self, ids: Iterable[int]) -> bytes:
         table = self.vocabulary.bytes
         return b"".join([table[i] for i in ids])
@@ -240,11 +246,17 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+def _id_lists(rows: list[np.ndarray]) -> pa.ListArray:
+    """Lists of ids as one buffer and its offsets."""
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.int32), *rows]))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int)."""
     def make(texts: list) -> list[list]:
         enc = encoder(path, pattern)
-        return [[enc.encode(t) for t in texts]]
+        return [_id_lists([enc.as_array(enc.pieces(t)) for t in texts])]
 
     return map_texts(docs, text, [T.StructField("ids", T.ArrayType(T.IntegerType()))], make)
 
@@ -276,7 +288,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
               T.StructField("decoded_sha256", T.StringType())]
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
+    rows = docs.select(named(doc_id).alias("doc_id"), named(text).alias("_text"))
     return map_texts(rows, "_text", fields, make, drop=("_text",))
 
 
@@ -285,8 +297,12 @@ def checked_ids(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
     ids gives the text's bytes back."""
     def make(texts: list) -> list[list]:
         enc = encoder(path, pattern)
-        ids = [enc.encode(t) for t in texts]
-        return [ids, [len(x) for x in ids], [enc.decode(x) == (t or "").encode() for x, t in zip(ids, texts)]]
+        ids, exact = [], []
+        for t in texts:
+            pieces = enc.pieces(t)
+            ids.append(enc.as_array(pieces))
+            exact.append(enc.decode_pieces(pieces) == (t or "").encode())
+        return [_id_lists(ids), list(map(len, ids)), exact]
 
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()),
               T.StructField("exact", T.BooleanType())]

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from callcredit.session import materialize
 
-from .text import bind
+from .text import bind, named
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))  # both start with a word pair
 SPAN = 8
@@ -130,7 +130,7 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
     """``doc_id``, ``text_hash``, ``item_id``, ``item_words``, and over the
     verified diagonals the most equal words (``equal_words``) and the best
     window (``window_equal``); one row per document text and item it holds."""
-    items = items.select(F.col(item_id).alias("item_id"), word_hashes(F.col(item_text)).alias("iw")).distinct()
+    items = items.select(named(item_id).alias("item_id"), word_hashes(named(item_text)).alias("iw")).distinct()
     items = materialize(items.where(F.size("iw") >= max(least_words, 1)), "decon-items")
     # the lengths below WINDOW that the benchmark has
     lengths = sorted(r["n"] for r in items.select(F.size("iw").alias("n")).where(F.col("n") < WINDOW).distinct().collect())
@@ -145,7 +145,7 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
         found = F.filter(_seeds(s["h"], starts), marked)
         return F.concat(found, *[F.filter(_short_seeds(s["h"], n), marked) for n in lengths]) if lengths else found
 
-    found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), word_hashes(F.col(text)).alias("dw"))
+    found = docs.select(named(doc_id).alias("doc_id"), F.xxhash64(named(text)).alias("text_hash"), word_hashes(named(text)).alias("dw"))
     found = found.withColumn("bits", bits.scalar())
     # one expression: the word hashes are computed once and the bitmap is
     # never part of a row
@@ -192,5 +192,5 @@ def keep_clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     names = docs.columns
     bad = materialize(overlaps(docs, items, doc_id, text, item_id, item_text, least_words).select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct(), "decon-bad")
-    boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs[doc_id].alias("_id"), F.xxhash64(docs[text]).alias("_th"))
+    boxed = docs.select(F.struct(*[named(c) for c in names]).alias("_row"), named(doc_id).alias("_id"), F.xxhash64(named(text)).alias("_th"))
     return boxed.join(bad, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left_anti").select("_row.*")

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import bind, ratio, words
+from .text import bind, named, ratio, words
 
 WINDOW = 8  # words in a repetition window
 
@@ -137,18 +137,19 @@ def annotate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
     """``docs`` with the metrics, ``base_failed``, ``failed_rules`` (names,
     comma-joined) and ``kept``."""
     names = docs.columns
-    boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs[text].alias("_t"))
+    boxed = docs.select(F.struct(*[named(c) for c in names]).alias("_row"), named(text).alias("_t"))
     out = metrics(boxed, "_t").withColumn(
         "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
     failed = F.array(*[F.when(_fails(r), F.lit(r.name)) for r in rules]) if rules else F.array().cast("array<string>")
     out = out.withColumn("failed_rules", F.array_join(F.array_compact(failed), ","))
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == ""))
     made = [c for c in out.columns if c not in ("_row", "_t")]
-    return out.select(*[F.col(f"_row.`{c}`") for c in names if c not in made], *made)
+    return out.select(*[F.col("_row")[c].alias(c) for c in names if c not in made], *made)
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass, with the columns they came with."""
-    names = docs.columns
-    boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("row_"), docs[text].alias("text_"))
-    return annotate(boxed, "text_", rules).where("kept").select("row_.*")
+    boxed = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("row_"), named(text).alias("text_"))
+    # a filter would be given a copy of every metric, a generator takes them as they are
+    passed = F.explode(F.when(F.col("kept"), F.array("row_")))
+    return annotate(boxed, "text_", rules).select(passed.alias("row_")).select("row_.*")

@@ -23,19 +23,24 @@ from pyspark.sql import types as T
 
 from callcredit.session import materialize
 
-from .text import map_texts
+from .text import map_texts, named
 
 # The three base kinds, in the order that breaks ties.
 BASE = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-# Forms that mark a credential without a keyword before it.
+# Forms that mark a credential without a keyword before it; one starts only
+# where no character of its own stands before, so that a long run is read once.
 FORMS = (
-    ("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+")),
+    ("jwt", re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+")),
     ("hosted", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")),
+    ("provider", re.compile(r"(?<![A-Za-z0-9_-])(?:AIza[A-Za-z0-9_-]{35}|xox[abeoprs]-[A-Za-z0-9-]{10,}|[rs]k_live_[A-Za-z0-9]{16,}"
+                            r"|glpat-[A-Za-z0-9_-]{20,}|github_pat_[A-Za-z0-9_]{40,})")),
     ("userinfo", re.compile(r"(?<=://)[^\s/:@]++:[^\s/:@]++(?=@)")),
 )
+# What a text must hold for a form to be looked for.
+_GATES = {"jwt": ("eyJ",), "hosted": ("gh",), "provider": ("AIza", "xox", "k_live_", "glpat-", "github_pat_"), "userinfo": ("://",)}
 KINDS = (*BASE, "pem", *(k for k, _ in FORMS))
 # Armoured private keys: from the BEGIN line to the END line that follows it;
 # where none does, over the headers and the key characters after it.  Line
@@ -76,7 +81,8 @@ def find(text: str | None) -> list[tuple[int, str, int, str]]:
     out += [(m.start(), "hex", m.end(), m[0]) for m in _HEX.finditer(text)]
     out += _armoured(text)
     for kind, form in FORMS:
-        out += [(m.start(), kind, m.end(), m[0]) for m in form.finditer(text)]
+        if any(g in text for g in _GATES[kind]):
+            out += [(m.start(), kind, m.end(), m[0]) for m in form.finditer(text)]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[1])))
 
 
@@ -92,9 +98,9 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo
         digest = lambda v: hashlib.sha256(v.encode()).hexdigest()
         return [[[{"start": s, "kind": k, "end": e, "hash": digest(v)} for s, k, e, v in find(t)] for t in texts]]
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                       F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),
-                       F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.col(text).alias("_text"))
+    rows = docs.select(named(doc_id).alias("doc_id"), F.xxhash64(named(text)).alias("text_hash"),
+                       F.coalesce(named(repository).cast("string"), F.lit("")).alias("repository"),
+                       F.coalesce(named(owner).cast("string"), F.lit("")).alias("owner"), named(text).alias("_text"))
     return map_texts(rows, "_text", [T.StructField("found", T.ArrayType(_SPAN))], make, drop=("_text",))
 
 
@@ -145,8 +151,8 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reposito
         F.filter("spans", lambda s: s["live"]).alias("_live")).where(F.size("_live") > 0).distinct()
     live = materialize(live, "secrets-live")
     names = docs.columns
-    boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs[doc_id].alias("_id"),
-                        F.xxhash64(docs[text]).alias("_th"), docs[text].alias("_text"))
+    boxed = docs.select(F.struct(*[named(c) for c in names]).alias("_row"), named(doc_id).alias("_id"),
+                        F.xxhash64(named(text)).alias("_th"), named(text).alias("_text"))
     joined = boxed.join(live, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -163,4 +169,4 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reposito
     clean = F.when(F.col("_live").isNull(), F.col("_text")).otherwise(F.aggregate("_live", start, step, finish))
     out = joined.select("_row", clean.alias("_clean"))
     put = {text: F.col("_clean")} | ({length: F.length("_clean").cast("bigint")} if length else {})
-    return out.select(*[put.get(c, F.col(f"_row.{c}")).alias(c) for c in names])
+    return out.select(*[put.get(c, F.col("_row")[c]).alias(c) for c in names])

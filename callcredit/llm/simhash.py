@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from callcredit.session import materialize
 
-from .text import map_texts
+from .text import map_texts, named
 
 BITS = 64
 SEED = 42
@@ -68,7 +68,7 @@ def _shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
     """``doc_id``, ``fp`` (the 64 bits as a signed long) and ``text_hash`` of
     every row."""
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text"))
+    rows = docs.select(named(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(named(text)).alias("text_hash"), named(text).alias("_text"))
     make = lambda texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
     return map_texts(rows, "_text", [T.StructField("fp", T.LongType())], make, drop=("_text",))
 
@@ -332,14 +332,17 @@ def hex_fingerprint(fp: Column) -> Column:
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
                distance: int = 4) -> DataFrame:
-    """``docs`` with one row per component: that of the smallest id (of
-    several texts under that id, the one of least hash)."""
+    """``docs`` with one row per component: that of the smallest id; of
+    several texts under that id, the one of least hash; of rows with equal id
+    and text, the one whose other columns have the least hash (map columns
+    do not count)."""
     names = docs.columns
     found = near_duplicates(docs, doc_id, text, shingle, distance)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
         F.min("doc_id").alias("_id"), F.min("text_hash").alias("_hash"))
-    boxed = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"),
-                        docs[doc_id].cast("bigint").alias("_i"), F.xxhash64(docs[text]).alias("_h"))
+    hashed = [named(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    boxed = docs.select(F.struct(*[named(c) for c in names]).alias("_row"),
+                        named(doc_id).cast("bigint").alias("_i"), F.xxhash64(named(text)).alias("_h"), F.xxhash64(*hashed).alias("_all"))
     first = materialize(first.select("_id", "_hash"), "simhash-first")
     kept = boxed.join(first, boxed["_i"].eqNullSafe(first["_id"]) & (boxed["_h"] == first["_hash"]), "left_semi")
-    return kept.dropDuplicates(["_i", "_h"]).select("_row.*")
+    return kept.groupBy("_i", "_h").agg(F.min_by("_row", "_all").alias("_row")).select("_row.*")

@@ -49,6 +49,8 @@ from pyspark.sql import functions as F
 
 from callcredit.session import materialize
 
+from .text import named
+
 LENGTH = 100
 GRAM = 32
 BLOCK = 4096  # most windows that one suffix sort holds
@@ -178,8 +180,8 @@ def _sliding(x: np.ndarray, w: int, f: np.ufunc, fill: np.uint64) -> np.ndarray:
 # -- the distributed steps --------------------------------------------------
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LAST)).alias("doc"),
-                       F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("sub"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return docs.select(F.coalesce(named(doc_id).cast("bigint"), F.lit(_LAST)).alias("doc"),
+                       F.xxhash64(F.coalesce(named(text), F.lit(""))).alias("sub"), F.coalesce(named(text), F.lit("")).alias("text"))
 
 
 def list_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:

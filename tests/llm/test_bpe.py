@@ -58,3 +58,17 @@ def test_encode_decode_keep_columns(spark, docs_of):
     assert back == {1: b"some text", 2: b""}
     assert bpe.checked_ids(docs, PATH, PATTERN).where("exact").count() == 2
     assert bpe.round_trip(docs_of([]), PATH, PATTERN).count() == 0
+
+
+def test_id_buffers_are_small(spark, docs_of, monkeypatch):
+    """Ids leave in several batches of one buffer each, whatever the texts."""
+    from callcredit.llm import text
+    monkeypatch.setattr(text, "PART_BYTES", 50)
+    rows = [(i, "some words " * (i % 7) if i % 5 else None) for i in range(40)]
+    docs = docs_of(rows)
+    path, pattern = PATH, PATTERN
+    got = {r.doc_id: r for r in bpe.checked_ids(docs, path, pattern).collect()}
+    for i, t in rows:
+        assert got[i].ids == bpe.encoder(path, pattern).encode(t) and got[i].n_tokens == len(got[i].ids) and got[i].exact
+    back = bpe.decode(bpe.encode(docs, path, pattern), path, pattern).select("doc_id", "decoded").collect()
+    assert {r.doc_id: bytes(r.decoded).decode() for r in back} == {i: t or "" for i, t in rows}

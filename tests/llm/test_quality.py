@@ -49,3 +49,12 @@ def test_rules_are_a_parameter_and_empty_tables_work(spark, docs_of):
 def test_plan_is_one_projection(spark, docs_of):
     plan = quality.annotate(docs_of([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_verdict_is_computed_once(spark, docs_of):
+    """No copy of the metrics in a filter; any column name."""
+    docs = docs_of([(1, "a")]).withColumnRenamed("lang", "the.lang")
+    plan = quality.keep_good(docs)._jdf.queryExecution().optimizedPlan().toString()
+    once = quality.annotate(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= once.count("split(") and "Python" not in plan
+    assert quality.keep_good(docs).columns == docs.columns and quality.keep_good(docs).count() == 0

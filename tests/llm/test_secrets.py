@@ -98,3 +98,18 @@ def test_different_keys_of_many_owners_stay_live(spark):
 def test_long_userinfo():
     user, password = "u" * 300, "p" * 4000
     assert [s[1:] for s in secrets.find(f"postgres://{user}:{password}@host/db")] == [("userinfo", 11 + 301 + 4000, f"{user}:{password}")]
+
+
+def test_provider_forms():
+    keys = ["AIza" + "Sy0_-aB" * 5, "xoxb-123456789012-abcDEF", "sk_live_" + "a1B2" * 6, "glpat-" + "x_-9Z" * 4, "github_pat_" + "11AB_cd" * 8]
+    for key in keys:
+        assert [(s[0], s[1], s[3]) for s in secrets.find(f"use {key}, now")] == [(4, "provider", key)]
+    assert not secrets.find("xAIza" + "z" * 35) and not secrets.find("sk_live_short")
+
+
+def test_long_runs_of_key_beginnings_take_linear_time():
+    import time
+    start = time.perf_counter()
+    for beginning in ("eyJ", "eyJ-", "AIza", "xoxb-", "gh", "ghp_", "AKIA", "token=", "a://b:"):
+        secrets.find(beginning * ((1 << 20) // len(beginning)))
+    assert time.perf_counter() - start < 20
