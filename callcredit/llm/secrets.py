@@ -94,14 +94,22 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo
                owner: str = "source") -> DataFrame:
     """``doc_id``, ``text_hash``, ``repository``, ``owner`` and ``found``
     (array of start, kind, end, hash of the value) of every row."""
+    rows = docs.select(*_identity(doc_id, text, repository, owner), named(text).alias("_text"))
+    return _with_found(rows).drop("_text")
+
+
+def _identity(doc_id: str, text: str, repository: str, owner: str) -> list[Column]:
+    return [named(doc_id).alias("doc_id"), F.xxhash64(named(text)).alias("text_hash"),
+            F.coalesce(named(repository).cast("string"), F.lit("")).alias("repository"),
+            F.coalesce(named(owner).cast("string"), F.lit("")).alias("owner")]
+
+
+def _with_found(rows: DataFrame) -> DataFrame:
     def make(texts: list) -> list[list]:
         digest = lambda v: hashlib.sha256(v.encode()).hexdigest()
         return [[[{"start": s, "kind": k, "end": e, "hash": digest(v)} for s, k, e, v in find(t)] for t in texts]]
 
-    rows = docs.select(named(doc_id).alias("doc_id"), F.xxhash64(named(text)).alias("text_hash"),
-                       F.coalesce(named(repository).cast("string"), F.lit("")).alias("repository"),
-                       F.coalesce(named(owner).cast("string"), F.lit("")).alias("owner"), named(text).alias("_text"))
-    return map_texts(rows, "_text", [T.StructField("found", T.ArrayType(_SPAN))], make, drop=("_text",))
+    return map_texts(rows, "_text", [T.StructField("found", T.ArrayType(_SPAN))], make)
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -120,6 +128,15 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository
     kind, end, hash, ``n_repositories``, ``n_owners``, ``live`` (fewer than
     ``wide_owners`` owners), by start, then kind."""
     found = materialize(candidates(docs, doc_id, text, repository, owner), "secrets-found")
+    per_text = _spans(found, wide_owners)
+    kind = per_text.schema["spans"].dataType.simpleString()
+    return found.select("doc_id", "text_hash").join(
+        per_text, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left").select(
+        "doc_id", "text_hash", F.coalesce("spans", F.array().cast(kind)).alias("spans"))
+
+
+def _spans(found: DataFrame, wide_owners: int) -> DataFrame:
+    """``_d``, ``_h``, ``spans`` of every id and text that has any."""
     owners = materialize(ownership(found), "secrets-owners")
     # one row per span, so that a value of very many texts is only many rows
     each = found.where(F.size("found") > 0).select("doc_id", "text_hash", "repository", "owner", F.posexplode("found").alias("at", "s"))
@@ -129,11 +146,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repository
             (F.col("n_owners") < wide_owners).alias("live")).alias("span"))
     per_text = each.distinct().groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "span"))), lambda x: x["span"]).alias("spans"))
-    per_text = materialize(per_text, "secrets-spans")
-    kind = per_text.schema["spans"].dataType.simpleString()
-    return found.select("doc_id", "text_hash").join(
-        per_text, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left").select(
-        "doc_id", "text_hash", F.coalesce("spans", F.array().cast(kind)).alias("spans"))
+    return materialize(per_text, "secrets-spans")
 
 
 def spans_text(spans: Column) -> Column:
@@ -145,15 +158,16 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reposito
            owner: str = "source", wide_owners: int = WIDE_OWNERS, length: str | None = None) -> DataFrame:
     """``docs`` with every live span of ``text`` replaced by ``<kind>``;
     overlapping spans are replaced once, by the first.  ``length`` names a
-    column to set to the new text's code points."""
-    live = scan(docs, doc_id, text, repository, owner, wide_owners).select(
-        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"),
-        F.filter("spans", lambda s: s["live"]).alias("_live")).where(F.size("_live") > 0).distinct()
-    live = materialize(live, "secrets-live")
+    column to set to the new text's code points.  Only texts with candidates
+    are shuffled."""
     names = docs.columns
-    boxed = docs.select(F.struct(*[named(c) for c in names]).alias("_row"), named(doc_id).alias("_id"),
-                        F.xxhash64(named(text)).alias("_th"), named(text).alias("_text"))
-    joined = boxed.join(live, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left")
+    rest = F.struct(F.lit(0).alias("_"), *[named(c) for c in names if c != text]).alias("_row")
+    marked = materialize(_with_found(docs.select(rest, *_identity(doc_id, text, repository, owner), named(text).alias("_text"))), "secrets-found")
+    live = _spans(marked.select("doc_id", "text_hash", "repository", "owner", "found"), wide_owners).select(
+        "_d", "_h", F.filter("spans", lambda s: s["live"]).alias("_live")).where(F.size("_live") > 0)
+    live = materialize(live, "secrets-live")
+    touched = marked.where(F.size("found") > 0).join(
+        live, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -167,6 +181,7 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reposito
         return F.concat(F.array_join(acc["out"], ""), rest)
 
     clean = F.when(F.col("_live").isNull(), F.col("_text")).otherwise(F.aggregate("_live", start, step, finish))
-    out = joined.select("_row", clean.alias("_clean"))
+    same = marked.where(F.size("found") == 0).select("_row", F.col("_text").alias("_clean"))
+    out = touched.select("_row", clean.alias("_clean")).unionByName(same)
     put = {text: F.col("_clean")} | ({length: F.length("_clean").cast("bigint")} if length else {})
     return out.select(*[put.get(c, F.col("_row")[c]).alias(c) for c in names])
