@@ -21,8 +21,8 @@ with this anchor can reach are its window.
    that.
 2. Anchors with several different windows: their first windows are fetched,
    dealt by anchor again and cut down to the reach that any other window of
-   the anchor shares, and suffix-sorted together, at most ``BLOCK`` at a
-   time.  Where an anchor has more windows than that, the range of places at
+   the anchor shares, of equal ones the first stays, and these are
+   suffix-sorted together, at most ``BLOCK`` windows of an anchor.  Where an anchor has more windows than that, the range of places at
    which strings begin is halved, and windows are dealt by the longer run of
    bytes that all strings of a half cover; the last two strings of a range
    are dealt out by their 128-bit digest.
@@ -53,7 +53,8 @@ from .text import named
 
 LENGTH = 100
 GRAM = 32
-BLOCK = 4096  # most windows that one suffix sort holds
+TOGETHER = 4096  # windows of small anchors that are sorted together
+BLOCK = 16384  # most windows of one anchor that a task holds
 NARROW = 2  # strings of a window that are left when a range is halved no more
 _LAST = (1 << 63) - 1
 _ODD = 0x9E3779B97F4A7C15
@@ -307,7 +308,7 @@ def fetch_windows(docs: DataFrame, firsts: DataFrame) -> DataFrame:
                 for w in windows.as_py():
                     for o, v in zip(out, (w["anchor"], doc, sub, w["start"], w["at"] - w["start"], raw[w["start"]:w["stop"]])):
                         o.append(v)
-                if len(out[0]) >= BLOCK:
+                if len(out[0]) >= TOGETHER:
                     yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
                     out = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
@@ -348,22 +349,40 @@ def shared_reach(anchor: np.ndarray, windows: list[bytes], left: list[int], gram
     """Upper bounds of the bytes before and after the anchor that a window
     shares with any other of its anchor: unshared at k bytes, at most k - 1."""
     out = (np.full(len(windows), reach), np.full(len(windows), reach))
+    size, at = np.array([len(w) for w in windows], np.int64), np.array(left, np.int64)
+    begin = np.cumsum(size) - size
+    text = np.frombuffer(b"".join(windows), np.uint8)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[text] * _powers(_ODD, len(text)))])
+    down = _powers(pow(_ODD, -1, 2 ** 64), len(text))
     salt = anchor.astype(np.uint64) * np.uint64(_ODD)
-    for k in sorted({max(1, reach * q // 16) for q in (1, 2, 4, 8, 12, 16)}, reverse=True):
-        for side, bound in enumerate(out):
-            if side:
-                ends = [w[x + gram:x + gram + k] for w, x in zip(windows, left)]
-            else:
-                ends = [w[max(x - k, 0):x] for w, x in zip(windows, left)]
-            h = np.array([hash(e) for e in ends], np.int64).view(np.uint64) ^ salt
-            _, at, n = np.unique(h, return_inverse=True, return_counts=True)
-            bound[(n[at] < 2) | (np.array([len(e) for e in ends]) < k)] = k - 1
+    for k in sorted({max(1, reach * q // 16) for q in range(1, 17)}, reverse=True):
+        for bound, first, there in ((out[0], begin + at - k, at), (out[1], begin + at + gram, size - at - gram)):
+            long = there >= k
+            a = np.where(long, first, 0)
+            h = (sums[np.minimum(a + k, len(text))] - sums[a]) * down[a]
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) ^ salt
+            _, which, n = np.unique(h, return_inverse=True, return_counts=True)
+            bound[~long | (n[which] < 2)] = k - 1
     return out
 
 
+def first_of_equal(rows: list[tuple[int, int, int, bytes]], length: int) -> tuple[list[tuple], list[tuple]]:
+    """Of rows ``(doc, sub, start, bytes)`` with equal bytes the one that
+    starts first, and ``(doc, sub, start, stop)`` of the others: whatever
+    string they hold starts earlier in the first."""
+    first: dict[bytes, tuple] = {}
+    late = []
+    for r in sorted(rows, key=lambda r: r[:3]):
+        other = first.setdefault(r[3], r)
+        if other[:3] != r[:3] and len(r[3]) >= length:
+            late.append((*r[:3], r[2] + len(r[3])))
+    return list(first.values()), late
+
+
 def sort_windows(windows: DataFrame, length: int, gram: int) -> DataFrame:
     """``doc``, ``sub``, ``start``, ``stop``: removed runs, from suffix
-    sorting the windows of whole anchors together, about ``BLOCK`` at a time."""
+    sorting the windows of whole anchors together, about ``TOGETHER`` at a
+    time; windows equal after the cut to their shared reach are sorted once."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,7 +390,7 @@ def sort_windows(windows: DataFrame, length: int, gram: int) -> DataFrame:
         for b in batches:
             rows = list(zip(*(b.column(n).to_pylist() for n in ("key", "doc", "sub", "start", "left", "bytes"))))
             for r in rows:
-                if len(held) >= BLOCK and r[0] != held[-1][0]:
+                if len(held) >= min(TOGETHER, BLOCK) and r[0] != held[-1][0]:
                     yield solve(held)
                     held = []
                 held.append(r)
@@ -385,6 +404,7 @@ def sort_windows(windows: DataFrame, length: int, gram: int) -> DataFrame:
             _, doc, sub, start, left, raw = rows[i]
             a = max(left - int(before[i]), 0)
             kept.append((doc, sub, start + a, raw[a:left + gram + int(after[i])]))
+        kept, late = first_of_equal(kept, length)
         ids = sorted({r[:2] for r in kept})
         rank = {d: i for i, d in enumerate(ids)}
         start = np.array([r[2] for r in kept], np.int64)
@@ -395,11 +415,10 @@ def sort_windows(windows: DataFrame, length: int, gram: int) -> DataFrame:
         cut = np.concatenate([[True], (w[1:] != w[:-1]) | (o[1:] != o[:-1] + 1)]) if len(w) else np.empty(0, bool)
         a = np.flatnonzero(cut)
         z = np.append(a[1:], len(w))[:len(a)] - 1
-        lo, hi = start[w[a]] + o[a], start[w[a]] + o[z] + length
-        owner = w[a].tolist()
-        return pa.RecordBatch.from_pydict({
-            "doc": pa.array([kept[i][0] for i in owner], pa.int64()), "sub": pa.array([kept[i][1] for i in owner], pa.int64()),
-            "start": pa.array(lo, pa.int32()), "stop": pa.array(hi, pa.int32())})
+        lo, hi = (start[w[a]] + o[a]).tolist(), (start[w[a]] + o[z] + length).tolist()
+        found = [(kept[i][0], kept[i][1], x, y) for i, x, y in zip(w[a].tolist(), lo, hi)] + late
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
+                                          names=["doc", "sub", "start", "stop"])
 
     return windows.repartition("key").sortWithinPartitions("key", "doc", "sub", "start").mapInArrow(
         run, "doc bigint, sub bigint, start int, stop int")
