@@ -33,8 +33,8 @@ EQUIVALENT = (
     ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"), ("sublicence", "sublicense"),
     ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
 )
-# Known notices by identifier, which the DuckDB SQL shares; known_table() adds
-# the standard notices and the full texts.
+# Known notices by identifier; known_table() adds the standard notices, which
+# the DuckDB SQL shares, and the full texts.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -148,7 +148,7 @@ def _full_texts() -> list[tuple[str, str]]:
     return out
 
 
-def _notices() -> list[tuple[str, str]]:
+def standard_notices() -> list[tuple[str, str]]:
     """The standard notices of the named licences, and their SPDX lines."""
     out = [(name, f"{phrase} {the}{called}") for name, names in NAMED.items() for called in names for phrase in PHRASES
            for the in ("the ", "")]
@@ -160,7 +160,7 @@ def known_table(spark: SparkSession) -> DataFrame:
     """``license`` and ``text``: the shared notices, the standard notices and
     the full texts."""
     # one literal: no Python process starts on the executors
-    rows = F.lit("\x1e".join(f"{n}\x1f{t}" for n, t in (*KNOWN, *_notices(), *_full_texts())))
+    rows = F.lit("\x1e".join(f"{n}\x1f{t}" for n, t in (*KNOWN, *standard_notices(), *_full_texts())))
     each = spark.range(1).select(F.explode(F.split(rows, "\x1e")).alias("r"))
     return each.select(F.substring_index("r", "\x1f", 1).alias("license"), F.substring_index("r", "\x1f", -1).alias("text"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .chat import AGAIN, CLOSE, CONTROL, HEAD, OPEN
 from .decontaminate import MASKS, SHARE, SPAN, WINDOW
-from .licenses import EQUIVALENT, KNOWN
+from .licenses import EQUIVALENT, KNOWN, standard_notices
 from .quality import RULES, STOP_WORDS
 
 SQL: dict[str, str] = {}
@@ -132,7 +132,8 @@ def _canonical_digest(c: str) -> str:
     return f"CASE WHEN {words} <> '' THEN sha256({words}) END"
 
 
-_KNOWN = ", ".join(f"('{n}', '{t}')" for n, t in KNOWN)
+# the notices, the standard ones among them; full texts are compared in tests/llm
+_KNOWN = ", ".join(f"('{n}', '{t}')" for n, t in (*KNOWN, *standard_notices()))
 
 SQL["op1_license_scan"] = f"""
 WITH k AS (
