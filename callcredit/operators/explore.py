@@ -21,6 +21,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 ID = "MeetingID"
 HOURS = "DurationHours"
 # Sums of already aggregated measures are taken in this decimal type, so a
@@ -330,8 +332,10 @@ def sales_by_root(invoices: DataFrame, document: str, sales: str, length: int =
 
 def calls_with_sales(calls: DataFrame, numbers: DataFrame, sales: DataFrame) -> DataFrame:
     """Every call with the distinct numbers it names, their
-    sales and the sales type."""
+    sales and the sales type.  The sales are stored first: a document of very
+    many calls can be split only when neither side is an aggregate."""
     from .revenue import sales_type
+    sales = materialize(sales, "sales-by-root")
     per_call = (numbers.join(sales, numbers["RootDocumentNumber"] == sales["RootPDN"], "left")
                 .groupBy("MeetingId")
                 .agg(F.concat_ws(", ", F.array_sort(F.collect_set("RootDocumentNumber"))).alias("RootPDN"),

@@ -19,7 +19,7 @@ from ..config import (KEY_SNAPSHOT_FOLDER, LoadWindow, TableRef, TimeSpec, load_
 from ..functions.timezone import normalise_times
 from ..operators import incremental as inc
 from ..operators import mutate
-from ..sources import bronze, buckets, snapshot
+from ..sources import bronze, buckets, marks, snapshot
 
 
 def full_load(read_source: Callable[[TableRef], DataFrame], tables: list[TableRef],
@@ -47,11 +47,11 @@ def incremental_merge(spark: SparkSession, ref: TableRef, source: DataFrame, *,
 
     The window overlaps the previous one by ``overlap_minutes``; rows read
     twice are absorbed by the upsert.  The mark stored is the end bound
-    actually used (D-13).
+    actually used (D-13); runs of other tables may store theirs meanwhile.
+    A window that ends before the stored mark is merged and leaves the mark.
     """
     table = ref.target_name
-    control = snapshot.read_snapshot(spark, control_root)
-    mark = None if given_start else inc.stored_mark(control, table)
+    mark = None if given_start else inc.stored_mark(marks.read_marks(spark, control_root), table)
     window = LoadWindow.resolve(stored_mark=mark, given_start=given_start, given_end=given_end,
                                 run_time=run_time, overlap_minutes=overlap_minutes,
                                 source_zone=source_zone)
@@ -66,7 +66,10 @@ def incremental_merge(spark: SparkSession, ref: TableRef, source: DataFrame, *,
         current = snapshot.read_snapshot(spark, silver_path)
         snapshot.write_snapshot(mutate.upsert(current, changes, columns), silver_path)
     if save_mark:
-        snapshot.write_snapshot(inc.set_mark(control, table, window.end), control_root)
+        try:
+            marks.advance(spark, control_root, table, window.end)
+        except marks.MarkError:
+            pass  # an older window read again
     if keep_versions:
         if not in_buckets:
             snapshot.vacuum(spark, silver_path, keep_versions)
@@ -82,12 +85,15 @@ def snapshot_live_keys(source: DataFrame, ref: TableRef, keys: dict, bronze_root
 
 
 def delete_run(spark: SparkSession, ref: TableRef, *, keys: dict, bronze_root: str,
-               silver_root: str, run_time: datetime, keep_versions: int | None = None) -> int:
-    """M6: silver rows whose key is gone at the source are removed.
+               silver_root: str, run_time: datetime, keep_versions: int | None = None) -> int | list[int]:
+    """M6: silver rows whose key is gone at the source are removed; returns
+    the new version, or the buckets rewritten of a table in key buckets.
     ``keep_versions`` drops older snapshot versions afterwards."""
     cols = primary_keys(keys, ref.target_name)
     live = bronze.read_run(spark, f"{bronze_root}/{KEY_SNAPSHOT_FOLDER}", ref, run_time)
     silver_path = f"{silver_root}/{ref.database}/{ref.target_name}"
+    if buckets.is_bucketed(spark, silver_path):
+        return buckets.delete_bucketed(spark, silver_path, live, cols)
     current = snapshot.read_snapshot(spark, silver_path)
     version = snapshot.write_snapshot(mutate.keep_live(current, live, cols), silver_path)
     if keep_versions:

@@ -146,20 +146,20 @@ def transform(df: DataFrame, table: str, ctx: ServingContext) -> DataFrame:
 
 
 def serve(tables: list[str], ctx: ServingContext,
-          write: Callable[[DataFrame, str], None]) -> dict[str, DataFrame]:
+          write: Callable[[DataFrame, str], DataFrame | None]) -> dict[str, DataFrame]:
     """Read -> transform -> write for each table; one action per table.
 
-    The unique agent names are returned (and written) as their own output
+    A writer may return the written table, which is then read instead of
+    computing it again.  The unique agent names are returned (and written) as their own output
     instead of being written from inside a transform (D-24).
     """
     out: dict[str, DataFrame] = {}
     for name in tables:
         result = transform(ctx.table(name), name, ctx)
-        out[name] = result
-        write(result, name)
+        stored = write(result, name)
+        out[name] = result if stored is None else stored
     if "agentperformancebyperiodstats" in out and "partscallcentre_popup_data" in tables:
-        names = unique_agent_names(out["agentperformancebyperiodstats"],
-                                   ctx.table("partscallcentre_popup_data"))
+        names = unique_agent_names(out["agentperformancebyperiodstats"], out["partscallcentre_popup_data"])
         out["agent_name_unique"] = names
         write(names, "agent_name_unique")
     return out

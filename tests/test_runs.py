@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from callcredit.config import TableRef
@@ -158,3 +159,53 @@ def test_window_bounds_are_inclusive(spark):
     df = spark.createDataFrame([(i, "x", datetime(2024, 1, 1 + i)) for i in range(5)], SCHEMA)
     got = sorted(r.id for r in inc.window_scan(df, w).collect())
     assert got == [1, 2, 3]   # both border rows are read (and absorbed by the upsert when read twice)
+
+
+def test_marks_of_overlapping_runs_both_stay(spark, tmp_path):
+    from callcredit.sources import marks
+    root = f"{tmp_path}/control"
+    base = inc.set_mark(inc.set_mark(inc.empty_control(spark), "a", datetime(2024, 1, 1)), "b", datetime(2024, 1, 1))
+    snapshot.write_snapshot(base, root)
+    read = lambda: {r.table_name: r.watermark_value for r in marks.read_marks(spark, root).collect()}
+    before = marks.read_marks(spark, root)  # both runs read the marks first
+    assert inc.stored_mark(before, "a") == inc.stored_mark(before, "b") == datetime(2024, 1, 1)
+    marks.advance(spark, root, "a", datetime(2024, 1, 5))
+    marks.advance(spark, root, "b", datetime(2024, 1, 6))
+    marks.advance(spark, root, "c", datetime(2024, 1, 7))
+    want = {"a": datetime(2024, 1, 5), "b": datetime(2024, 1, 6), "c": datetime(2024, 1, 7)}
+    assert read() == want
+    with pytest.raises(marks.MarkError):
+        marks.advance(spark, root, "a", datetime(2024, 1, 4))
+    marks.advance(spark, root, "a", datetime(2024, 1, 5))
+    marks.compact(spark, root)
+    assert read() == want
+    marks.compact(spark, root)
+    marks.advance(spark, root, "a", datetime(2024, 2, 1))
+    assert read() == want | {"a": datetime(2024, 2, 1)}
+
+
+def test_delete_run_on_buckets_reads_only_those_that_differ(spark, tmp_path, monkeypatch):
+    from callcredit.sources import buckets
+    root = f"{tmp_path}/t"
+    rows = [(i, f"v{i}") for i in range(200)] + [(None, "no key")]
+    df = spark.createDataFrame(rows, "id bigint, v string")
+    buckets.write_bucketed(df, root, ["id"], 16)
+    read = lambda: sorted((r.id is None, r.id, r.v) for r in buckets.read_bucketed(spark, root).collect())
+    everything = read()
+    more = df.select("id").union(spark.range(1000, 1010).select("id"))
+    assert buckets.delete_bucketed(spark, root, more, ["id"]) == [] and read() == everything
+    of = {r.id: r.b for r in df.select("id", buckets.bucket_of(["id"], 16).alias("b")).collect()}
+    gone = {7, 8} | {i for i in range(200) if of[i] == of[9]}  # a whole bucket among them
+    touched = buckets.delete_bucketed(spark, root, df.where(~df.id.isin(*gone)).select("id"), ["id"])
+    assert touched == sorted({of[i] for i in gone})
+    assert read() == [r for r in everything if r[1] not in gone]
+    stored = []
+    monkeypatch.setattr(buckets.mutate, "keep_live", lambda *a: stored.append(a))
+    assert buckets.delete_bucketed(spark, root, df.where(~df.id.isin(*gone)).select("id"), ["id"]) == [] and not stored
+    monkeypatch.undo()
+    buckets.upsert_bucketed(spark, root, spark.createDataFrame([(7, "back"), (300, "new")], "id bigint, v string"), ["id"])
+    assert buckets.delete_bucketed(spark, root, spark.createDataFrame([(7,)], "id bigint"), ["id"])
+    assert read() == [(False, 7, "back"), (True, None, "no key")]
+    assert buckets.delete_bucketed(spark, root, df.select("id").limit(0), ["id"]) and read() == [(True, None, "no key")]
+    with pytest.raises(buckets.LayoutError):
+        buckets.delete_bucketed(spark, root, df, ["v"])
