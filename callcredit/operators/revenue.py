@@ -138,7 +138,11 @@ def _strict_flags(typed: DataFrame, mentions: DataFrame, doc_lines: DataFrame, f
     """
     doc_calls = mentions.where(F.col(DOC).isNotNull()).groupBy(DOC).agg(
         F.count(F.lit(1)).alias("n_calls"))
-    stats = materialize(doc_lines.join(doc_calls, DOC), "revenue-documents")
+    return _flags_of(typed, materialize(doc_lines.join(doc_calls, DOC), "revenue-documents"), flag)
+
+
+def _flags_of(typed: DataFrame, stats: DataFrame, flag: Column) -> DataFrame:
+    """``_strict_flags`` from the aggregates of each document."""
     n_calls, sales = F.col("n_calls"), F.col("doc_sales")
     dates_present = (F.col("min_open").isNotNull() & F.col("min_start").isNotNull()
                      & F.col("max_end").isNotNull())
