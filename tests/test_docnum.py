@@ -105,6 +105,20 @@ def test_fold_matches_model(spark):
             assert got[i] == _model(toks, short), (toks, short)
 
 
+def test_long_lists_match_model(spark):
+    """Lists around and far beyond the block length, a full number now and then."""
+    rng = random.Random(5)
+    rows = []
+    for i, n in enumerate([dn.BLOCK - 1, dn.BLOCK, dn.BLOCK + 1, 3 * dn.BLOCK, 20_000]):
+        some = [str(rng.randrange(10 ** rng.randint(1, 6))) if rng.random() < 0.99 else f"{rng.randrange(10, 99)}K{rng.randrange(10 ** 5, 10 ** 6)}"
+                for _ in range(n)]
+        rows.append((i, some))
+    df = spark.createDataFrame(rows, "id int, toks array<string>")
+    got = {r.id: r.out for r in df.select("id", dn.parse_tokens(F.col("toks"), True).alias("out")).collect()}
+    for i, toks in rows:
+        assert got[i] == _model(toks, True), i
+
+
 def test_legacy_first_base(spark):
     df = spark.createDataFrame([(1, "83K150042-23 1234567", "x 19W7339064"),
                                 (2, "see 83K150042", None)], SCHEMA)
