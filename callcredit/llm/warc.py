@@ -10,7 +10,9 @@ archives for every place where a record could start and emit candidates with
 the offset of their successor (header length plus Content-Length).  Only
 candidates on the chain from the start of a file are records: the set of
 reached offsets doubles its depth per round by pointer jumping, all files at
-once, in log2(records per file) rounds whatever the number of files.
+once, in log2(records per file) rounds whatever the number of files.  Then the
+payloads of true records alone are read and hashed.  Both readers inflate a
+file piece by piece: they hold its compressed bytes, never the whole archive.
 
 Defined results: null html is an empty payload; null page ids are written as
 an empty id and read back as null, after all others in the choice of the
@@ -30,12 +32,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from callcredit.session import materialize, scratch_path
 
+from .text import PART_BYTES
+
 RECORDS = 2048  # most records per archive
 PREFIX = "urn:page:"
-_MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
+_MAGIC = re.compile(rb"(?<=\r\n\r\n)WARC/1\.[01]\r\n")
 _BIGINT = range(-(1 << 63), 1 << 63)
 _CHUNK = 1 << 20
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -113,49 +119,124 @@ def _inflated(data: bytes) -> Iterator[bytes]:
         yield z.flush()
 
 
-_FIELD = re.compile(rb"^([A-Za-z-]+): *(.*?)\r?$", re.M)
+_LINE = re.compile(rb"([^\s:]+):[ \t]*(.*?)[ \t]*", re.S)
+
+
+def _fields(lines: list[bytes]) -> dict[bytes, bytes] | None:
+    """Header fields, the first of each name; None if a line is not one."""
+    out: dict[bytes, bytes] = {}
+    for line in lines:
+        m = _LINE.fullmatch(line)
+        if m:
+            out.setdefault(m[1].lower(), m[2])
+        elif line[:1] not in (b" ", b"\t"):  # a folded value goes on
+            return None
+    return out
+
 
+def _candidates(path: str, data: bytes) -> Iterator[dict]:
+    """Every place where a record could start, with its successor.
 
-def _fields(head: bytes) -> dict[bytes, bytes]:
-    return {k.lower(): v for k, v in reversed(_FIELD.findall(head))}
+    A record starts the file or follows the two line breaks that end another,
+    so headers of candidates never overlap and the scan is linear.  A
+    successor may lie beyond the end of the file.  Memory: one inflated piece
+    and the header read."""
+    pieces = _inflated(data)
+    text, base, look = bytearray(b"\r\n\r\n"), -4, 4  # text[0] is the byte at offset base
+    ended = False
 
+    def pull() -> None:
+        nonlocal text, ended
+        piece = next(pieces, None)
+        if piece is None:
+            ended = True
+        else:
+            text += piece
 
-def _candidates(path: str, data: bytes, payloads: bool) -> Iterator[dict]:
-    """Every place where a record could start, with its successor.  Memory:
-    the archive (at most ``RECORDS`` records)."""
-    text = b"".join(_inflated(data))
-    found = _MAGIC.search(text)
-    while found:
-        at = found.start()
-        end = text.find(b"\r\n\r\n", at)
-        fields = _fields(text[at:end]) if end >= 0 else {}
-        length = fields.get(b"content-length", b"")
-        if length.isdigit() and end + 4 + int(length) + 4 <= len(text):
-            body = end + 4
+    while True:
+        found = _MAGIC.search(text, look)
+        if found is None:
+            if ended:
+                break
+            gone = max(look, len(text) - 9) - 4  # what a start split by the pieces needs
+            del text[:gone]
+            base, look = base + gone, 4
+            pull()
+            continue
+        if found.start() > _CHUNK:
+            gone = found.start() - 4
+            del text[:gone]
+            base, look = base + gone, 4
+            continue
+        lines, at, whole = [], found.end(), False
+        while True:
+            end = text.find(b"\r\n", at)
+            while end < 0 and not ended:
+                seen = max(at, len(text) - 1)
+                pull()
+                end = text.find(b"\r\n", seen)
+            whole = end == at
+            if end <= at:
+                break
+            lines.append(bytes(text[at:end]))
+            at = end + 2
+        look = found.start() + 1
+        fields = _fields(lines) if whole else None
+        length = (fields or {}).get(b"content-length", b"")
+        if length.isdigit() and len(length) <= 18:
+            body = base + at + 2
             stop = body + int(length)
-            http = -1
-            if fields.get(b"content-type", b"").lower().startswith(b"application/http"):
-                http = text.find(b"\r\n\r\n", body, stop)
-                payload = text[http + 4:stop] if http >= 0 else b""
-            else:  # the block as a whole
-                payload = text[body:stop]
-            kind = fields.get(b"warc-type", b"").decode(errors="replace")
-            stated = _fields(text[body:http]).get(b"content-length", b"") if http >= 0 else b""
-            revisit = kind == "revisit"
-            named = lambda k: fields.get(k, b"").decode(errors="replace").removeprefix(f"<{PREFIX}").removesuffix(">")
-            digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-            stated_digest = fields.get(b"warc-payload-digest", b"").decode(errors="replace")
-            given = stated_digest.removeprefix("sha1:")
-            ids = _number(named(b"warc-record-id")), _number(named(b"warc-refers-to")) if revisit else None
-            yield {"file": path, "at": at, "next": stop + 4, "record_type": kind,
-                   **{k: v if v is not None and v in _BIGINT else None for k, v in zip(("page_id", "refers_to"), ids)},
-                   "beyond": next((str(v) for v in ids if v is not None and v not in _BIGINT), None),
-                   "url": fields.get(b"warc-target-uri", b"").decode(errors="replace"),
-                   # a revisit states what its response holds
-                   "payload_digest": given if revisit else digest,
-                   "payload_bytes": int(stated) if revisit and stated.isdigit() else len(payload),
-                   "intact": True if revisit else digest == given if stated_digest.startswith("sha1:") else None, "payload": payload if payloads and not revisit else None}
-        found = _MAGIC.search(text, at + 1)
+            yield {"file": path, "at": base + found.start(), "next": stop + 4, "body": body, "stop": stop, **_stated(fields)}
+
+
+def _stated(fields: dict[bytes, bytes]) -> dict:
+    """What the header of a record says."""
+    said = lambda k: fields.get(k, b"").decode(errors="replace")
+    named = lambda k: _number(said(k).removeprefix(f"<{PREFIX}").removesuffix(">"))
+    kind, digest = said(b"warc-type"), said(b"warc-payload-digest")
+    ids = named(b"warc-record-id"), named(b"warc-refers-to") if kind == "revisit" else None
+    return {"record_type": kind, **{k: v if v is not None and v in _BIGINT else None for k, v in zip(("page_id", "refers_to"), ids)},
+            "beyond": next((str(v) for v in ids if v is not None and v not in _BIGINT), None), "url": said(b"warc-target-uri"),
+            "http": said(b"content-type").lower().startswith("application/http"), "digest": digest}
+
+
+def _contents(data: bytes, records: list[dict], payloads: bool) -> Iterator[dict]:
+    """The records, in their order, with size and digest of their payloads; a
+    last one that the end of the file cuts off is left out.  Memory: one
+    inflated piece and, if wanted, one payload."""
+    pieces, text, base = _inflated(data), b"", 0
+    for r in records:
+        at, size, sha, head, stated = r["body"], 0, hashlib.sha1(), bytearray() if r["http"] else None, b""
+        revisit = r["record_type"] == "revisit"
+        kept = bytearray() if payloads and not revisit else None
+        while at < r["next"]:
+            while at >= base + len(text):
+                base += len(text)
+                text = next(pieces, None)
+                if text is None:
+                    return
+            piece = text[at - base:r["next"] - base]
+            at += len(piece)
+            piece = piece[:max(len(piece) - max(at - r["stop"], 0), 0)]
+            if head is not None:  # the payload is what follows the HTTP header
+                seen = max(len(head) - 3, 0)
+                head += piece
+                end = head.find(b"\r\n\r\n", seen)
+                if end < 0:
+                    continue
+                stated = (_fields(bytes(head[:end]).split(b"\r\n")[1:]) or {}).get(b"content-length", b"")
+                piece, head = bytes(head[end + 4:]), None
+            size += len(piece)
+            sha.update(piece)
+            if kept is not None:
+                kept += piece
+        actual, given = base64.b32encode(sha.digest()).decode(), r["digest"].removeprefix("sha1:")
+        yield {**{k: r[k] for k in ("at", "next", "page_id", "record_type", "refers_to", "url", "beyond")},
+               # a revisit states what its response holds
+               "payload_digest": given if revisit else actual,
+               "payload_bytes": int(stated) if revisit and stated.isdigit() and len(stated) <= 18 else size,
+               "intact": True if revisit else actual == given if r["digest"].startswith("sha1:") else None,
+               "payload": None if kept is None else bytes(kept)}
 
 
 def _number(text: str) -> int | None:
@@ -166,32 +247,58 @@ def _number(text: str) -> int | None:
     return int(text) if len(text.lstrip("-0")) <= 19 else 10 ** 19
 
 
+_FOUND = ("file string, at bigint, next bigint, body bigint, stop bigint, page_id bigint, record_type string, refers_to bigint, "
+          "url string, beyond string, http boolean, digest string")
 _SCHEMA = ("file string, at bigint, next bigint, page_id bigint, record_type string, refers_to bigint, url string, "
            "payload_digest string, payload_bytes bigint, intact boolean, payload binary, beyond string")
 
 
-def candidates(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """All candidate records of the files under ``path``; ``beyond`` is a page
-    id outside the range of bigint."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("file"), "content")
+
+
+def _batches(rows: Iterator[dict], arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of at most 256, or of some megabytes of payload."""
+    some, size = [], 0
+    for row in rows:
+        some.append(row)
+        size += len(row.get("payload") or b"")
+        if len(some) == 256 or size > PART_BYTES:
+            yield pa.RecordBatch.from_pylist(some, schema=arrow)
+            some, size = [], 0
+    if some:
+        yield pa.RecordBatch.from_pylist(some, schema=arrow)
+
+
+def candidates(spark: SparkSession, path: str) -> DataFrame:
+    """All candidate records of the files under ``path``: offsets and what
+    their headers say, no payloads; ``beyond`` is a page id outside the range
+    of bigint."""
+    arrow = to_arrow_schema(StructType.fromDDL(_FOUND))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, content in zip(b.column("file"), b.column("content")):
+                yield from _batches(_candidates(name.as_py(), content.as_py()), arrow)
+
+    return _files(spark, path).mapInArrow(run, _FOUND)
+
 
+def contents(spark: SparkSession, path: str, records: DataFrame, payloads: bool = False) -> DataFrame:
+    """``records`` (true ones) with what their blocks hold: every file meets
+    the list of its records and is inflated once more, each payload hashed
+    once."""
+    listed = records.groupBy("file").agg(F.array_sort(F.collect_list(F.struct(
+        "at", *[c for c in records.columns if c not in ("at", "file")]))).alias("records"))
     arrow = to_arrow_schema(StructType.fromDDL(_SCHEMA))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, content in zip(b.column("path"), b.column("content")):
-                rows = []
-                for row in _candidates(name.as_py(), content.as_py(), payloads):
-                    rows.append(row)
-                    if len(rows) == 256:
-                        yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-                        rows = []
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+            for name, content, true in zip(b.column("file"), b.column("content"), b.column("records")):
+                file = name.as_py()
+                yield from _batches(({"file": file, **r} for r in _contents(content.as_py(), true.as_py(), payloads)), arrow)
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(run, _SCHEMA)
+    return _files(spark, path).join(listed, "file").select("file", "content", "records").mapInArrow(run, _SCHEMA)
 
 
 def reachable(found: DataFrame) -> DataFrame:
@@ -221,7 +328,9 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     no SHA-1 is stated) and, if wanted, ``payload``.  Ids other than page
     numbers are null; a record with a page number that no bigint holds is an
     error."""
-    found = reachable(materialize(candidates(spark, path, payloads), "warc-candidates"))
+    true = reachable(materialize(candidates(spark, path), "warc-candidates"))
+    # stored: each file is inflated for it, which later scans need not repeat
+    found = materialize(contents(spark, path, true, payloads), "warc-records")
     error = F.raise_error(F.concat(F.lit("page id out of range: "), F.col("beyond"))).cast("bigint")
     return found.withColumn("page_id", F.when(F.col("beyond").isNotNull(), error).otherwise(F.col("page_id"))).drop("beyond")
 

@@ -80,3 +80,54 @@ def test_ids_beyond_bigint_raise(spark, tmp_path):
     # such an id inside a payload is no record
     fake = record("1.0", "urn:page:" + "9" * 5000, "z").decode()
     assert [r.page_id for r in warc.round_trip(spark.createDataFrame([(1, fake, "u")], "page_id bigint, html string, url string")).collect()] == [1]
+
+
+def test_long_payload_of_false_headers(tmp_path):
+    """Time and memory of a file of 100 MB whose payload looks like records."""
+    import gzip
+    import time
+    import tracemalloc
+
+    fake = ("WARC/1.0\r\nContent-Type: application/http\r\nContent-Length: 90000000\r\n\r\n" + "x" * 900 + "\r\n\r\n").encode()
+    payload = fake * (100_000_000 // len(fake))
+    head = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:3>\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    packed = gzip.compress(head + payload + b"\r\n\r\n" + record("1.0", "urn:page:4", "z"), 1)
+    want = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    del payload
+    tracemalloc.start()
+    start = time.time()
+    chain, at, candidates = [], 0, 0
+    for r in warc._candidates("f", packed):
+        candidates += 1
+        if r["at"] == at:
+            chain.append(r)
+            at = r["next"]
+    got = list(warc._contents(packed, chain, False))
+    spent, (_, peak) = time.time() - start, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [(r["page_id"], r["payload_digest"] == want) for r in got] == [(3, True), (4, False)]
+    assert candidates > 100_000 and spent < 60 and peak < 20_000_000, (candidates, spent, peak)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 64])
+def test_starts_split_by_the_pieces(monkeypatch, piece):
+    """Records and headers may be cut anywhere by the inflated pieces."""
+    monkeypatch.setattr(warc, "_inflated", lambda data: (data[i:i + piece] for i in range(0, len(data), piece)))
+    http = "HTTP/1.1 200 OK\r\nContent-Length: 3\r\n\r\nabc"
+    data = (record("1.0", "urn:page:1", FAKE) + record("1.1", "urn:page:2", http, "Content-Type: application/http; msgtype=response")
+            + record("1.0", "urn:page:3", "") + record("1.0", "urn:page:4", "cut")[:-3])
+    found = {r["at"]: r for r in warc._candidates("f", data)}
+    chain, at = [], 0
+    while at in found:
+        chain.append(found[at])
+        at = found[at]["next"]
+    got = list(warc._contents(data, chain, True))
+    assert [(r["page_id"], r["payload"]) for r in got] == [(1, FAKE.encode()), (2, b"abc"), (3, b"")]
+    assert len(found) == 5  # with the one inside a payload and the one cut off
+
+
+def test_lines_that_are_no_header():
+    bad = b"WARC/1.0\r\nno field\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    assert not list(warc._candidates("f", bad)) and not list(warc._candidates("f", b"")) and not list(warc._candidates("f", b"WARC/1.0\r\n"))
+    folded = record("1.0", "urn:page:1", "x", "X-Long: a\r\n b: c")
+    assert [r["page_id"] for r in warc._candidates("f", folded)] == [1]
