@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +35,22 @@ from pyspark.sql import types as T
 from .text import map_texts, named
 
 HEAD = 5  # bytes of a piece whose table is kept for pieces that begin alike
-CACHE = 1 << 18  # distinct pieces of at most 64 bytes that a task remembers
+CACHE = 1 << 17  # distinct pieces of at most 64 bytes that a task remembers
+PAIRS = 1 << 18  # pairs of tokens whose test it remembers
+HEADS = 1 << 15  # beginnings of pieces whose table it keeps
+
+
+class Remembered(dict):
+    """Results of ``make`` by argument; emptied when ``most`` are held."""
+
+    def __init__(self, make: Callable, most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        got = self[key] = self.make(key)
+        return got
 
 
 class Vocabulary:
@@ -49,7 +64,7 @@ class Vocabulary:
         self.suffixes = {b[i:]: -1 for b in ranks for i in range(1, len(b))} | ranks
         self._halves: dict[int, tuple[int, int]] = {}
         self.own: dict[int, bool] = {}
-        self.compatible = lru_cache(maxsize=1 << 20)(self._separate)
+        self.compatible = Remembered(self._separate, PAIRS).__getitem__
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -188,7 +203,7 @@ class Encoder:
         # pieces that begin alike share the table of their beginning
         head = self._heads.get(piece[:HEAD])
         if head is None:
-            if len(self._heads) >= CACHE:
+            if len(self._heads) >= HEADS:
                 self._heads.clear()
             head = self._heads[piece[:HEAD]] = Prefixes(self.vocabulary, piece[:HEAD])
         table = head.copy()

@@ -72,3 +72,18 @@ def test_id_buffers_are_small(spark, docs_of, monkeypatch):
         assert got[i].ids == bpe.encoder(path, pattern).encode(t) and got[i].n_tokens == len(got[i].ids) and got[i].exact
     back = bpe.decode(bpe.encode(docs, path, pattern), path, pattern).select("doc_id", "decoded").collect()
     assert {r.doc_id: bytes(r.decoded).decode() for r in back} == {i: t or "" for i, t in rows}
+
+
+def test_what_a_task_remembers_is_bounded(vocabulary):
+    """Texts of ever new pieces: both memories of pieces together, the tables
+    of beginnings and the pair tests stay within fixed numbers of entries."""
+    enc = bpe.Encoder(PATH, PATTERN)
+    pairs = enc.vocabulary.compatible.__self__
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for k in range(280):
+        text = " ".join(letters[k % 26] + letters[i % 26] + letters[i // 26 % 26] + letters[k // 26] + letters[i // 676 % 26] for i in range(1000))
+        pieces = enc.pieces(text)
+        assert enc.decode_pieces(pieces) == text.encode() and len(enc._ids) + len(enc._older) <= 1 << 18
+    assert len(enc._older) <= 1 << 17 and len(enc._bytes) <= 1 << 17 and len(enc._heads) <= 1 << 15 and len(pairs) <= 1 << 18
+    few = bpe.Remembered(lambda x: x + 1, 3)
+    assert [few[i] for i in (1, 2, 3, 1, 4, 1)] == [2, 3, 4, 2, 5, 2] and len(few) == 2
